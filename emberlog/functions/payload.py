@@ -1,83 +1,119 @@
-"""Reading fields of a JSON message held as VARIANT.
+"""Reading fields of a JSON message (SQL expression text).
 
-Three states of a field matter and must not be mixed up: absent (SQL NULL from the untyped getter),
-JSON null (a VARIANT whose text is NULL), and a value. Text is read for every field; the costlier
-type questions are asked only inside ``when`` branches that ordinary messages do not reach.
+Three states of a field matter and must not be mixed up: absent, JSON null, and a value, and for
+numbers and booleans also the JSON type. Ordinary messages need only the text of each field, which
+one ``from_json`` delivers. The message is parsed again into VARIANT fields (``odd``) only where the
+texts leave a question open: a field without text, a text that reads like a boolean, a number or
+time that does not parse.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import DataFrame
 
 from .text import is_blank, strip
 
-NUMERIC_KINDS = "^(DECIMAL|DOUBLE|FLOAT|BIGINT)"
+JSON_OPTIONS = "map('allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'false')"
+# A message is one JSON value and nothing after it. Inside brackets, anything that follows the value
+# either breaks the array or adds an element.
+BRACKETED = "concat('[', raw_text, ']')"
+IS_JSON = f"coalesce(json_array_length({BRACKETED}) = 1, false)"
 
 
-def decode_text(value: Column, binary: bool) -> Column:
-    """Message bytes as text, broken UTF-8 replaced; a missing body reads as ``None``."""
-    text = F.make_valid_utf8(value.cast("string")) if binary else value
-    return F.coalesce(text, F.lit("None"))
+def once(df: DataFrame, *columns: str) -> DataFrame:
+    """Add columns (expression text with aliases) through a one-element generator.
 
+    A later filter on the added columns cannot be pushed below the generator, so the (expensive)
+    expressions behind them run once per row and not again inside the filter.
+    """
+    return df.selectExpr("*", f"inline(array(struct({', '.join(columns)})))")
 
-def parse(text: Column) -> Column:
-    return F.try_parse_json(text)
 
+def with_text(df: DataFrame, value: str = "value") -> DataFrame:
+    """Add ``raw_text``: bytes with broken UTF-8 replaced; a missing body reads as ``None``.
 
-def is_object(text: Column) -> Column:
-    """For text that parsed as JSON: is the root an object? Its first character tells."""
-    return strip(text).startswith("{")
+    ``plain``: no field of the message can hold whitespace other than spaces. Valid JSON has no raw
+    control characters inside texts, so only escapes and characters beyond ASCII matter.
+    """
+    binary = dict(df.dtypes)[value] == "binary"
+    text = f"make_valid_utf8(cast(`{value}` AS string))" if binary else f"`{value}`"
+    return df.selectExpr("*", f"coalesce({text}, 'None') AS raw_text").selectExpr(
+        "*", r"NOT contains(raw_text, '\\') AND octet_length(raw_text) = char_length(raw_text) AS plain"
+    )
 
 
-def field(document: Column, name: str) -> Column:
-    return F.variant_get(document, f"$.{name}", "variant")
+def decode(df: DataFrame, value: str = "value") -> DataFrame:
+    """Add ``payload_kind``: ``object``, ``other`` JSON or ``bad_json``."""
+    root = f"CASE WHEN startswith({strip('raw_text')}, '{{') THEN 'object' ELSE 'other' END"
+    return with_text(df, value).selectExpr("*", f"CASE WHEN {IS_JSON} THEN {root} ELSE 'bad_json' END AS payload_kind")
 
 
-def kind(document: Column, name: str) -> Column:
-    """Type name of a field: STRING, BIGINT, BOOLEAN, VOID for JSON null; NULL when absent."""
-    return F.schema_of_variant(field(document, name))
+def read(df: DataFrame, value: str, fields, derived: dict[str, str], doubts: str, optional=()) -> DataFrame:
+    """Add ``text_<field>`` for all fields, the ``derived`` columns, ``payload_kind`` and ``odd``.
 
+    ``derived`` are expressions over the texts; ``doubts`` is a condition over texts and derived
+    columns that asks for the second look, besides any field without text.
+    """
+    names = [*fields, *optional]
+    schema = "array<struct<" + ", ".join(f"{n}: string" for n in names) + ">>"
+    parsed = once(with_text(df, value), f"from_json({BRACKETED}, '{schema}', {JSON_OPTIONS}) AS fields")
+    keep = [c for c in parsed.columns if c != "fields"]
+    texts = parsed.selectExpr(*keep, *[f"CASE WHEN size(fields) = 1 THEN fields[0].{n} END AS text_{n}" for n in names])
+    open_text = " OR ".join(f"text_{n} IS NULL" for n in fields)
+    looked = texts.selectExpr("*", *[f"{sql} AS {name}" for name, sql in derived.items()]).selectExpr(
+        "*", f"CASE WHEN {open_text} OR {doubts} THEN {IS_JSON} END AS checked_json"
+    )
+    # checked_json: NULL when nothing is in doubt, otherwise whether the text is JSON at all
+    return looked.selectExpr(
+        "*",
+        "CASE WHEN NOT checked_json THEN 'bad_json' "
+        f"WHEN checked_json AND NOT startswith({strip('raw_text')}, '{{') THEN 'other' ELSE 'object' END AS payload_kind",
+        f"CASE WHEN checked_json AND startswith({strip('raw_text')}, '{{') "
+        "THEN try_cast(try_parse_json(raw_text) AS map<string,variant>) END AS odd",
+    )
 
-def text_of(document: Column, name: str) -> Column:
-    """Text of a scalar field; NULL for absent, JSON null and nested values."""
-    return F.try_variant_get(document, f"$.{name}", "string")
 
+def kind(name: str) -> str:
+    """Type name of a field looked at twice: STRING, BIGINT, BOOLEAN, VOID for JSON null."""
+    return f"schema_of_variant(try_element_at(odd, '{name}'))"
 
-class Field:
-    """One named field of a parsed document; ``text`` is its already extracted text column."""
 
-    def __init__(self, document: Column, name: str, text: Column):
-        self.document, self.name, self.text = document, name, text
+def is_absent(name: str) -> str:
+    return f"(text_{name} IS NULL AND NOT coalesce(map_contains_key(odd, '{name}'), false))"
 
-    def kind(self) -> Column:
-        return kind(self.document, self.name)
 
-    def is_absent(self) -> Column:
-        return F.when(self.text.isNull(), field(self.document, self.name).isNull()).otherwise(False)
+def is_null(name: str) -> str:
+    """Absent or JSON null."""
+    return f"(text_{name} IS NULL AND coalesce({kind(name)} = 'VOID', true))"
 
-    def is_null(self) -> Column:
-        """Absent or JSON null."""
-        return F.when(self.text.isNull(), F.coalesce(self.kind() == "VOID", F.lit(True))).otherwise(False)
 
-    def is_blank(self) -> Column:
-        """A text of nothing but whitespace (numbers never are)."""
-        return is_blank(self.text)
+def is_empty_text(name: str) -> str:
+    return f"({is_blank('text_' + name, 'plain')})"
 
-    def spelled(self) -> Column:
-        """Stripped text of any present field as the message rules spell it: ``None``, ``True``."""
-        nested = F.when(self.kind() == "VOID", F.lit("None")).otherwise(F.to_json(field(self.document, self.name)))
-        logical = F.when(self.kind() == "BOOLEAN", F.initcap(self.text)).otherwise(self.text)
-        return strip(
-            F.when(self.text.isNull(), nested).when(self.text.isin("true", "false"), logical).otherwise(self.text)
-        )
 
-    def whole_number(self) -> Column:
-        """Integers, integral text, and numbers cut towards zero; otherwise NULL."""
-        return F.coalesce(
-            strip(self.text).try_cast("bigint"),
-            F.when(self.kind().rlike(NUMERIC_KINDS), F.try_variant_get(self.document, f"$.{self.name}", "bigint")),
-        )
+def reads_boolean(*names: str) -> str:
+    return "(" + " OR ".join(f"text_{n} IN ('true', 'false')" for n in names) + ")"
 
 
-def fields(document: Column, names, text_prefix: str) -> dict[str, Field]:
-    return {n: Field(document, n, F.col(f"{text_prefix}{n}")) for n in names}
+def spelled(name: str) -> str:
+    """Stripped text of any present field as the message rules spell it: ``None``, ``True``."""
+    text = f"text_{name}"
+    value = (
+        f"CASE WHEN odd IS NULL THEN {text} "
+        f"WHEN {text} IS NULL THEN coalesce(nullif(to_json(try_element_at(odd, '{name}')), 'null'), 'None') "
+        f"WHEN {text} IN ('true', 'false') AND {kind(name)} = 'BOOLEAN' THEN initcap({text}) ELSE {text} END"
+    )
+    return strip(f"({value})", "plain")
+
+
+def integral_text(name: str) -> str:
+    return f"try_cast({strip('text_' + name, 'plain')} AS bigint)"
+
+
+def whole_number(name: str, parsed: str) -> str:
+    """Integer of a field: the parsed integral text, else a number cut towards zero, else NULL."""
+    value = f"try_element_at(odd, '{name}')"
+    return (
+        f"coalesce({parsed}, CASE WHEN {kind(name)} RLIKE '^(DECIMAL|DOUBLE|FLOAT|BIGINT)' "
+        f"THEN try_variant_get({value}, '$', 'bigint') END)"
+    )

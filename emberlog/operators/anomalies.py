@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.clock import iso_millis
 from ..functions.ordering import first_rows, newest_first
-from ..functions.text import message, strip
+from ..functions.text import quote, quote_list, strip
 
 # Fixed values of the rules.
 EXPECTED_PROTOCOLS = ("ICMP", "TCP", "UDP")
@@ -50,82 +50,74 @@ def recent(rows: DataFrame, limit: int | None) -> DataFrame:
 
 def rule_input(rows: DataFrame) -> DataFrame:
     """Shape the rules read: text never NULL, upper protocol, lower status, UTC millisecond time."""
-
-    def text(name: str) -> Column:
-        return strip(F.coalesce(F.col(name), F.lit("")))
-
-    return rows.select(
-        F.col("id").alias("source_row_id"),
-        text("device_id").alias("device_id"),
-        F.coalesce(iso_millis(F.col("event_timestamp")), F.lit("")).alias("event_timestamp"),
-        F.upper(text("protocol")).alias("protocol"),
+    text = {n: strip(f"coalesce({n}, '')") for n in ("device_id", "protocol", "attack_type", "status")}
+    return rows.selectExpr(
+        "id AS source_row_id",
+        f"{text['device_id']} AS device_id",
+        f"coalesce({iso_millis('event_timestamp')}, '') AS event_timestamp",
+        f"upper({text['protocol']}) AS protocol",
         "packet_size",
         "duration_ms",
-        text("attack_type").alias("attack_type"),
-        F.lower(text("status")).alias("status"),
+        f"{text['attack_type']} AS attack_type",
+        f"lower({text['status']}) AS status",
     )
 
 
-def _finding(rule: str, severity: str, score: int, *reason: Column | str) -> Column:
-    return F.struct(
-        F.lit(rule).alias("rule_name"),
-        F.lit(severity).alias("severity"),
-        message(*reason).alias("reason"),
-        F.lit(score).alias("score"),
+def _finding(rule: str, severity: str, score: int, column: str, reason: str) -> str:
+    """SQL of one finding; its reason starts with ``column=value``."""
+    return (
+        f"named_struct('rule_name', '{rule}', 'severity', '{severity}', "
+        f"'reason', concat('{column}=', {column}, {quote(' ' + reason)}), 'score', {score})"
     )
 
 
-def findings(rules: Rules = Rules()) -> list[Column]:
-    """One nullable struct per rule, in report order."""
-    size, span = F.col("packet_size"), F.col("duration_ms")
-    status, label, protocol = F.col("status"), F.col("attack_type"), F.col("protocol")
-    plain = F.lower(strip(label))
+def findings(rules: Rules = Rules()) -> list[str]:
+    """SQL of one nullable struct per rule, in report order."""
+    label = f"lower({strip('attack_type')})"
+    status_rule, label_rule, protocol_rule = "failed_or_blocked_status", "suspicious_attack_type", "unusual_protocol"
     expected = "[" + ", ".join(repr(p) for p in sorted(rules.expected_protocols)) + "]"
-
-    def above(rule: str, column: Column, shown: str, unit: str, bands) -> Column:
-        (high, high_score), (review, review_score) = bands
-        lead = f"{shown}="
-        return F.when(
-            column >= high,
-            _finding(rule, "high", high_score, lead, column, f" exceeds the high threshold of {high} {unit}."),
-        ).when(
-            column >= review,
-            _finding(rule, "medium", review_score, lead, column, f" exceeds the review threshold of {review} {unit}."),
-        )
-
-    return [
-        above("high_packet_size", size, "packet_size", "bytes", ((rules.packet_high, 90), (rules.packet_review, 70))),
-        above("high_duration", span, "duration_ms", "ms", ((rules.duration_high, 85), (rules.duration_review, 65))),
-        F.when(
-            status.isin(*rules.denied_statuses),
-            _finding("failed_or_blocked_status", "high", 95, "status=", status, " indicates traffic that was blocked or denied."),
-        ).when(
-            status.isin(*rules.failed_statuses),
-            _finding("failed_or_blocked_status", "medium", 75, "status=", status, " indicates unsuccessful processing or failed traffic."),
-        ),
-        F.when(
-            plain.isin(*rules.high_risk_labels),
-            _finding("suspicious_attack_type", "high", 92, "attack_type=", label, " matches a high-risk suspicious traffic label."),
-        ).when(
-            ~plain.isin("", *rules.benign_labels),
-            _finding("suspicious_attack_type", "medium", 68, "attack_type=", label, " is non-empty and marked for analyst review."),
-        ),
-        F.when(
-            (protocol != "") & ~protocol.isin(*rules.expected_protocols),
-            _finding("unusual_protocol", "high", 80, "protocol=", protocol, f" is outside the expected set {expected}."),
-        ).when(
-            protocol.isin(*rules.quiet_protocols),
-            _finding("unusual_protocol", "low", 35, "protocol=", protocol, " is allowed but treated as less common control-plane traffic."),
-        ),
+    limits = (
+        ("high_packet_size", "packet_size", "bytes", (rules.packet_high, 90), (rules.packet_review, 70)),
+        ("high_duration", "duration_ms", "ms", (rules.duration_high, 85), (rules.duration_review, 65)),
+    )
+    cases: list[list[tuple[str, str]]] = [
+        [
+            (f"{column} >= {high}", _finding(rule, "high", high_score, column, f"exceeds the high threshold of {high} {unit}.")),
+            (f"{column} >= {review}", _finding(rule, "medium", review_score, column, f"exceeds the review threshold of {review} {unit}.")),
+        ]
+        for rule, column, unit, (high, high_score), (review, review_score) in limits
     ]
+    cases += [
+        [
+            (f"status IN ({quote_list(rules.denied_statuses)})",
+             _finding(status_rule, "high", 95, "status", "indicates traffic that was blocked or denied.")),
+            (f"status IN ({quote_list(rules.failed_statuses)})",
+             _finding(status_rule, "medium", 75, "status", "indicates unsuccessful processing or failed traffic.")),
+        ],
+        [
+            (f"{label} IN ({quote_list(rules.high_risk_labels)})",
+             _finding(label_rule, "high", 92, "attack_type", "matches a high-risk suspicious traffic label.")),
+            (f"{label} NOT IN ({quote_list(('', *rules.benign_labels))})",
+             _finding(label_rule, "medium", 68, "attack_type", "is non-empty and marked for analyst review.")),
+        ],
+        [
+            (f"protocol NOT IN ({quote_list(('', *rules.expected_protocols))})",
+             _finding(protocol_rule, "high", 80, "protocol", f"is outside the expected set {expected}.")),
+            (f"protocol IN ({quote_list(rules.quiet_protocols)})",
+             _finding(protocol_rule, "low", 35, "protocol", "is allowed but treated as less common control-plane traffic.")),
+        ],
+    ]
+    return ["CASE " + " ".join(f"WHEN {test} THEN {found}" for test, found in rule) + " END" for rule in cases]
+
+
+def _found(rules: Rules) -> str:
+    return f"array_compact(array({', '.join(findings(rules))}))"
 
 
 def detect(rows: DataFrame, limit: int | None = None, rules: Rules = Rules()) -> DataFrame:
     """Zero to five findings per row."""
     shaped = rule_input(recent(rows, limit))
-    return shaped.select(
-        "source_row_id", "device_id", "event_timestamp", F.inline(F.array_compact(F.array(*findings(rules))))
-    )
+    return shaped.selectExpr("source_row_id", "device_id", "event_timestamp", f"inline({_found(rules)})")
 
 
 def store_form(found: DataFrame, run_id: Column | str, created_at: Column | str) -> DataFrame:
@@ -163,7 +155,7 @@ def summary(rows: DataFrame, limit: int | None = None, rules: Rules = Rules()) -
     """
     names = ("failed_or_blocked_status", "high_duration", "high_packet_size", "suspicious_attack_type", "unusual_protocol")
     levels = ("high", "low", "medium")
-    shaped = rule_input(recent(rows, limit)).withColumn("found", F.array_compact(F.array(*findings(rules))))
+    shaped = rule_input(recent(rows, limit)).selectExpr("source_row_id", f"{_found(rules)} AS found")
 
     def hits(field: str, value: str) -> Column:
         return F.sum(F.size(F.filter("found", lambda f: f[field] == value))).alias(f"{field}_{value}")

@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.ordering import first_rows
-from ..functions.text import is_blank, message, strip
+from ..functions.text import is_blank, quote, quote_list, strip
 
 
 class ContractError(ValueError):
@@ -76,40 +76,35 @@ def _rule(spec: dict) -> Rule:
     )
 
 
-def column_errors(name: str, rule: Rule, lead: Column) -> list[Column]:
-    """Nullable error texts of one column, in report order."""
-    raw = F.col(name).cast("string")
-    value = strip(raw)
-    empty = raw.isNull() | is_blank(raw)
-    where = message(lead, f"column '{name}' ")
+def column_errors(name: str, rule: Rule) -> list[str]:
+    """SQL of the nullable error texts of one column, in report order."""
+    value = strip(f"cast(`{name}` AS string)")
+    empty = f"(`{name}` IS NULL OR {is_blank(f'cast(`{name}` AS string)')})"
 
-    def error(*tail: Column | str) -> Column:
-        return F.concat(where, message(*tail))
+    def error(test: str, *tail: str) -> str:
+        words = ", ".join([quote(f": column '{name}' ")] + list(tail))
+        return f"CASE WHEN {test} THEN concat('Row ', row_number, {words}) END"
 
-    found: list[Column] = []
+    found: list[str] = []
     if rule.required and not rule.nullable:
-        found.append(F.when(empty, error("is required and cannot be empty.")))
+        found.append(error(empty, quote("is required and cannot be empty.")))
     if rule.min_length is not None and rule.min_length > 1:
         # a value that is not empty has at least one character, so shorter limits never fire
         found.append(
-            F.when(~empty & (F.char_length(value) < rule.min_length), error(f"must be at least {rule.min_length} characters long."))
+            error(f"NOT {empty} AND char_length({value}) < {rule.min_length}", quote(f"must be at least {rule.min_length} characters long."))
         )
-    usable = ~empty
+    usable = f"NOT {empty}"
     if rule.kind == "integer" or rule.kind in NUMBER_KINDS:
-        number = value.try_cast("bigint" if rule.kind == "integer" else "double")
-        wanted = "an integer" if rule.kind == "integer" else "a number"
-        found.append(F.when(~empty & number.isNull(), error(f"expects {wanted} but got '", value, "'")))
-        usable = usable & number.isNotNull()
+        kind, wanted = ("bigint", "an integer") if rule.kind == "integer" else ("double", "a number")
+        number = f"try_cast({value} AS {kind})"
+        found.append(error(f"{usable} AND {number} IS NULL", quote(f"expects {wanted} but got '"), value, quote("'")))
+        usable = f"{usable} AND {number} IS NOT NULL"
         if rule.minimum is not None:
-            found.append(F.when(usable & (number < rule.minimum), error(f"must be >= {rule.minimum}, got ", value, ".")))
+            found.append(error(f"{number} < {rule.minimum}", quote(f"must be >= {rule.minimum}, got "), value, quote(".")))
     if rule.allowed:
-        allowed = sorted({v.strip().lower() for v in rule.allowed})
-        found.append(
-            F.when(
-                usable & ~F.lower(value).isin(*allowed),
-                error("has value '", value, f"' outside allowed values [{', '.join(rule.allowed)}]."),
-            )
-        )
+        folded = quote_list(sorted({v.strip().lower() for v in rule.allowed}))
+        listed = quote(f"' outside allowed values [{', '.join(rule.allowed)}].")
+        found.append(error(f"{usable} AND lower({value}) NOT IN ({folded})", quote("has value '"), value, listed))
     return found
 
 
@@ -120,10 +115,9 @@ def missing_columns(df: DataFrame, contract: dict[str, Rule]) -> list[str]:
 def check_rows(df: DataFrame, contract: dict[str, Rule], row_number: Column) -> DataFrame:
     """``row_number`` and ``errors`` (array, empty for a good row) per row. Data starts at row 2."""
     present = {n: r for n, r in contract.items() if n in df.columns}
-    lead = message("Row ", F.col("row_number"), ": ")
-    columns = [e for name, rule in present.items() for e in column_errors(name, rule, lead)]
+    errors = ", ".join(e for name, rule in present.items() for e in column_errors(name, rule))
     numbered = df.select(row_number.cast("bigint").alias("row_number"), *present)
-    return numbered.select("row_number", F.array_compact(F.array(*columns)).alias("errors"))
+    return numbered.selectExpr("row_number", f"array_compact(array({errors})) AS errors")
 
 
 def error_list(checked: DataFrame) -> DataFrame:

@@ -5,69 +5,73 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import clock, payload
-from ..functions.text import blank_to_null, message
-from .validate import _once, decode
+from ..functions.text import blank_to_null
 
 # Field order decides which problem is named first.
-TEXT, NUMBER, TIME = "text", "number", "time"
+TEXT, NUMBER, TIME, OPTIONAL_TEXT, OPTIONAL_TIME = "text", "number", "time", "optional text", "optional time"
 PROCESSED_FIELDS = (
     ("event_timestamp", TIME), ("device_id", TEXT), ("source_ip", TEXT), ("destination_ip", TEXT),
     ("protocol", TEXT), ("packet_size", NUMBER), ("duration_ms", NUMBER), ("event_type", TEXT),
-    ("attack_type", "optional text"), ("status", TEXT), ("ingestion_timestamp", "optional time"),
+    ("attack_type", OPTIONAL_TEXT), ("status", TEXT), ("ingestion_timestamp", OPTIONAL_TIME),
     ("processed_at", TIME),
 )
 INVALID_FIELDS = (("raw_payload", TEXT), ("error_reason", TEXT), ("failed_at", TIME))
 INT_MAX = 2**31 - 1
 
 
-def _problem(field: payload.Field, form: str) -> Column:
-    """Why this field cannot be stored; NULL when it can."""
-    name, text = field.name, field.text
-    absent = message("missing required field: ", name)
+def _problem(name: str, form: str) -> str:
+    """Why this field cannot be stored; NULL when it can. Reads the values under ``row``."""
+    gone, blank = payload.is_null(name), payload.is_empty_text(name)
+    absent = f"'missing required field: {name}'"
+    untimely = (
+        f"CASE WHEN {payload.kind(name)} <> 'STRING' THEN '{name} must be a string' "
+        f"WHEN {blank} THEN '{name} must not be empty' ELSE 'invalid timestamp for {name}' END"
+    )
     if form == TEXT:
-        return F.when(field.is_null() | field.is_blank(), absent)
+        return f"CASE WHEN {gone} OR {blank} THEN {absent} END"
     if form == NUMBER:
-        number = field.whole_number()
-        return F.when(number.isNull(), message(name, " must be an integer")).when(
-            ~number.between(-INT_MAX - 1, INT_MAX), message(name, " is out of range for an integer column")
+        return (
+            f"CASE WHEN row.{name} IS NULL THEN '{name} must be an integer' "
+            f"WHEN row.{name} NOT BETWEEN {-INT_MAX - 1} AND {INT_MAX} THEN '{name} is out of range for an integer column' END"
         )
     if form == TIME:
-        return F.when(field.is_null(), absent).when(
-            clock.parse_iso(text).isNull(),
-            F.when(field.kind() != "STRING", message(name, " must be a string"))
-            .when(field.is_blank(), message(name, " must not be empty"))
-            .otherwise(message("invalid timestamp for ", name)),
-        )
-    if form == "optional time":
-        given = ~field.is_null() & ~field.is_blank()
-        return F.when(given & clock.parse_iso(field.spelled()).isNull(), message("invalid timestamp for ", name))
-    return F.lit(None).cast("string")
+        return f"CASE WHEN row.{name} IS NOT NULL THEN NULL WHEN {gone} THEN {absent} ELSE {untimely} END"
+    if form == OPTIONAL_TIME:
+        return f"CASE WHEN row.{name} IS NULL AND text_{name} IS NOT NULL AND NOT {blank} THEN 'invalid timestamp for {name}' END"
+    return "CAST(NULL AS string)"
 
 
-def _value(field: payload.Field, form: str) -> Column:
+def _value(name: str, form: str) -> str:
     if form == TEXT:
-        return field.spelled()
-    if form == "optional text":
-        return F.when(~field.is_null(), blank_to_null(field.spelled()))
+        return payload.spelled(name)
+    if form == OPTIONAL_TEXT:
+        return blank_to_null(f"text_{name}", "plain")
     if form == NUMBER:
-        return field.whole_number()
-    return clock.parse_iso(field.text)
+        return payload.whole_number(name, f"read_{name}")
+    if form == OPTIONAL_TIME:
+        return clock.parse_iso(f"text_{name}", "plain")
+    return f"read_{name}"
 
 
 def _mapped(df: DataFrame, shape, value: str) -> DataFrame:
-    names = [name for name, _ in shape]
-    decoded = decode(df, value)
-    document = F.col("document")
-    read = decoded.select("*", *[payload.text_of(document, n).alias(f"text_{n}") for n in names])
-    of = payload.fields(document, names, "text_")
+    keys = [c for c in df.columns if c != value]
+    required = [name for name, form in shape if form in (TEXT, NUMBER, TIME)]
+    optional = [name for name, form in shape if name not in required]
+    parsed = {f"read_{n}": clock.parse_iso(f"text_{n}", "plain") for n, form in shape if form == TIME}
+    parsed |= {f"read_{n}": payload.integral_text(n) for n, form in shape if form == NUMBER}
+    texts = [name for name, form in shape if form == TEXT]
+    doubts = " OR ".join([f"{n} IS NULL" for n in parsed] + [payload.reads_boolean(*texts)])
+    ready = payload.read(df, value, required, parsed, doubts, optional)
+    row = ", ".join(f"{_value(name, form)} AS {name}" for name, form in shape)
+    problems = ", ".join(_problem(name, form) for name, form in shape)
+    shaped = ready.selectExpr("*", f"struct({row}) AS row")
     problem = (
-        F.when(document.isNull(), F.lit("invalid JSON: malformed document"))
-        .when(~F.col("is_object"), F.lit("payload must be a JSON object"))
-        .otherwise(F.coalesce(*[_problem(of[name], form) for name, form in shape]))
+        "CASE payload_kind WHEN 'bad_json' THEN 'invalid JSON: malformed document' "
+        f"WHEN 'other' THEN 'payload must be a JSON object' ELSE coalesce({problems}) END"
+    )
+    return payload.once(shaped, f"{problem} AS problem", "row AS mapped").select(
+        *keys, "raw_text", "problem", F.col("mapped").alias("row")
     )
-    row = F.struct(*[_value(of[name], form).alias(name) for name, form in shape])
-    keys = [c for c in df.columns if c != value]
-    return _once(read, problem.alias("problem"), row.alias("row")).select(*keys, "raw_text", "problem", "row")
 
 
 def map_processed(df: DataFrame, value: str = "value") -> DataFrame:
@@ -87,22 +91,20 @@ def processed_rows(mapped: DataFrame, position: Column, inserted_at: Column | st
     """Rows of the processed table. ``position`` is the unique source position of the message."""
     casts = {"packet_size": "int", "duration_ms": "int"}
     columns = [F.col(f"row.{n}").cast(casts[n]).alias(n) if n in casts else F.col(f"row.{n}") for n, _ in PROCESSED_FIELDS]
-    return mapped.filter(F.col("problem").isNull()).select(
+    return mapped.filter("problem IS NULL").select(
         _id(position), *columns, F.col("raw_text").alias("raw_payload"), clock.moment(inserted_at).alias("inserted_at")
     )
 
 
 def invalid_rows(mapped: DataFrame, position: Column, inserted_at: Column | str) -> DataFrame:
-    return mapped.filter(F.col("problem").isNull()).select(
-        _id(position),
-        *[F.col(f"row.{n}") for n, _ in INVALID_FIELDS],
-        clock.moment(inserted_at).alias("inserted_at"),
+    return mapped.filter("problem IS NULL").select(
+        _id(position), "row.*", clock.moment(inserted_at).alias("inserted_at")
     )
 
 
 def quarantine_rows(mapped: DataFrame, position: Column, inserted_at: Column | str) -> DataFrame:
     """Messages the loader could not map, kept with the reason instead of dropped."""
-    return mapped.filter(F.col("problem").isNotNull()).select(
+    return mapped.filter("problem IS NOT NULL").select(
         _id(position), "raw_text", F.col("problem").alias("reason"), clock.moment(inserted_at).alias("inserted_at")
     )
 
@@ -112,16 +114,16 @@ def rows_from_valid(valid: DataFrame, position: Column, inserted_at: Column | st
 
     Same rows as publishing and mapping them, except that ``raw_payload`` is the incoming text.
     """
-    fits = F.col("packet_size").between(0, INT_MAX) & F.col("duration_ms").between(0, INT_MAX)
-    return valid.filter(fits & (F.col("device_id") != "") & (F.col("status") != "")).select(
+    fits = f"packet_size <= {INT_MAX} AND duration_ms <= {INT_MAX}"
+    return valid.filter(fits).select(
         _id(position),
         "event_timestamp", "device_id", "source_ip", "destination_ip", "protocol",
-        F.col("packet_size").cast("int").alias("packet_size"),
-        F.col("duration_ms").cast("int").alias("duration_ms"),
+        F.expr("cast(packet_size AS int) AS packet_size"),
+        F.expr("cast(duration_ms AS int) AS duration_ms"),
         "event_type",
-        blank_to_null(F.col("attack_type")).alias("attack_type"),
+        F.expr(f"{blank_to_null('attack_type')} AS attack_type"),
         "status",
-        clock.parse_iso(F.col("ingestion_timestamp")).alias("ingestion_timestamp"),
+        F.expr(f"{clock.parse_iso('ingestion_timestamp')} AS ingestion_timestamp"),
         "processed_at",
         F.col("raw_text").alias("raw_payload"),
         clock.moment(inserted_at).alias("inserted_at"),

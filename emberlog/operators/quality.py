@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import clock
 from ..functions.numeric import quantize, ratio
-from ..functions.text import message
 
 
 @dataclass(frozen=True)
@@ -62,40 +61,25 @@ def metrics_by_run(outcomes: DataFrame, run_id: Column, is_valid: Column) -> Dat
     )
 
 
-def _check(name: str, passed: Column, severity_on_fail: str, metric: str, value: Column, limit: Column, texts) -> Column:
-    shown, good, bad, bound = texts
-    fixed = lambda c: quantize(c.cast("decimal(38,12)"), 18)
-    return F.struct(
-        F.lit(name).alias("check_name"),
-        F.when(passed, "pass").otherwise("fail").alias("check_status"),
-        F.when(passed, "low").otherwise(severity_on_fail).alias("severity"),
-        F.lit(metric).alias("metric_name"),
-        fixed(value).alias("metric_value"),
-        fixed(limit).alias("threshold_value"),
-        message(shown, F.when(passed, good).otherwise(bad), " the ", bound).alias("message"),
-    )
-
-
 def with_checks(metrics: DataFrame, settings: RunSettings = RunSettings()) -> DataFrame:
     """Metrics plus the two check results as an array: the audit row can count failures from it
     without joining the exploded checks back."""
-    least = F.lit(settings.min_processed_records)
-    limit = F.lit(settings.invalid_rate_threshold).cast("decimal(12,6)")
-    processed, share = F.col("processed_records"), F.col("invalid_rate")
-    return metrics.withColumn(
-        "checks",
-        F.array(
-            _check(
-                "processed_records_present", processed >= least, "high", "processed_records", processed, least,
-                (message("Processed record count ", processed), " meets", " is below",
-                 message("minimum threshold of ", least, ".")),
-            ),
-            _check(
-                "invalid_rate_threshold", share <= limit, "medium", "invalid_rate", share, limit,
-                (message("Invalid rate ", share), " is within", " exceeds", message("threshold of ", limit, ".")),
-            ),
-        ),
+    least = f"cast({settings.min_processed_records} AS bigint)"
+    limit = f"cast({settings.invalid_rate_threshold} AS decimal(12,6))"
+    checks = (
+        ("processed_records_present", "processed_records", ">=", least, "high", "Processed record count ", " meets", " is below", "minimum threshold"),
+        ("invalid_rate_threshold", "invalid_rate", "<=", limit, "medium", "Invalid rate ", " is within", " exceeds", "threshold"),
     )
+    structs = [
+        f"named_struct('check_name', '{name}', "
+        f"'check_status', if({metric} {test} {bound}, 'pass', 'fail'), "
+        f"'severity', if({metric} {test} {bound}, 'low', '{on_fail}'), "
+        f"'metric_name', '{metric}', "
+        f"'metric_value', cast({metric} AS decimal(18,6)), 'threshold_value', cast({bound} AS decimal(18,6)), "
+        f"'message', concat('{lead}', {metric}, if({metric} {test} {bound}, '{good}', '{bad}'), ' the {noun} of ', {bound}, '.'))"
+        for name, metric, test, bound, on_fail, lead, good, bad, noun in checks
+    ]
+    return metrics.selectExpr("*", f"array({', '.join(structs)}) AS checks")
 
 
 def quality_checks(metrics: DataFrame, settings: RunSettings = RunSettings()) -> DataFrame:
@@ -134,7 +118,7 @@ def audit_rows(
 def alert_payloads(alert_rows: DataFrame, metrics: DataFrame, settings: RunSettings = RunSettings()) -> DataFrame:
     """Outgoing alert messages: alert, run settings and the run's metrics as one JSON object."""
     # offset spelling of the payload: +00:00 instead of Z
-    created = F.replace(clock.iso_micros(F.col("created_at")), F.lit("Z"), F.lit("+00:00"))
+    created = F.expr(f"replace({clock.iso_micros('created_at')}, 'Z', '+00:00')")
     body = F.struct(
         "run_id",
         F.lit(settings.pipeline_name).alias("pipeline_name"),

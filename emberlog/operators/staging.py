@@ -40,7 +40,7 @@ def category(reason: Column) -> Column:
 def stage_processed(rows: DataFrame) -> DataFrame:
     event_type = F.lower(F.trim("event_type"))
     status = F.lower(F.trim("status"))
-    label = space_blank_to_null(F.col("attack_type"))
+    label = F.expr(space_blank_to_null("attack_type"))
     return rows.select(
         "id",
         "event_timestamp",

@@ -5,171 +5,134 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import clock, payload
-from ..functions.text import message, strip
+from ..functions.text import quote_list, strip
 
-# Required keys in report order, and the closed domains.
+# Required keys in report order, the closed domains and the topic names.
 REQUIRED_FIELDS = (
     "event_timestamp", "device_id", "source_ip", "destination_ip", "protocol",
     "packet_size", "duration_ms", "event_type", "status",
 )
 PROTOCOLS = ("TCP", "UDP", "ICMP")
 EVENT_TYPES = ("normal", "warning", "error", "attack")
-
 PROCESSED_TOPIC = "iot_processed_logs"
 INVALID_TOPIC = "iot_invalid_logs"
 
 BAD_JSON = "invalid JSON: malformed document"
 NOT_OBJECT = "payload must be a JSON object"
 
-NORMALIZED = (
-    "event_timestamp", "device_id", "source_ip", "destination_ip", "protocol",
-    "packet_size", "duration_ms", "event_type", "status",
+OPTIONAL_FIELDS = ("attack_type", "ingestion_timestamp")
+SPELLED = ("device_id", "source_ip", "destination_ip", "status")
+
+# first reading of the fields that must parse, and when the message deserves a second look
+PARSED = {
+    "moment": clock.parse_iso("text_event_timestamp", "plain"),
+    "size_read": payload.integral_text("packet_size"),
+    "span_read": payload.integral_text("duration_ms"),
+}
+DOUBTS = f"moment IS NULL OR size_read IS NULL OR span_read IS NULL OR {payload.reads_boolean(*SPELLED)}"
+
+# normalized value of every field, over a frame prepared by payload.read
+NORMALIZED = {
+    "event_timestamp": "moment",
+    "device_id": payload.spelled("device_id"),
+    "source_ip": payload.spelled("source_ip"),
+    "destination_ip": payload.spelled("destination_ip"),
+    "protocol": f"upper({strip('text_protocol', 'plain')})",
+    "packet_size": payload.whole_number("packet_size", "size_read"),
+    "duration_ms": payload.whole_number("duration_ms", "span_read"),
+    "event_type": f"lower({strip('text_event_type', 'plain')})",
+    "status": f"lower({payload.spelled('status')})",
+}
+
+# type problems in report order, over the normalized columns; only text can match the ISO pattern,
+# so the type of the timestamp matters on failure alone
+TYPE_PROBLEMS = (
+    f"CASE WHEN event_timestamp IS NULL THEN CASE WHEN {payload.kind('event_timestamp')} = 'STRING' "
+    "THEN 'invalid timestamp' ELSE 'event_timestamp must be a string' END END",
+    f"CASE WHEN protocol IN ({quote_list(PROTOCOLS)}) THEN NULL ELSE 'invalid protocol' END",
+    "CASE WHEN packet_size >= 0 THEN NULL ELSE 'packet_size must be a non-negative integer' END",
+    "CASE WHEN duration_ms >= 0 THEN NULL ELSE 'duration_ms must be a non-negative integer' END",
+    f"CASE WHEN event_type IN ({quote_list(EVENT_TYPES)}) THEN NULL ELSE 'invalid event_type' END",
 )
 
 
-def _once(df: DataFrame, *columns: Column) -> DataFrame:
-    """Add columns through a one-element generator.
-
-    A later filter on the added columns cannot be pushed below the generator, so the (expensive)
-    expressions behind them run once per row and not again inside the filter.
-    """
-    return df.select("*", F.inline(F.array(F.struct(*columns))))
-
-
-def decode(df: DataFrame, value: str = "value") -> DataFrame:
-    """Add ``raw_text``, ``document`` (VARIANT, NULL when not JSON) and ``is_object``."""
-    binary = dict(df.dtypes)[value] == "binary"
-    text = df.withColumn("raw_text", payload.decode_text(F.col(value), binary))
-    parsed = _once(text, payload.parse(F.col("raw_text")).alias("document"))
-    return parsed.withColumn("is_object", payload.is_object(F.col("raw_text")))
+# holds for every message without a fault, so the texts of the reasons are built for faulty ones only
+FAULTLESS = (
+    f"checked_json IS NULL AND protocol IN ({quote_list(PROTOCOLS)}) AND event_type IN ({quote_list(EVENT_TYPES)}) "
+    "AND packet_size >= 0 AND duration_ms >= 0 "
+    "AND device_id <> '' AND source_ip <> '' AND destination_ip <> '' AND status <> ''"
+)
 
 
 def check(df: DataFrame, value: str = "value") -> DataFrame:
-    """Add ``error_reason`` (NULL for a valid message) and the normalized columns under ``record``.
+    """Add ``raw_text``, the normalized columns, the texts of the optional fields, and
+    ``error_reason`` (NULL for a valid message).
 
     Missing fields are all reported, in declared order, and stop the type checks; type checks
     report every failing field.
     """
-    decoded = decode(df, value)
-    keep = decoded.columns
-    document = F.col("document")
-    read = decoded.select("*", *[payload.text_of(document, n).alias(f"text_{n}") for n in REQUIRED_FIELDS])
-    of = payload.fields(document, REQUIRED_FIELDS, "text_")
-    shaped = read.select(
-        *keep,
-        *[(of[n].is_absent() | of[n].is_blank()).alias(f"missing_{n}") for n in REQUIRED_FIELDS],
-        F.col("text_event_timestamp"),
-        clock.parse_iso(F.col("text_event_timestamp")).alias("moment"),
-        of["device_id"].spelled().alias("device_id_text"),
-        of["source_ip"].spelled().alias("source_ip_text"),
-        of["destination_ip"].spelled().alias("destination_ip_text"),
-        F.upper(of["protocol"].spelled()).alias("protocol_text"),
-        of["packet_size"].whole_number().alias("packet_size_number"),
-        of["duration_ms"].whole_number().alias("duration_ms_number"),
-        F.lower(of["event_type"].spelled()).alias("event_type_text"),
-        F.lower(of["status"].spelled()).alias("status_text"),
-    )
-
-    missing = F.concat_ws(
-        "; ", *[F.when(F.col(f"missing_{n}"), message("missing required field: ", n)) for n in REQUIRED_FIELDS]
-    )
-
-    def count_rule(name: str) -> Column:
-        number = F.col(f"{name}_number")
-        return F.when(number.isNull() | (number < 0), message(name, " must be a non-negative integer"))
-
-    wrong = F.concat_ws(
-        "; ",
-        # only text can match the ISO pattern, so the type matters on failure alone
-        F.when(
-            F.col("moment").isNull(),
-            F.when(of["event_timestamp"].kind() == "STRING", F.lit("invalid timestamp")).otherwise(
-                F.lit("event_timestamp must be a string")
-            ),
-        ),
-        F.when(~F.col("protocol_text").isin(*PROTOCOLS), F.lit("invalid protocol")),
-        count_rule("packet_size"),
-        count_rule("duration_ms"),
-        F.when(~F.col("event_type_text").isin(*EVENT_TYPES), F.lit("invalid event_type")),
+    keep = [*df.columns, "raw_text"]
+    ready = payload.read(df, value, REQUIRED_FIELDS, PARSED, DOUBTS, OPTIONAL_FIELDS)
+    shaped = ready.selectExpr("*", *[f"{sql} AS {name}" for name, sql in NORMALIZED.items()])
+    missing = ", ".join(
+        f"CASE WHEN {payload.is_absent(n)} OR {payload.is_empty_text(n)} THEN 'missing required field: {n}' END"
+        for n in REQUIRED_FIELDS
     )
     reason = (
-        F.when(F.col("document").isNull(), F.lit(BAD_JSON))
-        .when(~F.col("is_object"), F.lit(NOT_OBJECT))
-        .when(missing != "", missing)
-        .when(wrong != "", wrong)
+        f"CASE WHEN {FAULTLESS} THEN NULL "
+        f"WHEN payload_kind = 'bad_json' THEN '{BAD_JSON}' WHEN payload_kind = 'other' THEN '{NOT_OBJECT}' "
+        f"ELSE coalesce(nullif(concat_ws('; ', {missing}), ''), nullif(concat_ws('; ', {', '.join(TYPE_PROBLEMS)}), '')) END"
     )
-    record = F.struct(
-        F.col("moment").alias("event_timestamp"),
-        F.col("device_id_text").alias("device_id"),
-        F.col("source_ip_text").alias("source_ip"),
-        F.col("destination_ip_text").alias("destination_ip"),
-        F.col("protocol_text").alias("protocol"),
-        F.col("packet_size_number").alias("packet_size"),
-        F.col("duration_ms_number").alias("duration_ms"),
-        F.col("event_type_text").alias("event_type"),
-        F.col("status_text").alias("status"),
-    )
-    checked = _once(shaped, reason.alias("error_reason"), record.alias("record"))
-    return checked.select(*keep, "error_reason", "record")
+    optional = [F.col(f"text_{n}").alias(n) for n in OPTIONAL_FIELDS]
+    return payload.once(shaped, f"{reason} AS error_reason").select(*keep, *optional, *NORMALIZED, "error_reason")
+
+
+def _positions(df: DataFrame, *dropped: str) -> list[str]:
+    """Columns of the incoming frame that travel with a message (row id, offset, day)."""
+    own = {"raw_text", "error_reason", "value", "key", "topic", *OPTIONAL_FIELDS, *NORMALIZED, *dropped}
+    return [c for c in df.columns if c not in own]
 
 
 def normalized(checked: DataFrame, processed_at: Column | str) -> DataFrame:
     """Valid messages only: typed normalized columns, ``attack_type`` untouched, ``processed_at``."""
-    passed = checked.filter(F.col("error_reason").isNull())
-    drop = {"raw_text", "document", "is_object", "error_reason", "record", "value"}
-    keys = [c for c in checked.columns if c not in drop]
-    return passed.select(
-        *keys,
-        "raw_text",
-        "document",
-        *[F.col(f"record.{name}").alias(name) for name in NORMALIZED],
-        payload.text_of(F.col("document"), "attack_type").alias("attack_type"),
-        payload.text_of(F.col("document"), "ingestion_timestamp").alias("ingestion_timestamp"),
+    return checked.filter("error_reason IS NULL").select(
+        *_positions(checked), "raw_text", *NORMALIZED, *OPTIONAL_FIELDS,
         clock.moment(processed_at).alias("processed_at"),
     )
 
 
 def processed_value() -> Column:
     """JSON of a valid record: every incoming field kept, normalized ones replaced."""
-    texts = ("device_id", "source_ip", "destination_ip", "protocol", "event_type", "status")
-    written = {
-        "event_timestamp": clock.iso_micros(F.col("event_timestamp")),
-        "packet_size": F.col("packet_size"),
-        "duration_ms": F.col("duration_ms"),
-        "processed_at": clock.iso_micros(F.col("processed_at")),
-        **{name: F.col(name) for name in texts},
-    }
-    entries = [part for name, column in written.items() for part in (F.lit(name), column.cast("variant"))]
-    kept = F.map_filter(
-        F.col("document").cast("map<string,variant>"), lambda name, _: ~name.isin(*written)
-    )
-    return F.to_json(F.map_concat(kept, F.create_map(*entries)))
+    written = {name: name for name in NORMALIZED}
+    written["event_timestamp"] = clock.iso_micros("event_timestamp")
+    written["processed_at"] = clock.iso_micros("processed_at")
+    entries = ", ".join(f"'{name}', cast({sql} AS variant)" for name, sql in written.items())
+    others = f"map_filter(cast(parse_json(raw_text) AS map<string,variant>), (k, v) -> k NOT IN ({quote_list(written)}))"
+    return F.expr(f"to_json(map_concat({others}, map({entries})))")
 
 
 def processed_messages(valid: DataFrame) -> DataFrame:
     """Outgoing messages of valid records, keyed by device."""
-    drop = {"document", "raw_text", "key", *NORMALIZED, "attack_type", "ingestion_timestamp", "processed_at"}
-    keys = [c for c in valid.columns if c not in drop]
+    keys = _positions(valid, "processed_at")
     return valid.select(*keys, F.col("device_id").alias("key"), processed_value().alias("value"))
 
 
 def rejected(checked: DataFrame, failed_at: Column | str) -> DataFrame:
     """Dead-letter columns of messages that broke a rule."""
-    drop = {"raw_text", "document", "is_object", "error_reason", "record", "value", "key"}
-    keys = [c for c in checked.columns if c not in drop]
-    return checked.filter(F.col("error_reason").isNotNull()).select(
-        *keys,
-        F.col("raw_text").alias("raw_payload"),
-        "error_reason",
+    return checked.filter("error_reason IS NOT NULL").select(
+        *_positions(checked), F.col("raw_text").alias("raw_payload"), "error_reason",
         clock.moment(failed_at).alias("failed_at"),
     )
 
 
+def rejected_value() -> Column:
+    return F.expr(f"to_json(struct(raw_payload, error_reason, {clock.iso_micros('failed_at')} AS failed_at))")
+
+
 def rejected_messages(invalid: DataFrame) -> DataFrame:
-    """Outgoing dead-letter JSON, without a key."""
-    keys = [c for c in invalid.columns if c not in {"raw_payload", "error_reason", "failed_at"}]
-    body = F.struct("raw_payload", "error_reason", clock.iso_micros(F.col("failed_at")).alias("failed_at"))
-    return invalid.select(*keys, F.lit(None).cast("string").alias("key"), F.to_json(body).alias("value"))
+    """Outgoing dead-letter messages, without a key."""
+    keys = _positions(invalid, "raw_payload", "failed_at")
+    return invalid.select(*keys, F.lit(None).cast("string").alias("key"), rejected_value().alias("value"))
 
 
 def routed(df: DataFrame, now: Column | str, value: str = "value") -> DataFrame:
@@ -177,24 +140,15 @@ def routed(df: DataFrame, now: Column | str, value: str = "value") -> DataFrame:
     incoming position columns. One checked frame feeds one projection, so a writer partitioned by
     ``topic`` needs a single job and no cache."""
     checked = check(df, value)
-    good = F.col("error_reason").isNull()
-    keys = [c for c in df.columns if c not in {"key", "value", "topic"}]
-    reject = F.to_json(
-        F.struct(
-            F.col("raw_text").alias("raw_payload"),
-            "error_reason",
-            clock.iso_micros(clock.moment(now)).alias("failed_at"),
-        )
-    )
-    record = {name: F.col(f"record.{name}") for name in NORMALIZED}
+    keys = _positions(df)
     flat = checked.select(
-        *keys, "raw_text", "document", "error_reason",
-        *[column.alias(name) for name, column in record.items()],
-        clock.moment(now).alias("processed_at"),
+        *keys, "raw_text", "error_reason", *NORMALIZED, F.col("raw_text").alias("raw_payload"),
+        clock.moment(now).alias("processed_at"), clock.moment(now).alias("failed_at"),
     )
+    good = F.col("error_reason").isNull()
     return flat.select(
         *keys,
         F.when(good, PROCESSED_TOPIC).otherwise(INVALID_TOPIC).alias("topic"),
         F.when(good, F.col("device_id")).alias("key"),
-        F.when(good, processed_value()).otherwise(reject).alias("value"),
+        F.when(good, processed_value()).otherwise(rejected_value()).alias("value"),
     )

@@ -6,6 +6,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.text import quote_list
 from ..operators import anomalies, mapping, perf, quality, staging, validate
 from ..session import prepare
 
@@ -20,64 +21,49 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# derived columns, over k (0 to 99, from the props text), user_id, event_type and value
+LOG_COLUMNS = {
+    "event_timestamp": "CASE WHEN k = 15 THEN 'not-a-timestamp' "
+    "ELSE date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\") END",
+    "device_id": "concat(' device_', lpad(cast(user_id AS string), 6, '0'), ' ')",
+    "source_ip": "concat('10.0.', user_id % 256, '.', k)",
+    "destination_ip": "concat('192.168.', k % 16, '.', user_id % 256)",
+    "protocol": "CASE WHEN k IN (18, 19) THEN 'http' WHEN k % 10 < 5 THEN 'tcp' WHEN k % 10 < 8 THEN ' UDP ' ELSE 'icmp' END",
+    "packet_size": "CASE k WHEN 13 THEN '-1' WHEN 14 THEN 'abc' ELSE cast(floor(value * 10) AS string) END",
+    "duration_ms": "cast(k * 200 AS string)",
+    "event_type": "CASE WHEN k = 21 THEN 'reboot' "
+    "WHEN event_type = 'purchase' OR (user_id % 10 = 0 AND event_type <> 'view') THEN 'Attack' "
+    "WHEN event_type = 'error' THEN 'ERROR' WHEN event_type = 'signup' THEN 'warning' ELSE 'normal' END",
+    "attack_type": f"CASE WHEN event_type = 'purchase' THEN element_at(array({quote_list(ATTACK_LABELS)}), k % 6 + 1) ELSE '' END",
+    "status": "CASE WHEN k = 16 THEN '' WHEN event_type = 'error' THEN CASE WHEN k % 2 = 0 THEN 'failed' ELSE 'Error' END "
+    "WHEN event_type = 'purchase' AND k % 3 = 0 THEN 'blocked' ELSE 'success' END",
+}
+
+
 def raw_logs(events: DataFrame) -> DataFrame:
     """Ten text columns in raw-file form plus ``row_id``, ``k`` and ``day``."""
-    k, user, kind = F.col("k"), F.col("user_id"), F.col("event_type")
-    text = lambda c: c.cast("string")
-    source = events.select(
-        (F.col("event_id") + 1).alias("row_id"),
-        F.from_json("props", "k int")["k"].alias("k"),
-        "ts", "user_id", "event_type", "value",
+    keyed = events.selectExpr(
+        "event_id + 1 AS row_id", "from_json(props, 'k int').k AS k", "ts", "user_id", "event_type", "value"
     )
-    purchase = kind == "purchase"
-    label: Column = F.element_at(F.array(*[F.lit(x) for x in ATTACK_LABELS]), k % 6 + 1)
-    return source.select(
-        "row_id",
-        "k",
-        F.date_format("ts", "yyyy-MM-dd").alias("day"),
-        F.when(k == 15, "not-a-timestamp")
-        .otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
-        .alias("event_timestamp"),
-        F.concat(F.lit(" device_"), F.lpad(text(user), 6, "0"), F.lit(" ")).alias("device_id"),
-        F.concat(F.lit("10.0."), text(user % 256), F.lit("."), text(k)).alias("source_ip"),
-        F.concat(F.lit("192.168."), text(k % 16), F.lit("."), text(user % 256)).alias("destination_ip"),
-        F.when(k.isin(18, 19), "http").when(k % 10 < 5, "tcp").when(k % 10 < 8, " UDP ").otherwise("icmp").alias("protocol"),
-        F.when(k == 13, "-1").when(k == 14, "abc").otherwise(text(F.floor(F.col("value") * 10))).alias("packet_size"),
-        text(k * 200).alias("duration_ms"),
-        F.when(k == 21, "reboot")
-        .when(purchase | ((user % 10 == 0) & (kind != "view")), "Attack")
-        .when(kind == "error", "ERROR")
-        .when(kind == "signup", "warning")
-        .otherwise("normal")
-        .alias("event_type"),
-        F.when(purchase, label).otherwise("").alias("attack_type"),
-        F.when(k == 16, "")
-        .when(kind == "error", F.when(k % 2 == 0, "failed").otherwise("Error"))
-        .when(purchase & (k % 3 == 0), "blocked")
-        .otherwise("success")
-        .alias("status"),
+    return keyed.selectExpr(
+        "row_id", "k", "date_format(ts, 'yyyy-MM-dd') AS day", *[f"{sql} AS {name}" for name, sql in LOG_COLUMNS.items()]
     )
 
 
 def raw_messages(raw: DataFrame) -> DataFrame:
     """JSON message per raw row: ``row_id``, ``day``, ``key`` (device), ``value``."""
-    k = F.col("k")
-
-    def quoted(name: str) -> Column:
-        return F.concat(F.lit(f'"{name}":"'), F.col(name), F.lit('"'))
-
-    size = F.when(k == 14, quoted("packet_size")).otherwise(F.concat(F.lit('"packet_size":'), F.col("packet_size")))
-    body = F.concat_ws(
-        ",",
-        quoted("event_timestamp"), quoted("device_id"), quoted("source_ip"), quoted("destination_ip"),
-        quoted("protocol"), size, F.concat(F.lit('"duration_ms":'), F.col("duration_ms")),
-        quoted("event_type"), quoted("attack_type"), F.when(k != 16, quoted("status")),
-    )
-    return raw.select(
-        "row_id",
-        "day",
-        F.col("device_id").alias("key"),
-        F.when(k == 17, '{"event_timestamp": ').otherwise(F.concat(F.lit("{"), body, F.lit("}"))).alias("value"),
+    quoted = {name: f"concat('\"{name}\":\"', {name}, '\"')" for name in LOG_COLUMNS}
+    bare = {name: f"concat('\"{name}\":', {name})" for name in ("packet_size", "duration_ms")}
+    parts = {
+        **quoted,
+        "packet_size": f"CASE WHEN k = 14 THEN {quoted['packet_size']} ELSE {bare['packet_size']} END",
+        "duration_ms": bare["duration_ms"],
+        "status": f"CASE WHEN k <> 16 THEN {quoted['status']} END",
+    }
+    return raw.selectExpr(
+        "row_id", "day", "device_id AS key",
+        "CASE WHEN k = 17 THEN '{\"event_timestamp\": ' "
+        f"ELSE concat('{{', concat_ws(',', {', '.join(parts.values())}), '}}') END AS value",
     )
 
 

@@ -48,9 +48,7 @@ def s5_row_cap(spark, sf):
 
 @query
 def s9_decode(spark, sf):
-    decoded = validate.decode(bridge.messages(spark, sf))
-    kind = F.when(F.col("document").isNull(), "bad_json").when(F.col("is_object"), "object").otherwise("other")
-    return decoded.select("row_id", kind.alias("payload_kind"))
+    return payload.decode(bridge.messages(spark, sf)).select("row_id", "payload_kind")
 
 
 @query
@@ -83,7 +81,7 @@ def f6_validate(spark, sf):
 
 @query
 def p3_normalized(spark, sf):
-    return bridge.valid(spark, sf).drop("key", "day", "document", "raw_text", "ingestion_timestamp")
+    return bridge.valid(spark, sf).drop("day", "raw_text", "ingestion_timestamp")
 
 
 @query

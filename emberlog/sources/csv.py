@@ -75,10 +75,10 @@ def scan_lenient(spark: SparkSession, path: str, multiline: bool = False) -> tup
     )
     # a short row is broken and lacks its last declared field; a long one is broken but complete
     short = F.col(_BROKEN).isNotNull() & F.col(f"`{names[-1]}`").isNull()
-    number = {n: strip(F.col(n)).try_cast("int") for n in ("packet_size", "duration_ms")}
+    number = {n: F.expr(f"try_cast({strip(f'`{n}`')} AS int)") for n in ("packet_size", "duration_ms")}
     fits = F.coalesce(~short, F.lit(True)) & number["packet_size"].isNotNull() & number["duration_ms"].isNotNull()
     shaped = scanned.select(
-        *[number[n].alias(n) if n in number else F.coalesce(strip(F.col(n)), F.lit("")).alias(n) for n in COLUMNS],
+        *[number[n].alias(n) if n in number else F.expr(f"coalesce({strip(f'`{n}`')}, '')").alias(n) for n in COLUMNS],
         fits.alias("_fits"),
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
@@ -110,6 +110,7 @@ def cap_rows(accepted: DataFrame, max_rows: int) -> DataFrame:
 
 def messages(accepted: DataFrame, now: Column | str) -> DataFrame:
     """Raw-topic messages: key is the device, value the JSON text with the ingestion time."""
-    body = F.struct(*COLUMNS, clock.iso_seconds(clock.moment(now)).alias("ingestion_timestamp"))
+    stamped = accepted.withColumn("_now", clock.moment(now))
     keys = [c for c in accepted.columns if c not in COLUMNS and not c.startswith("_")]
-    return accepted.select(*keys, F.col("device_id").alias("key"), F.to_json(body).alias("value"))
+    body = f"struct({', '.join(COLUMNS)}, {clock.iso_seconds('_now')} AS ingestion_timestamp)"
+    return stamped.selectExpr(*keys, "device_id AS key", f"to_json({body}) AS value")
