@@ -33,3 +33,8 @@ def quantize(column: Column, precision: int, scale: int = 6) -> Column:
 def tally(condition: Column) -> Column:
     """Rows where the condition holds; NULL conditions count as not holding."""
     return F.count_if(condition)
+
+
+def two_digits(value: str) -> str:
+    """SQL of a number as text with two digits, exact ties to the even digit (as ``%.2f`` rounds)."""
+    return f"format_number({value}, '0.00')"

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.numeric import two_digits
+
 RISK_LEVELS = ("HIGH", "MEDIUM", "LOW")
 TOP_N_CHOICES = (5, 10, 15, 20, 25, 50)
 
@@ -60,16 +62,16 @@ def display(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(n).cast("string").alias(n) if t.startswith("timestamp") else F.col(n) for n, t in df.dtypes])
 
 
-def percent(rate: Column) -> Column:
-    return F.format_string("%.2f%%", F.coalesce(rate.cast("double"), F.lit(0.0)) * 100)
+def percent(rate: str) -> Column:
+    return F.expr(f"concat({two_digits(f'coalesce(cast({rate} AS double), 0D) * 100')}, '%')")
 
 
 def overview(quality: DataFrame) -> DataFrame:
     """Headline numbers of the quality mart."""
-    return quality.select("processed_records", "invalid_records", "total_records", percent(F.col("invalid_rate")).alias("invalid_rate"))
+    return quality.select("processed_records", "invalid_records", "total_records", percent("invalid_rate").alias("invalid_rate"))
 
 
 def latest_run_numbers(latest: DataFrame) -> DataFrame:
     """Headline numbers of the newest run; missing numbers read as 0."""
     whole = [F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in ("processed_records", "invalid_records", "high_risk_devices", "total_alerts")]
-    return latest.select("run_id", "status", *whole, percent(F.col("invalid_rate")).alias("invalid_rate"), "environment")
+    return latest.select("run_id", "status", *whole, percent("invalid_rate").alias("invalid_rate"), "environment")

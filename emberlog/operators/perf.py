@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.numeric import two_digits
+
 # Fixed values.
 PROFILES = ("sample", "medium", "full")
 STEP_ORDER = ("go-producer", "python-consumer", "warehouse-loader")
@@ -27,7 +29,7 @@ def slowest_step_name() -> Column:
 def throughput() -> Column:
     """Rows per second with two digits as text, ``n/a`` for a dry run or a run without time."""
     measured = ~F.col("dry_run") & (F.col("total_elapsed_seconds") > 0)
-    pace = F.format_string("%.2f", F.try_divide(F.col("rows").cast("double"), F.col("total_elapsed_seconds")))
+    pace = F.expr(two_digits("try_divide(cast(rows AS double), total_elapsed_seconds)"))
     return F.when(measured, pace).otherwise("n/a")
 
 

@@ -323,7 +323,7 @@ def k12_upsert(spark, sf):
 def w1_keep_first(spark, sf):
     audit = bridge.run_audit(spark, sf)
     copies = audit.withColumn("copy", F.explode(F.array(F.lit(3), F.lit(1), F.lit(2))))
-    return runs.keep_first(copies.withColumn("id", F.col("id") * 10 + F.col("copy")))
+    return runs.keep_first(copies.withColumn("id", F.col("id") * 10 + F.col("copy")).drop("copy"))
 
 
 @query
