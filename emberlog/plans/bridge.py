@@ -196,3 +196,33 @@ def object_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = F.concat(F.lit('{"s3_bucket":"'), host, F.lit('","object_key":"'), key, F.lit('"}'))
     event = F.when(F.col("page_id") % 13 == 0, F.lit("[]")).when(F.col("page_id") % 2 == 0, s3).otherwise(flat)
     return pages.select("page_id", event.alias("event"))
+
+
+def message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The message table as a stream; the row id is the position."""
+    schema = table(spark, sf_dir, "events").schema
+    # a pattern, because a stream source takes a folder or a pattern but not one file
+    source = spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet")
+    return raw_messages(raw_logs(source)).select(F.col("row_id").alias("position"), "key", "value", F.lit("iot_raw_logs").alias("topic"))
+
+
+# faults put into the run documents, by line number; the others stay whole
+DOCUMENT_FAULTS = {
+    2: ("timestamp", "null"), 3: ("profile", '"tiny"'), 4: ("rows", "true"), 5: ("commands", "[]"),
+    6: ("commands", '[{"name":"x","command":[1],"elapsed_seconds":1}]'), 7: ("total_elapsed_seconds", '"1"'),
+}
+
+
+def run_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON document per timed run (``file``, ``content``); the line number decides on a fault."""
+    runs = timed_runs(spark, sf_dir).withColumn("line", F.element_at(F.split("file", "-"), 3).cast("int"))
+    names = ("timestamp", "profile", "rows", "consumer_messages", "loader_messages", "dry_run", "total_elapsed_seconds", "commands")
+    quoted = {"timestamp", "profile"}
+
+    def part(name: str) -> str:
+        text = f"to_json({name})" if name == "commands" else f"cast({name} AS string)"
+        whole = f"concat('\"', {text}, '\"')" if name in quoted else text
+        faults = "".join(f" WHEN line = {n} THEN '{value}'" for n, (field, value) in DOCUMENT_FAULTS.items() if field == name)
+        return f"concat('\"{name}\":', {f'CASE{faults} ELSE {whole} END' if faults else whole})"
+
+    return runs.selectExpr("file", f"concat('{{', concat_ws(',', {', '.join(part(n) for n in names)}), '}}') AS content")

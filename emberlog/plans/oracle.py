@@ -265,7 +265,7 @@ details AS (
 described AS (
   SELECT page_id, object_key, string_split(object_key, '/')[-1] AS filename,
     regexp_extract(lower(string_split(object_key, '/')[-1]), '^.+(\\.[^.]*)$', 1) AS file_extension,
-    array_to_string(string_split(object_key, '/')[:-2], '/') AS key_directory,
+    rtrim(array_to_string(string_split(object_key, '/')[:-2], '/'), '/') AS key_directory,
     [lower(trim(x)) FOR x IN string_split(object_key, '/') IF lower(trim(x)) IN ({quote_list(manifest.LAYERS)})][1] AS detected_layer
   FROM details)"""
 
@@ -336,6 +336,43 @@ def _counts(field: str) -> str:
     )
 
 
+_DEVICE_FEATURES = _raw(
+    f"""SELECT *, CASE WHEN attack_event_ratio >= 0.5 OR failed_event_ratio >= 0.5 THEN 'high'
+        WHEN attack_event_ratio > 0 OR failed_event_ratio > 0 THEN 'medium' ELSE 'low' END AS risk_level FROM (
+      SELECT device_id, count(*) AS total_events, count(DISTINCT protocol) AS unique_protocols, sum(packet_size)::BIGINT AS total_packet_size,
+        {mean('packet_size')} AS avg_packet_size, max(packet_size) AS max_packet_size, {mean('duration_ms')} AS avg_duration_ms,
+        max(duration_ms) AS max_duration_ms, {_FAIL_RAW} AS failed_events, count(*) FILTER (status = 'success') AS success_events,
+        {ratio(_FAIL_RAW, 'count(*)', 4)} AS failed_event_ratio, {_ATTACK_RAW} AS attack_events, {ratio(_ATTACK_RAW, 'count(*)', 4)} AS attack_event_ratio,
+        min(event_timestamp) AS first_event_timestamp, max(event_timestamp) AS last_event_timestamp FROM normal GROUP BY device_id)""",
+    _NORMAL,
+)
+
+
+def _full_run() -> str:
+    """Stage counts of the whole run. Messages come from parsed rows, so every body is JSON, a blank
+    status is still a key, and rows without an integer size are not sent."""
+    sent = f"""sent AS (SELECT *, {_ACCEPTED} AS fits, upper(trim(protocol)) IN ('TCP', 'UDP', 'ICMP') AND trim(status) <> '' AND packet_size <> '-1'
+        AND event_timestamp <> 'not-a-timestamp' AND event_type <> 'reboot' AS ok FROM raw),
+      kept AS (SELECT *, packet_size::INT AS size, duration_ms::INT AS span, trim(attack_type) AS label FROM sent WHERE fits AND ok),
+      named AS (SELECT *, lower(event_type) = 'attack' OR label <> '' AS is_attack FROM kept)"""
+    stages = {
+        "contract_errors": "(SELECT least(count(*), 50) FROM broken)",
+        "raw_messages": "(SELECT count(*) FROM sent WHERE fits)",
+        "processed_rows": "(SELECT count(*) FROM kept)",
+        "invalid_rows": "(SELECT count(*) FROM sent WHERE fits AND NOT ok)",
+        "anomalies": f"""(SELECT coalesce(sum((size >= 1000)::INT + (span >= 5000)::INT + (lower(status) IN ('blocked', 'failed', 'error'))::INT
+          + (lower(label) NOT IN ({quote_list(anomalies.BENIGN_LABELS)}))::INT + (protocol = 'icmp')::INT), 0)::BIGINT FROM kept)""",
+        "mart_device_risk_summary": "(SELECT count(DISTINCT device_id) FROM kept)",
+        "mart_attack_summary": "(SELECT count(DISTINCT CASE WHEN label = '' THEN 'unknown' ELSE label END) FROM named WHERE is_attack)",
+        "mart_protocol_metrics": "(SELECT count(DISTINCT upper(trim(protocol))) FROM kept)",
+        "mart_pipeline_quality_summary": "1",
+        "failed_tests": "(SELECT (count(*) FILTER (lower(status) NOT IN ('success', 'failed', 'blocked')) > 0)::INT FROM kept)",
+        "feature_files": "1",
+        "quality_checks": "2",
+    }
+    return _raw(" UNION ALL ".join(f"SELECT '{k}' AS stage, ({v})::BIGINT AS row_count" for k, v in stages.items()), CONTRACT, sent)
+
+
 def statements() -> dict[str, str]:
     columns = ", ".join(COLUMNS)
     json_row = " || ".join(
@@ -359,16 +396,6 @@ def statements() -> dict[str, str]:
         "p7_stage_invalid": _logs(f"SELECT *, {_CATEGORY} AS error_category FROM invalid"),
         "p14_rule_input": _logs("SELECT * FROM shaped"),
         "p15_display": _logs("SELECT * REPLACE (first_seen::VARCHAR AS first_seen, last_seen::VARCHAR AS last_seen) FROM protocols"),
-        "a1_device_features": _raw(
-            f"""SELECT *, CASE WHEN attack_event_ratio >= 0.5 OR failed_event_ratio >= 0.5 THEN 'high'
-                WHEN attack_event_ratio > 0 OR failed_event_ratio > 0 THEN 'medium' ELSE 'low' END AS risk_level FROM (
-              SELECT device_id, count(*) AS total_events, count(DISTINCT protocol) AS unique_protocols, sum(packet_size)::BIGINT AS total_packet_size,
-                {mean('packet_size')} AS avg_packet_size, max(packet_size) AS max_packet_size, {mean('duration_ms')} AS avg_duration_ms,
-                max(duration_ms) AS max_duration_ms, {_FAIL_RAW} AS failed_events, count(*) FILTER (status = 'success') AS success_events,
-                {ratio(_FAIL_RAW, 'count(*)', 4)} AS failed_event_ratio, {_ATTACK_RAW} AS attack_events, {ratio(_ATTACK_RAW, 'count(*)', 4)} AS attack_event_ratio,
-                min(event_timestamp) AS first_event_timestamp, max(event_timestamp) AS last_event_timestamp FROM normal GROUP BY device_id)""",
-            _NORMAL,
-        ),
         "a2_device_risk": _logs("SELECT * FROM risk"),
         "a3_attack_summary": _logs("SELECT * FROM attacks"),
         "a4_protocol_metrics": _logs("SELECT * FROM protocols"),
@@ -480,4 +507,15 @@ def statements() -> dict[str, str]:
         "a26_run_table": _with([TIMED], "SELECT file, timestamp, profile, rows, consumer_messages, loader_messages, total_elapsed_seconds, CASE WHEN dry_run OR total_elapsed_seconds <= 0 THEN 'n/a' ELSE printf('%.2f', rows / total_elapsed_seconds) END AS throughput, slowest_step FROM timed2"),
         "w2_slowest": _with([TIMED], "SELECT slowest_step, count(*) AS run_count FROM timed2 GROUP BY 1"),
         "u3_profiles": _with([TIMED], "SELECT DISTINCT profile FROM timed2"),
-    }
+        "s14_run_documents": _with(
+            [TIMED],
+            """SELECT file, ([NULL, 'timestamp must be a str.', 'profile must be one of: sample, medium, full.', 'rows must be an integer.', 'commands must contain at least one step.',
+                'command.command must contain only strings.', 'total_elapsed_seconds must be numeric.'])[line] AS problem,
+              CASE WHEN line = 3 THEN 'tiny' ELSE profile END AS profile, CASE WHEN line = 4 THEN NULL ELSE rows END AS rows,
+              CASE line WHEN 5 THEN 0 WHEN 6 THEN 1 ELSE 4 END AS steps FROM (SELECT *, string_split(file, '-')[3]::INT AS line FROM timed2)""",
+        ),
+        "s3_lenient_scan": _raw(f"SELECT {', '.join(f'trim({c}) AS {c}' if c not in ('packet_size', 'duration_ms') else f'{c}::INT AS {c}' for c in COLUMNS)} FROM raw WHERE {_ACCEPTED}"),
+        "x1_stream_validate": _logs("SELECT row_id, CASE WHEN error_reason IS NULL THEN 'iot_processed_logs' ELSE 'iot_invalid_logs' END AS topic, CASE WHEN error_reason IS NULL THEN device_id END AS key, error_reason FROM checked"),
+        "x2_stream_load": _logs("SELECT * FROM processed"),
+        "x11_full_run": _full_run(),
+    } | {"k8_features_parquet": _DEVICE_FEATURES, "a1_device_features": _DEVICE_FEATURES}

@@ -11,8 +11,11 @@ from ..operators import (
     anomalies, contract, data_tests, explore, features, manifest, mapping, marts, perf, quality,
     reconcile, runs, sampling, staging, validate,
 )
-from ..sources import csv
-from . import bridge
+from ..session import scratch_dir
+from ..sinks import files
+from ..sources import benchmark, csv, tables, topics
+from ..streaming import jobs
+from . import bridge, full_run
 
 Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = bridge.AS_OF
@@ -556,3 +559,58 @@ def w2_slowest(spark, sf):
 @query
 def u3_profiles(spark, sf):
     return perf.profiles(bridge.timed_runs(spark, sf))
+
+
+@query
+def s14_run_documents(spark, sf):
+    """Run documents as JSON text, some of them damaged; typed checks name the first fault."""
+    return benchmark.parse(bridge.run_documents(spark, sf)).select("file", "problem", "profile", "rows", F.size("commands").alias("steps"))
+
+
+# --- files, topics and streams ----------------------------------------------------------------
+
+@query
+def s3_lenient_scan(spark, sf):
+    """The logs written as CSV and scanned leniently."""
+    path = scratch_dir(spark, "csv")
+    files.write_subset(bridge.logs(spark, sf).select(*csv.COLUMNS), path, overwrite=True)
+    accepted, _ = csv.scan_lenient(spark, path)
+    return accepted.select(*csv.COLUMNS)
+
+
+@query
+def k8_features_parquet(spark, sf):
+    path = scratch_dir(spark, "features")
+    files.write_features(features.device_features(features.normalize(bridge.logs(spark, sf), timestamp_format=None)), path)
+    return spark.read.parquet(path)
+
+
+def _validated_stream(spark, sf, root):
+    """Stream the message table through the validator until it is drained."""
+    source = bridge.message_stream(spark, sf)
+    jobs.start_validator(source, f"{root}/topics", f"{root}/validator_checkpoint", now=AS_OF).awaitTermination()
+    return [validate.PROCESSED_TOPIC, validate.INVALID_TOPIC]
+
+
+@query
+def x1_stream_validate(spark, sf):
+    root = scratch_dir(spark, "validate")
+    sent = topics.read(spark, f"{root}/topics", _validated_stream(spark, sf, root))
+    reason = F.get_json_object("value", "$.error_reason")
+    return sent.select(F.col("position").alias("row_id"), "topic", "key", reason.alias("error_reason"))
+
+
+@query
+def x2_stream_load(spark, sf):
+    root = scratch_dir(spark, "load")
+    source = topics.stream(spark, f"{root}/topics", _validated_stream(spark, sf, root))
+    jobs.start_loader(source, f"{root}/tables", f"{root}/loader_checkpoint", now=AS_OF).awaitTermination()
+    return tables.read_loaded(spark, f"{root}/tables", "processed_iot_logs").drop("raw_payload", "ingestion_timestamp")
+
+
+@query
+def x11_full_run(spark, sf):
+    return full_run.run(
+        spark, bridge.logs(spark, sf), scratch_dir(spark, "run"), "run-all", AS_OF,
+        row_number=F.col("row_id") + 1, settings=bridge.RUN_SETTINGS, stop_on_contract_errors=False,
+    )
