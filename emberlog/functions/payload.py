@@ -4,7 +4,7 @@ Three states of a field matter and must not be mixed up: absent, JSON null, and
 numbers and booleans also the JSON type. Ordinary messages need only the text of each field, which
 one ``from_json`` delivers. The message is parsed again into VARIANT fields (``odd``) only where the
 texts leave a question open: a field without text, a text that reads like a boolean, a number or
-time that does not parse.
+time that does not parse, a closing bracket.
 """
 
 from __future__ import annotations
@@ -14,10 +14,15 @@ from pyspark.sql import DataFrame
 from .text import is_blank, strip
 
 JSON_OPTIONS = "map('allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'false')"
-# A message is one JSON value and nothing after it. Inside brackets, anything that follows the value
-# either breaks the array or adds an element.
+# A message is one JSON value and nothing after it, which Spark's JSON functions do not insist on.
+# Inside brackets, anything that follows the value breaks the array or adds an element, unless the
+# text closes the bracket itself; inside an object that breaks too. Only a text with a closing
+# bracket needs both.
 BRACKETED = "concat('[', raw_text, ']')"
-IS_JSON = f"coalesce(json_array_length({BRACKETED}) = 1, false)"
+IS_JSON = (
+    f"(coalesce(size(try_variant_get(try_parse_json({BRACKETED}), '$', 'array<variant>')) = 1, false) "
+    "AND try_parse_json(concat('{\"a\":', raw_text, '}')) IS NOT NULL)"
+)
 
 
 def once(df: DataFrame, *columns: str) -> DataFrame:
@@ -61,7 +66,7 @@ def read(df: DataFrame, value: str, fields, derived: dict[str, str], doubts: str
     texts = parsed.selectExpr(*keep, *[f"CASE WHEN size(fields) = 1 THEN fields[0].{n} END AS text_{n}" for n in names])
     open_text = " OR ".join(f"text_{n} IS NULL" for n in fields)
     looked = texts.selectExpr("*", *[f"{sql} AS {name}" for name, sql in derived.items()]).selectExpr(
-        "*", f"CASE WHEN {open_text} OR {doubts} THEN {IS_JSON} END AS checked_json"
+        "*", f"CASE WHEN {open_text} OR {doubts} OR contains(raw_text, ']') THEN {IS_JSON} END AS checked_json"
     )
     # checked_json: NULL when nothing is in doubt, otherwise whether the text is JSON at all
     return looked.selectExpr(

@@ -511,8 +511,7 @@ def statements() -> dict[str, str]:
             [TIMED],
             """SELECT file, ([NULL, 'timestamp must be a str.', 'profile must be one of: sample, medium, full.', 'rows must be an integer.', 'commands must contain at least one step.',
                 'command.command must contain only strings.', 'total_elapsed_seconds must be numeric.'])[line] AS problem,
-              CASE WHEN line = 3 THEN 'tiny' ELSE profile END AS profile, CASE WHEN line = 4 THEN NULL ELSE rows END AS rows,
-              CASE line WHEN 5 THEN 0 WHEN 6 THEN 1 ELSE 4 END AS steps FROM (SELECT *, string_split(file, '-')[3]::INT AS line FROM timed2)""",
+              CASE WHEN line = 1 THEN profile END AS profile, CASE WHEN line = 1 THEN rows END AS rows, CASE WHEN line = 1 THEN 4 END AS steps FROM (SELECT *, string_split(file, '-')[3]::INT AS line FROM timed2)""",
         ),
         "s3_lenient_scan": _raw(f"SELECT {', '.join(f'trim({c}) AS {c}' if c not in ('packet_size', 'duration_ms') else f'{c}::INT AS {c}' for c in COLUMNS)} FROM raw WHERE {_ACCEPTED}"),
         "x1_stream_validate": _logs("SELECT row_id, CASE WHEN error_reason IS NULL THEN 'iot_processed_logs' ELSE 'iot_invalid_logs' END AS topic, CASE WHEN error_reason IS NULL THEN device_id END AS key, error_reason FROM checked"),

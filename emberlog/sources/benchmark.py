@@ -76,16 +76,14 @@ def parse(docs: DataFrame) -> DataFrame:
         "*", "coalesce(try_variant_get(document, '$.commands', 'array<variant>'), array()) AS steps"
     )
     checked = read.selectExpr("*", f"inline(array(struct({problem} AS problem)))")
-    numbers = ("rows", "consumer_messages", "loader_messages")
+    typed = {
+        "timestamp": "string", "profile": "string", "rows": "bigint", "consumer_messages": "bigint",
+        "loader_messages": "bigint", "dry_run": "boolean", "total_elapsed_seconds": "double", "commands": f"array<{STEP}>",
+    }
     return checked.selectExpr(
         *[c for c in docs.columns if c != "content"],
         "problem",
-        "try_variant_get(document, '$.timestamp', 'string') AS timestamp",
-        "try_variant_get(document, '$.profile', 'string') AS profile",
-        *[f"try_variant_get(document, '$.{n}', 'bigint') AS {n}" for n in numbers],
-        "try_variant_get(document, '$.dry_run', 'boolean') AS dry_run",
-        "try_variant_get(document, '$.total_elapsed_seconds', 'double') AS total_elapsed_seconds",
-        f"try_variant_get(document, '$.commands', 'array<{STEP}>') AS commands",
+        *[f"CASE WHEN problem IS NULL THEN try_variant_get(document, '$.{n}', '{t}') END AS {n}" for n, t in typed.items()],
     )
 
 
