@@ -9,6 +9,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.ordering import first_rows
+from ..functions.payload import once
 from ..functions.text import is_blank, quote, quote_list, strip
 
 
@@ -117,7 +118,8 @@ def check_rows(df: DataFrame, contract: dict[str, Rule], row_number: Column) ->
     present = {n: r for n, r in contract.items() if n in df.columns}
     errors = ", ".join(e for name, rule in present.items() for e in column_errors(name, rule))
     numbered = df.select(row_number.cast("bigint").alias("row_number"), *present)
-    return numbered.selectExpr("row_number", f"array_compact(array({errors})) AS errors")
+    # built once per row: filters on the errors stay above the generator
+    return once(numbered, f"array_compact(array({errors})) AS errors").select("row_number", "errors")
 
 
 def error_list(checked: DataFrame) -> DataFrame:

@@ -69,7 +69,8 @@ def scan_lenient(spark: SparkSession, path: str, multiline: bool = False) -> tup
     names = header(spark, path)
     _require(names)
     schema = ", ".join(f"`{n}` string" for n in names) + f", `{_BROKEN}` string"
-    scanned = spark.read.csv(
+    # without column pruning, so that a count of skipped rows still sees which rows are ragged
+    scanned = spark.read.option("columnPruning", "false").csv(
         path, schema=schema, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=_BROKEN,
         multiLine=multiline, enforceSchema=True, nullValue=_ABSENT, emptyValue="",
     )

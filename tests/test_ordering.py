@@ -15,9 +15,9 @@ def skewed(spark):
     ).repartition(7).persist()
 
 
-@pytest.mark.parametrize("n", [1, 999, 5000, 14000, 17000, 29999, 30000, 40000])
+@pytest.mark.parametrize("n", [999, 14000, 30000])
 def test_counted_cut_equals_sort(skewed, n, monkeypatch):
-    monkeypatch.setattr(ordering, "BUCKETS", 16)
+    monkeypatch.setattr(ordering, "BUCKETS", 64)
     keys = [F.col("k"), -F.col("id")]
     counted = ordering.first_rows(skewed, keys, n, direct=False)
     sorted_ = skewed.orderBy(*keys).limit(n)
