@@ -25,6 +25,10 @@ IS_JSON = (
 )
 
 
+# JSON text with an object at its root; JSON whitespace is these four characters
+IS_OBJECT = "(startswith(raw_text, '{') OR startswith(trim(LEADING ' \\t\\n\\r' FROM raw_text), '{'))"
+
+
 def once(df: DataFrame, *columns: str) -> DataFrame:
     """Add columns (expression text with aliases) through a one-element generator.
 
@@ -49,7 +53,7 @@ def with_text(df: DataFrame, value: str = "value") -> DataFrame:
 
 def decode(df: DataFrame, value: str = "value") -> DataFrame:
     """Add ``payload_kind``: ``object``, ``other`` JSON or ``bad_json``."""
-    root = f"CASE WHEN startswith({strip('raw_text')}, '{{') THEN 'object' ELSE 'other' END"
+    root = f"CASE WHEN {IS_OBJECT} THEN 'object' ELSE 'other' END"
     return with_text(df, value).selectExpr("*", f"CASE WHEN {IS_JSON} THEN {root} ELSE 'bad_json' END AS payload_kind")
 
 
@@ -61,7 +65,7 @@ def read(df: DataFrame, value: str, fields, derived: dict[str, str], doubts: str
     """
     names = [*fields, *optional]
     schema = "array<struct<" + ", ".join(f"{n}: string" for n in names) + ">>"
-    parsed = once(with_text(df, value), f"from_json({BRACKETED}, '{schema}', {JSON_OPTIONS}) AS fields")
+    parsed = with_text(df, value).selectExpr("*", f"from_json({BRACKETED}, '{schema}', {JSON_OPTIONS}) AS fields")
     keep = [c for c in parsed.columns if c != "fields"]
     texts = parsed.selectExpr(*keep, *[f"CASE WHEN size(fields) = 1 THEN fields[0].{n} END AS text_{n}" for n in names])
     open_text = " OR ".join(f"text_{n} IS NULL" for n in fields)
@@ -72,8 +76,8 @@ def read(df: DataFrame, value: str, fields, derived: dict[str, str], doubts: str
     return looked.selectExpr(
         "*",
         "CASE WHEN NOT checked_json THEN 'bad_json' "
-        f"WHEN checked_json AND NOT startswith({strip('raw_text')}, '{{') THEN 'other' ELSE 'object' END AS payload_kind",
-        f"CASE WHEN checked_json AND startswith({strip('raw_text')}, '{{') "
+        f"WHEN checked_json AND NOT {IS_OBJECT} THEN 'other' ELSE 'object' END AS payload_kind",
+        f"CASE WHEN checked_json AND {IS_OBJECT} "
         "THEN try_cast(try_parse_json(raw_text) AS map<string,variant>) END AS odd",
     )
 

@@ -114,8 +114,7 @@ def rows_from_valid(valid: DataFrame, position: Column, inserted_at: Column | st
 
     Same rows as publishing and mapping them, except that ``raw_payload`` is the incoming text.
     """
-    fits = f"packet_size <= {INT_MAX} AND duration_ms <= {INT_MAX}"
-    return valid.filter(fits).select(
+    return valid.filter("storable").select(
         _id(position),
         "event_timestamp", "device_id", "source_ip", "destination_ip", "protocol",
         F.expr("cast(packet_size AS int) AS packet_size"),

@@ -64,9 +64,13 @@ FAULTLESS = (
 )
 
 
+# counts that fit the INT columns of the warehouse table
+STORABLE = f"packet_size <= {2**31 - 1} AND duration_ms <= {2**31 - 1}"
+
+
 def check(df: DataFrame, value: str = "value") -> DataFrame:
-    """Add ``raw_text``, the normalized columns, the texts of the optional fields, and
-    ``error_reason`` (NULL for a valid message).
+    """Add ``raw_text``, the normalized columns, the texts of the optional fields, ``error_reason``
+    (NULL for a valid message) and ``storable``.
 
     Missing fields are all reported, in declared order, and stop the type checks; type checks
     report every failing field.
@@ -83,20 +87,21 @@ def check(df: DataFrame, value: str = "value") -> DataFrame:
         f"WHEN payload_kind = 'bad_json' THEN '{BAD_JSON}' WHEN payload_kind = 'other' THEN '{NOT_OBJECT}' "
         f"ELSE coalesce(nullif(concat_ws('; ', {missing}), ''), nullif(concat_ws('; ', {', '.join(TYPE_PROBLEMS)}), '')) END"
     )
-    optional = [F.col(f"text_{n}").alias(n) for n in OPTIONAL_FIELDS]
-    return payload.once(shaped, f"{reason} AS error_reason").select(*keep, *optional, *NORMALIZED, "error_reason")
+    # every result leaves through the generator: a later filter on any of them stays above it
+    results = [*NORMALIZED, *[f"text_{n} AS {n}" for n in OPTIONAL_FIELDS], f"{reason} AS error_reason", f"{STORABLE} AS storable"]
+    return shaped.selectExpr(*keep, f"inline(array(struct({', '.join(results)})))").select(*keep, *OPTIONAL_FIELDS, *NORMALIZED, "error_reason", "storable")
 
 
 def _positions(df: DataFrame, *dropped: str) -> list[str]:
     """Columns of the incoming frame that travel with a message (row id, offset, day)."""
-    own = {"raw_text", "error_reason", "value", "key", "topic", *OPTIONAL_FIELDS, *NORMALIZED, *dropped}
+    own = {"raw_text", "error_reason", "storable", "value", "key", "topic", *OPTIONAL_FIELDS, *NORMALIZED, *dropped}
     return [c for c in df.columns if c not in own]
 
 
 def normalized(checked: DataFrame, processed_at: Column | str) -> DataFrame:
     """Valid messages only: typed normalized columns, ``attack_type`` untouched, ``processed_at``."""
     return checked.filter("error_reason IS NULL").select(
-        *_positions(checked), "raw_text", *NORMALIZED, *OPTIONAL_FIELDS,
+        *_positions(checked), "raw_text", *NORMALIZED, *OPTIONAL_FIELDS, "storable",
         clock.moment(processed_at).alias("processed_at"),
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.text import quote_list
 from ..operators import anomalies, mapping, perf, quality, staging, validate
-from ..session import prepare
+from ..session import prepare, spread
 
 AS_OF = "2025-06-01T00:00:00Z"
 # a threshold that some daily runs pass and some break
@@ -68,7 +68,7 @@ def raw_messages(raw: DataFrame) -> DataFrame:
 
 
 def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_logs(table(spark, sf_dir, "events"))
+    return raw_logs(spread(table(spark, sf_dir, "events"), "event_id"))
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,7 +151,7 @@ def stored_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def timed_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark runs: one per order line, with whole-second step times so that sums are exact."""
-    line = table(spark, sf_dir, "lineitem")
+    line = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     number = lambda c: c.cast("bigint").cast("double")
     steps = {
         "go-producer": number(F.col("l_quantity")),

@@ -84,7 +84,7 @@ def f6_validate(spark, sf):
 
 @query
 def p3_normalized(spark, sf):
-    return bridge.valid(spark, sf).drop("day", "raw_text", "ingestion_timestamp")
+    return bridge.valid(spark, sf).drop("day", "raw_text", "ingestion_timestamp", "storable")
 
 
 @query

@@ -5,9 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-# Runtime SQL settings the value semantics depend on (not tuning knobs).
+# Runtime SQL settings every job runs with; most of them decide values.
 REQUIRED_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -15,6 +15,9 @@ REQUIRED_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # a repeated key in a JSON message takes its last value
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # HotSpot never compiles a method of more than 8000 bytecodes; a stage that large runs faster
+    # as one generated class per operator than as one interpreted loop
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -41,6 +44,16 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "
     return prepare(spark)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash rows over all cores when a scan has fewer splits than the session has cores.
+
+    A small file is one split, and parsing it would keep one core busy and the others idle. A large
+    input has more splits than cores and is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder below the shared folder named by ``spark.checkpoint.dir``.
 
