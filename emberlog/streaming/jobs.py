@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.ordering import first_rows
 from ..operators import mapping, validate
+from ..session import spread
 from ..sinks import tables as sink
 
 
@@ -40,7 +41,8 @@ def validate_batch(batch: DataFrame, out_root: str, batch_id: int, counters: Cou
     """One micro-batch: both topics leave in a single write below ``batch_id=<n>``; a replay of the
     batch overwrites the same folder."""
     seen = Observation()
-    out = validate.routed(batch, _clock(now)).observe(
+    # one topic partition or one file is one task; parsing deserves all cores
+    out = validate.routed(spread(batch, "position"), _clock(now)).observe(
         seen,
         F.count(F.lit(1)).alias("consumed"),
         F.count_if(F.col("topic") == validate.PROCESSED_TOPIC).alias("processed"),
@@ -69,6 +71,7 @@ def load_batch(batch: DataFrame, tables_root: str, batch_id: int, counters: Coun
     that of a micro-batch.
     """
     stamp = _clock(now)
+    batch = spread(batch, "position")
     position = F.col("position")
     good, bad = F.col("topic") == validate.PROCESSED_TOPIC, F.col("topic") == validate.INVALID_TOPIC
     mapped = mapping.map_processed(batch.filter(good)).persist(StorageLevel.MEMORY_AND_DISK)
