@@ -5,8 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from emberlog.functions.ordering import number_rows
-from emberlog.operators import contract, mapping, quality, sampling, validate
+from emberlog.operators import anomalies, contract, mapping, quality, sampling, validate
 from emberlog.plans import bridge, full_run
 from emberlog.sinks import files, tables as sink
 from emberlog.sources import csv, tables, topics
@@ -101,6 +100,35 @@ def test_table_guards(spark):
     assert got["no_such_table"].isEmpty() and errors == {}
 
 
+def test_catalog_tables(spark, folder):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS ember_test LOCATION '{folder}/db'")
+    try:
+        for _ in range(2):
+            sink.create_if_missing(spark, "ember_test.iot_anomalies", "iot_anomalies")
+            sink.materialize({"mart": spark.range(3)}, prefix="ember_test.")
+        assert spark.table("ember_test.iot_anomalies").isEmpty() and spark.table("ember_test.mart").count() == 3
+        frames, errors = tables.load_frames(spark, ["ember_test.mart", "ember_test.none"])
+        assert frames["ember_test.mart"].count() == 3 and frames["ember_test.none"].isEmpty() and not errors
+        assert tables.missing_tables(spark, ["ember_test.mart", "ember_test.none"]) == ["ember_test.none"]
+        assert tables.preview(spark.table("ember_test.mart"), 2).count() == 2
+    finally:
+        spark.sql("DROP DATABASE ember_test CASCADE")
+
+
+def test_anomaly_table_and_report(spark, folder):
+    rows = bridge.processed(spark, SF)
+    found = anomalies.detect(rows, limit=200)
+    for run in ("r1", "r2"):
+        sink.append_run(anomalies.store_form(found, run, NOW), folder, "iot_anomalies")
+    stored = tables.read(spark, folder, "iot_anomalies")
+    assert stored.count() == 2 * found.count() and anomalies.per_run(stored).count() == 2
+    assert anomalies.latest_run(stored).first()["run_id"] == "r2"
+    files.write_anomaly_report(anomalies.summary(rows, 200), found, f"{folder}/report", "r1", 200, "read-only", NOW)
+    report = spark.read.json(f"{folder}/report/summary").first()
+    assert report["summary"]["rows_scanned"] == 200 and report["summary"]["anomalies_detected"] == found.count()
+    assert spark.read.json(f"{folder}/report/anomalies").count() == found.count()
+
+
 def test_kafka_options():
     assert topics.kafka_read_options("h:1", ["a", "b"], 9) == {"kafka.bootstrap.servers": "h:1", "subscribe": "a,b", "startingOffsets": "earliest", "maxOffsetsPerTrigger": "9"}
     assert topics.kafka_write_options("h:1", "t")["topic"] == "t"
@@ -246,4 +274,3 @@ def test_row_numbers_start_per_file(spark, folder):
         write(f"{folder}/{name}.csv", line(), line())
     rows = csv.scan_text(spark, folder)
     assert sorted(r["row_number"] for r in rows.collect()) == [2, 2, 3, 3]
-    assert number_rows is not None
