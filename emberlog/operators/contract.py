@@ -142,7 +142,8 @@ def _leading_errors(checked: DataFrame, max_errors: int) -> DataFrame:
     """The first rows with errors, enough to pass the cap, with a running error total.
 
     Every such row has at least one error, so ``max_errors + 1`` of them suffice: the running sum
-    is over that many rows, however large the input is.
+    is over that many rows, however large the input is. The cap is meant for a report people read;
+    for all errors use ``error_list``, which has no order to keep and no cap.
     """
     if max_errors <= 0:
         raise ContractError("max_errors must be a positive integer")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import payload
 from ..operators import (
     anomalies, contract, data_tests, explore, features, manifest, mapping, marts, perf, quality,
-    reconcile, runs, sampling, staging, validate,
+    reconcile, runs, sampling, validate,
 )
 from ..session import scratch_dir
 from ..sinks import files

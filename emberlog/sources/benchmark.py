@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..operators.perf import PROFILES
 
 STEP = "struct<name: string, command: array<string>, elapsed_seconds: double, return_code: bigint>"
-NUMBERS = "('BIGINT', 'DOUBLE', 'FLOAT')"
 
 
 def _kind(path: str) -> str:
