@@ -4,16 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import prepare
-from . import chat_events, license_join, minimax_shards, scaled_sketch
+from ..session import prepare, scratch_dir
+from . import chat_events, histogram_pack, language_svm, license_join, minimax_shards, quality_qda, rans_blocks, scaled_sketch
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 
+def tokenizer(name: str) -> str:
+    """The place of a public vocabulary file; operators take any path."""
+    return public_tokenizers.path(name)
+
+
 def query(function: Query) -> Query:
     REGISTRY[function.__name__] = lambda spark, sf_dir: function(prepare(spark), sf_dir)
     return function
@@ -33,6 +39,21 @@ def op2_license_join(spark, sf_dir):
     )
 
 
+@query
+def op3_rans_blocks(spark, sf_dir):
+    folder = scratch_dir(spark, "rans")
+    rans_blocks.write(table(spark, sf_dir, "documents"), folder, tokenizer("word_bpe_49k.json"))
+    return rans_blocks.read(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op5_quality_qda(spark, sf_dir):
+    features = quality_qda.stored_features(table(spark, sf_dir, "documents"))
+    model = quality_qda.fit(features, table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    scored = features.select("doc_id", quality_qda.held_out(F.col("doc_id")).alias("held_out"), quality_qda.scorer(model)("x").alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 @query
 def op6_minimax_shards(spark, sf_dir):
     placed = minimax_shards.shard(table(spark, sf_dir, "documents").select("doc_id", "text"), shards=8)
@@ -41,6 +62,22 @@ def op6_minimax_shards(spark, sf_dir):
     )
 
 
+@query
+def op7_histogram_pack(spark, sf_dir):
+    cut = histogram_pack.pieces(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+    narrow = cut.select("row", "doc_id", "piece", "start", F.col("length"), F.crc32("ids").alias("ids_crc32"))
+    return histogram_pack.assign(narrow).drop("row").withColumn("length", F.col("length").cast("bigint"))
+
+
+@query
+def op8_language_svm(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language_svm.identified(docs.select("doc_id", "text"), language_svm.fit(docs))
+    return found.select(
+        "doc_id", language_svm.held_out(F.col("doc_id")).alias("held_out"), F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score")
+    )
+
+
 @query
 def op9_chat_events(spark, sf_dir):
     conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
