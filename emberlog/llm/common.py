@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from xxhash import xxh64_intdigest
 
 from ..session import scratch_dir
 
@@ -70,3 +72,71 @@ def byte_table(keep) -> bytes:
 
 # words of digits, letters a-z and anything outside ASCII
 WORD_BYTES = byte_table(lambda b: 48 <= b <= 57 or 97 <= b <= 122)
+
+
+def doc_key(doc_id: Column, text: Column) -> Column:
+    """16 bytes that name a document by doc_id and whole text; rows equal in both are one document."""
+    parts = (F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit("|"), F.coalesce(text, F.lit("")))
+    return F.unhex(F.md5(F.concat(*parts).cast("binary")))
+
+
+def components(edges: DataFrame, label: str = "components") -> DataFrame:
+    """Connected components of an undirected graph (a, b): node, root (the smallest node reachable).
+
+    Alternates two steps until nothing changes: every node points its larger neighbours to the smallest
+    node it knows, then every node and its smaller neighbours point to the smallest of them. Each round
+    is a few joins over stored edges, and only a count and a checksum come to the driver.
+    """
+    edges = edges.filter(F.col("a") != F.col("b"))
+    pairs = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), label)
+    state = None
+    while True:
+        both = pairs.union(pairs.select("v", "u"))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = both.filter(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = large.filter(F.col("u") != F.col("v")).distinct()
+        below = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(below, "u").select(F.explode(F.array(
+            F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u").alias("u"), F.col("m").alias("v"))
+        )).alias("e")).select("e.u", "e.v").filter(F.col("u") != F.col("v")).distinct()
+        pairs = stored(small, label)
+        row = pairs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("check")).first()
+        if (row["n"], row["check"]) == state:
+            break
+        state = (row["n"], row["check"])
+    roots = pairs.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("root"))
+    return pairs.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)
+
+
+_HASHES: dict[bytes, int] = {}
+REMEMBERED_WORDS = 500_000
+_MULTIPLIERS = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
+
+
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words; each worker remembers a bounded number of them."""
+    if len(_HASHES) > REMEMBERED_WORDS:
+        _HASHES.clear()
+    for word in set(words):
+        if word not in _HASHES:
+            _HASHES[word] = xxh64_intdigest(word)
+    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """A bijection of 64 bits that spreads every bit."""
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def run_hashes(words: list[bytes], width: int) -> np.ndarray:
+    """Hash of every run of ``width`` words in order; of the whole sequence if there are fewer words."""
+    if not words:
+        return np.zeros(0, np.uint64)
+    h = word_hashes(words)
+    width = min(width, len(h))
+    total = np.zeros(len(h) - width + 1, np.uint64)
+    for k in range(width):
+        total += h[k:len(h) - width + 1 + k] * np.uint64(_MULTIPLIERS[k])
+    return mixed(total + np.uint64(width))

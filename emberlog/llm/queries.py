@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import prepare, scratch_dir
-from . import chat_events, histogram_pack, language_svm, license_join, minimax_shards, quality_qda, rans_blocks, scaled_sketch
+from . import chat_events, histogram_pack, language_svm, license_join, minimax_shards, minmax_dedup, quality_qda, rans_blocks, scaled_sketch, string_tiling
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,11 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_minmax_dedup(spark, sf_dir):
+    return minmax_dedup.classes(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("doc_key")
+
+
 @query
 def op2_license_join(spark, sf_dir):
     found = license_join.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -46,6 +51,12 @@ def op3_rans_blocks(spark, sf_dir):
     return rans_blocks.read(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op4_string_tiling(spark, sf_dir):
+    found = string_tiling.report(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.withColumn("tiles", F.to_json("tiles"))
+
+
 @query
 def op5_quality_qda(spark, sf_dir):
     features = quality_qda.stored_features(table(spark, sf_dir, "documents"))
