@@ -5,14 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BUCKETS = 4096
-DIRECT_ROWS = 20_000_000
-
-
-def _direct_is_cheap(df: DataFrame, n: int) -> bool:
-    """``orderBy().limit(n)`` gathers up to n rows per task in one task; estimate that number."""
-    split = 128 * 1024 * 1024
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return n * max(1, size // split) <= DIRECT_ROWS
 
 
 def _narrow(df: DataFrame, key: Column, wanted: int, low: int, high: int) -> tuple[int, int, bool]:
@@ -38,17 +30,20 @@ def _narrow(df: DataFrame, key: Column, wanted: int, low: int, high: int) -> tup
             return low, below, False
 
 
-def first_rows(df: DataFrame, keys: list[Column], n: int, direct: bool | None = None) -> DataFrame:
-    """The n first rows by ascending BIGINT keys (negate a key for descending order).
+def top_rows(df: DataFrame, keys: list[Column], n: int) -> DataFrame:
+    """The n first rows for a list that people read: Spark's top-n, n rows per task at most."""
+    return df.orderBy(*keys).limit(n)
+
+
+def first_rows(df: DataFrame, keys: list[Column], n: int) -> DataFrame:
+    """The n first rows as a data set, by ascending BIGINT keys (negate a key for descending order).
 
-    Small inputs use Spark's top-n. Otherwise the exact cut value of each key in turn is found by
-    counting, and the rows are selected by a plain filter that reaches the scan: nothing is sorted
-    and no task gathers the result. The key combination must be unique for an exact count.
+    The exact cut value of each key in turn is found by counting, and the rows are selected by a plain
+    filter that reaches the scan: nothing is sorted and no task gathers the result. The key
+    combination must be unique for an exact count. For a short list to read use ``top_rows``.
     """
     if n <= 0:
         return df.limit(0)
-    if direct if direct is not None else _direct_is_cheap(df, n):
-        return df.orderBy(*keys).limit(n)
     chosen, tied, wanted = F.lit(False), F.lit(True), n
     for key in keys:
         open_rows = df.filter(tied)

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.clock import iso_millis
-from ..functions.ordering import first_rows, newest_first
+from ..functions.ordering import newest_first, top_rows
 from ..functions.text import quote, quote_list, strip
 
 # Fixed values of the rules.
@@ -45,7 +45,7 @@ def recent(rows: DataFrame, limit: int | None) -> DataFrame:
     if limit <= 0:
         raise ValueError("limit must be a positive integer")
     moment = F.coalesce("processed_at", "inserted_at", "event_timestamp")
-    return first_rows(rows, newest_first(moment, F.col("id")), limit)
+    return top_rows(rows, newest_first(moment, F.col("id")), limit)
 
 
 def rule_input(rows: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.ordering import first_rows
+from ..functions.ordering import top_rows
 from ..functions.payload import once
 from ..functions.text import is_blank, quote, quote_list, strip
 
@@ -148,7 +148,7 @@ def _leading_errors(checked: DataFrame, max_errors: int) -> DataFrame:
     if max_errors <= 0:
         raise ContractError("max_errors must be a positive integer")
     bad = checked.filter(F.size("errors") > 0)
-    leading = first_rows(bad, [F.col("row_number")], max_errors + 1)
+    leading = top_rows(bad, [F.col("row_number")], max_errors + 1)
     order = Window.orderBy("row_number").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return leading.withColumn("reached", F.sum(F.size("errors")).over(order))
 
@@ -181,9 +181,12 @@ def capped_totals(checked: DataFrame, max_errors: int) -> DataFrame:
 
 
 def run_contract(
-    df: DataFrame, contract: dict[str, Rule], row_number: Column, max_errors: int = 50
+    df: DataFrame, contract: dict[str, Rule], row_number: Column, max_errors: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """(summary, errors). Missing required columns give one error and zero row counts."""
+    """(summary, errors) of the whole input. Missing required columns give one error and zero row counts.
+
+    With ``max_errors`` the check ends, as a report for people does, at the row that passes the cap.
+    """
     spark = df.sparkSession
     absent = missing_columns(df, contract)
     if absent:
@@ -198,6 +201,8 @@ def run_contract(
         )
         return summary, errors
     checked = check_rows(df, contract, row_number)
+    if max_errors is None:
+        return totals(checked).withColumn("stopped_early", F.lit(False)), error_list(checked)
     return capped_totals(checked, max_errors), capped_errors(checked, max_errors)
 
 

@@ -134,8 +134,8 @@ def alert_payloads(alert_rows: DataFrame, metrics: DataFrame, settings: RunSetti
 def assert_written(audit: DataFrame, checks: DataFrame, run_id: str) -> None:
     """After a run is stored: exactly one audit row and at least two check rows for it."""
     mine = F.col("run_id") == run_id
-    audits, rows = audit.filter(mine).limit(2).count(), checks.filter(mine).limit(2).count()
+    audits, rows = audit.filter(mine).count(), checks.filter(mine).count()
     if audits != 1:
-        raise RuntimeError(f"expected one audit row for run '{run_id}', found {'none' if not audits else 'several'}")
+        raise RuntimeError(f"expected one audit row for run '{run_id}', found {audits}")
     if rows < 2:
         raise RuntimeError(f"expected at least two quality checks for run '{run_id}', found {rows}")

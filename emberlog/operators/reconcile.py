@@ -67,10 +67,14 @@ def preflight(df: DataFrame, profile: str, max_rows: int) -> DataFrame:
 
 
 def status_rollup(results: DataFrame) -> DataFrame:
-    """Counts per status with zeros, overall status, and the sorted names of required failures."""
+    """Counts per status with zeros, overall status, and the sorted names of required failures.
+
+    The four usual statuses have a column each; ``other_statuses`` counts all rows with any other one.
+    """
     failure = F.col("required") & (F.col("status") == "failed")
     return results.agg(
         *[F.count_if(F.col("status") == s).alias(s) for s in STATUSES],
+        F.count_if(F.col("status").isNull() | ~F.col("status").isin(*STATUSES)).alias("other_statuses"),
         F.when(F.coalesce(F.bool_or(failure), F.lit(False)), "failed").otherwise("passed").alias("overall_status"),
         # a set of check names, not of rows: bounded by the number of distinct checks
         F.array_join(F.array_sort(F.collect_set(F.when(failure, F.col("name")))), ", ").alias("required_failures"),

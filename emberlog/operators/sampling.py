@@ -24,11 +24,11 @@ def first_n(df: DataFrame, order: Column, n: int) -> DataFrame:
 def random_n(df: DataFrame, keys: list[str], n: int, seed: int = 42) -> DataFrame:
     """Exactly min(n, rows) rows, uniform over rows and repeatable for a seed.
 
-    Rows are ranked by a seeded 63-bit hash of their unique key, so no shared random state and no
-    sort of the whole input is needed.
+    Rows are ranked by 30 hex digits of a seeded MD5 of their unique key, read as two numbers, so no
+    shared random state and no sort of the whole input is needed.
     """
     if n <= 0:
         raise ValueError("rows must be a positive integer")
-    draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), *keys), 1)
-    second = F.shiftrightunsigned(F.xxhash64(F.lit(seed + 1), *keys), 1)
-    return first_rows(df, [draw, second], n)
+    digest = F.md5(F.concat_ws("-", F.lit(seed), *[F.col(k).cast("string") for k in keys]).cast("binary"))
+    draws = [F.conv(F.substring(digest, at, 15), 16, 10).cast("bigint") for at in (1, 16)]
+    return first_rows(df, draws, n)

@@ -30,7 +30,7 @@ def run(
     steps: list[tuple[str, int]] = []
 
     number = row_number if row_number is not None else F.col("row_number")
-    summary, _ = contract.run_contract(logs, contract.RAW_LOG_CONTRACT, number, max_errors=50)
+    summary, _ = contract.run_contract(logs, contract.RAW_LOG_CONTRACT, number)
     if stop_on_contract_errors:
         contract.gate(summary)
     steps.append(("contract_errors", summary.first()["error_count"]))
@@ -80,19 +80,21 @@ def run(
 
     vectors = features.device_features(features.normalize(logs, timestamp_format=None))
     listing = files.publish(vectors, at["features"], "spark/device_features/latest")
-    steps.append(("feature_files", min(1, listing.count())))
+    if listing.isEmpty():
+        raise RuntimeError("no feature files were published")
+    steps.append(("feature_rows", spark.read.parquet(f"{at['features']}/spark/device_features/latest").count()))
 
     metrics = quality.run_metrics(processed, invalid, run_id)
     checks = quality.quality_checks(metrics, settings)
     sink.upsert_audit(quality.audit_rows(metrics, now, now, settings), at["tables"], run_id, now)
     sink.replace_numbered(checks.withColumn("created_at", F.lit(now).cast("timestamp")), at["tables"], "pipeline_quality_checks", run_id, "check_name")
     raised = quality.alerts(checks, now, settings)
-    sink.replace_numbered(raised, at["tables"], "pipeline_alerts", run_id, "alert_type")
+    sink.replace_alerts(raised, at["tables"], run_id)
     stored = {n: tables.read(spark, at["tables"], n) for n in ("pipeline_run_audit", "pipeline_quality_checks", "pipeline_alerts")}
     if not stored["pipeline_alerts"].isEmpty():
         payloads = quality.alert_payloads(stored["pipeline_alerts"], metrics, settings)
         topics.publish(payloads.withColumn("key", F.lit(None).cast("string")), at["topics"] + "_alerts", topics.ALERT_TOPIC)
-        sink.mark_published(spark, at["tables"], run_id)
+        sink.mark_published(spark, at["tables"], run_id, now)
     quality.assert_written(stored["pipeline_run_audit"], stored["pipeline_quality_checks"], run_id)
     steps.append(("quality_checks", stored["pipeline_quality_checks"].count()))
     return spark.createDataFrame(steps, "stage string, row_count bigint")

@@ -356,7 +356,7 @@ def _full_run() -> str:
       kept AS (SELECT *, packet_size::INT AS size, duration_ms::INT AS span, trim(attack_type) AS label FROM sent WHERE fits AND ok),
       named AS (SELECT *, lower(event_type) = 'attack' OR label <> '' AS is_attack FROM kept)"""
     stages = {
-        "contract_errors": "(SELECT least(count(*), 50) FROM broken)",
+        "contract_errors": "(SELECT count(*) FROM broken)",
         "raw_messages": "(SELECT count(*) FROM sent WHERE fits)",
         "processed_rows": "(SELECT count(*) FROM kept)",
         "invalid_rows": "(SELECT count(*) FROM sent WHERE fits AND NOT ok)",
@@ -367,10 +367,10 @@ def _full_run() -> str:
         "mart_protocol_metrics": "(SELECT count(DISTINCT upper(trim(protocol))) FROM kept)",
         "mart_pipeline_quality_summary": "1",
         "failed_tests": "(SELECT (count(*) FILTER (lower(status) NOT IN ('success', 'failed', 'blocked')) > 0)::INT FROM kept)",
-        "feature_files": "1",
+        "feature_rows": "(SELECT count(DISTINCT device_id) FROM normal)",
         "quality_checks": "2",
     }
-    return _raw(" UNION ALL ".join(f"SELECT '{k}' AS stage, ({v})::BIGINT AS row_count" for k, v in stages.items()), CONTRACT, sent)
+    return _raw(" UNION ALL ".join(f"SELECT '{k}' AS stage, ({v})::BIGINT AS row_count" for k, v in stages.items()), CONTRACT, sent, _NORMAL)
 
 
 def statements() -> dict[str, str]:
@@ -424,10 +424,8 @@ def statements() -> dict[str, str]:
         "a13_contract_totals": _raw("SELECT count(*) AS rows_checked, count(*) FILTER (n IS NULL) AS valid_rows, count(n) AS invalid_rows, coalesce(sum(n), 0)::BIGINT AS error_count FROM raw LEFT JOIN (SELECT row_number, count(*) AS n FROM broken GROUP BY 1) b ON b.row_number = row_id + 1", CONTRACT),
         "w3_error_cap": _raw("SELECT row_number, position, error FROM listed WHERE overall <= 50", CONTRACT),
         "q9_contract_job": _raw(
-            """SELECT count(*) AS rows_checked, count(*) FILTER (n IS NULL) AS valid_rows, count(n) AS invalid_rows, least(coalesce(sum(n), 0), 50)::BIGINT AS error_count,
-              (SELECT count(*) > 50 FROM broken) AS stopped_early
-              FROM raw LEFT JOIN (SELECT row_number, count(*) AS n FROM broken GROUP BY 1) b ON b.row_number = row_id + 1
-              WHERE row_id + 1 <= coalesce((SELECT min(row_number) FROM listed WHERE overall > 50), 9223372036854775807)""",
+            """SELECT count(*) AS rows_checked, count(*) FILTER (n IS NULL) AS valid_rows, count(n) AS invalid_rows, coalesce(sum(n), 0)::BIGINT AS error_count, false AS stopped_early
+              FROM raw LEFT JOIN (SELECT row_number, count(*) AS n FROM broken GROUP BY 1) b ON b.row_number = row_id + 1""",
             CONTRACT,
         ),
         "q10_not_null": _logs(_declared(*_STAGED, "not_null")),
@@ -466,7 +464,7 @@ def statements() -> dict[str, str]:
         "a15_bounded_count": _raw("SELECT least(count(*), 5000) AS row_count FROM raw"),
         "a27_preflight": _raw("SELECT 'full' AS profile, count(*) AS available_rows, least(count(*), 1000000000) AS bounded_rows, CASE WHEN count(*) < 1000000000 THEN 'failed' ELSE 'passed' END AS status FROM raw UNION ALL SELECT 'medium', count(*), least(count(*), 5000), 'passed' FROM raw"),
         "a16_status": _runs(
-            """SELECT count(*) FILTER (check_status = 'pass') AS passed, count(*) FILTER (check_status = 'fail') AS failed, 0::BIGINT AS skipped, 0::BIGINT AS dry_run,
+            """SELECT count(*) FILTER (check_status = 'pass') AS passed, count(*) FILTER (check_status = 'fail') AS failed, 0::BIGINT AS skipped, 0::BIGINT AS dry_run, 0::BIGINT AS other_statuses,
               CASE WHEN count(*) FILTER (check_status = 'fail' AND id % 2 = 1) > 0 THEN 'failed' ELSE 'passed' END AS overall_status,
               coalesce(string_agg(DISTINCT CASE WHEN check_status = 'fail' AND id % 2 = 1 THEN check_name END, ', '), '') AS required_failures FROM stored_checks"""
         ),
@@ -481,6 +479,9 @@ def statements() -> dict[str, str]:
         "t3_protocol_top": _logs("SELECT * FROM protocols ORDER BY total_events DESC, attack_events DESC, protocol LIMIT 5"),
         "u2_options": _logs("SELECT DISTINCT 'protocol' AS choice, protocol AS option FROM staged UNION ALL SELECT DISTINCT 'attack_type', attack_type FROM attacks UNION ALL SELECT DISTINCT 'risk_level', risk_level FROM risk"),
         "r1_first_n": _raw(f"SELECT row_id, {columns} FROM raw ORDER BY row_id LIMIT 2000"),
+        "r2_random_n": _raw(
+            f"""SELECT row_id, {columns} FROM raw ORDER BY ('0x' || substr(md5('42-' || row_id), 1, 15))::BIGINT, ('0x' || substr(md5('42-' || row_id), 16, 15))::BIGINT LIMIT 2000"""
+        ),
         "p18_event_details": _with([OBJECTS], "SELECT * FROM details"),
         "p17_key_details": _with([OBJECTS], "SELECT * FROM described"),
         "f13_manifest_validity": _with(

@@ -31,6 +31,9 @@ ALERTS = (
     "is_published_to_kafka boolean, created_at timestamp, run_id string"
 )
 
+# runs whose alerts were sent; the published flag of an alert is read from here
+PUBLICATIONS = "published_at timestamp, run_id string"
+
 # name -> (schema, partition column)
 TABLES = {
     "processed_iot_logs": (PROCESSED_LOGS, "batch_id"),
@@ -40,6 +43,7 @@ TABLES = {
     "pipeline_run_audit": (RUN_AUDIT, "run_id"),
     "pipeline_quality_checks": (QUALITY_CHECKS, "run_id"),
     "pipeline_alerts": (ALERTS, "run_id"),
+    "pipeline_alert_publications": (PUBLICATIONS, "run_id"),
 }
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Runtime SQL settings every job runs with; most of them decide values.
 REQUIRED_SETTINGS = {
@@ -44,23 +46,17 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "
     return prepare(spark)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash rows over all cores when a scan has fewer splits than the session has cores.
-
-    A small file is one split, and parsing it would keep one core busy and the others idle. A large
-    input has more splits than cores and is returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder below the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a session without that setting (tests, a laptop) gets a local temporary folder: executors
-    on other machines could not read it.
+    Only a local session may leave the setting out: executors on other machines could not read a
+    temporary folder. Such a folder goes when the session's process ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return f"{base.rstrip('/')}/emberlog-{label}-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix=f"emberlog-{label}-")
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = tempfile.mkdtemp(prefix=f"emberlog-{label}-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return f"{folder}/data"

@@ -73,12 +73,18 @@ def _by(order: str):
     return Window.partitionBy("run_id").orderBy(order)
 
 
-def mark_published(spark: SparkSession, root: str, run_id: str) -> None:
-    """Set the published flag on a run's alerts. The rows are read into memory first because their
-    own folder is overwritten: one per failed check."""
-    alerts = tables.read(spark, root, "pipeline_alerts").filter(F.col("run_id") == run_id)
-    rows = alerts.withColumn("is_published_to_kafka", F.lit(True)).limit(1000).collect()
-    replace_run(spark.createDataFrame(rows, alerts.schema), root, "pipeline_alerts", run_id)
+def mark_published(spark: SparkSession, root: str, run_id: str, now: Column | str) -> None:
+    """Set the published flag on all alerts of a run: one row in a table of its own, which readers
+    join. No alert row is read or written again."""
+    row = spark.range(1, numPartitions=1).select(clock.moment(now).alias("published_at"), F.lit(run_id).alias("run_id"))
+    replace_run(row, root, "pipeline_alert_publications", run_id)
+
+
+def replace_alerts(df: DataFrame, root: str, run_id: str) -> None:
+    """``replace_numbered`` for alerts: new alerts of a run are not published, whatever the old ones were."""
+    empty = df.sparkSession.createDataFrame([], schemas.PUBLICATIONS)
+    replace_run(empty, root, "pipeline_alert_publications", run_id)
+    replace_numbered(df, root, "pipeline_alerts", run_id, "alert_type")
 
 
 def truncate(spark: SparkSession, root: str, names=("processed_iot_logs", "invalid_iot_logs")) -> None:

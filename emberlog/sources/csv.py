@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from concurrent.futures import ThreadPoolExecutor
+from csv import reader as parse_csv
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ..functions import clock
 from ..functions.ordering import first_rows, number_rows
@@ -22,6 +26,7 @@ PROFILE_PATHS = {
 }
 _BROKEN = "_broken_row"
 _ABSENT = "\x00absent\x00"
+READERS = 32
 
 
 def input_path(profile: str = "sample", explicit: str | None = None, paths: dict[str, str] = PROFILE_PATHS) -> str:
@@ -34,72 +39,113 @@ def input_path(profile: str = "sample", explicit: str | None = None, paths: dict
     return paths[name]
 
 
-def header(spark: SparkSession, path: str) -> list[str]:
-    """Header names of the first file, cleaned. Reads one line."""
-    names = spark.read.csv(path, header=True, inferSchema=False, samplingRatio=None).columns
-    return [clean_header(n) for n in names]
+def _first_line(spark: SparkSession, path: str) -> str:
+    """First line of one file, compressed or not, through the file system it belongs to."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(conf).open(target)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(target)
+        data = codec.createInputStream(stream) if codec else stream
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(data, "UTF-8")).readLine() or ""
+    finally:
+        stream.close()
+
 
+def headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """Files of a scan by their own cleaned header; empty files are left out.
 
-def _require(names: list[str]) -> None:
-    for name in COLUMNS:
+    One line of each file is read, READERS files at a time; rows are not.
+    """
+    files = spark.read.text(path).inputFiles()
+    with ThreadPoolExecutor(READERS) as pool:
+        lines = list(pool.map(lambda f: _first_line(spark, f), files))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for file, line in zip(files, lines, strict=True):
+        if line:
+            found.setdefault(tuple(clean_header(n) for n in next(parse_csv([line]))), []).append(file)
+    return found
+
+
+def _by_header(spark: SparkSession, path: str, required: tuple[str, ...], read) -> DataFrame:
+    """``read(names, files)`` for every header of a scan, together; columns are matched by name."""
+    groups = headers(spark, path)
+    if not groups:
+        raise ValueError(f"no header in {path}")
+    for names in groups:
+        _require(names, required)
+    parts = [read(names, files) for names, files in sorted(groups.items())]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _require(names, required=COLUMNS) -> None:
+    for name in required:
         if name not in names:
             raise ValueError(f'missing required csv column "{name}"')
 
 
+def _text_schema(names) -> str:
+    return ", ".join(f"`{n}` string" for n in names)
+
+
 def scan_strict(spark: SparkSession, path: str, required=None) -> DataFrame:
-    """Text columns; one malformed row stops the job.
+    """Text columns; one malformed row stops the job. Every file is read by its own header.
 
     With column pruning the parser would not look at the whole row and would miss ragged ones, so
     it is off for this scan.
     """
-    names = header(spark, path)
-    schema = ", ".join(f"`{n}` string" for n in names)
-    reader = spark.read.schema(schema).option("columnPruning", "false")
-    df = reader.csv(path, header=True, mode="FAILFAST", enforceSchema=True)
+    def read(names, files):
+        reader = spark.read.schema(_text_schema(names)).option("columnPruning", "false")
+        return reader.csv(files, header=True, mode="FAILFAST", enforceSchema=True)
+
+    df = _by_header(spark, path, (), read)
     return require_columns(df, required) if required else require_columns(df)
 
 
-def scan_lenient(spark: SparkSession, path: str, multiline: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(accepted rows, skipped-row count).
+def scan_lenient(spark: SparkSession, path: str, multiline: bool = False) -> tuple[DataFrame, Observation]:
+    """Accepted rows, and an observation of the one scan that has ``skipped_rows`` once they are written.
+
+    Like every observation it counts per scan: a global sort, which scans twice, counts twice.
 
-    Text is trimmed. Rows with fewer fields than the header and rows whose sizes are not integers
-    are skipped; extra trailing fields are ignored. Accepted rows keep ``_file``, ``_block`` and
-    ``_seq`` (see ``number_rows``).
+    Text is trimmed. Rows with fewer fields than their file's header and rows whose sizes are not
+    integers are skipped; extra trailing fields are ignored. Accepted rows keep ``_file``, ``_block``
+    and ``_seq`` (see ``number_rows``).
     """
-    names = header(spark, path)
-    _require(names)
-    schema = ", ".join(f"`{n}` string" for n in names) + f", `{_BROKEN}` string"
-    # without column pruning, so that a count of skipped rows still sees which rows are ragged
-    scanned = spark.read.option("columnPruning", "false").csv(
-        path, schema=schema, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=_BROKEN,
-        multiLine=multiline, enforceSchema=True, nullValue=_ABSENT, emptyValue="",
-    )
-    # a short row is broken and lacks its last declared field; a long one is broken but complete
-    short = F.col(_BROKEN).isNotNull() & F.col(f"`{names[-1]}`").isNull()
     number = {n: F.expr(f"try_cast({strip(f'`{n}`')} AS int)") for n in ("packet_size", "duration_ms")}
-    fits = F.coalesce(~short, F.lit(True)) & number["packet_size"].isNotNull() & number["duration_ms"].isNotNull()
-    shaped = scanned.select(
-        *[number[n].alias(n) if n in number else F.expr(f"coalesce({strip(f'`{n}`')}, '')").alias(n) for n in COLUMNS],
-        fits.alias("_fits"),
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
+
+    def read(names, files):
+        # without column pruning, so that a count of skipped rows still sees which rows are ragged
+        scanned = spark.read.option("columnPruning", "false").csv(
+            files, schema=f"{_text_schema(names)}, `{_BROKEN}` string", header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=_BROKEN,
+            multiLine=multiline, enforceSchema=True, nullValue=_ABSENT, emptyValue="",
+        )
+        # a short row is broken and lacks its last declared field; a long one is broken but complete
+        short = F.col(_BROKEN).isNotNull() & F.col(f"`{names[-1]}`").isNull()
+        fits = F.coalesce(~short, F.lit(True)) & number["packet_size"].isNotNull() & number["duration_ms"].isNotNull()
+        return scanned.select(
+            *[number[n].alias(n) if n in number else F.expr(f"coalesce({strip(f'`{n}`')}, '')").alias(n) for n in COLUMNS],
+            fits.alias("_fits"), *_place(),
+        )
+
+    seen = Observation()
+    shaped = _by_header(spark, path, COLUMNS, read).observe(seen, F.count_if(~F.col("_fits")).alias("skipped_rows"))
+    return shaped.filter("_fits").drop("_fits"), seen
+
+
+def _place() -> list[Column]:
+    return [
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_seq"),
-    )
-    return shaped.filter("_fits").drop("_fits"), shaped.agg(F.count_if(~F.col("_fits")).alias("skipped_rows"))
+    ]
 
 
 def scan_text(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """All header columns as text with ``row_number`` per file (data starts at 2): contract input."""
-    names = header(spark, path)
-    schema = ", ".join(f"`{n}` string" for n in names)
-    scanned = spark.read.csv(path, schema=schema, header=True, mode="PERMISSIVE", multiLine=multiline, enforceSchema=True)
-    placed = scanned.select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_seq"),
-    )
-    return number_rows(placed, first=2)
+    def read(names, files):
+        scanned = spark.read.csv(files, schema=_text_schema(names), header=True, mode="PERMISSIVE", multiLine=multiline, enforceSchema=True)
+        return scanned.select("*", *_place())
+
+    return number_rows(_by_header(spark, path, (), read), first=2)
 
 
 def cap_rows(accepted: DataFrame, max_rows: int) -> DataFrame:

@@ -30,7 +30,14 @@ def read(spark: SparkSession, root: str, name: str) -> DataFrame:
     if not exists(spark, f"{root}/{name}"):
         return spark.createDataFrame([], ddl)
     extra = "" if partition in columns else f", {partition} int"
-    return spark.read.schema(ddl + extra).parquet(f"{root}/{name}").select(*columns)
+    rows = spark.read.schema(ddl + extra).parquet(f"{root}/{name}").select(*columns)
+    return _with_published_flag(spark, root, rows) if name == "pipeline_alerts" else rows
+
+
+def _with_published_flag(spark: SparkSession, root: str, alerts: DataFrame) -> DataFrame:
+    sent = read(spark, root, "pipeline_alert_publications").select("run_id", F.lit(True).alias("_sent")).distinct()
+    flag = F.coalesce("_sent", "is_published_to_kafka")
+    return alerts.join(sent, "run_id", "left").withColumn("is_published_to_kafka", flag).select(*alerts.columns)
 
 
 def read_loaded(spark: SparkSession, root: str, name: str) -> DataFrame:

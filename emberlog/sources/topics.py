@@ -9,6 +9,7 @@ from .. import schemas
 
 RAW_TOPIC = "iot_raw_logs"
 ALERT_TOPIC = "iot_pipeline_alerts"
+FILES_PER_TRIGGER = 512
 
 
 def kafka_read_options(servers: str, topics: list[str], per_trigger: int | None = None) -> dict[str, str]:
@@ -29,11 +30,12 @@ def from_kafka(spark: SparkSession, servers: str, topics: list[str], per_trigger
     )
 
 
-def stream(spark: SparkSession, root: str, topics: list[str], files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming frame over a topic folder, limited to some topics."""
-    reader = spark.readStream.schema(schemas.TOPIC)
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+def stream(spark: SparkSession, root: str, topics: list[str], files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
+    """Streaming frame over a topic folder, limited to some topics.
+
+    A micro-batch takes a bounded number of files, also when a job drains a long backlog.
+    """
+    reader = spark.readStream.schema(schemas.TOPIC).option("maxFilesPerTrigger", files_per_trigger)
     return _subscribed(reader.parquet(root), topics)
 
 

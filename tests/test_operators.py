@@ -254,8 +254,9 @@ def test_reconcile(spark):
     assert reconcile.load_delta(counts(1, 1), counts(5, 2), 5).first()["status"] == "passed"
     assert reconcile.load_delta(counts(1, 1), counts(7, 0), 5).first()["status"] == "failed"
     assert reconcile.load_delta(counts(1, 1), counts(5, 2), 6).first()["status"] == "failed"
-    results = spark.createDataFrame([("x", "passed", True), ("y", "failed", False), ("z", "dry_run", True)], "name string, status string, required boolean")
+    results = spark.createDataFrame([("x", "passed", True), ("y", "failed", False), ("z", "dry_run", True), ("w", "unknown", True)], "name string, status string, required boolean")
     row = reconcile.status_rollup(results).first()
+    assert row["other_statuses"] == 1
     assert (row["passed"], row["failed"], row["skipped"], row["dry_run"], row["overall_status"], row["required_failures"]) == (1, 1, 0, 1, "passed", "")
     timed = spark.createDataFrame([("data_contract_validation", 1.0, 1), ("anomaly_detection_read_only", 2.0, 2), ("anomaly_detection_read_only", 3.0, 3), ("profile_pipeline_post_run_postgres_counts", 4.0, 4)], "name string, duration_seconds double, position int")
     short = {r["stage"]: r["duration_seconds"] for r in reconcile.stage_durations(timed, full_run=False).collect()}

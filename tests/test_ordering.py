@@ -19,7 +19,7 @@ def skewed(spark):
 def test_counted_cut_equals_sort(skewed, n, monkeypatch):
     monkeypatch.setattr(ordering, "BUCKETS", 64)
     keys = [F.col("k"), -F.col("id")]
-    counted = ordering.first_rows(skewed, keys, n, direct=False)
+    counted = ordering.first_rows(skewed, keys, n)
     sorted_ = skewed.orderBy(*keys).limit(n)
     assert counted.count() == min(n, 30000)
     assert counted.exceptAll(sorted_).isEmpty()
@@ -27,14 +27,14 @@ def test_counted_cut_equals_sort(skewed, n, monkeypatch):
 
 def test_rows_that_share_all_keys(spark):
     df = spark.range(1000).select(F.lit(5).alias("k"))
-    assert ordering.first_rows(df, [F.col("k")], 300, direct=False).count() == 300
+    assert ordering.first_rows(df, [F.col("k")], 300).count() == 300
 
 
 def test_newest_first_puts_missing_times_last(spark):
     df = spark.createDataFrame([(1, None), (2, "2025-01-01"), (3, "2025-01-02"), (4, "2025-01-02")], "id bigint, t string")
     df = df.withColumn("t", F.col("t").cast("timestamp"))
-    for direct in (True, False):
-        rows = ordering.first_rows(df, ordering.newest_first(F.col("t"), F.col("id")), 3, direct=direct).collect()
+    for rows_of in (ordering.top_rows, ordering.first_rows):
+        rows = rows_of(df, ordering.newest_first(F.col("t"), F.col("id")), 3).collect()
         assert {r["id"] for r in rows} == {2, 3, 4}
 
 
@@ -62,10 +62,7 @@ def test_random_subset(spark):
     df = spark.range(20000)
     one, two = (sampling.random_n(df, ["id"], 5000, seed=s) for s in (1, 2))
     assert one.count() == 5000 and one.distinct().count() == 5000
-    again = ordering.first_rows(
-        df, [F.shiftrightunsigned(F.xxhash64(F.lit(1), "id"), 1), F.shiftrightunsigned(F.xxhash64(F.lit(2), "id"), 1)], 5000, direct=False
-    )
-    assert again.exceptAll(one).isEmpty()
+    assert sampling.random_n(df.repartition(3), ["id"], 5000, seed=1).exceptAll(one).isEmpty()
     # uniform: each fifth of the ids gets about a fifth of the sample, and seeds differ
     shares = [r["count"] for r in one.groupBy(F.floor(F.col("id") / 4000)).count().collect()]
     assert all(880 <= s <= 1120 for s in shares)
