@@ -9,9 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from emberlog.llm import histogram_pack, language_svm, minmax_dedup, quality_qda, string_tiling
-from emberlog.llm.common import stored, table
+from emberlog.llm.common import settle, stored, table
 from emberlog.llm.queries import tokenizer
-from emberlog.session import prepare
 
 # scores from which a document stays; they lean towards keeping
 LEAST_QUALITY = 0.5
@@ -22,7 +21,7 @@ NEAR = 80
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text is at least as likely of quality 1 as of quality 0; without labels all stay."""
-    prepare(spark)
+    settle(spark)
     features = quality_qda.stored_features(docs)
     model = quality_qda.fit(features, table(spark, sf_dir, "labels").select("doc_id", "quality"))
     return quality_qda.scored(docs, model, "_score").filter(F.col("_score") >= LEAST_QUALITY).drop("_score")
@@ -30,6 +29,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that was learned; texts without letters or without a clear language go."""
+    settle(spark)
     model = language_svm.fit(docs.select("doc_id", "text", "lang"))
     found = language_svm.identified(docs, model, "_language")
     known = F.col("_language.lang") != language_svm.UNKNOWN
@@ -38,16 +38,19 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates."""
+    settle(spark)
     return minmax_dedup.deduplicated(docs, NEAR)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
+    settle(spark)
     return string_tiling.clean(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packed sequences: sequence_id, length, pieces (with doc_id), ids."""
+    settle(spark)
     return histogram_pack.sequences(histogram_pack.pieces(docs, tokenizer("byte_bpe_50k.json")))
 
 
@@ -62,7 +65,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages applied to the whole documents table."""
-    prepare(spark)
+    settle(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-").lower())

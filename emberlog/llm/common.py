@@ -6,7 +6,16 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from xxhash import xxh64_intdigest
 
-from ..session import scratch_dir
+from ..session import prepare, scratch_dir
+
+
+ROWS_PER_BATCH = 500
+
+
+def settle(spark: SparkSession) -> SparkSession:
+    """The session settings of the package, and small Arrow batches: texts may be long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
+    return prepare(spark)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -7,9 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import prepare, scratch_dir
+from ..session import scratch_dir
 from . import chat_events, histogram_pack, language_svm, license_join, minimax_shards, minmax_dedup, quality_qda, rans_blocks, scaled_sketch, string_tiling
-from .common import table
+from .common import settle, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -21,7 +21,7 @@ def tokenizer(name: str) -> str:
 
 
 def query(function: Query) -> Query:
-    REGISTRY[function.__name__] = lambda spark, sf_dir: function(prepare(spark), sf_dir)
+    REGISTRY[function.__name__] = lambda spark, sf_dir: function(settle(spark), sf_dir)
     return function
 
 
