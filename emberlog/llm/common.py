@@ -89,6 +89,25 @@ def doc_key(doc_id: Column, text: Column) -> Column:
     return F.unhex(F.md5(F.concat(*parts).cast("binary")))
 
 
+PREFIX_BITS = 20
+
+
+def _prefix(key: Column) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(key), 64 - PREFIX_BITS)
+
+
+def near_keys(docs: DataFrame, keys: DataFrame, other: bool = False) -> DataFrame:
+    """Rows of ``docs`` whose doc_key may be among ``keys`` (or, with ``other``, those where it cannot be).
+
+    Both have a column doc_key. Rows are told apart by PREFIX_BITS bits of a hash, so the broadcast side
+    has at most 2**PREFIX_BITS rows however many keys there are, and texts that no key can name do not
+    have to be shuffled. The exact join follows.
+    """
+    wanted = F.broadcast(keys.select(_prefix(F.col("doc_key")).alias("_prefix")).distinct())
+    marked = docs.withColumn("_prefix", _prefix(F.col("doc_key")))
+    return marked.join(wanted, "_prefix", "left_anti" if other else "left_semi").drop("_prefix")
+
+
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """Connected components of an undirected graph (a, b): node, root (the smallest node reachable).
 

@@ -29,7 +29,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import components, doc_key, positions, run_hashes, stored
+from .common import components, doc_key, near_keys, positions, run_hashes, stored
 
 WIDTH = 5
 PERMUTATIONS = 140
@@ -190,8 +190,12 @@ def classes(docs: DataFrame, numerator: int = NUMERATOR) -> DataFrame:
 
 def deduplicated(docs: DataFrame, numerator: int = NUMERATOR) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; of equal rows one stays."""
-    kept = stored(classes(docs.select("doc_id", "text"), numerator).filter("kept").select("doc_key").distinct(), "dedup-kept")
-    keyed = docs.withColumn("_doc_key", doc_key(F.col("doc_id"), F.col("text")))
-    staying = keyed.join(kept, keyed["_doc_key"] == kept["doc_key"], "left_semi")
-    copy = F.row_number().over(Window.partitionBy("_doc_key").orderBy("_doc_key"))
-    return staying.withColumn("_copy", copy).filter("_copy = 1").drop("_copy", "_doc_key")
+    found = classes(docs.select("doc_id", "text"), numerator).groupBy("doc_key").agg(F.count(F.lit(1)).alias("copies"), F.bool_and("kept").alias("kept"))
+    # only rows that go or are repeated need to be looked up; the others never leave their partition
+    changed = stored(found.filter("copies > 1 or not kept"), "dedup-changed")
+    own = docs.columns
+    keyed = docs.select(F.struct(*own).alias("row"), doc_key(F.col("doc_id"), F.col("text")).alias("doc_key"))
+    looked_up = near_keys(keyed, changed).join(changed.filter("not kept"), "doc_key", "left_anti")
+    copy = F.row_number().over(Window.partitionBy("doc_key").orderBy("doc_key"))
+    single = looked_up.withColumn("copy", copy).filter("copy = 1")
+    return near_keys(keyed, changed, other=True).select("row.*").unionByName(single.select("row.*"))

@@ -28,7 +28,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import WORD_BYTES, doc_key, run_hashes, stored
+from .common import WORD_BYTES, doc_key, near_keys, run_hashes, stored
 
 LEAST = 5
 COVERAGE = 0.5
@@ -149,6 +149,7 @@ def report(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
 
 def clean(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with all their columns."""
-    bad = overlaps(docs.select("doc_id", "text"), benchmark, coverage).select("doc_key").distinct()
-    keyed = docs.withColumn("_doc_key", doc_key(F.col("doc_id"), F.col("text")))
-    return keyed.join(bad, keyed["_doc_key"] == bad["doc_key"], "left_anti").drop("_doc_key")
+    bad = stored(overlaps(docs.select("doc_id", "text"), benchmark, coverage).select("doc_key").distinct(), "tiling-bad")
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), doc_key(F.col("doc_id"), F.col("text")).alias("doc_key"))
+    cleared = near_keys(keyed, bad).join(bad, "doc_key", "left_anti")
+    return near_keys(keyed, bad, other=True).select("row.*").unionByName(cleared.select("row.*"))
