@@ -60,7 +60,7 @@ def first_rows(df: DataFrame, keys: list[Column], n: int) -> DataFrame:
 
 def newest_first(moment: Column, tie: Column) -> list[Column]:
     """Keys for newest first with missing times last, then the larger tie value first."""
-    return [F.coalesce(-F.unix_micros(moment), F.lit(2**62)), -tie.cast("bigint")]
+    return [F.coalesce(-F.unix_micros(moment), F.lit(2**62)), -tie]
 
 
 def number_rows(scanned: DataFrame, first: int = 1) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .. import schemas
 from ..functions import clock, payload
 from ..functions.text import blank_to_null
 
@@ -84,7 +85,7 @@ def map_invalid(df: DataFrame, value: str = "value") -> DataFrame:
 
 
 def _id(position: Column) -> Column:
-    return position.cast("bigint").alias("id")
+    return position.cast(schemas.POSITION).alias("id")
 
 
 def processed_rows(mapped: DataFrame, position: Column, inserted_at: Column | str) -> DataFrame:

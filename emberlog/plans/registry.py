@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .. import schemas
 from ..functions import payload
 from ..operators import (
     anomalies, contract, data_tests, explore, features, manifest, mapping, marts, perf, quality,
@@ -29,6 +30,8 @@ def plain(df: DataFrame) -> DataFrame:
         column = F.col(f"`{name}`")
         if kind == "timestamp":
             return column.cast("timestamp_ntz").alias(name)
+        if kind == schemas.POSITION:
+            return column.cast("bigint").alias(name)  # row ids and first-batch positions here
         if kind.startswith("decimal"):
             return column.cast("double").alias(name)
         return column.cast("string").alias(name) if kind == "date" else column

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-TOPIC = "position bigint, key string, value string, batch_id int, topic string"
+# wide enough for any batch number beside a 64-bit row number
+POSITION = "decimal(38,0)"
+
+TOPIC = f"position {POSITION}, key string, value string, batch_id bigint, topic string"
 
 PROCESSED_LOGS = (
-    "id bigint, event_timestamp timestamp, device_id string, source_ip string, destination_ip string, "
+    f"id {POSITION}, event_timestamp timestamp, device_id string, source_ip string, destination_ip string, "
     "protocol string, packet_size int, duration_ms int, event_type string, attack_type string, status string, "
     "ingestion_timestamp timestamp, processed_at timestamp, raw_payload string, inserted_at timestamp"
 )
-INVALID_LOGS = "id bigint, raw_payload string, error_reason string, failed_at timestamp, inserted_at timestamp"
-QUARANTINE = "id bigint, raw_text string, reason string, inserted_at timestamp"
+INVALID_LOGS = f"id {POSITION}, raw_payload string, error_reason string, failed_at timestamp, inserted_at timestamp"
+QUARANTINE = f"id {POSITION}, raw_text string, reason string, inserted_at timestamp"
 LOADS = "processed_rows bigint, invalid_rows bigint, quarantined_rows bigint"
 
 ANOMALIES = (

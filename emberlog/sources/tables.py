@@ -29,7 +29,7 @@ def read(spark: SparkSession, root: str, name: str) -> DataFrame:
     columns = schemas.column_names(ddl)
     if not exists(spark, f"{root}/{name}"):
         return spark.createDataFrame([], ddl)
-    extra = "" if partition in columns else f", {partition} int"
+    extra = "" if partition in columns else f", {partition} bigint"
     rows = spark.read.schema(ddl + extra).parquet(f"{root}/{name}").select(*columns)
     return _with_published_flag(spark, root, rows) if name == "pipeline_alerts" else rows
 
@@ -45,8 +45,8 @@ def read_loaded(spark: SparkSession, root: str, name: str) -> DataFrame:
     ddl, _ = schemas.TABLES[name]
     if not exists(spark, f"{root}/{name}") or not exists(spark, f"{root}/_loads"):
         return spark.createDataFrame([], ddl)
-    finished = spark.read.schema(schemas.LOADS + ", batch_id int").parquet(f"{root}/_loads").select("batch_id")
-    rows = spark.read.schema(ddl + ", batch_id int").parquet(f"{root}/{name}")
+    finished = spark.read.schema(schemas.LOADS + ", batch_id bigint").parquet(f"{root}/_loads").select("batch_id")
+    rows = spark.read.schema(ddl + ", batch_id bigint").parquet(f"{root}/{name}")
     return rows.join(finished, "batch_id", "left_semi").select(*schemas.column_names(ddl))
 
 
@@ -54,7 +54,7 @@ def newest_batch(spark: SparkSession, root: str) -> int:
     """Number of the last finished load, -1 before the first."""
     if not exists(spark, f"{root}/_loads"):
         return -1
-    last = spark.read.schema(schemas.LOADS + ", batch_id int").parquet(f"{root}/_loads").agg(F.max("batch_id")).first()[0]
+    last = spark.read.schema(schemas.LOADS + ", batch_id bigint").parquet(f"{root}/_loads").agg(F.max("batch_id")).first()[0]
     return -1 if last is None else last
 
 

@@ -3,6 +3,8 @@ with the same columns (``<root>/batch_id=<n>/topic=<name>/``)."""
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import schemas
@@ -22,14 +24,21 @@ def kafka_write_options(servers: str, topic: str) -> dict[str, str]:
 
 
 def from_kafka(spark: SparkSession, servers: str, topics: list[str], per_trigger: int | None = None) -> DataFrame:
-    """Streaming frame with the columns of a topic folder; the position is offset and partition in one number."""
+    """Streaming frame with the columns of a topic folder; the position is offset, partition and topic in one number."""
     source = spark.readStream.format("kafka").options(**kafka_read_options(servers, topics, per_trigger)).load()
     return source.select(
-        F.expr("shiftleft(offset, 16) | partition").alias("position"),
+        _kafka_position(topics).alias("position"),
         F.col("key").cast("string").alias("key"), "value", "topic",
     )
 
 
+def _kafka_position(topics: list[str]) -> Column:
+    """Offset first, so that it sorts by age; partitions and topics of equal offsets stay apart."""
+    place = F.array_position(F.array(*map(F.lit, topics)), F.col("topic"))
+    number = F.col("offset").cast(schemas.POSITION) * F.lit(2**31) + F.col("partition")
+    return (number * F.lit(len(topics) + 1) + place).cast(schemas.POSITION)
+
+
 def stream(spark: SparkSession, root: str, topics: list[str], files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """Streaming frame over a topic folder, limited to some topics.
 
@@ -49,19 +58,10 @@ def _subscribed(df: DataFrame, topics: list[str]) -> DataFrame:
 
 
 def position(batch_id: int = 0) -> Column:
-    """A number no other row of this or another batch gets: 16 bits batch, 17 bits task, 30 bits row.
-
-    The widths are checked; a frame that does not fit stops the job instead of repeating a number.
-    """
-    if not 0 <= batch_id < 2**16:
-        raise ValueError("batch_id does not fit the 16 bits of a message position")
-    return F.expr(
-        "CASE WHEN monotonically_increasing_id() >= shiftleft(1L, 50) "
-        "OR (monotonically_increasing_id() & 8589934591L) >= shiftleft(1L, 30) "
-        "THEN cast(raise_error('too many rows for message positions') AS bigint) "
-        f"ELSE shiftleft({batch_id}L, 47) | shiftleft(shiftright(monotonically_increasing_id(), 33), 30) "
-        "| (monotonically_increasing_id() & 1073741823L) END"
-    )
+    """A number no other row of this or another batch gets: the batch number above Spark's own 64-bit
+    row number, which stays as it is. It sorts by batch, then task, then row."""
+    base = F.lit(Decimal(batch_id * 2**63)).cast(schemas.POSITION)
+    return (base + F.monotonically_increasing_id().cast(schemas.POSITION)).cast(schemas.POSITION)
 
 
 def publish(messages: DataFrame, root: str, topic: str, batch_id: int = 0) -> DataFrame:
@@ -73,7 +73,7 @@ def publish(messages: DataFrame, root: str, topic: str, batch_id: int = 0) -> Da
 
     sent = Observation()
     numbered = messages if "position" in messages.columns else messages.withColumn("position", position(batch_id))
-    out = numbered.select("position", "key", "value", F.lit(topic).alias("topic"))
+    out = numbered.select(F.col("position").cast(schemas.POSITION).alias("position"), "key", "value", F.lit(topic).alias("topic"))
     out.observe(sent, F.count(F.lit(1)).alias("sent")).write.mode("overwrite").partitionBy("topic").parquet(
         f"{root}/batch_id={batch_id}"
     )

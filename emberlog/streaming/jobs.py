@@ -11,6 +11,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from .. import schemas
 from ..functions.ordering import first_rows
 from ..operators import mapping, validate
 from ..sinks import tables as sink
@@ -46,7 +47,7 @@ def validate_batch(batch: DataFrame, out_root: str, batch_id: int, counters: Cou
         F.count_if(F.col("topic") == validate.PROCESSED_TOPIC).alias("processed"),
         F.count_if(F.col("topic") == validate.INVALID_TOPIC).alias("invalid"),
     )
-    out.select("position", "key", "value", "topic").write.mode("overwrite").partitionBy("topic").parquet(
+    out.select(F.col("position").cast(schemas.POSITION).alias("position"), "key", "value", "topic").write.mode("overwrite").partitionBy("topic").parquet(
         f"{out_root}/batch_id={batch_id}"
     )
     if counters is not None:
@@ -74,7 +75,7 @@ def load_batch(batch: DataFrame, tables_root: str, batch_id: int, counters: Coun
     mapped = mapping.map_processed(batch.filter(good)).persist(StorageLevel.MEMORY_AND_DISK)
     mapped_invalid = mapping.map_invalid(batch.filter(bad)).persist(StorageLevel.MEMORY_AND_DISK)
     stray = batch.filter(~(good | bad)).select(
-        position.alias("id"), F.col("value").cast("string").alias("raw_text"),
+        position.cast(schemas.POSITION).alias("id"), F.col("value").cast("string").alias("raw_text"),
         F.concat(F.lit("received message from unexpected topic "), "topic").alias("reason"),
         F.lit(stamp).cast("timestamp").alias("inserted_at"),
     )
@@ -108,7 +109,12 @@ def start_loader(
 
 def bounded(messages: DataFrame, max_messages: int) -> DataFrame:
     """The first messages of a batch read, by position; 0 means all."""
-    return first_rows(messages, [F.col("position")], max_messages) if max_messages else messages
+    if not max_messages:
+        return messages
+    # batch number and row number of a position
+    wide = f"cast(position AS {schemas.POSITION})"
+    keys = [F.expr(f"cast({wide} {op} 9223372036854775808BD AS bigint)") for op in ("div", "%")]
+    return first_rows(messages, keys, max_messages)
 
 
 def run_sequential(stages: list[Callable[[], StreamingQuery | None]]) -> None:

@@ -163,11 +163,12 @@ def test_kafka_options():
 
 def test_positions_are_unique(spark, folder):
     frame = spark.range(1000).select(F.col("id").cast("string").alias("key"), F.lit("v").alias("value")).repartition(5)
-    for batch in (0, 1, 65535):
+    for batch in (0, 70_000, 2**40):
         assert topics.publish(frame, folder, "t", batch).first()["sent"] == 1000
     assert topics.read(spark, folder, ["t"]).select("position").distinct().count() == 3000
-    with pytest.raises(ValueError):
-        topics.position(65536)
+    # row numbers of tasks above 131,072 keep all their bits
+    high = spark.range(1).select((topics.position(70_000) - F.monotonically_increasing_id() + F.lit((200_000 << 33) + 5)).alias("p")).first()["p"]
+    assert high == 70_000 * 2**63 + (200_000 << 33) + 5
 
 
 def metrics(spark, run, good, bad):
