@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import positions, stored
 
 WIDTH = 5
+NO_ID = -(2**63)
 # a quarter of the range: the first hex digit is 0 to 3
 BELOW = "4"
 DIGITS = 16
@@ -59,6 +60,15 @@ def fingerprint(docs: DataFrame, text: str = "text", to: str = "sketch", width:
     ).drop("_words")
 
 
+def packed(sketch: Column) -> Column:
+    """A sketch as bytes, half its length as text: for shuffles and storage."""
+    return F.unhex(F.array_join(sketch, ""))
+
+
+def unpacked(data: Column) -> Column:
+    return F.regexp_extract_all(F.lower(F.hex(data)), F.lit(".{%d}" % DIGITS), F.lit(0))
+
+
 def merged(a: Column, b: Column) -> Column:
     """Sketch of two documents together."""
     return F.array_sort(F.array_union(a, b))
@@ -87,8 +97,9 @@ def with_next(docs: DataFrame, width: int = WIDTH, below: str = BELOW) -> DataFr
     is asked for are sent to its neighbour.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
+    # both sides of the last join start from these same columns and key, so texts are shuffled once for both
     keyed = docs.select(
-        "doc_id", F.coalesce("doc_id", F.lit(-(2**63))).alias("id"), text.alias("text"), F.unhex(F.md5(text.cast("binary"))).alias("digest")
+        F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.unhex(F.md5(text.cast("binary"))).alias("digest"), text.alias("text")
     )
     own = keyed.groupBy("id", "digest").agg(F.max(F.length("text")).cast("bigint").alias("n_chars"))
     spots = stored(positions(own, ["id", "digest", "n_chars"], label="sketch-order"), "sketch-ranks")
@@ -98,18 +109,19 @@ def with_next(docs: DataFrame, width: int = WIDTH, below: str = BELOW) -> DataFr
         F.pmod(F.col("rank") + 1, F.lit(max(count, 1))).alias("rank"), F.col("id").alias("next_id"), F.col("digest").alias("next_digest")
     )
     pairs = stored(spots.join(follower, "rank").select(
-        "id", "digest", "n_chars", "next_id", "next_digest", F.floor(F.col("n_chars") / 3).alias("take")
+        F.col("id").alias("to_id"), F.col("digest").alias("to_digest"), "n_chars", F.col("next_id").alias("id"),
+        F.col("next_digest").alias("digest"), F.floor(F.col("n_chars") / 3).alias("take"),
     ), "sketch-pairs")
-    sent = keyed.select(F.col("id").alias("next_id"), F.col("digest").alias("next_digest"), "text").join(
-        pairs.select("id", "digest", "n_chars", "next_id", "next_digest", "take"), ["next_id", "next_digest"]
-    )
-    # one row for each document: what it needs of its follower, cut before it is sent
-    heads = fingerprint(sent, to="next_sketch", width=width, below=below).groupBy("id", "digest").agg(
-        F.any_value("n_chars").alias("n_chars"), F.any_value("next_digest").alias("next_digest"),
-        F.any_value(F.expr("substring(text, 1, take)")).alias("next_head"), F.any_value("next_sketch").alias("next_sketch"),
+    sent = fingerprint(keyed.join(pairs, ["id", "digest"]), to="next_sketch", width=width, below=below)
+    # one row for each document: what it needs of its follower, cut and packed before it is sent
+    heads = sent.groupBy("to_id", "to_digest").agg(
+        F.any_value("n_chars").alias("n_chars"), F.any_value("digest").alias("next_digest"),
+        F.any_value(F.expr("substring(text, 1, take)")).alias("next_head"), F.any_value(packed(F.col("next_sketch"))).alias("next_sketch"),
     )
-    return fingerprint(keyed.join(heads, ["id", "digest"]), width=width, below=below).select(
-        "doc_id", "text", "n_chars", "sketch", "next_sketch", "next_head", (F.col("digest") == F.col("next_digest")).alias("same_text")
+    both = keyed.join(heads, (F.col("id") == F.col("to_id")) & (keyed["digest"] == F.col("to_digest")))
+    return fingerprint(both, width=width, below=below).select(
+        F.nullif("id", F.lit(NO_ID)).alias("doc_id"), "text", "n_chars", "sketch", unpacked(F.col("next_sketch")).alias("next_sketch"),
+        "next_head", (keyed["digest"] == F.col("next_digest")).alias("same_text"),
     )
 
 
