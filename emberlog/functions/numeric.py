@@ -25,6 +25,13 @@ def rounded_mean(column: Column, places: int = 2) -> Column:
     return rate(F.sum(column), F.count(column), places)
 
 
+def exact_mean(column: Column, places: int = 2, scale: int = 6) -> Column:
+    """Mean of readings with up to ``scale`` digits, added up exactly and rounded half up; NULL without rows."""
+    total = F.sum(column.cast(f"decimal(20,{scale})"))
+    count = F.nullif(F.count(column), F.lit(0)).cast("decimal(18,0)")
+    return F.round(total / count, places).cast("double")
+
+
 def quantize(column: Column, precision: int, scale: int = 6) -> Column:
     """Fix a DECIMAL at ``scale`` digits, half up."""
     return F.round(column, scale).cast(f"decimal({precision},{scale})")

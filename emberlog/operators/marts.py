@@ -19,14 +19,19 @@ def _share(flag: str) -> Column:
     return F.coalesce(rate(tally(F.col(flag)), _events()), F.lit(0.0))
 
 
-def _seen() -> list[Column]:
-    return [F.min("event_timestamp").alias("first_seen"), F.max("event_timestamp").alias("last_seen")]
+def seen(name: str = "seen") -> list[Column]:
+    return [F.min("event_timestamp").alias(f"first_{name}"), F.max("event_timestamp").alias(f"last_{name}")]
 
 
 def _means() -> list[Column]:
     return [rounded_mean(F.col(c)).alias(f"avg_{c}") for c in ("packet_size", "duration_ms")]
 
 
+def flag_measures(flags: dict[str, str]) -> list[Column]:
+    """Number and share of rows for every flag: ``<name>_events`` and ``<name>_event_ratio``."""
+    return [m for name, flag in flags.items() for m in (tally(F.col(flag)).alias(f"{name}_events"), _share(flag).alias(f"{name}_event_ratio"))]
+
+
 def risk_band(attack_rate: Column, failure_rate: Column) -> Column:
     """Bands on the already rounded rates."""
     worst = F.greatest(attack_rate, failure_rate)
@@ -43,7 +48,7 @@ def device_risk(staged: DataFrame) -> DataFrame:
         _share("is_attack").alias("attack_rate"),
         _share("is_failed").alias("failure_rate"),
         *_means(),
-        *_seen(),
+        *seen(),
     )
     return per_device.withColumn("risk_level", risk_band(F.col("attack_rate"), F.col("failure_rate")))
 
@@ -57,7 +62,7 @@ def attack_summary(staged: DataFrame) -> DataFrame:
             _events().alias("total_attack_events"),
             F.count_distinct("device_id").alias("affected_devices"),
             *_means(),
-            *_seen(),
+            *seen(),
         )
     )
 
@@ -69,7 +74,7 @@ def protocol_metrics(staged: DataFrame) -> DataFrame:
         tally(F.col("is_failed")).alias("failed_events"),
         _share("is_attack").alias("attack_rate"),
         *_means(),
-        *_seen(),
+        *seen(),
     )
 
 

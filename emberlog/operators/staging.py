@@ -37,27 +37,26 @@ def category(reason: Column) -> Column:
     return chain.otherwise("other")
 
 
+def records(rows: DataFrame) -> DataFrame:
+    """Text columns of log records in normal form, whatever typed columns stand beside them."""
+    folded = {"protocol": F.upper, "event_type": F.lower, "status": F.lower}
+    text = {c: F.trim(c) for c in ("device_id", "source_ip", "destination_ip", *folded) if c in rows.columns}
+    text |= {c: fold(text[c]) for c, fold in folded.items()}
+    return rows.withColumns(text | {"attack_type": F.expr(space_blank_to_null("attack_type"))})
+
+
+def flagged(normal: DataFrame) -> DataFrame:
+    """``is_attack`` and ``is_failed`` beside normal-form columns."""
+    return normal.withColumns({
+        "is_attack": attack_flag(F.col("event_type"), F.col("attack_type")), "is_failed": failed_flag(F.col("status")),
+    })
+
+
 def stage_processed(rows: DataFrame) -> DataFrame:
-    event_type = F.lower(F.trim("event_type"))
-    status = F.lower(F.trim("status"))
-    label = F.expr(space_blank_to_null("attack_type"))
-    return rows.select(
-        "id",
-        "event_timestamp",
-        F.to_date("event_timestamp").alias("event_date"),
-        F.hour("event_timestamp").alias("event_hour"),
-        *[F.trim(c).alias(c) for c in ("device_id", "source_ip", "destination_ip")],
-        F.upper(F.trim("protocol")).alias("protocol"),
-        "packet_size",
-        "duration_ms",
-        event_type.alias("event_type"),
-        label.alias("attack_type"),
-        status.alias("status"),
-        "ingestion_timestamp",
-        "processed_at",
-        "inserted_at",
-        attack_flag(event_type, label).alias("is_attack"),
-        failed_flag(status).alias("is_failed"),
+    return flagged(records(rows)).select(
+        "id", "event_timestamp", F.to_date("event_timestamp").alias("event_date"), F.hour("event_timestamp").alias("event_hour"),
+        "device_id", "source_ip", "destination_ip", "protocol", "packet_size", "duration_ms", "event_type", "attack_type", "status",
+        "ingestion_timestamp", "processed_at", "inserted_at", "is_attack", "is_failed",
     )
 
 

@@ -330,22 +330,51 @@ _STAGES = (
 )
 
 
+_NORMAL_SECONDS = _NORMAL.replace("try_strptime(trim(event_timestamp), '%Y-%m-%dT%H:%M:%S.%fZ')", "date_trunc('second', try_strptime(trim(event_timestamp), '%Y-%m-%dT%H:%M:%S.%fZ'))")
+
+
+# the declared tests of every model, written out here: columns that must not be null, must be unique, must be in a list
+_DECLARED = {
+    ("stg_processed_iot_logs", "staged"): (
+        "id event_timestamp event_date event_hour device_id source_ip destination_ip protocol packet_size duration_ms event_type status "
+        "processed_at inserted_at is_attack is_failed", "id",
+        {"protocol": "'TCP', 'UDP', 'ICMP'", "event_type": "'normal', 'warning', 'error', 'attack'", "status": "'success', 'failed', 'blocked'"},
+    ),
+    ("stg_invalid_iot_logs", "invalid"): ("id raw_payload error_reason failed_at inserted_at", "id", {}),
+    ("mart_device_risk_summary", "risk"): (
+        "device_id total_events attack_events failed_events attack_rate failure_rate first_seen last_seen risk_level", "device_id",
+        {"risk_level": "'LOW', 'MEDIUM', 'HIGH'"},
+    ),
+    ("mart_attack_summary", "attacks"): ("attack_type total_attack_events affected_devices first_seen last_seen", "", {}),
+    ("mart_protocol_metrics", "protocols"): ("protocol total_events attack_events failed_events attack_rate first_seen last_seen", "", {}),
+    ("mart_pipeline_quality_summary", "quality"): ("processed_records invalid_records total_records invalid_rate", "", {}),
+}
+
+
+def _all_declared() -> str:
+    rows = []
+    for (model, table), (present, single, listed) in _DECLARED.items():
+        tests = [(c, "not_null", f"(SELECT count(*) FROM {table} WHERE {c} IS NULL)") for c in present.split()]
+        tests += [(c, "accepted_values", f"(SELECT count(*) FROM {table} WHERE {c} NOT IN ({v}))") for c, v in listed.items()]
+        tests += [(c, "unique", f"(SELECT count(*) FROM (SELECT {c} FROM {table} GROUP BY {c} HAVING count({c}) > 1))") for c in single.split()]
+        rows += [f"SELECT '{model}' AS model, '{c}' AS column_name, '{t}' AS test, {n} AS failures" for c, t, n in tests]
+    return f"SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM ({' UNION ALL '.join(rows)})"
+
+
 def _counts(field: str) -> str:
     return (
         f"(SELECT coalesce(string_agg(v || '=' || n, ',' ORDER BY v), '') FROM (SELECT {field} AS v, count(*) AS n FROM found GROUP BY 1)) "
     )
 
 
-_DEVICE_FEATURES = _raw(
-    f"""SELECT *, CASE WHEN attack_event_ratio >= 0.5 OR failed_event_ratio >= 0.5 THEN 'high'
+_FEATURES_SQL = f"""SELECT *, CASE WHEN attack_event_ratio >= 0.5 OR failed_event_ratio >= 0.5 THEN 'high'
         WHEN attack_event_ratio > 0 OR failed_event_ratio > 0 THEN 'medium' ELSE 'low' END AS risk_level FROM (
       SELECT device_id, count(*) AS total_events, count(DISTINCT protocol) AS unique_protocols, sum(packet_size)::BIGINT AS total_packet_size,
         {mean('packet_size')} AS avg_packet_size, max(packet_size) AS max_packet_size, {mean('duration_ms')} AS avg_duration_ms,
         max(duration_ms) AS max_duration_ms, {_FAIL_RAW} AS failed_events, count(*) FILTER (status = 'success') AS success_events,
         {ratio(_FAIL_RAW, 'count(*)', 4)} AS failed_event_ratio, {_ATTACK_RAW} AS attack_events, {ratio(_ATTACK_RAW, 'count(*)', 4)} AS attack_event_ratio,
-        min(event_timestamp) AS first_event_timestamp, max(event_timestamp) AS last_event_timestamp FROM normal GROUP BY device_id)""",
-    _NORMAL,
-)
+        min(event_timestamp) AS first_event_timestamp, max(event_timestamp) AS last_event_timestamp FROM normal GROUP BY device_id)"""
+_DEVICE_FEATURES = _raw(_FEATURES_SQL, _NORMAL)
 
 
 def _full_run() -> str:
@@ -428,6 +457,8 @@ def statements() -> dict[str, str]:
               FROM raw LEFT JOIN (SELECT row_number, count(*) AS n FROM broken GROUP BY 1) b ON b.row_number = row_id + 1""",
             CONTRACT,
         ),
+        "p1_normalize_seconds": _raw("SELECT * FROM normal", _NORMAL_SECONDS),
+        "q10_q12_all_models": _logs(_all_declared()),
         "q10_not_null": _logs(_declared(*_STAGED, "not_null")),
         "q11_unique": _logs(_declared(*_STAGED, "unique") + " UNION ALL " + _declared(*_RISK, "unique")),
         "q12_accepted_values": _logs(_declared(*_STAGED, "accepted") + " UNION ALL " + _declared(*_RISK, "accepted")),
@@ -518,4 +549,4 @@ def statements() -> dict[str, str]:
         "x1_stream_validate": _logs("SELECT row_id, CASE WHEN error_reason IS NULL THEN 'iot_processed_logs' ELSE 'iot_invalid_logs' END AS topic, CASE WHEN error_reason IS NULL THEN device_id END AS key, error_reason FROM checked"),
         "x2_stream_load": _logs("SELECT * FROM processed"),
         "x11_full_run": _full_run(),
-    } | {"k8_features_parquet": _DEVICE_FEATURES, "a1_device_features": _DEVICE_FEATURES}
+    } | {"k8_features_parquet": _DEVICE_FEATURES, "a1_device_features": _DEVICE_FEATURES, "a1_device_features_seconds": _raw(_FEATURES_SQL, _NORMAL_SECONDS)}

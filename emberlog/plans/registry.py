@@ -129,6 +129,22 @@ def p15_display(spark, sf):
     return explore.display(marts.protocol_metrics(bridge.staged(spark, sf)))
 
 
+def _whole_seconds(spark, sf):
+    """The logs with times as the feature job expects them by default: without fractions of a second."""
+    whole = F.regexp_replace("event_timestamp", r"\.[0-9]+Z$", "Z")
+    return bridge.logs(spark, sf).withColumn("event_timestamp", whole)
+
+
+@query
+def p1_normalize_seconds(spark, sf):
+    return features.normalize(_whole_seconds(spark, sf))
+
+
+@query
+def a1_device_features_seconds(spark, sf):
+    return features.device_features(features.normalize(_whole_seconds(spark, sf)))
+
+
 # --- marts and features -----------------------------------------------------------------------
 
 @query
@@ -269,6 +285,18 @@ def q10_not_null(spark, sf):
     return data_tests.not_null(bridge.staged(spark, sf), "stg_processed_iot_logs", data_tests.STAGED_PROCESSED)
 
 
+@query
+def q10_q12_all_models(spark, sf):
+    """All declared tests of all six models with their status."""
+    staged, rejected = bridge.staged(spark, sf), bridge.staged_invalid(spark, sf)
+    models = {
+        "stg_processed_iot_logs": staged, "stg_invalid_iot_logs": rejected, "mart_device_risk_summary": marts.device_risk(staged),
+        "mart_attack_summary": marts.attack_summary(staged), "mart_protocol_metrics": marts.protocol_metrics(staged),
+        "mart_pipeline_quality_summary": marts.quality_summary(staged, rejected),
+    }
+    return data_tests.run_all(models)
+
+
 @query
 def q11_unique(spark, sf):
     risk = marts.device_risk(bridge.staged(spark, sf))
