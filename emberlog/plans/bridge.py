@@ -60,6 +60,9 @@ def raw_messages(raw: DataFrame) -> DataFrame:
         "packet_size": f"CASE WHEN k = 14 THEN {quoted['packet_size']} ELSE {bare['packet_size']} END",
         "duration_ms": bare["duration_ms"],
         "status": f"CASE WHEN k <> 16 THEN {quoted['status']} END",
+        # some messages carry the optional time, some a field the schema does not name, with escapes
+        "ingestion_timestamp": "CASE WHEN k % 3 = 0 THEN concat('\"ingestion_timestamp\":\"', day, 'T23:59:58Z\"') END",
+        "note": "CASE WHEN k % 4 = 1 THEN concat('\"note\":\"a\\\\\"b\\\\u00e9 ', k, '\"') END",
     }
     return raw.selectExpr(
         "row_id", "day", "device_id AS key",

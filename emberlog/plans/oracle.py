@@ -49,7 +49,9 @@ msg AS (
       || '","destination_ip":"' || destination_ip || '","protocol":"' || protocol || '","packet_size":'
       || CASE WHEN k = 14 THEN '"' || packet_size || '"' ELSE packet_size END
       || ',"duration_ms":' || duration_ms || ',"event_type":"' || event_type || '","attack_type":"' || attack_type || '"'
-      || CASE WHEN k = 16 THEN '' ELSE ',"status":"' || status || '"' END || '}}' END AS value
+      || CASE WHEN k = 16 THEN '' ELSE ',"status":"' || status || '"' END
+      || CASE WHEN k % 3 = 0 THEN ',"ingestion_timestamp":"' || day || 'T23:59:58Z"' ELSE '' END
+      || CASE WHEN k % 4 = 1 THEN ',"note":"a\\"b\\u00e9 ' || k || '"' ELSE '' END || '}}' END AS value
   FROM raw)"""
 
 REQUIRED = ("event_timestamp", "device_id", "source_ip", "destination_ip", "protocol", "packet_size", "duration_ms", "event_type", "status")
@@ -74,6 +76,7 @@ fields AS (
     try_strptime(j->>'$.event_timestamp', '%Y-%m-%dT%H:%M:%S.%fZ') AS event_timestamp,
     trim(j->>'$.device_id') AS device_id, trim(j->>'$.source_ip') AS source_ip, trim(j->>'$.destination_ip') AS destination_ip,
     upper(trim(j->>'$.protocol')) AS protocol, {_whole('packet_size')} AS packet_size, {_whole('duration_ms')} AS duration_ms,
+    j->>'$.ingestion_timestamp' AS ingestion_text, j->>'$.note' AS note,
     lower(trim(j->>'$.event_type')) AS event_type, j->>'$.attack_type' AS attack_type, lower(trim(j->>'$.status')) AS status,
     concat_ws('; ', {_MISSING}) AS missing
   FROM doc),
@@ -94,13 +97,18 @@ good AS (SELECT * FROM checked WHERE error_reason IS NULL),
 processed AS (
   SELECT row_id AS id, event_timestamp, device_id, source_ip, destination_ip, protocol, packet_size::INT AS packet_size,
     duration_ms::INT AS duration_ms, event_type, nullif(trim(attack_type), '') AS attack_type, status,
-    {AS_OF} AS processed_at, {AS_OF} AS inserted_at FROM good),
+    try_strptime(ingestion_text, '%Y-%m-%dT%H:%M:%SZ') AS ingestion_timestamp, {AS_OF} AS processed_at, {AS_OF} AS inserted_at,
+    '{{"attack_type":"' || attack_type || '"' || coalesce(',"ingestion_timestamp":"' || ingestion_text || '"', '')
+      || coalesce(',"note":"' || replace(note, '"', '\\"') || '"', '')
+      || ',"event_timestamp":"' || strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%fZ') || '","device_id":"' || device_id || '","source_ip":"' || source_ip
+      || '","destination_ip":"' || destination_ip || '","protocol":"' || protocol || '","packet_size":' || packet_size || ',"duration_ms":' || duration_ms
+      || ',"event_type":"' || event_type || '","status":"' || status || '","processed_at":"{AS_OF_TEXT}"}}' AS raw_payload FROM good),
 invalid AS (
   SELECT row_id AS id, value AS raw_payload, error_reason, {AS_OF} AS failed_at, {AS_OF} AS inserted_at
   FROM checked WHERE error_reason IS NOT NULL),
 staged AS (
   SELECT id, event_timestamp, strftime(event_timestamp, '%Y-%m-%d') AS event_date, date_part('hour', event_timestamp)::INT AS event_hour,
-    device_id, source_ip, destination_ip, protocol, packet_size, duration_ms, event_type, attack_type, status, processed_at, inserted_at,
+    device_id, source_ip, destination_ip, protocol, packet_size, duration_ms, event_type, attack_type, status, ingestion_timestamp, processed_at, inserted_at,
     (event_type = 'attack' OR attack_type IS NOT NULL) AS is_attack, status IN ('failed', 'error') AS is_failed
   FROM processed)"""
 
@@ -417,7 +425,7 @@ def statements() -> dict[str, str]:
         "p2_raw_message": _raw(f"SELECT row_id, device_id AS key, {json_row} AS value FROM (SELECT row_id, {', '.join(f'{c}' if c in ('packet_size', 'duration_ms') else c for c in COLUMNS)} FROM raw WHERE {_ACCEPTED})"),
         "f1_missing_fields": _logs("SELECT row_id, missing AS error_reason FROM checked WHERE missing <> '' AND j IS NOT NULL"),
         "f6_validate": _logs("SELECT row_id, value AS raw_text, error_reason FROM checked"),
-        "p3_normalized": _logs(f"SELECT row_id, event_timestamp, device_id, source_ip, destination_ip, protocol, packet_size, duration_ms, event_type, status, attack_type, {AS_OF} AS processed_at FROM good"),
+        "p3_normalized": _logs(f"SELECT row_id, event_timestamp, device_id, source_ip, destination_ip, protocol, packet_size, duration_ms, event_type, status, attack_type, ingestion_text AS ingestion_timestamp, value AS raw_text, {AS_OF} AS processed_at FROM good"),
         "p4_map_processed": _logs("SELECT * FROM processed"),
         "p5_map_invalid": _logs("SELECT * REPLACE (trim(raw_payload) AS raw_payload) FROM invalid"),
         "s8_topic_route": _logs("SELECT CASE WHEN error_reason IS NULL THEN 'iot_processed_logs' ELSE 'iot_invalid_logs' END AS topic, count(*) AS messages, count(DISTINCT CASE WHEN error_reason IS NULL THEN device_id END) AS keys FROM checked GROUP BY 1"),

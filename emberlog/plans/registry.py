@@ -87,14 +87,14 @@ def f6_validate(spark, sf):
 
 @query
 def p3_normalized(spark, sf):
-    return bridge.valid(spark, sf).drop("day", "raw_text", "ingestion_timestamp", "storable")
+    return bridge.valid(spark, sf).drop("day", "storable")
 
 
 @query
 def p4_map_processed(spark, sf):
     outgoing = validate.processed_messages(bridge.valid(spark, sf))
     mapped = mapping.map_processed(outgoing)
-    return mapping.processed_rows(mapped, F.col("row_id"), AS_OF).drop("raw_payload", "ingestion_timestamp")
+    return mapping.processed_rows(mapped, F.col("row_id"), AS_OF)
 
 
 @query
@@ -111,7 +111,7 @@ def s8_topic_route(spark, sf):
 
 @query
 def p6_stage_processed(spark, sf):
-    return bridge.staged(spark, sf).drop("ingestion_timestamp")
+    return bridge.staged(spark, sf)
 
 
 @query
@@ -638,7 +638,7 @@ def x2_stream_load(spark, sf):
     root = scratch_dir(spark, "load")
     source = topics.stream(spark, f"{root}/topics", _validated_stream(spark, sf, root), files_per_trigger=1)
     jobs.start_loader(source, f"{root}/tables", f"{root}/loader_checkpoint", now=AS_OF).awaitTermination()
-    return tables.read_loaded(spark, f"{root}/tables", "processed_iot_logs").drop("raw_payload", "ingestion_timestamp")
+    return tables.read_loaded(spark, f"{root}/tables", "processed_iot_logs")
 
 
 @query
