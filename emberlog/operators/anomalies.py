@@ -135,12 +135,18 @@ def store_form(found: DataFrame, run_id: Column | str, created_at: Column | str)
     )
 
 
-def by_rule(found: DataFrame) -> DataFrame:
-    return found.groupBy("rule_name").agg(F.count(F.lit(1)).alias("anomalies"))
+def by_rule(found: DataFrame, ordered: bool = False) -> DataFrame:
+    """Findings per rule; ``ordered`` sorts by rule, as reports list them."""
+    return _counted(found, "rule_name", ordered)
 
 
-def by_severity(found: DataFrame) -> DataFrame:
-    return found.groupBy("severity").agg(F.count(F.lit(1)).alias("anomalies"))
+def by_severity(found: DataFrame, ordered: bool = False) -> DataFrame:
+    return _counted(found, "severity", ordered)
+
+
+def _counted(found: DataFrame, key: str, ordered: bool) -> DataFrame:
+    counts = found.groupBy(key).agg(F.count(F.lit(1)).alias("anomalies"))
+    return counts.orderBy(key) if ordered else counts
 
 
 def affected_rows(found: DataFrame) -> DataFrame:
@@ -179,9 +185,10 @@ def summary(rows: DataFrame, limit: int | None = None, rules: Rules = Rules()) -
     )
 
 
-def rule_by_severity(found: DataFrame, *keys: str) -> DataFrame:
-    """Rule and severity counts; extra leading keys (a run id) are optional."""
-    return found.groupBy(*keys, "rule_name", "severity").agg(F.count(F.lit(1)).alias("anomaly_rows"))
+def rule_by_severity(found: DataFrame, *keys: str, ordered: bool = False) -> DataFrame:
+    """Rule and severity counts; extra leading keys (a run id) are optional. ``ordered``: most findings first."""
+    counts = found.groupBy(*keys, "rule_name", "severity").agg(F.count(F.lit(1)).alias("anomaly_rows"))
+    return counts.orderBy(F.col("anomaly_rows").desc(), "rule_name", "severity") if ordered else counts
 
 
 def per_run(stored: DataFrame, newest: int = 5) -> DataFrame:
@@ -194,6 +201,6 @@ def latest_run(stored: DataFrame) -> DataFrame:
     return stored.agg(F.max(F.struct("created_at", "run_id"))["run_id"].alias("run_id"))
 
 
-def latest_run_rollup(stored: DataFrame) -> DataFrame:
+def latest_run_rollup(stored: DataFrame, ordered: bool = False) -> DataFrame:
     # the joined side is a global aggregate: exactly one row
-    return rule_by_severity(stored.join(F.broadcast(latest_run(stored)), "run_id"), "run_id")
+    return rule_by_severity(stored.join(F.broadcast(latest_run(stored)), "run_id"), "run_id", ordered=ordered)

@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.numeric import two_digits
 
 RISK_LEVELS = ("HIGH", "MEDIUM", "LOW")
-TOP_N_CHOICES = (5, 10, 15, 20, 25, 50)
 
 
 def filter_by_values(df: DataFrame, column: str, selected: list[str]) -> DataFrame:

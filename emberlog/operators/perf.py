@@ -40,10 +40,6 @@ def run_table(runs: DataFrame) -> DataFrame:
     )
 
 
-def in_order(runs: DataFrame) -> DataFrame:
-    return runs.orderBy("timestamp", "file")
-
-
 def size_groups(runs: DataFrame) -> DataFrame:
     return runs.groupBy("rows", "consumer_messages", "loader_messages").agg(F.count(F.lit(1)).alias("run_count"))
 

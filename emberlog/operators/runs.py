@@ -64,10 +64,6 @@ def of_latest_run(checks: DataFrame, audit: DataFrame) -> DataFrame:
     return checks.join(F.broadcast(latest_run(audit).select("run_id")), "run_id", "left_semi")
 
 
-def of_run(df: DataFrame, run_id: str) -> DataFrame:
-    return df.filter(F.col("run_id") == run_id)
-
-
 def with_run_prefix(df: DataFrame, prefix: str) -> DataFrame:
     return df.filter(F.col("run_id").startswith(prefix))
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import anomalies, contract, data_tests, features, marts, quality, staging
+from ..operators import contract, data_tests, features, marts, quality, staging
 from ..sinks import files, tables as sink
 from ..sources import csv, tables, topics
 from ..streaming import jobs
 from ..operators import validate
+from . import quality_run
 
 
 def run(
@@ -57,9 +58,8 @@ def run(
     processed = tables.read_loaded(spark, at["tables"], "processed_iot_logs")
     invalid = tables.read_loaded(spark, at["tables"], "invalid_iot_logs")
 
-    found = anomalies.detect(processed)
-    sink.append_run(anomalies.store_form(found, f"{run_id}-anomalies", now), at["tables"], "iot_anomalies")
-    steps.append(("anomalies", tables.read(spark, at["tables"], "iot_anomalies").count()))
+    found = quality_run.anomaly_run(processed, at["tables"], now, f"{run_id}-anomalies", write=True)
+    steps.append(("anomalies", found.first()["inserted_rows"]))
 
     # staged rows feed four marts and the tests: computed once, read back from storage
     staged, staged_invalid = (
@@ -91,10 +91,7 @@ def run(
     raised = quality.alerts(checks, now, settings)
     sink.replace_alerts(raised, at["tables"], run_id)
     stored = {n: tables.read(spark, at["tables"], n) for n in ("pipeline_run_audit", "pipeline_quality_checks", "pipeline_alerts")}
-    if not stored["pipeline_alerts"].isEmpty():
-        payloads = quality.alert_payloads(stored["pipeline_alerts"], metrics, settings)
-        topics.publish(payloads.withColumn("key", F.lit(None).cast("string")), at["topics"] + "_alerts", topics.ALERT_TOPIC)
-        sink.mark_published(spark, at["tables"], run_id, now)
+    quality_run.publish_alerts(spark, at["tables"], at["topics"] + "_alerts", run_id, metrics, now, settings)
     quality.assert_written(stored["pipeline_run_audit"], stored["pipeline_quality_checks"], run_id)
     steps.append(("quality_checks", stored["pipeline_quality_checks"].count()))
     return spark.createDataFrame(steps, "stage string, row_count bigint")

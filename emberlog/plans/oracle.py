@@ -410,6 +410,12 @@ def _full_run() -> str:
     return _raw(" UNION ALL ".join(f"SELECT '{k}' AS stage, ({v})::BIGINT AS row_count" for k, v in stages.items()), CONTRACT, sent, _NORMAL)
 
 
+_PAYLOADS = """SELECT run_id, alert_type, '{"run_id":"' || run_id || '","pipeline_name":"iot_local_pipeline","environment":"local","alert_type":"' || alert_type
+              || '","alert_level":"' || alert_level || '","alert_message":"' || alert_message || '","source":"' || source || '","processed_records":' || processed_records
+              || ',"invalid_records":' || invalid_records || ',"invalid_rate":' || invalid_rate::VARCHAR || ',"created_at":"' || strftime(created_at, '%Y-%m-%dT%H:%M:%S+00:00') || '"}' AS value
+              FROM alerts JOIN metrics USING (run_id)"""
+
+
 def statements() -> dict[str, str]:
     columns = ", ".join(COLUMNS)
     json_row = " || ".join(
@@ -453,6 +459,12 @@ def statements() -> dict[str, str]:
         "a7_by_severity": _logs("SELECT severity, count(*) AS anomalies FROM found GROUP BY 1"),
         "a8_affected_rows": _logs("SELECT count(DISTINCT source_row_id) AS rows_with_anomalies FROM found"),
         "a9_summary": _logs(f"SELECT (SELECT count(*) FROM processed) AS rows_scanned, (SELECT count(*) FROM found) AS anomalies_detected, (SELECT count(DISTINCT source_row_id) FROM found) AS rows_with_anomalies, {_counts('rule_name')} AS anomalies_by_rule, {_counts('severity')} AS anomalies_by_severity"),
+        "a9_anomaly_runs": _logs(
+            f"""SELECT * FROM (SELECT (SELECT count(*) FROM processed) AS rows_scanned, (SELECT count(*) FROM found) AS anomalies_detected,
+                (SELECT count(DISTINCT source_row_id) FROM found) AS rows_with_anomalies, {_counts('rule_name')} AS anomalies_by_rule, {_counts('severity')} AS anomalies_by_severity),
+              (SELECT 'run-dry' AS run_id, true AS dry_run, false AS write_db, 0::BIGINT AS inserted_rows UNION ALL SELECT 'run-stored', false, true, (SELECT count(*) FROM found))"""
+        ),
+        "k10_stored_anomalies": _logs(f"SELECT * REPLACE ('run-stored' AS run_id, {AS_OF} AS created_at) FROM stored"),
         "a10_rule_severity": _logs("SELECT rule_name, severity, count(*) AS anomaly_rows FROM found GROUP BY ALL"),
         "a11_per_run": _logs("SELECT run_id, count(*) AS anomaly_rows FROM stored GROUP BY 1 ORDER BY run_id DESC LIMIT 5"),
         "j2_latest_run": _logs("SELECT run_id, rule_name, severity, count(*) AS anomaly_rows FROM stored WHERE run_id = (SELECT run_id FROM stored ORDER BY created_at DESC, run_id DESC LIMIT 1) GROUP BY ALL"),
@@ -484,12 +496,9 @@ def statements() -> dict[str, str]:
         "k13_replace": _runs(f"SELECT * REPLACE (CASE WHEN {_ODD} THEN 'rewritten' ELSE severity END AS severity) FROM stored_checks"),
         "k14_replace_empty": _runs(f"SELECT * FROM alerts WHERE NOT ({_ODD})"),
         "k15_mark_published": _runs("SELECT * REPLACE (run_id = (SELECT max(run_id) FROM alerts) AS is_published_to_kafka) FROM alerts"),
-        "p16_alert_payload": _runs(
-            """SELECT run_id, alert_type, '{"run_id":"' || run_id || '","pipeline_name":"iot_local_pipeline","environment":"local","alert_type":"' || alert_type
-              || '","alert_level":"' || alert_level || '","alert_message":"' || alert_message || '","source":"' || source || '","processed_records":' || processed_records
-              || ',"invalid_records":' || invalid_records || ',"invalid_rate":' || invalid_rate::VARCHAR || ',"created_at":"' || strftime(created_at, '%Y-%m-%dT%H:%M:%S+00:00') || '"}' AS value
-              FROM alerts JOIN metrics USING (run_id)"""
-        ),
+        "p16_alert_payload": _runs(_PAYLOADS),
+        "k16_alert_topic": _runs(f"SELECT 'iot_pipeline_alerts' AS topic, NULL::VARCHAR AS key, value FROM ({_PAYLOADS}) WHERE run_id = (SELECT max(run_id) FROM alerts)"),
+        "k15_stored_flag": _runs("SELECT * REPLACE (run_id = (SELECT max(run_id) FROM alerts) AS is_published_to_kafka) FROM alerts"),
         "k7_offsets": _raw("SELECT 'iot_raw_logs' AS topic, length(key) + row_id % 8 AS partition, max(row_id // 8) + 1 AS next_offset FROM msg GROUP BY ALL"),
         "t5_recent_runs": _runs("SELECT * FROM audit ORDER BY created_at DESC, finished_at DESC NULLS LAST, run_id DESC LIMIT 20"),
         "t5_recent_checks": _runs("SELECT * FROM stored_checks ORDER BY created_at DESC, id DESC LIMIT 100"),

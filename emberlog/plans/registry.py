@@ -13,10 +13,10 @@ from ..operators import (
     reconcile, runs, sampling, validate,
 )
 from ..session import scratch_dir
-from ..sinks import files
+from ..sinks import files, tables as sink
 from ..sources import benchmark, csv, tables, topics
 from ..streaming import jobs
-from . import bridge, full_run
+from . import bridge, full_run, quality_run
 
 Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = bridge.AS_OF
@@ -233,6 +233,53 @@ def a9_summary(spark, sf):
     )
 
 
+def _texts(df, *maps):
+    def text(name):
+        return F.array_join(F.transform(F.map_entries(name), lambda e: F.concat_ws("=", e["key"], e["value"])), ",").alias(name)
+
+    return df.select(*[text(c) if c in maps else c for c in df.columns])
+
+
+@query
+def a9_anomaly_runs(spark, sf):
+    """A dry run and a writing run over the same rows: nine fields each."""
+    rows, root = bridge.processed(spark, sf), scratch_dir(spark, "anomalies")
+    both = [quality_run.anomaly_run(rows, root, AS_OF, f"run-{name}", write=name == "stored") for name in ("dry", "stored")]
+    return _texts(both[0].unionByName(both[1]), "anomalies_by_rule", "anomalies_by_severity")
+
+
+@query
+def k10_stored_anomalies(spark, sf):
+    """What a writing run left in the anomaly table."""
+    root = scratch_dir(spark, "anomaly-table")
+    quality_run.anomaly_run(bridge.processed(spark, sf), root, AS_OF, "run-stored", write=True)
+    return tables.read(spark, root, "iot_anomalies")
+
+
+def _stored_alerts(spark, sf, label):
+    """Alerts of all daily runs in a table, and the newest run."""
+    root = scratch_dir(spark, label)
+    sink.append_run(bridge.run_alerts(spark, sf), f"{root}/tables", "pipeline_alerts")
+    newest = tables.read(spark, f"{root}/tables", "pipeline_alerts").agg(F.max("run_id")).first()[0]
+    return root, newest
+
+
+@query
+def k15_stored_flag(spark, sf):
+    """The alert table after publishing the newest run."""
+    root, newest = _stored_alerts(spark, sf, "flag")
+    sink.mark_published(spark, f"{root}/tables", newest, AS_OF)
+    return tables.read(spark, f"{root}/tables", "pipeline_alerts")
+
+
+@query
+def k16_alert_topic(spark, sf):
+    """The alert topic after publishing the newest run."""
+    root, newest = _stored_alerts(spark, sf, "alerts")
+    quality_run.publish_alerts(spark, f"{root}/tables", f"{root}/topic", newest, bridge.run_metrics(spark, sf), AS_OF, bridge.RUN_SETTINGS)
+    return topics.read(spark, f"{root}/topic", [topics.ALERT_TOPIC]).select("topic", "key", "value")
+
+
 @query
 def a10_rule_severity(spark, sf):
     return anomalies.rule_by_severity(anomalies.detect(bridge.processed(spark, sf)))

@@ -22,7 +22,13 @@ def publish(df: DataFrame, bucket: str, prefix: str) -> DataFrame:
 
 
 def write_subset(df: DataFrame, path: str, overwrite: bool = False) -> None:
-    """CSV with a header; an existing output is kept unless asked."""
+    """CSV with a header; an existing output is kept unless asked, and the input is never replaced."""
+    def bare(place: str) -> str:
+        return place.split(":", 1)[-1].strip("/") + "/"
+
+    inside = [f for f in df.inputFiles() if bare(f).startswith(bare(path))]
+    if inside:
+        raise ValueError("input and output paths must be different")
     df.write.mode("overwrite" if overwrite else "errorifexists").csv(path, header=True)
 
 
@@ -43,12 +49,11 @@ def write_anomaly_report(
 def write_contract_report(
     summary: DataFrame, errors: DataFrame, path: str, input_path: str, contract_path: str, now: Column | str
 ) -> None:
-    """One JSON object; the error list is bounded by the error cap of the run."""
-    listed = errors.agg(F.sort_array(F.collect_list(F.struct("row_number", "position", "error"))).alias("found"))
-    report = summary.crossJoin(F.broadcast(listed)).select(
+    """``path/summary`` holds the one report object, ``path/errors`` one JSON line per error."""
+    report = summary.select(
         F.lit(input_path).alias("input_path"), F.lit(contract_path).alias("contract_path"),
-        "rows_checked", "valid_rows", "invalid_rows",
-        F.transform("found", lambda e: e["error"]).alias("errors"),
+        "rows_checked", "valid_rows", "invalid_rows", "error_count",
         F.date_format(clock.moment(now), "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("timestamp"),
     )
-    report.write.mode("overwrite").json(path)
+    report.write.mode("overwrite").json(f"{path}/summary")
+    errors.select("row_number", "position", "error").write.mode("overwrite").json(f"{path}/errors")

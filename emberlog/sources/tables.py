@@ -78,11 +78,16 @@ def require_schema(tables: dict[str, DataFrame | None], needed: dict[str, set[st
             raise RuntimeError(f"table '{name}' is missing required columns: {', '.join(absent)}")
 
 
-def load_frames(spark: SparkSession, names: list[str]) -> tuple[dict[str, DataFrame], dict[str, str]]:
-    """Frames by name; a missing or unreadable table becomes an empty frame, errors are listed."""
+def load_frames(
+    spark: SparkSession, names: list[str], missing: list[str] | None = None
+) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    """Frames by name; a missing or unreadable table becomes an empty frame, errors are listed.
+
+    ``missing`` names the absent tables where the caller already asked (``missing_tables``).
+    """
     frames: dict[str, DataFrame] = {}
     errors: dict[str, str] = {}
-    absent = set(missing_tables(spark, names))
+    absent = set(missing_tables(spark, names) if missing is None else missing)
     for name in names:
         try:
             frames[name] = spark.createDataFrame([], "dummy int").drop("dummy") if name in absent else spark.table(name)

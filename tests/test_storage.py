@@ -95,8 +95,8 @@ def test_contract_over_a_file(spark, folder):
     assert [r["error"][:6] for r in errors.orderBy("row_number").collect()] == ["Row 3:", "Row 4:"]
     summary, errors = contract.run_contract(df, contract.RAW_LOG_CONTRACT, F.col("row_number"), 1)
     files.write_contract_report(summary, errors, f"{folder}/report", path, "contract", NOW)
-    report = spark.read.json(f"{folder}/report").first()
-    assert report["rows_checked"] == 3 and len(report["errors"]) == 1
+    report = spark.read.json(f"{folder}/report/summary").first()
+    assert report["rows_checked"] == 3 and spark.read.json(f"{folder}/report/errors").count() == 1
 
 
 def test_subset_refuses_to_overwrite(spark, folder):
@@ -106,6 +106,8 @@ def test_subset_refuses_to_overwrite(spark, folder):
     with pytest.raises(Exception, match="(?i)exists"):
         files.write_subset(df, f"{folder}/out")
     files.write_subset(df, f"{folder}/out", overwrite=True)
+    with pytest.raises(ValueError, match="different"):
+        files.write_subset(spark.read.csv(f"{folder}/out", header=True), f"{folder}/out", overwrite=True)
 
 
 def test_publish_features(spark, folder):
