@@ -3,10 +3,26 @@ code: JSON text is read with DuckDB's own functions and rounding is exact intege
 
 from __future__ import annotations
 
-from ..functions.text import quote_list
-from ..operators import anomalies, contract, data_tests, manifest, perf
-from ..sources.csv import COLUMNS
-from .bridge import ATTACK_LABELS
+# Fixed values, written out here so that a wrong list in the operators does not pass.
+COLUMNS = "event_timestamp device_id source_ip destination_ip protocol packet_size duration_ms event_type attack_type status".split()
+ATTACK_LABELS = ["DDoS", "ARP_poisioning", "DOS_SYN_Hping", "port_scan", "", "unknown"]
+HIGH_RISK_LABELS = "arp_poisoning arp_poisioning botnet brute_force ddos dos malware mitm port_scan ransomware sql_injection".split()
+BENIGN_LABELS = ["", "benign", "none", "normal", "unknown", "n/a", "na"]
+PROFILES = ["sample", "medium", "full"]
+LAYERS = ["raw", "processed", "curated", "anomalies"]
+EXTENSIONS = [".csv", ".json", ".jsonl", ".parquet"]
+MISSING_KEY = "Missing object key in event payload."
+BAD_EXTENSION = "Unsupported file extension. Supported extensions: .csv, .json, .jsonl, .parquet."
+# contract columns with a list of values, with whole numbers, and the one that may be empty
+CONTRACT_LISTS = {
+    "protocol": ["TCP", "UDP", "ICMP", "HTTP", "HTTPS", "MQTT", "ARP"], "status": ["success", "failed", "blocked", "allowed", "warning"],
+}
+CONTRACT_NUMBERS, CONTRACT_OPTIONAL = ("packet_size", "duration_ms"), ("attack_type",)
+
+
+def quote_list(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
 
 AS_OF = "TIMESTAMP '2025-06-01 00:00:00'"
 AS_OF_TEXT = "2025-06-01T00:00:00Z"
@@ -159,11 +175,11 @@ found AS (
   UNION ALL
   SELECT source_row_id, device_id, event_timestamp, 'suspicious_attack_type', 'high',
     'attack_type=' || attack_type || ' matches a high-risk suspicious traffic label.', 92 FROM shaped
-    WHERE lower(attack_type) IN ({quote_list(anomalies.HIGH_RISK_LABELS)})
+    WHERE lower(attack_type) IN ({quote_list(HIGH_RISK_LABELS)})
   UNION ALL
   SELECT source_row_id, device_id, event_timestamp, 'suspicious_attack_type', 'medium',
     'attack_type=' || attack_type || ' is non-empty and marked for analyst review.', 68 FROM shaped
-    WHERE lower(attack_type) NOT IN ({quote_list(anomalies.HIGH_RISK_LABELS)}) AND lower(attack_type) NOT IN ({quote_list(anomalies.BENIGN_LABELS)})
+    WHERE lower(attack_type) NOT IN ({quote_list(HIGH_RISK_LABELS)}) AND lower(attack_type) NOT IN ({quote_list(BENIGN_LABELS)})
   UNION ALL
   SELECT source_row_id, device_id, event_timestamp, 'unusual_protocol', 'low',
     'protocol=ICMP is allowed but treated as less common control-plane traffic.', 35 FROM shaped WHERE protocol = 'ICMP'),
@@ -175,21 +191,21 @@ stored AS (
 
 def _contract() -> str:
     branches = []
-    for place, (name, rule) in enumerate(contract.RAW_LOG_CONTRACT.items()):
-        if not rule.nullable:
+    for place, name in enumerate(COLUMNS):
+        if name not in CONTRACT_OPTIONAL:
             branches.append((place, f"trim({name}) = ''", f"'is required and cannot be empty.'"))
-        if rule.kind == "integer":
+        if name in CONTRACT_NUMBERS:
             number = f"try_cast(trim({name}) AS BIGINT)"
             whole = f"regexp_full_match(trim({name}), '[+-]?[0-9]+')"
             branches.append((place, f"trim({name}) <> '' AND NOT {whole}", f"'expects an integer but got ''' || trim({name}) || ''''"))
             branches.append((place, f"{whole} AND {number} < 0", f"'must be >= 0, got ' || trim({name}) || '.'"))
-        if rule.allowed:
-            allowed = ", ".join(f"'{v.lower()}'" for v in rule.allowed)
+        if name in CONTRACT_LISTS:
+            allowed = ", ".join(f"'{v.lower()}'" for v in CONTRACT_LISTS[name])
             branches.append((
                 place, f"trim({name}) <> '' AND lower(trim({name})) NOT IN ({allowed})",
-                f"'has value ''' || trim({name}) || ''' outside allowed values [{', '.join(rule.allowed)}].'",
+                f"'has value ''' || trim({name}) || ''' outside allowed values [{', '.join(CONTRACT_LISTS[name])}].'",
             ))
-    names = list(contract.RAW_LOG_CONTRACT)
+    names = COLUMNS
     return "\n  UNION ALL\n".join(
         f"  SELECT row_id + 1 AS row_number, {i} AS place, 'Row ' || (row_id + 1) || ': column ''{names[place]}'' ' || {text} AS error FROM raw WHERE {test}"
         for i, (place, test, text) in enumerate(branches)
@@ -235,7 +251,7 @@ stored_checks AS (
   SELECT replace(run_id[5:14], '-', '')::BIGINT * 2 + CASE WHEN check_name = 'invalid_rate_threshold' THEN 1 ELSE 0 END AS id, *,
     run_id[5:14]::TIMESTAMP + INTERVAL 2 HOUR AS created_at FROM checks)"""
 
-_PROFILES = ", ".join(f"'{p}'" for p in perf.PROFILES)
+_PROFILES = ", ".join(f"'{p}'" for p in PROFILES)
 TIMED = f"""
 timed AS (
   SELECT 'run-' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS file,
@@ -274,7 +290,7 @@ described AS (
   SELECT page_id, object_key, string_split(object_key, '/')[-1] AS filename,
     regexp_extract(lower(string_split(object_key, '/')[-1]), '^.+(\\.[^.]*)$', 1) AS file_extension,
     rtrim(array_to_string(string_split(object_key, '/')[:-2], '/'), '/') AS key_directory,
-    [lower(trim(x)) FOR x IN string_split(object_key, '/') IF lower(trim(x)) IN ({quote_list(manifest.LAYERS)})][1] AS detected_layer
+    [lower(trim(x)) FOR x IN string_split(object_key, '/') IF lower(trim(x)) IN ({quote_list(LAYERS)})][1] AS detected_layer
   FROM details)"""
 
 BASE = [RAW, CHECKED, TABLES, MARTS, FOUND]
@@ -296,25 +312,6 @@ def _runs(final: str) -> str:
     return _with([RAW, CHECKED, RUNS], final)
 
 
-def _declared(model: str, table: str, tests: data_tests.ModelTests, kind: str) -> str:
-    if kind == "unique":
-        return " UNION ALL ".join(
-            f"SELECT '{model}' AS model, '{c}' AS column_name, 'unique' AS test, count(*) AS failures FROM "
-            f"(SELECT {c} FROM {table} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)"
-            for c in tests.unique
-        )
-    if kind == "not_null":
-        return " UNION ALL ".join(
-            f"SELECT '{model}' AS model, '{c}' AS column_name, 'not_null' AS test, count(*) FILTER ({c} IS NULL) AS failures FROM {table}"
-            for c in tests.not_null
-        )
-    return " UNION ALL ".join(
-        f"SELECT '{model}' AS model, '{c}' AS column_name, 'accepted_values' AS test, count(*) FILTER ({c} NOT IN ({quote_list(v)})) AS failures FROM {table}"
-        for c, v in tests.accepted.items()
-    )
-
-
-_STAGED, _RISK = ("stg_processed_iot_logs", "staged", data_tests.STAGED_PROCESSED), ("mart_device_risk_summary", "risk", data_tests.DEVICE_RISK)
 _CATEGORY = """CASE WHEN lower(error_reason) LIKE 'invalid json%' THEN 'invalid_json'
     WHEN lower(error_reason) LIKE '%missing required field%' THEN 'missing_required_field'
     WHEN lower(error_reason) LIKE '%invalid timestamp%' THEN 'invalid_timestamp'
@@ -359,6 +356,10 @@ _DECLARED = {
 }
 
 
+def _some_declared(test: str, *models: str) -> str:
+    return f"SELECT model, column_name, test, failures FROM ({_all_declared()}) WHERE test = '{test}' AND model IN ({quote_list(models)})"
+
+
 def _all_declared() -> str:
     rows = []
     for (model, table), (present, single, listed) in _DECLARED.items():
@@ -398,7 +399,7 @@ def _full_run() -> str:
         "processed_rows": "(SELECT count(*) FROM kept)",
         "invalid_rows": "(SELECT count(*) FROM sent WHERE fits AND NOT ok)",
         "anomalies": f"""(SELECT coalesce(sum((size >= 1000)::INT + (span >= 5000)::INT + (lower(status) IN ('blocked', 'failed', 'error'))::INT
-          + (lower(label) NOT IN ({quote_list(anomalies.BENIGN_LABELS)}))::INT + (protocol = 'icmp')::INT), 0)::BIGINT FROM kept)""",
+          + (lower(label) NOT IN ({quote_list(BENIGN_LABELS)}))::INT + (protocol = 'icmp')::INT), 0)::BIGINT FROM kept)""",
         "mart_device_risk_summary": "(SELECT count(DISTINCT device_id) FROM kept)",
         "mart_attack_summary": "(SELECT count(DISTINCT CASE WHEN label = '' THEN 'unknown' ELSE label END) FROM named WHERE is_attack)",
         "mart_protocol_metrics": "(SELECT count(DISTINCT upper(trim(protocol))) FROM kept)",
@@ -479,9 +480,9 @@ def statements() -> dict[str, str]:
         ),
         "p1_normalize_seconds": _raw("SELECT * FROM normal", _NORMAL_SECONDS),
         "q10_q12_all_models": _logs(_all_declared()),
-        "q10_not_null": _logs(_declared(*_STAGED, "not_null")),
-        "q11_unique": _logs(_declared(*_STAGED, "unique") + " UNION ALL " + _declared(*_RISK, "unique")),
-        "q12_accepted_values": _logs(_declared(*_STAGED, "accepted") + " UNION ALL " + _declared(*_RISK, "accepted")),
+        "q10_not_null": _logs(_some_declared("not_null", "stg_processed_iot_logs")),
+        "q11_unique": _logs(_some_declared("unique", "stg_processed_iot_logs", "mart_device_risk_summary")),
+        "q12_accepted_values": _logs(_some_declared("accepted_values", "stg_processed_iot_logs", "mart_device_risk_summary")),
         "q13_checks": _runs("SELECT * FROM checks"),
         "q14_alerts": _runs("SELECT * FROM alerts"),
         "q15_audit": _runs("SELECT * FROM audit"),
@@ -535,7 +536,7 @@ def statements() -> dict[str, str]:
         "f13_manifest_validity": _with(
             [OBJECTS],
             f"""SELECT page_id, CASE WHEN problem = '' THEN 'validated' ELSE 'invalid' END AS status, problem = '' AS is_valid, problem AS validation_errors FROM (
-              SELECT page_id, CASE WHEN object_key IS NULL THEN '{manifest.MISSING_KEY}' WHEN file_extension IN ({quote_list(manifest.EXTENSIONS)}) THEN '' ELSE '{manifest.BAD_EXTENSION}' END AS problem FROM described)""",
+              SELECT page_id, CASE WHEN object_key IS NULL THEN '{MISSING_KEY}' WHEN file_extension IN ({quote_list(EXTENSIONS)}) THEN '' ELSE '{BAD_EXTENSION}' END AS problem FROM described)""",
         ),
         "f12_profile_filter": _with([TIMED], "SELECT file, timestamp, rows FROM timed2 WHERE profile = 'medium'"),
         "a18_groups": _with([TIMED], "SELECT rows, consumer_messages, loader_messages, count(*) AS run_count FROM timed2 GROUP BY ALL"),
