@@ -20,6 +20,10 @@ CONTRACT_LISTS = {
 CONTRACT_NUMBERS, CONTRACT_OPTIONAL = ("packet_size", "duration_ms"), ("attack_type",)
 
 
+# an empty CSV field is read back as NULL
+COLUMNS_AS_WRITTEN = [f"nullif({c}, '') AS {c}" for c in COLUMNS]
+
+
 def quote_list(values) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
@@ -564,6 +568,10 @@ def statements() -> dict[str, str]:
               CASE WHEN line = 1 THEN profile END AS profile, CASE WHEN line = 1 THEN rows END AS rows, CASE WHEN line = 1 THEN 4 END AS steps FROM (SELECT *, string_split(file, '-')[3]::INT AS line FROM timed2)""",
         ),
         "s3_lenient_scan": _raw(f"SELECT {', '.join(f'trim({c}) AS {c}' if c not in ('packet_size', 'duration_ms') else f'{c}::INT AS {c}' for c in COLUMNS)} FROM raw WHERE {_ACCEPTED}"),
+        "s4_strict_scan": _raw(f"SELECT {', '.join(COLUMNS_AS_WRITTEN)} FROM raw"),
+        "w4_row_numbers": _raw("SELECT (row_id % 3)::VARCHAR AS file, count(*) AS rows, true AS gapless FROM raw GROUP BY ALL"),
+        "k19_contract_report": _raw("SELECT row_number, position, error FROM listed", CONTRACT),
+        "k18_anomaly_report": _logs("SELECT * FROM found"),
         "x1_stream_validate": _logs("SELECT row_id, CASE WHEN error_reason IS NULL THEN 'iot_processed_logs' ELSE 'iot_invalid_logs' END AS topic, CASE WHEN error_reason IS NULL THEN device_id END AS key, error_reason FROM checked"),
         "x2_stream_load": _logs("SELECT * FROM processed"),
         "x11_full_run": _full_run(),

@@ -658,6 +658,52 @@ def s3_lenient_scan(spark, sf):
     return accepted.select(*csv.COLUMNS)
 
 
+def _log_files(spark, sf, label):
+    """The logs as CSV files in three folders, two of them with another column order."""
+    path = scratch_dir(spark, label)
+    rows = bridge.logs(spark, sf)
+    for part in range(3):
+        columns = [*csv.COLUMNS[part * 2:], *csv.COLUMNS[:part * 2]]
+        files.write_subset(rows.filter(F.col("row_id") % 3 == part).select(*columns), f"{path}/part={part}")
+    return f"{path}/*"
+
+
+@query
+def s4_strict_scan(spark, sf):
+    return csv.scan_strict(spark, _log_files(spark, sf, "strict"), csv.COLUMNS).select(*csv.COLUMNS)
+
+
+@query
+def w4_row_numbers(spark, sf):
+    """Rows of each folder of files, and how many different numbers from 2 on its files give them."""
+    numbered = csv.scan_text(spark, _log_files(spark, sf, "numbers")).withColumn("file", F.regexp_extract("_file", "part=([0-9])", 1))
+    per_file = numbered.groupBy("file", "_file").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("row_number").alias("numbers"), F.min("row_number").alias("first"), F.max("row_number").alias("last")
+    )
+    gapless = (F.col("rows") == F.col("numbers")) & (F.col("first") == 2) & (F.col("last") == F.col("rows") + 1)
+    return per_file.groupBy("file").agg(F.sum("rows").alias("rows"), F.bool_and(gapless).alias("gapless"))
+
+
+@query
+def k19_contract_report(spark, sf):
+    """The errors of a written contract report."""
+    path = scratch_dir(spark, "contract-report")
+    summary, errors = contract.run_contract(bridge.logs(spark, sf), contract.RAW_LOG_CONTRACT, F.col("row_id") + 1)
+    files.write_contract_report(summary, errors, path, "logs", "raw", AS_OF)
+    schema = "row_number bigint, position int, error string"
+    return spark.read.schema(schema).json(f"{path}/errors")
+
+
+@query
+def k18_anomaly_report(spark, sf):
+    """The findings of a written anomaly report."""
+    path = scratch_dir(spark, "anomaly-report")
+    rows = bridge.processed(spark, sf)
+    found = anomalies.detect(rows)
+    files.write_anomaly_report(anomalies.summary(rows), found, path, "run-all", None, "read-only", AS_OF)
+    return spark.read.schema(found.schema).json(f"{path}/anomalies")
+
+
 @query
 def k8_features_parquet(spark, sf):
     path = scratch_dir(spark, "features")

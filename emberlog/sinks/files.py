@@ -29,7 +29,8 @@ def write_subset(df: DataFrame, path: str, overwrite: bool = False) -> None:
     inside = [f for f in df.inputFiles() if bare(f).startswith(bare(path))]
     if inside:
         raise ValueError("input and output paths must be different")
-    df.write.mode("overwrite" if overwrite else "errorifexists").csv(path, header=True)
+    writer = df.write.mode("overwrite" if overwrite else "errorifexists")
+    writer.csv(path, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def write_anomaly_report(
