@@ -13,7 +13,9 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from emberlog.operators import anomalies, data_tests, marts, staging  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from emberlog.operators import anomalies, contract, data_tests, mapping, marts, staging, validate  # noqa: E402
 from emberlog.plans import bridge  # noqa: E402
 from emberlog.plans.registry import REGISTRY  # noqa: E402
 from emberlog.session import local_session, scratch_dir  # noqa: E402
@@ -31,9 +33,14 @@ def over_stored_tables(spark, sf_dir: str) -> dict[str, float]:
     is not part of their time."""
     root = scratch_dir(spark, "bench")
     bridge.processed(spark, sf_dir).write.parquet(f"{root}/processed")
-    rows = spark.read.parquet(f"{root}/processed")
+    bridge.logs(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism).write.parquet(f"{root}/logs")
+    sent = validate.routed(bridge.messages(spark, sf_dir), bridge.AS_OF).filter(F.col("topic") == validate.PROCESSED_TOPIC)
+    sent.repartition(spark.sparkContext.defaultParallelism).write.parquet(f"{root}/topic")
+    rows, logs, topic = (spark.read.parquet(f"{root}/{name}") for name in ("processed", "logs", "topic"))
     staged = staging.stage_processed(rows)
     jobs = {
+        "stored_contract": contract.run_contract(logs, contract.RAW_LOG_CONTRACT, F.col("row_id") + 1)[0],
+        "stored_load": mapping.processed_rows(mapping.map_processed(topic), F.col("row_id"), bridge.AS_OF),
         "stored_anomalies": anomalies.detect(rows),
         "stored_anomaly_summary": anomalies.summary(rows),
         "stored_device_risk": marts.device_risk(staged),
