@@ -122,13 +122,22 @@ def assign(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def sequences(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Packed sequences: sequence_id, length, pieces (offset, doc_id, piece, start, length), ids."""
-    placed = assign(cut.drop("ids", "start"), capacity).select("row", "sequence_id", "offset")
-    joined = cut.join(placed, "row")
+    """Packed sequences: sequence_id, length, pieces (offset, doc_id, piece, start, length), ids.
+
+    A full piece is a sequence as it stands, numbered below zero by its row, and is not shuffled.
+    """
+    columns = ("offset", "doc_id", "piece", "start", "length")
+    full = cut.filter(F.col("length") == capacity).withColumn("offset", F.lit(0).cast("bigint")).select(
+        (-1 - F.col("row")).alias("sequence_id"), "length", F.array(F.struct(*columns)).alias("pieces"), "ids"
+    )
+    rest = cut.filter(F.col("length") < capacity)
+    placed = assign(rest.drop("ids", "start"), capacity).select("row", "sequence_id", "offset")
+    joined = rest.join(placed, "row")
     # at most ``capacity`` tokens and pieces meet in one group
     grouped = joined.groupBy("sequence_id").agg(F.array_sort(F.collect_list(F.struct("offset", "doc_id", "piece", "start", "length", "ids"))).alias("p"))
-    return grouped.select(
+    packed = grouped.select(
         "sequence_id", F.aggregate("p", F.lit(0), lambda n, p: n + p["length"]).alias("length"),
-        F.transform("p", lambda p: F.struct(*[p[c].alias(c) for c in ("offset", "doc_id", "piece", "start", "length")])).alias("pieces"),
+        F.transform("p", lambda p: F.struct(*[p[c].alias(c) for c in columns])).alias("pieces"),
         F.aggregate("p", F.lit(b""), lambda all_ids, p: F.concat(all_ids, p["ids"])).alias("ids"),
     )
+    return full.unionByName(packed)
