@@ -15,22 +15,38 @@ import re
 import numpy as np
 from tokenizers import Tokenizer
 
-REMEMBERED = 300_000
-BATCH_BYTES = 4_000_000
+REMEMBERED = 500_000
+BATCH_BYTES = 2_000_000
 _BYTE_CHUNKS = re.compile(r" ?[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+(?![^ \t\n\r\x0b\x0c])|[ \t\n\r\x0b\x0c]+")
-_ODD_SPACE = re.compile(r"[ \t\n\r\x0b\x0c]{2}|[\t\r\x0b\x0c]")
+# white space that is not one space or line feed between words
+_ODD_SPACE = ("  ", " \n", "\n ", "\n\n", "\t", "\r", "\x0b", "\x0c", "\x00")
 # letters up to U+017F (all composed), without the one whose lower case is two code points
 _LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ſ"
 _SIGNS = r"!-&(-/:-@\[-`{-~"
 _BYTE_PIECES = re.compile(f" ?[{_LETTERS}]+| ?[0-9]+| ?[{_SIGNS}]+")
 _WORD_PIECES = re.compile(f"[{_LETTERS}]+|[0-9]|[{_SIGNS}]+")
 # white space outside ASCII and separators the libraries treat differently: such texts are encoded whole
-_OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
+_OTHER_SPACE = (
+    *"\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000", *map(chr, range(0x2000, 0x200B)),
+)
 # byte-level models spell a byte as a letter: visible Latin-1 as itself, the others from U+0100 on in order
 _VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _SPELLED = [chr(b) if b in _VISIBLE else chr(256 + sum(x not in _VISIBLE for x in range(b))) for b in range(256)]
 
 
+class _Numbers(dict):
+    """Numbers keys in the order in which they are first asked for."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list = []
+
+    def __missing__(self, key) -> int:
+        number = self[key] = len(self)
+        self.new.append(key)
+        return number
+
+
 class Encoder:
     """One tokenizer file; ``ids`` gives an array of ids for each text."""
 
@@ -45,49 +61,45 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.index: dict = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.index = _Numbers()
         self.flat = np.zeros(0, np.uint32)
         self.starts = np.zeros(0, np.int64)
         self.lengths = np.zeros(0, np.int64)
 
     def chunks(self, text: str) -> list:
+        """Keys of a text's chunks. Of byte-level text a key stands for itself with a space before it,
+        unless it begins with white space, or with NUL, which is dropped."""
         if self.by_words:
             return text.encode().lower().split()
-        if _OTHER_SPACE.search(text):
-            return [text]
-        if _ODD_SPACE.search(text):
-            return _BYTE_CHUNKS.findall(text)
-        out: list[str] = []
-        for line in text.split("\n"):
-            first, *rest = line.split(" ")
-            out += [first] * bool(first)
-            out += [" " + word for word in rest]
-            out.append("\n")
-        out.pop()
-        return out
-
-    def _encode(self, chunk) -> list[int]:
-        text = chunk.decode() if self.by_words else chunk
-        pieces = [text] if text.isspace() and text.isascii() else (_WORD_PIECES if self.by_words else _BYTE_PIECES).findall(text)
+        if any(c in text for c in _OTHER_SPACE):
+            return ["\x00" + text]
+        if any(c in text for c in _ODD_SPACE):
+            return [c[1:] if c[0] == " " and c[1:] and c[1] not in "\x00\n \t\r\x0b\x0c" else "\x00" + c for c in _BYTE_CHUNKS.findall(text)]
+        keys = text.replace("\n", " \n").split(" ")
+        keys[0] = "\x00" + keys[0]
+        return keys
+
+    def _encode(self, key) -> list[int]:
+        if self.by_words:
+            text = key.decode()
+            pieces = _WORD_PIECES.findall(text)
+        elif key[:1] == "\n":
+            text = key
+            pieces = ["\n", *_BYTE_PIECES.findall(key[1:])]
+        else:
+            text = key[1:] if key[:1] == "\x00" else " " + key
+            pieces = [text] if text.isspace() and text.isascii() else _BYTE_PIECES.findall(text)
         if sum(map(len, pieces)) != len(text):
             return self.tokenizer.encode(text, add_special_tokens=False).ids
         out: list[int] = []
         for piece in pieces:
-            known = self.pieces.get(piece)
-            if known is None:
-                spelled = "".join([_SPELLED[b] for b in (piece.lower() if self.by_words else piece).encode()])
-                known = self.pieces[piece] = [t.id for t in self.model.tokenize(spelled)]
-            out += known
+            spelled = "".join([_SPELLED[b] for b in (piece.lower() if self.by_words else piece).encode()])
+            out += [t.id for t in self.model.tokenize(spelled)]
         return out
 
-    def _learn(self, chunks: list) -> None:
-        new = [c for c in set(chunks) if c not in self.index]
-        if not new:
-            return
-        coded = [self._encode(c) for c in new]
-        at = len(self.index)
-        self.index.update(zip(new, range(at, at + len(new)), strict=True))
+    def _learn(self) -> None:
+        coded = [self._encode(c) for c in self.index.new]
+        self.index.new = []
         lengths = np.fromiter(map(len, coded), np.int64, len(coded))
         begin = len(self.flat) + np.cumsum(lengths) - lengths
         self.flat = np.concatenate([self.flat, np.fromiter((i for c in coded for i in c), np.uint32, int(lengths.sum()))])
@@ -98,8 +110,9 @@ class Encoder:
             self.forget()
         parts = [self.chunks(t) for t in texts]
         every = [c for p in parts for c in p]
-        self._learn(every)
         which = np.fromiter(map(self.index.__getitem__, every), np.int64, len(every))
+        if self.index.new:
+            self._learn()
         lengths = self.lengths[which]
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
