@@ -55,7 +55,8 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return f"{base.rstrip('/')}/emberlog-{label}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local["):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix=f"emberlog-{label}-")
     atexit.register(shutil.rmtree, folder, ignore_errors=True)
