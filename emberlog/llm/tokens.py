@@ -80,6 +80,8 @@ class Encoder:
         return keys
 
     def _encode(self, key) -> list[int]:
+        if key.isascii() and key.isalpha():  # a word of plain letters is one piece and spells itself
+            return [t.id for t in self.model.tokenize(key.decode() if self.by_words else f"Ġ{key}")]
         if self.by_words:
             text = key.decode()
             pieces = _WORD_PIECES.findall(text)
