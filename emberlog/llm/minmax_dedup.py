@@ -159,7 +159,7 @@ def confirmed(docs: DataFrame, nodes: DataFrame, numerator: int = NUMERATOR) ->
     ).select("family", "chunk", "other"), "dedup-tasks")
     texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), doc_key(F.col("doc_id"), F.col("text")).alias("doc_key"), "text")
     wanted = chunked.select(F.col("first.id").alias("id"), F.col("first.doc_key").alias("doc_key"), "key")
-    sets = stored(texts.join(wanted, ["id", "doc_key"]).select("key", "text").mapInPandas(_members, "key binary, hashes binary"), "dedup-sets")
+    sets = stored(near_keys(texts, wanted).join(wanted, ["id", "doc_key"]).select("key", "text").mapInPandas(_members, "key binary, hashes binary"), "dedup-sets")
     sides = tasks.select("family", "chunk", "other", F.explode(F.array_distinct(F.array("chunk", "other"))).alias("side"))
     dealt = chunked.select("family", F.col("chunk").alias("side"), "key").join(sides, ["family", "side"]).join(sets, "key")
     return dealt.select("family", "chunk", "other", "key", "hashes").groupBy("family", "chunk", "other").applyInPandas(
