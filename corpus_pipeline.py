@@ -12,9 +12,8 @@ from emberlog.llm import histogram_pack, language_svm, minmax_dedup, quality_qda
 from emberlog.llm.common import settle, stored, table
 from emberlog.llm.queries import tokenizer
 
-# scores from which a document stays; they lean towards keeping
+# score from which a document stays; it leans towards keeping, as the language model's own threshold does
 LEAST_QUALITY = 0.5
-LEAST_LANGUAGE = 0.25
 # near duplicates: 100 * intersection >= 80 * union of five-word shingles
 NEAR = 80
 
@@ -28,12 +27,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that was learned; texts without letters or without a clear language go."""
+    """Documents in a language that was learned; texts without letters and those that fit no learned language go.
+
+    The threshold is set from labelled rows that the machines have not seen (``language_svm.Model.least``).
+    """
     settle(spark)
     model = language_svm.fit(docs.select("doc_id", "text", "lang"))
     found = language_svm.identified(docs, model, "_language")
     known = F.col("_language.lang") != language_svm.UNKNOWN
-    return found.filter(known & (F.col("_language.score") >= LEAST_LANGUAGE)).drop("_language")
+    return found.filter(known & (F.col("_language.score") >= model.least)).drop("_language")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

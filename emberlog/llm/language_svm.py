@@ -4,12 +4,20 @@ Both levels are one-versus-one linear support vector machines (squared hinge, L2
 trigrams of the whole text. Between families every pair of families is told apart; inside a family
 every pair of its languages. A family of one language needs no second level.
 
+The machines only compare learned languages with each other, so the score is their confidence times
+how well the text fits what was learned: its mean log likelihood of trigrams over all learned languages,
+in standard errors below what is usual for texts of the chosen one (few different trigrams allow
+more), and the evidence of its different trigrams against evenly drawn ones. What is usual comes from
+labelled rows judged by the other rows. A text in no learned language scores near 0, one that mixes
+learned languages does not; ``Model.least`` is a threshold that correctly classified unseen rows pass.
+
 The classifier is fitted on a bounded sample of labelled rows: about SAMPLE rows in all, the same
 number expected from each language, chosen by a hash of doc_id. Everything else covers all rows.
 
 Defined cases: a null text or one without letters is ``und`` with score 0; labels of null are not
 learned; a language that FAMILIES does not name is a family of its own; with one learned language
-every text with letters is that language with score 1; with none every text is ``und``; equal votes go
+every text with letters is that language; a language of fewer than FEWEST different texts has no usual
+likelihood, so every text fits it; with none every text is ``und``; equal votes go
 to the larger sum of margins, then to the name; an empty table gives an empty result; extra columns
 stay as they are in ``identified``.
 """
@@ -17,7 +25,6 @@ stay as they are in ``identified``.
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import combinations
@@ -32,6 +39,12 @@ BITS = 12
 SAMPLE = 3000
 PENALTY = 8.0
 ROUNDS = 60
+# how usual a text is: fewest different texts to say it from, standard errors beyond the worst hundredth, nats of evidence
+FEWEST = 8
+SPARE = 3.0
+EVIDENCE = 7.0
+# a clean text has at least this share of the score that the lowest hundredth of unseen rows reaches
+LENIENCE = 0.25
 UNKNOWN = "und"
 # fixed values: language families
 FAMILIES = {
@@ -132,24 +145,121 @@ class Level:
         return chosen, 1 / (1 + np.exp(-self.slope * margin))
 
 
+@dataclass
+class Usual:
+    """What is usual for the texts of a language: mean log likelihood of their trigrams, and its spread
+    as a variance within texts (over different trigrams) and one between them."""
+
+    mean: float
+    within: float
+    between: float
+    limit: float = 0.0
+
+    @staticmethod
+    def learned(mean: np.ndarray, square: np.ndarray, n: np.ndarray) -> Usual:
+        # medians of the longer texts, so that a few strange rows do not stretch what is usual
+        long = n >= np.median(n)
+        centre = float(np.median(mean[long]))
+        between = float((1.4826 * np.median(np.abs(mean[long] - centre))) ** 2)
+        usual = Usual(centre, float(((square - mean**2) * n).sum() / n.sum()), between)
+        usual.limit = float(np.quantile(usual.strange(mean, n), 0.99)) + SPARE
+        return usual
+
+    def strange(self, mean, n):
+        """Standard errors by which a mean log likelihood over n different trigrams lies below the usual one."""
+        return (self.mean - mean) / np.sqrt(self.within / np.maximum(n, 1) + self.between + 1e-6)
+
+
+def _curve(v: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(v, -60, 60)))
+
+
+def _chances(sums: np.ndarray, rows: int) -> np.ndarray:
+    return (sums + 1 / len(sums)) / (rows + 1)
+
+
+@dataclass
+class Known:
+    """Log likelihoods of trigrams over all learned languages, each as likely as the others."""
+
+    logs: np.ndarray
+    usual: dict[str, Usual]
+
+    @staticmethod
+    def learned(x: np.ndarray, lang: np.ndarray) -> Known:
+        part, names = x.astype(np.float64) ** 2, sorted(set(lang))
+        chances = {v: _chances(part[lang == v].sum(0), (lang == v).sum()) for v in names}
+        every, usual = sum(chances.values()), {}
+        for v in names:
+            mine = part[lang == v]
+            if len(np.unique(mine, axis=0)) < FEWEST:
+                continue
+            of, total = np.arange(len(mine)) % 5, mine.sum(0)
+            mean, square = np.zeros(len(mine)), np.zeros(len(mine))
+            for k in range(5):  # a row is judged by the other rows
+                rows = of == k
+                logs = np.log((every - chances[v] + _chances(total - mine[rows].sum(0), (~rows).sum())) / len(names))
+                mean[rows], square[rows] = mine[rows] @ logs, mine[rows] @ logs**2
+            usual[v] = Usual.learned(mean, square, (mine > 0).sum(1))
+        return Known(np.log(every / len(names)), usual)
+
+    def fit(self, x: np.ndarray, lang: str) -> np.ndarray:
+        """How well texts of a language fit what is known, from 0 to 1."""
+        usual = self.usual.get(lang)
+        if usual is None:
+            return np.ones(len(x))
+        n, mean = (x > 0).sum(1), x.astype(np.float64) ** 2 @ self.logs
+        # without a trigram there is no evidence either
+        evidence = (mean + BITS * np.log(2)) * n
+        return _curve(usual.limit - usual.strange(mean, n)) * _curve(evidence - EVIDENCE)
+
+
 @dataclass
 class Model:
     families: Level
     within: dict[str, Level]
+    known: Known | None = None
+    least: float = 0.0
+
+    @staticmethod
+    def learned(x: np.ndarray, lang: np.ndarray) -> Model:
+        """A model of all rows; ``least`` comes from a model of four fifths and the rows it has not seen."""
+        unseen = np.arange(len(x)) % 5 == 0
+        model = Model._of(x, lang)
+        if len(x) > 1:
+            names, scores = Model._of(x[~unseen], lang[~unseen]).judged(x[unseen])
+            right = scores[np.array(names) == lang[unseen]]
+            model.least = LENIENCE * float(np.quantile(right, 0.01)) if len(right) else 0.0
+        return model
+
+    @staticmethod
+    def _of(x: np.ndarray, lang: np.ndarray) -> Model:
+        family = np.array([FAMILIES.get(v, v) for v in lang])
+        within = {f: Level.learned(x[family == f], lang[family == f]) for f in sorted(set(family.tolist()))}
+        return Model(Level.learned(x, family), within, Known.learned(x, lang))
+
+    def judged(self, x: np.ndarray) -> tuple[list[str], np.ndarray]:
+        names, scores = [UNKNOWN] * len(x), np.zeros(len(x))
+        family, sure = self.families.choose(x)
+        for k, name in enumerate(self.families.names):
+            rows = np.nonzero(family == k)[0]
+            if len(rows):
+                level = self.within[name]
+                chosen, inside = level.choose(x[rows])
+                for c, lang in enumerate(level.names):
+                    mine = chosen == c
+                    scores[rows[mine]] = sure[rows[mine]] * inside[mine] * self.known.fit(x[rows[mine]], lang)
+                    for r in rows[mine]:
+                        names[r] = lang
+        return names, scores
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
         able = [i for i, t in enumerate(texts) if t and _LETTER.search(t)] if self.families.names else []
         if able:
-            x = np.stack([trigrams(texts[i]) for i in able])
-            family, sure = self.families.choose(x)
-            for k, name in enumerate(self.families.names):
-                rows = np.nonzero(family == k)[0]
-                if len(rows):
-                    level = self.within[name]
-                    chosen, inside = level.choose(x[rows])
-                    for r, c, s in zip(rows, chosen, sure[rows] * inside, strict=True):
-                        names[able[r]], scores[able[r]] = level.names[c], s
+            found, scores[able] = self.judged(np.stack([trigrams(texts[i]) for i in able]))
+            for i, name in zip(able, found, strict=True):
+                names[i] = name
         return names, scores
 
 
@@ -183,11 +293,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     for k, r in enumerate(got):
         x[k, r["v"]["slots"]] = r["v"]["values"]
     lang = np.array([r["lang"] for r in got])
-    family = np.array([FAMILIES.get(v, v) for v in lang])
-    members = defaultdict(list)
-    for k, f in enumerate(family):
-        members[f].append(k)
-    return Model(Level.learned(x, family), {f: Level.learned(x[rows], lang[rows]) for f, rows in members.items()})
+    return Model.learned(x, lang) if got else Model(Level([]), {})
 
 
 def predictor(model: Model):

@@ -75,3 +75,26 @@ def test_odd_and_empty_tables(spark, rows):
             assert name == "language ID" or got.count() or not rows
         else:
             assert (got.count() > 0) == bool(rows)
+
+
+def test_language_stage_drops_what_was_never_learned(spark):
+    """Unlearned languages and gibberish go, with labels or without; the clean documents beside them stay."""
+    strange = [
+        "Kissa nukkuu keittiön pöydällä samalla kun sade putoaa hitaasti vanhan kaupungin kaduille eikä kukaan kulje ohi.",
+        "Kot śpi na stole w kuchni, podczas gdy deszcz powoli pada na ulice starego miasta i nikt nie przechodzi.",
+        "O gato dorme na mesa da cozinha enquanto a chuva cai lentamente nas ruas da cidade velha e ninguém passa.",
+        "Привет мир, кот спит на кухонном столе", "猫在厨房的桌子上睡觉", "xqzvkj wqpzx vvkq zzqj xkcd qwfp zxcv", "12345 %% x 99", "a a a a a a a a",
+    ]
+    known = common.table(common.settle(spark), "/root/testdata/sf0.01", "documents")
+    rows = [(-1 - i, t, None, "s", len(t)) for i, t in enumerate(strange)]
+    kept = rows_of(corpus_pipeline.language(spark, known.unionByName(spark.createDataFrame(rows, COLUMNS)), SF))
+    assert not {t for d, t in kept if d < 0}
+    assert len(kept) >= 0.995 * known.count()
+
+
+def test_language_stage_keeps_texts_that_mix_learned_languages(spark):
+    known = common.table(common.settle(spark), "/root/testdata/sf0.01", "documents")
+    long = {r["lang"]: r["text"] for r in known.filter("n_chars between 1500 and 3000").collect()}
+    mixed = [(-1, long["fr"] + "\n" + long["de"], None, "s", 0), (-2, long["en"] + "\n" + long["es"], None, "s", 0)]
+    got = corpus_pipeline.language(spark, known.unionByName(spark.createDataFrame(mixed, COLUMNS)), SF)
+    assert {d for d, _ in rows_of(got) if d < 0} == {-1, -2}
