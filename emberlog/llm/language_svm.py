@@ -12,7 +12,8 @@ labelled rows judged by the other rows. A text in no learned language scores nea
 learned languages does not; ``Model.least`` is a threshold that correctly classified unseen rows pass.
 
 The classifier is fitted on a bounded sample of labelled rows: about SAMPLE rows in all, the same
-number expected from each language, chosen by a hash of doc_id. Everything else covers all rows.
+number expected from each language, chosen by a hash of doc_id and text; rows equal in both are one
+row of it. Everything else covers all rows.
 
 Defined cases: a null text or one without letters is ``und`` with score 0; labels of null are not
 learned; a language that FAMILIES does not name is a family of its own; with one learned language
@@ -278,15 +279,17 @@ def _sparse(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """Learn from ``docs`` (doc_id, text, lang) outside the held-out part."""
     able = docs.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    counts = {r["lang"]: r["count"] for r in able.groupBy("lang").count().collect()}  # one row per language
+    # rows equal in doc_id and text count once, so a group that shares a doc_id cannot be drawn as one or widen the sample
+    able = able.select("lang", "text", F.xxhash64("doc_id", "text").alias("mix"))
+    counts = {r["lang"]: r["n"] for r in able.groupBy("lang").agg(F.count_distinct("mix").alias("n")).collect()}  # one row per language
     if not counts:
         return Model(Level([]), {})
     each = sample / len(counts)
     chance = F.lit(0.0)
     for lang, n in counts.items():
         chance = F.when(F.col("lang") == lang, F.lit(min(1.0, each / n))).otherwise(chance)
-    draw = F.pmod(F.xxhash64(F.lit("language"), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    rows = able.filter(draw < chance).select("doc_id", "lang", "text").select(F.col("lang"), F.xxhash64("doc_id", "text").alias("mix"), _sparse("text").alias("v"))
+    draw = F.pmod(F.xxhash64(F.lit("language"), "mix"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    rows = able.filter(draw < chance).groupBy("lang", "mix").agg(F.first("text").alias("text")).select("lang", "mix", _sparse("text").alias("v"))
     got = rows.collect()
     got.sort(key=lambda r: (r["mix"], r["lang"]))
     x = np.zeros((len(got), 1 << BITS), np.float32)

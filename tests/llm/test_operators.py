@@ -385,6 +385,16 @@ def test_language_edge_cases(session, odd, empty):
     assert language_svm.identified(empty, model).isEmpty()
 
 
+@pytest.mark.parametrize("hot", [None, 1, 2, 3, 4, 5])
+def test_language_sample_is_bounded_when_rows_share_a_doc_id(session, hot, monkeypatch):
+    taken = []
+    monkeypatch.setattr(language_svm.Model, "learned", staticmethod(lambda x, lang: taken.append(len(x))))
+    rows = [(hot, f"shared number text {i % 300}") for i in range(900)] + [(100 + i, f"other text {i}") for i in range(300)]
+    language_svm.fit(session.createDataFrame([(*r, "en") for r in rows], f"{DOCS}, lang string"), sample=100)
+    shared = language_svm.held_out(F.lit(hot).cast("bigint"))
+    assert 60 <= taken[0] <= 140, session.range(1).select(shared).first()
+
+
 # --- 6 shards ----------------------------------------------------------------------------------
 
 def best_capacity(sizes, shards):
