@@ -4,7 +4,8 @@ Byte-pair models encode each pre-token by itself, and no pre-token of the two su
 across the cuts made here, so a text's ids are its chunks' ids one after the other. Chunks repeat a lot;
 each worker keeps those it has met (at most REMEMBERED, then it starts afresh) and looks them up.
 Chunks of Latin letters, ASCII digits and signs go straight to the model, all others through the
-whole tokenizer. ``tests/llm/test_tokens.py`` compares with encoding whole texts.
+whole tokenizer. An added token such as <|endoftext|> is its own id wherever it stands in a text, and the
+stretches around it are encoded by themselves, as encode(text, add_special_tokens=False) does. ``tests/llm/test_tokens.py`` compares with encoding whole texts.
 """
 
 from __future__ import annotations
@@ -52,10 +53,13 @@ class Encoder:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         with open(path, encoding="utf-8") as file:
             layout = json.load(file)
+        self.added = {t["content"]: t["id"] for t in layout["added_tokens"]}
+        if any(t[flag] for t in layout["added_tokens"] for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError("added tokens must be matched as they stand")
+        self.split = re.compile(f"({'|'.join(map(re.escape, sorted(self.added, key=len, reverse=True)))})").split
         # words: white space is dropped and letters are lower-cased; bytes: a space belongs to the next word
         self.by_words = bool(layout["model"].get("end_of_word_suffix"))
         self.forget()
@@ -68,7 +72,9 @@ class Encoder:
 
     def chunks(self, text: str) -> list:
         """Keys of a text's chunks. Of byte-level text a key stands for itself with a space before it,
-        unless it begins with white space, or with NUL, which is dropped."""
+        unless it begins with white space, or with NUL, which is dropped. An added token is a tuple of it."""
+        if any(t in text for t in self.added):
+            return [c for k, part in enumerate(self.split(text)) if part for c in ([(part,)] if k % 2 else self.chunks(part))]
         if self.by_words:
             return text.encode().lower().split()
         if any(c in text for c in _OTHER_SPACE):
@@ -80,6 +86,8 @@ class Encoder:
         return keys
 
     def _encode(self, key) -> list[int]:
+        if isinstance(key, tuple):
+            return [self.added[key[0]]]
         if key.isascii() and key.isalpha():  # a word of plain letters is one piece and spells itself
             return [t.id for t in self.model.tokenize(key.decode() if self.by_words else f"Ġ{key}")]
         if self.by_words:

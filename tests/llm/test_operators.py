@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import tokenizers
 from pyspark.sql import functions as F
 
 from emberlog.llm import (
@@ -203,6 +204,18 @@ def test_remembered_pieces_give_the_ids_of_whole_texts(docs, name, monkeypatch):
         assert ids.tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids, text[:50]
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_added_tokens_are_encoded_as_a_fresh_tokenizer_does(name):
+    path = public_tokenizers.path(name)
+    plain, coder = tokenizers.Tokenizer.from_file(path), tokens.Encoder(path)
+    texts = [
+        *STRANGE, "a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|startoftext|>Y  z", "<|ENDOFTEXT|> <|endoftext|", "a\n<|endoftext|>\n b",
+        "a\u3000b <|startoftext|> c\td", "é<|endoftext|>\u0301x", "<|<|endoftext|>|>",
+    ]
+    for text, ids in zip(texts, coder.ids(texts), strict=True):
+        assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids, text
+
+
 def whole_ids(name, text):
     coder = tokens.encoder(public_tokenizers.path(name))
     return [*coder.tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
