@@ -11,9 +11,12 @@ the seeds on the full hash. Every match of LEAST words or more is a chain of con
 tiling needs only the joined places, not the texts. A (document, item) pair whose seeds cannot cover
 enough is dropped before tiling.
 
+An item of fewer than LEAST words is one run of its own width, and only the whole of it counts: documents
+are hashed at the widths of such items too.
+
 Words are runs of digits, letters a-z (A-Z lower-cased) and characters outside ASCII.
 
-Defined cases: a null text is empty and clean; items with fewer than LEAST words give no evidence and
+Defined cases: a null text is empty and clean; items without words give no evidence and
 are not tested; equal items are tested separately, and of equally covered items the smallest item_id
 is named; rows equal in doc_id and text share their result; empty documents or benchmarks give clean
 results. Extra columns are kept by ``clean``.
@@ -39,32 +42,39 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "replace").translate(WORD_BYTES).split()
 
 
-def _runs(text: str | None) -> np.ndarray:
-    w = words(text)
-    return run_hashes(w, LEAST) if len(w) >= LEAST else np.zeros(0, np.uint64)
+def _runs(w: list[bytes], width: int = LEAST) -> np.ndarray:
+    return run_hashes(w, width) if len(w) >= width else np.zeros(0, np.uint64)
 
 
 def _seeds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for item, item_id, text in zip(batch["item"], batch["item_id"], batch["text"], strict=True):
-            runs = _runs(text)
+            w = words(text)
+            width = min(LEAST, len(w))
+            runs = _runs(w, width) if w else []
             if len(runs):
                 yield pd.DataFrame({
                     "seed": runs.view(np.int64), "item": item, "item_id": pd.array([item_id] * len(runs), dtype="Int64"),
-                    "item_words": len(runs) + LEAST - 1, "item_at": np.arange(len(runs)),
+                    "item_words": len(w), "item_at": np.arange(len(runs)),
                 })
 
 
-def _hits(table: np.ndarray):
+def _hits(table: np.ndarray, short: list[int]):
+    """Places of runs that may be in an item; of the runs of ``short`` widths only the first place in a document."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             keys, seeds, places = [], [], []
             for key, text in zip(batch["doc_key"], batch["text"], strict=True):
-                runs = _runs(text)
-                at = np.nonzero(table[runs >> np.uint64(64 - BITS)])[0]
-                keys += [key] * len(at)
-                seeds.append(runs[at].view(np.int64))
-                places.append(at)
+                w = words(text)
+                for width in (LEAST, *short):
+                    runs = _runs(w, width)
+                    at = np.nonzero(table[runs >> np.uint64(64 - BITS)])[0]
+                    if width < LEAST:
+                        at = at[np.unique(runs[at], return_index=True)[1]]
+                    keys += [key] * len(at)
+                    seeds.append(runs[at].view(np.int64))
+                    places.append(at)
             if keys:
                 yield pd.DataFrame({"doc_key": keys, "seed": np.concatenate(seeds), "doc_at": np.concatenate(places)})
 
@@ -104,7 +114,10 @@ TILE = "array<struct<item_from:int,doc_from:int,words:int>>"
 
 def _tiled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        found = [tiles(np.array([p["doc_at"] for p in ps]), np.array([p["item_at"] for p in ps])) for ps in batch["places"]]
+        found = [
+            tiles(np.array([p["doc_at"] for p in ps]), np.array([p["item_at"] for p in ps]), min(LEAST, n))
+            for ps, n in zip(batch["places"], batch["item_words"], strict=True)
+        ]
         yield pd.DataFrame({
             "doc_key": batch["doc_key"], "item": batch["item"], "item_id": batch["item_id"].astype("Int64"), "item_words": batch["item_words"],
             "covered": [sum(n for *_, n in f) for f in found],
@@ -120,14 +133,15 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE)
     bits = seeds.select(F.shiftrightunsigned("seed", 64 - BITS).alias("bit")).distinct().collect()
     table = np.zeros(1 << BITS, bool)
     table[[r["bit"] for r in bits]] = True
+    short = sorted(r["item_words"] for r in seeds.select("item_words").filter(F.col("item_words") < LEAST).distinct().collect())  # fewer than LEAST
     scanned = docs.select(doc_key(F.col("doc_id"), F.col("text")).alias("doc_key"), "text")
-    hits = stored(scanned.mapInPandas(_hits(table), "doc_key binary, seed bigint, doc_at int"), "tiling-hits").distinct()
+    hits = stored(scanned.mapInPandas(_hits(table, short), "doc_key binary, seed bigint, doc_at int"), "tiling-hits").distinct()
     # the places of one item in one document: bounded by their lengths
     pairs = hits.join(seeds, "seed").groupBy("doc_key", "item").agg(
         F.any_value("item_id").alias("item_id"), F.any_value("item_words").alias("item_words"),
         F.collect_list(F.struct("doc_at", "item_at")).alias("places"),
     )
-    reach = F.size(F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p["item_at"], p["item_at"] + (LEAST - 1))))))
+    reach = F.size(F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p["item_at"], p["item_at"] + F.least(F.lit(LEAST), F.col("item_words")) - 1)))))
     able = pairs.filter(reach >= coverage * F.col("item_words"))
     tiled = able.mapInPandas(_tiled, f"doc_key binary, item bigint, item_id bigint, item_words int, covered int, tiles {TILE}")
     return stored(tiled.filter(F.col("covered") >= coverage * F.col("item_words")), "tiling-overlaps")

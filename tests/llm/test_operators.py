@@ -355,6 +355,18 @@ def test_documents_of_the_table(session, docs):
     assert whole <= found <= part
 
 
+def test_items_of_few_words_count_as_a_whole(session):
+    benchmark = session.createDataFrame(
+        [(1, "Paris"), (2, "forty two"), (3, "one two three four"), (4, " .. "), (5, "a long item of seven words here")], "item_id bigint, text string"
+    )
+    texts = ["paris", "Forty-two!", "so it is: one two three four five", "two three four", "forty and two", "", "a long item of nothing", None, "in Paris forty two paris"]
+    table = session.createDataFrame(list(enumerate(texts)), DOCS)
+    got = {r["doc_id"]: r for r in string_tiling.report(table, benchmark).collect()}
+    assert {d: r["item_id"] for d, r in got.items() if r["contaminated"]} == {0: 1, 1: 2, 2: 3, 8: 1}
+    assert got[8]["n_items"] == 2 and got[8]["tiles"] == [(0, 1, 1)] and got[2]["tiles"] == [(0, 3, 4)]
+    assert {d for d, _ in pairs_of(string_tiling.clean(table, benchmark))} == {3, 4, 5, 6, 7}
+
+
 # --- 5 quality, 8 language ---------------------------------------------------------------------
 
 def test_quality_on_held_out_rows(session):
