@@ -18,7 +18,8 @@ Beside it stand plain phrases: places where the words of a phrase stand consecut
 
 Defined cases: a null text is an empty text; texts without words have no blocks and no labels;
 repeated rows and equal or null doc_ids stay rows of their own; an empty table gives an empty result;
-a template without words is refused.
+a template without words is refused, and ``scan`` refuses one that is too long to lie inside one block
+wherever it starts (33 words for blocks of 64; a longer text needs a longer ``block``).
 """
 
 from __future__ import annotations
@@ -155,6 +156,9 @@ def scan(
     ``places`` has the starts of each phrase label, ``spans`` the matching blocks as (label, template,
     first word, containment), best first. ``score`` is 1 where a phrase stands, else the best containment.
     """
+    longest = max((len(text.split()) for _, text in templates), default=0)
+    if longest > block - block // 2 + 1:
+        raise ValueError(f"a template of {longest} words does not fit blocks of {block} words, every {block // 2}")
     vocabulary = sorted({x for _, _, s, _ in template_sets(templates, threshold) for x in s})
     prepared = blocks(docs, vocabulary, phrases, block)
     found = matches(prepared, templates, threshold).select(

@@ -367,6 +367,18 @@ def test_items_of_few_words_count_as_a_whole(session):
     assert {d for d, _ in pairs_of(string_tiling.clean(table, benchmark))} == {3, 4, 5, 6, 7}
 
 
+def test_license_templates_longer_than_a_block_allows_are_refused(session):
+    text = [f"w{i}x" for i in range(34)]
+    rows = [(k, " ".join([*["pad"] * k, *text, *["pad"] * 80])) for k in range(64)]
+    table = session.createDataFrame(rows, DOCS)
+    with pytest.raises(ValueError, match="34 words"):
+        license_join.scan(table, [("long", " ".join(text))])
+    fitting = license_join.scan(table, [("long", " ".join(text[:33]))], threshold=1.0)
+    assert fitting.filter(F.size("spans") > 0).count() == len(rows)
+    wider = license_join.scan(table, [("long", " ".join(text))], threshold=1.0, block=68)
+    assert wider.filter(F.size("spans") > 0).count() == len(rows)
+
+
 # --- 5 quality, 8 language ---------------------------------------------------------------------
 
 def test_quality_on_held_out_rows(session):
