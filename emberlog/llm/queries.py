@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_dir
-from . import chat_events, histogram_pack, language_svm, license_join, minimax_shards, minmax_dedup, quality_qda, rans_blocks, scaled_sketch, string_tiling
+from . import (
+    chat_events, histogram_pack, language_svm, lexical_search, license_join, line_dedup, minimax_shards, minmax_dedup, quality_qda, rans_blocks,
+    scaled_sketch, spelling_trie, string_tiling,
+)
 from .common import settle, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,3 +111,20 @@ def op10_scaled_sketch(spark, sf_dir):
         scaled_sketch.likeness(F.col("sketch"), F.col("edited_sketch"), F.col("text") == F.col("edited")).alias("near_edited"),
         scaled_sketch.likeness(F.col("sketch"), F.col("next_sketch"), F.col("same_text")).alias("near_next"),
     )
+
+
+@query
+def op11_cuckoo_lines(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = line_dedup.LineIndex.empty(spark).insert(docs).kept(docs)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query
+def op12_trie_variants(spark, sf_dir):
+    return spelling_trie.variants(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_best_positions(spark, sf_dir):
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

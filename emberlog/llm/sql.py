@@ -127,7 +127,95 @@ FROM turns GROUP BY conv_id
 """
 
 
+LINES = """
+WITH lines AS (
+  SELECT doc_id, i, l, translate(trim(l, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS l, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents)
+), owners AS (
+  SELECT key, min(doc_id) AS owner FROM lines WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1
+), marked AS (
+  SELECT lines.*, owner IS NOT NULL AND owner <> doc_id AS dropped FROM lines LEFT JOIN owners USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+  sha256(coalesce(string_agg(l, chr(10) ORDER BY i) FILTER (NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+# crc32 of a text, byte by byte: the lookup table of the reversed polynomial, then one step for each byte
+_CRC_TABLE = """
+  SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b)
+  FROM range(256) t(b)
+"""
+
+VARIANTS = f"""
+WITH RECURSIVE crc AS MATERIALIZED (SELECT ({_CRC_TABLE}) AS steps), runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[a-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents
+  ) GROUP BY doc_id, run
+), hashed AS (
+  SELECT run, n, xor(list_reduce(
+    list_prepend(4294967295, list_transform(string_split(regexp_replace(hex(encode(concat(doc_id, ':', run))), '(..)', '\\1 ', 'g'), ' ')[:-2], lambda x: CAST('0x' || x AS BIGINT))),
+    lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM runs, crc
+), words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT n, CASE WHEN h % 199 = 0 THEN substring(run, 1, h % length(run)) || substring(run, h % length(run) + 2) ELSE run END AS word FROM hashed
+  ) WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), pieces AS (
+  -- words within one edit share a half: one of the two halves is untouched
+  SELECT word, n, unnest([
+    'a' || substring(word, 1, length(word) // 2), 'a' || substring(word, 1, (length(word) + 1) // 2), 'a' || substring(word, 1, greatest(length(word) - 1, 0) // 2),
+    'z' || right(word, length(word) // 2), 'z' || right(word, (length(word) + 1) // 2), 'z' || right(word, greatest(length(word) - 1, 0) // 2)]) AS piece FROM words
+), near AS (
+  SELECT DISTINCT a.word, a.n, b.word AS other, b.n AS other_n FROM pieces a JOIN pieces b ON a.piece = b.piece AND a.word <> b.word
+    AND abs(length(a.word) - length(b.word)) <= 1
+  WHERE CASE WHEN length(a.word) = length(b.word)
+    THEN len(list_filter(range(length(a.word)), lambda i: substring(a.word, i + 1, 1) <> substring(b.word, i + 1, 1))) = 1
+    ELSE len(list_filter(range(greatest(length(a.word), length(b.word))), lambda i:
+      CASE WHEN length(a.word) > length(b.word) THEN substring(a.word, 1, i) || substring(a.word, i + 2) = b.word
+        ELSE substring(b.word, 1, i) || substring(b.word, i + 2) = a.word END)) > 0 END
+), best AS (
+  SELECT word, n, count(*) AS n_near, min_by(other, (-other_n, other)) AS form, max(other_n) AS form_n FROM near GROUP BY word, n
+), formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 5 * w.n THEN form END AS form, CASE WHEN form_n >= 5 * w.n THEN form_n END AS form_n
+  FROM words w LEFT JOIN best USING (word)
+), followed AS (
+  SELECT word, word AS root FROM formed UNION ALL SELECT f.word, formed.form FROM followed f JOIN formed ON formed.word = f.root WHERE formed.form IS NOT NULL
+), ends AS (
+  SELECT f.word, f.root FROM followed f JOIN formed ON formed.word = f.root WHERE formed.form IS NULL
+)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)
+"""
+
+SEARCH = r"""
+WITH terms AS (
+  SELECT doc_id, n, unnest(w) AS term FROM (
+    SELECT doc_id, w, len(w) AS n FROM (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents))
+), counted AS (
+  SELECT doc_id, n, term, count(*) AS tf FROM terms GROUP BY doc_id, n, term
+), totals AS (
+  SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS length FROM (SELECT DISTINCT doc_id, n FROM terms)
+), asked AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM counted GROUP BY term), totals
+), scored AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // length)))) AS BIGINT) AS score
+  FROM asked JOIN counted USING (term) JOIN weights USING (term), totals GROUP BY item_id, doc_id
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 def statements() -> dict[str, str]:
     return {
         "op1_minmax_dedup": NEAR_DUPLICATES, "op2_license_join": LICENSES, "op9_chat_events": CHATS, "op10_scaled_sketch": SKETCHES,
+        "op11_cuckoo_lines": LINES, "op12_trie_variants": VARIANTS, "op13_best_positions": SEARCH,
     }
