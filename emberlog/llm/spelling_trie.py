@@ -6,11 +6,13 @@
    words end or part are nodes, so an edge carries the letters up to the next node and the number of rounds is
    that of the partings on a word's way, not its length. An edge also tells of the node it leads to: the word
    that ends there, the next letters, and the lengths of the words below.
-3. The frontier holds states (word, position, node, edits), at first every word before its first letter at
-   the root. A round joins the states with the edges of their nodes and aligns the letters of the edge with as
-   many letters of the word, one more or one fewer, at the price of edits; more than one edit is dropped, and
-   so is a state whose next letter or remaining length the node does not have. A state at the end of its word
-   where a word ends is a neighbour if it spent its edit.
+3. The frontier holds states (word, position, node, edits), at first every word at the root, whole or without its
+   first letter. A round joins the states with the edges of their nodes, on the letters a state needs: the next
+   letter of the word is the edge's, or, at the price of the edit, the edge's first letter is put in or replaces
+   one and the letter after it agrees. Edges of several letters are compared with as many letters of the word, or
+   one more or fewer. States with more than one edit are dropped, and so are those whose next letter or
+   remaining length the node does not have. A state at the end of its word where a word ends is a neighbour if it
+   spent its edit.
 4. The form of a word is its largest neighbour, if that is RATIO times as frequent; roots are found by
    following forms, twice as far in each round.
 
@@ -34,7 +36,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import stored
+from .common import byte_table, stored
 
 LEAST_LETTERS = 6
 LEAST_COUNT = 5
@@ -45,24 +47,24 @@ HOT_SHARE = 1024
 TOP = 2  # nodes of up to so many letters are joined by sending their edges
 ROOT = b"\x00" * 16
 _RUNS = re.compile("[a-zÀ-ÿ]+")
+# ASCII letters and everything outside ASCII stay together, the rest are gaps
+_LETTERS = byte_table(lambda b: 97 <= b <= 122)
 
 
-def misspelt(word: str, doc_id) -> str:
-    """The word as the document has it: one letter fewer, if the checksum of both says so."""
-    h = zlib.crc32(f"{'null' if pd.isna(doc_id) else int(doc_id)}:{word}".encode())
-    if h % SLIP:
-        return word
-    at = h % len(word)
-    return word[:at] + word[at + 1:]
+def misspelt(word: str, seed: int) -> str:
+    """The word as a document has it: one letter fewer, if the checksum of both says so. ``seed``: that of the document."""
+    h = zlib.crc32(word.encode(), seed)
+    return word if h % SLIP else word[:h % len(word)] + word[h % len(word) + 1:]
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     total: Counter = Counter()
     for batch in batches:
         for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-            # ASCII letters only are lower-cased
-            for word, n in Counter(_RUNS.findall((text or "").encode("utf-8", "replace").lower().decode())).items():
-                total[misspelt(word, doc_id)] += n
+            seed = zlib.crc32(f"{'null' if doc_id is None else doc_id}:".encode())
+            for token, n in Counter((text or "").encode("utf-8", "replace").translate(_LETTERS).split()).items():
+                for word in (token.decode(),) if token.isascii() else _RUNS.findall(token.decode()):
+                    total[misspelt(word, seed)] += n
         if len(total) > TASK_WORDS:
             yield pd.DataFrame({"word": list(total), "n": list(total.values())})
             total.clear()
@@ -98,11 +100,11 @@ def edges(vocabulary: DataFrame) -> DataFrame:
     size = F.char_length("word")
     ended = F.col("depth") == size
     letter = F.when(~ended, F.substring("word", F.col("depth") + 1, F.lit(1)))
-    # at most one letter of the alphabet each
+    # the letters that follow a node, as one short text: each at most once
     nodes = steps.groupBy("node").agg(
-        F.min("word").alias("word"), F.any_value("depth").alias("depth"), F.collect_set(letter).alias("letters"), F.count(F.lit(1)).alias("below"),
+        F.min("word").alias("word"), F.any_value("depth").alias("depth"), F.array_join(F.array_sort(F.collect_set(letter)), "").alias("letters"), F.count(F.lit(1)).alias("below"),
         F.max(F.when(ended, F.struct("word", "n"))).alias("ends"), F.min(size).alias("low"), F.max(size).alias("high"),
-    ).filter("ends is not null or size(letters) > 1")
+    ).filter("ends is not null or char_length(letters) > 1")
     nodes = stored(nodes, "trie-nodes")
     # the way of one word to each node: the node above it there is its parent
     on_path = paths.join(nodes.select("word").distinct(), "word", "left_semi").select("word", F.posexplode("nodes").alias("depth", "node"))
@@ -125,49 +127,112 @@ def edges(vocabulary: DataFrame) -> DataFrame:
 
 # --- the frontier -----------------------------------------------------------------------------
 
-def _moves(shift: int) -> Column:
-    """The state after an edge that takes ``shift`` letters more of the word than it has; null if none."""
-    used = F.char_length("label") + shift
-    part = F.substring(F.col("word"), F.col("position") + 1, used)
-    edits = F.levenshtein(part, F.col("label"), 1)
-    return F.when(
-        (used >= 0) & (F.col("position") + used <= F.char_length("word")) & (edits >= 0) & (F.col("edits") + edits <= 1),
-        F.struct((F.col("position") + used).alias("position"), (F.col("edits") + edits).alias("edits")),
-    )
+def _part(column: str, start: Column, length: Column | int) -> Column:
+    return F.substring(F.col(column), start, length if isinstance(length, Column) else F.lit(length))
+
+
+def _ahead() -> Column:
+    """One number for what is looked for; the columns behind it are compared after the join."""
+    return F.xxhash64("node", "way", "letter")
+
 
+def keyed_edges(trie: DataFrame) -> DataFrame:
+    """Edges by what a state must have to take them: (node, way, letter) and the edge.
 
-def _advance(states: DataFrame, trie: DataFrame) -> DataFrame:
-    """States one edge further: word, position, node, edits, hot, and the neighbour (near) where one ends."""
-    trie = trie.withColumnRenamed("hot", "next_hot").withColumnRenamed("node", "next")
-    below = F.broadcast(trie.join(trie.filter("next_hot").select(F.col("next").alias("parent")), "parent", "left_semi").unionByName(
-        trie.filter(F.col("parent") == F.lit(ROOT))
-    ))
-    met = states.filter("hot").withColumnRenamed("node", "parent").join(below, "parent").unionByName(
-        states.filter("not hot").withColumnRenamed("node", "parent").join(trie, "parent")
+    On the way ``first`` the next letter of the word is the edge's first. On the way ``second`` the edge's first letter
+    is one the word does not have there, so the letter after it counts: the edge's second, or any that can follow
+    its node (none, where a word ends there).
+    """
+    edge = trie.withColumnsRenamed({"hot": "next_hot", "node": "next", "parent": "node"}).select(
+        "node", "label", F.char_length("label").alias("size"), "next", "next_hot", "ends", "letters",
+        (F.col("low") - F.col("depth")).alias("least"), (F.col("high") - F.col("depth")).alias("most"),
     )
-    # an edge of many letters is worth a look only where its first letters can match
-    moved = met.withColumn("move", F.explode(F.array_compact(F.array(*[_moves(s) for s in (-1, 0, 1)])))).select(
-        "word", F.col("move.position").alias("position"), F.col("next").alias("node"), F.col("move.edits").alias("edits"),
-        F.col("next_hot").alias("hot"), "depth", "ends", "letters", "low", "high",
+    after = F.when(F.char_length("label") > 1, F.array(F.substring("label", 2, 1))).otherwise(
+        F.concat(F.regexp_extract_all("letters", F.lit("."), F.lit(0)), F.when(F.col("ends").isNotNull(), F.array(F.lit(""))).otherwise(F.array().cast("array<string>")))
     )
+    ways = F.concat(
+        F.array(F.struct(F.lit("first").alias("way"), F.substring("label", 1, 1).alias("letter"))),
+        F.transform(after, lambda c: F.struct(F.lit("second").alias("way"), c.alias("letter"))),
+    )
+    return edge.select("*", F.inline(ways)).withColumn("ahead", _ahead())
+
+
+def _looks(states: DataFrame) -> DataFrame:
+    """The ways each state may go: with its next letter; without an edit so far also past a letter put in or replaced."""
+    here, after = (_part("word", F.col("position") + k, 1) for k in (1, 2))
+    replaced = F.col("position") < F.char_length("word")
+
+    def look(way: str, letter: Column, taken: int) -> Column:
+        return F.struct(F.lit(way).alias("way"), letter.alias("letter"), F.lit(taken).alias("taken"))
+
+    free = F.col("edits") == 0
+    match = look("first", here, 0)
+    ways = F.when(free, F.array(match, look("second", here, 0), F.when(replaced, look("second", after, 1)))).otherwise(F.array(match))
+    return states.select("*", F.inline_outer(ways)).filter("way is not null").withColumn("ahead", _ahead())
+
+
+def _arrivals() -> Column:
+    """Where a state gets along an edge it has looked at: array of (position, edits), null where it does not.
+
+    Arrays with nulls and no lambdas: this runs for every state, as compiled code.
+    """
+    size, position = F.col("size"), F.col("position")
+
+    def to(letters: Column, edits: Column) -> Column:
+        return F.struct((position + letters).alias("position"), edits.alias("edits"))
+
+    def shifted(shift: int) -> Column:
+        edits = F.levenshtein(_part("word", position + 1, size + shift), F.col("label"), 1)
+        return F.when((position + size + shift <= F.char_length("word")) & (edits >= 0), to(size + shift, edits))
+
+    whole = _part("word", position + 1, size) == F.col("label")
+    # past an inserted letter the rest of the edge stands in the word at once, past a replaced one a letter later
+    rest = _part("word", position + 1 + F.col("taken"), size - 1) == F.substring(F.col("label"), F.lit(2), size)
+    differs = (F.col("taken") == 0) | (_part("word", position + 1, 1) != F.substring("label", 1, 1))
+    second, free = F.col("way") == "second", F.col("edits") == 0
+    spent = F.when(second, F.when(rest & differs, to(size - 1 + F.col("taken"), F.lit(1)))).otherwise(F.when(whole, to(size, F.lit(1))))
+    straight = F.when(size == 1, to(F.lit(1), F.lit(0))).otherwise(shifted(0))
+    # a word without edits may also leave out its next letter where it has come to
+    left_out = F.when((size == 1) | whole, F.when(position + size < F.char_length("word"), to(size + 1, F.lit(1))))
+    longer = F.when(size > 1, shifted(-1)), F.when(size > 1, shifted(1))
+    return F.when(free & ~second, F.array(straight, left_out, *longer)).otherwise(F.array(spent))
+
+
+def _advance(states: DataFrame, edges: DataFrame, busy: DataFrame) -> DataFrame:
+    """States one edge further: word, position, node, edits, hot, and the neighbour (near) where one ends.
+
+    States at busy nodes get the edges sent to them, the others are shuffled by what they look for.
+    """
+    looks = _looks(states)
+    keys = ("node", "way", "letter")
+    edges, busy = (e.withColumnsRenamed({k: f"edge_{k}" for k in keys}) for e in (edges, busy))
+    met = looks.filter("hot").join(F.broadcast(busy), "ahead").unionByName(looks.filter("not hot").join(edges, "ahead"))
+    same = [F.col(k) == F.col(f"edge_{k}") for k in keys]
+    now = met.filter(same[0] & same[1] & same[2]).select(
+        "word", "next", "next_hot", "ends", "letters", "least", "most", F.inline_outer(_arrivals())
+    ).filter("position is not null")
     rest, spare = F.char_length("word") - F.col("position"), 1 - F.col("edits")
-    fits = (rest + spare >= F.col("low") - F.col("depth")) & (rest - spare <= F.col("high") - F.col("depth"))
+    fits = (rest + spare >= F.col("least")) & (rest - spare <= F.col("most"))
     near = F.when((rest == 0) & (F.col("edits") == 1), F.col("ends"))
-    goes_on = (F.size("letters") > 0) & ((F.col("edits") == 0) | F.array_contains("letters", F.substring(F.col("word"), F.col("position") + 1, F.lit(1))))
-    return moved.filter(fits).select("word", "position", "node", "edits", "hot", near.alias("near"), goes_on.alias("goes_on")).filter(
-        "near is not null or goes_on"
-    )
+    following = (rest > 0) & F.contains("letters", _part("word", F.col("position") + 1, 1))
+    goes_on = (F.col("letters") != "") & ((F.col("edits") == 0) | following)
+    return now.filter(fits).select(
+        "word", "position", F.col("next").alias("node"), "edits", F.col("next_hot").alias("hot"), near.alias("near"), goes_on.alias("goes_on")
+    ).filter("near is not null or goes_on")
 
 
 def neighbours(vocabulary: DataFrame) -> DataFrame:
     """Every pair of words (word, n) that differ by one edit, both ways: word, near (word, n)."""
     trie = edges(vocabulary)
-    states = vocabulary.select(
-        "word", F.lit(0).alias("position"), F.lit(ROOT).alias("node"), F.lit(0).alias("edits"), F.lit(True).alias("hot")
-    )
+    keyed = stored(keyed_edges(trie), "trie-ways")
+    # a bounded number of nodes, with one edge for each letter of the alphabet
+    hot = trie.filter("hot").select("node").unionByName(vocabulary.sparkSession.range(1).select(F.lit(ROOT).alias("node")))
+    busy = stored(keyed.join(F.broadcast(hot), "node", "left_semi"), "trie-busy")
+    start = F.array(*[F.struct(F.lit(k).alias("position"), F.lit(k).alias("edits")) for k in (0, 1)])
+    states = vocabulary.select("word", F.inline(start), F.lit(ROOT).alias("node"), F.lit(True).alias("hot"))
     found = vocabulary.sparkSession.createDataFrame([], "word string, near struct<word: string, n: bigint>")
     while True:
-        reached = stored(_advance(states, trie), "trie-frontier")
+        reached = stored(_advance(states, keyed, busy), "trie-frontier")
         found = found.unionByName(reached.filter("near is not null").select("word", "near"))
         states = reached.filter("goes_on").drop("near", "goes_on")
         if states.isEmpty():
