@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BUCKETS = 4096
+SPLITS = 65_536
 
 
 def _narrow(df: DataFrame, key: Column, wanted: int, low: int, high: int) -> tuple[int, int, bool]:
@@ -63,21 +64,35 @@ def newest_first(moment: Column, tie: Column) -> list[Column]:
     return [F.coalesce(-F.unix_micros(moment), F.lit(2**62)), -tie]
 
 
-def number_rows(scanned: DataFrame, first: int = 1) -> DataFrame:
+def _per_split(scanned: DataFrame) -> DataFrame:
+    return scanned.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_rows"), F.min("_seq").alias("_first"))
+
+
+def split_starts(scanned: DataFrame) -> tuple[DataFrame, bool]:
+    """Rows of its file before each split (_file, _block, _first, _before), and whether they may be broadcast.
+
+    One counting pass. Up to SPLITS splits are added up here and sent to every task; a scan of more keeps them as
+    a frame of its own, to be joined by shuffle.
+    """
+    found = _per_split(scanned).limit(SPLITS + 1).collect()
+    if len(found) <= SPLITS:
+        rows, before = [], {}
+        for file, block, n, first in sorted(found):
+            rows.append((file, block, first, before.get(file, 0)))
+            before[file] = before.get(file, 0) + n
+        return scanned.sparkSession.createDataFrame(rows, "_file string, _block bigint, _first bigint, _before bigint"), True
+    earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    return _per_split(scanned).select("_file", "_block", "_first", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")), False
+
+
+def number_rows(rows: DataFrame, first: int = 1, scanned: DataFrame | None = None) -> DataFrame:
     """Row number within each file for a frame with ``_file``, ``_block`` and ``_seq`` columns.
 
     ``_block`` is the offset of the split a row was read from and ``_seq`` a counter that rises by
-    one per row inside the split. A split's start number is the row total of the earlier splits of
-    its file, so only one (file, split, count) row per split is ordered, never the rows.
+    one per row inside the split. ``rows`` may be a part of the ``scanned`` rows: only that part is joined.
     """
-    per_split = scanned.groupBy("_file", "_block").agg(
-        F.count(F.lit(1)).alias("_rows"), F.min("_seq").alias("_first")
-    )
-    earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = per_split.select(
-        "_file", "_block", "_first", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")
-    )
-    numbered = scanned.join(starts, ["_file", "_block"])
+    starts, small = split_starts(rows if scanned is None else scanned)
+    numbered = rows.join(F.broadcast(starts) if small else starts, ["_file", "_block"])
     return numbered.withColumn("row_number", F.col("_before") + F.col("_seq") - F.col("_first") + first).drop(
         "_before", "_first"
     )

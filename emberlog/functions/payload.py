@@ -68,9 +68,9 @@ def read(df: DataFrame, value: str, fields, derived: dict[str, str], doubts: str
     parsed = with_text(df, value).selectExpr("*", f"from_json({BRACKETED}, '{schema}', {JSON_OPTIONS}) AS fields")
     keep = [c for c in parsed.columns if c != "fields"]
     texts = parsed.selectExpr(*keep, *[f"CASE WHEN size(fields) = 1 THEN fields[0].{n} END AS text_{n}" for n in names])
-    open_text = " OR ".join(f"text_{n} IS NULL" for n in fields)
+    unclear = " OR ".join([*[f"text_{n} IS NULL" for n in fields], doubts, "contains(raw_text, ']')"])
     looked = texts.selectExpr("*", *[f"{sql} AS {name}" for name, sql in derived.items()]).selectExpr(
-        "*", f"CASE WHEN {open_text} OR {doubts} OR contains(raw_text, ']') THEN {IS_JSON} END AS checked_json"
+        "*", f"CASE WHEN {unclear} THEN {IS_JSON} END AS checked_json"
     )
     # checked_json: NULL when nothing is in doubt, otherwise whether the text is JSON at all
     return looked.selectExpr(

@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.ordering import top_rows
+from ..functions.ordering import number_rows, top_rows
 from ..functions.payload import once
 from ..functions.text import is_blank, quote, quote_list, strip
 
@@ -78,13 +78,13 @@ def _rule(spec: dict) -> Rule:
 
 
 def column_errors(name: str, rule: Rule) -> list[str]:
-    """SQL of the nullable error texts of one column, in report order."""
+    """SQL of the nullable error texts of one column, in report order, without the row they belong to."""
     value = strip(f"cast(`{name}` AS string)")
     empty = f"(`{name}` IS NULL OR {is_blank(f'cast(`{name}` AS string)')})"
 
     def error(test: str, *tail: str) -> str:
         words = ", ".join([quote(f": column '{name}' ")] + list(tail))
-        return f"CASE WHEN {test} THEN concat('Row ', row_number, {words}) END"
+        return f"CASE WHEN {test} THEN concat({words}) END"
 
     found: list[str] = []
     if rule.required and not rule.nullable:
@@ -113,13 +113,36 @@ def missing_columns(df: DataFrame, contract: dict[str, Rule]) -> list[str]:
     return [name for name, rule in contract.items() if rule.required and name not in df.columns]
 
 
-def check_rows(df: DataFrame, contract: dict[str, Rule], row_number: Column) -> DataFrame:
-    """``row_number`` and ``errors`` (array, empty for a good row) per row. Data starts at row 2."""
+def _faults(df: DataFrame, contract: dict[str, Rule], *keys: str) -> DataFrame:
+    """``keys`` and ``faults``: the error texts of each row without its number."""
     present = {n: r for n, r in contract.items() if n in df.columns}
     errors = ", ".join(e for name, rule in present.items() for e in column_errors(name, rule))
-    numbered = df.select(row_number.cast("bigint").alias("row_number"), *present)
     # built once per row: filters on the errors stay above the generator
-    return once(numbered, f"array_compact(array({errors})) AS errors").select("row_number", "errors")
+    return once(df.select(*keys, *present), f"array_compact(array({errors})) AS faults").select(*keys, "faults")
+
+
+_NAMED = "transform(faults, f -> concat('Row ', row_number, f)) AS errors"
+
+
+def check_rows(df: DataFrame, contract: dict[str, Rule], row_number: Column) -> DataFrame:
+    """``row_number`` and ``errors`` (array, empty for a good row) per row. Data starts at row 2."""
+    numbered = df.withColumn("row_number", row_number.cast("bigint"))
+    return _faults(numbered, contract, "row_number").selectExpr("row_number", _NAMED)
+
+
+def run_on_files(scanned: DataFrame, contract: dict[str, Rule]) -> tuple[DataFrame, DataFrame]:
+    """``run_contract`` over files (``csv.scan_places``): (summary, errors with ``file``).
+
+    Rows are checked as they are scanned and never shuffled; a row's number needs the rows of the splits before it,
+    so only rows with errors are joined with the starts of the splits.
+    """
+    if missing_columns(scanned, contract):
+        summary, errors = run_contract(scanned, contract, F.lit(None))
+        return summary, errors.select(F.lit(None).cast("string").alias("file"), "*")
+    checked = _faults(scanned, contract, "_file", "_block", "_seq")
+    bad = number_rows(checked.filter("size(faults) > 0"), first=2, scanned=scanned)
+    listed = bad.selectExpr("_file AS file", "row_number", _NAMED).select("file", "row_number", F.posexplode("errors").alias("position", "error"))
+    return totals(checked.select(F.col("faults").alias("errors"))).withColumn("stopped_early", F.lit(False)), listed
 
 
 def error_list(checked: DataFrame) -> DataFrame:

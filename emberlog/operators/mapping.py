@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .. import schemas
 from ..functions import clock, payload
 from ..functions.text import blank_to_null
+from . import validate
 
 # Field order decides which problem is named first.
 TEXT, NUMBER, TIME, OPTIONAL_TEXT, OPTIONAL_TIME = "text", "number", "time", "optional text", "optional time"
@@ -54,38 +54,52 @@ def _value(name: str, form: str) -> str:
     return f"read_{name}"
 
 
-def _mapped(df: DataFrame, shape, value: str) -> DataFrame:
-    keys = [c for c in df.columns if c != value]
-    required = [name for name, form in shape if form in (TEXT, NUMBER, TIME)]
-    optional = [name for name, form in shape if name not in required]
-    parsed = {f"read_{n}": clock.parse_iso(f"text_{n}", "plain") for n, form in shape if form == TIME}
-    parsed |= {f"read_{n}": payload.integral_text(n) for n, form in shape if form == NUMBER}
+def _parsed(shape) -> dict[str, str]:
+    times = {f"read_{n}": clock.parse_iso(f"text_{n}", "plain") for n, form in shape if form == TIME}
+    return times | {f"read_{n}": payload.integral_text(n) for n, form in shape if form == NUMBER}
+
+
+def _doubts(shape) -> str:
+    """When a message needs the second look: a required field without text, a value that does not parse, a boolean."""
+    required = [f"text_{name} IS NULL" for name, form in shape if form in (TEXT, NUMBER, TIME)]
     texts = [name for name, form in shape if form == TEXT]
-    doubts = " OR ".join([f"{n} IS NULL" for n in parsed] + [payload.reads_boolean(*texts)])
-    ready = payload.read(df, value, required, parsed, doubts, optional)
-    row = ", ".join(f"{_value(name, form)} AS {name}" for name, form in shape)
-    problems = ", ".join(_problem(name, form) for name, form in shape)
-    shaped = ready.selectExpr("*", f"struct({row}) AS row")
-    problem = (
+    return " OR ".join([*required, *[f"{n} IS NULL" for n in _parsed(shape)], payload.reads_boolean(*texts)])
+
+
+def _first_problem(shape) -> str:
+    return (
         "CASE payload_kind WHEN 'bad_json' THEN 'invalid JSON: malformed document' "
-        f"WHEN 'other' THEN 'payload must be a JSON object' ELSE coalesce({problems}) END"
+        f"WHEN 'other' THEN 'payload must be a JSON object' ELSE coalesce({', '.join(_problem(name, form) for name, form in shape)}) END"
     )
-    return payload.once(shaped, f"{problem} AS problem", "row AS mapped").select(
+
+
+def _mapped(df: DataFrame, value: str, *choices: tuple[str, tuple]) -> DataFrame:
+    """Read each message once and give it ``problem`` and ``row``: by the fields of the first (condition, fields) whose
+    condition holds; where none does, ``problem`` is left to the caller (NULL, and an empty row)."""
+    keys = [c for c in df.columns if c != value]
+    fields = [field for _, shape in choices for field in shape]
+    parsed = {name: sql for _, shape in choices for name, sql in _parsed(shape).items()}
+    doubts = " ".join(f"WHEN {test} THEN {_doubts(shape)}" for test, shape in choices)
+    ready = payload.read(df, value, (), parsed, f"(CASE {doubts} ELSE false END)", [name for name, _ in fields])
+    row = ", ".join(f"{_value(name, form)} AS {name}" for name, form in fields)
+    problem = " ".join(f"WHEN {test} THEN {_first_problem(shape)}" for test, shape in choices)
+    shaped = ready.selectExpr("*", f"struct({row}) AS row")
+    return payload.once(shaped, f"CASE {problem} END AS problem", "row AS mapped").select(
         *keys, "raw_text", "problem", F.col("mapped").alias("row")
     )
 
 
 def map_processed(df: DataFrame, value: str = "value") -> DataFrame:
     """Add ``problem`` and the warehouse columns under ``row`` for processed-topic messages."""
-    return _mapped(df, PROCESSED_FIELDS, value)
+    return _mapped(df, value, ("true", PROCESSED_FIELDS))
 
 
 def map_invalid(df: DataFrame, value: str = "value") -> DataFrame:
-    return _mapped(df, INVALID_FIELDS, value)
+    return _mapped(df, value, ("true", INVALID_FIELDS))
 
 
 def _id(position: Column) -> Column:
-    return position.cast(schemas.POSITION).alias("id")
+    return position.cast("bigint").alias("id")
 
 
 def processed_rows(mapped: DataFrame, position: Column, inserted_at: Column | str) -> DataFrame:
@@ -110,6 +124,29 @@ def quarantine_rows(mapped: DataFrame, position: Column, inserted_at: Column | s
     )
 
 
+def loaded_rows(messages: DataFrame, inserted_at: Column | str) -> DataFrame:
+    """Messages (id, value, topic) of both topics as rows of the three loaded tables, in one pass.
+
+    Columns of LOADED and ``target``, the table of the row. Messages that fit no table, and those of a topic
+    nobody asked for, are quarantined with the reason.
+    """
+    topics = {validate.PROCESSED_TOPIC: PROCESSED_FIELDS, validate.INVALID_TOPIC: INVALID_FIELDS}
+    mapped = _mapped(messages.select("id", "value", "topic"), "value", *[(f"topic = '{t}'", fields) for t, fields in topics.items()])
+    known = F.coalesce(F.col("topic").isin(*topics), F.lit(False))
+    stray = F.concat(F.lit("received message from unexpected topic "), F.coalesce("topic", F.lit("null")))
+    reasoned = mapped.withColumn("reason", F.when(known, F.col("problem")).otherwise(stray))
+    good = F.col("reason").isNull()
+    processed = good & (F.col("topic") == validate.PROCESSED_TOPIC)
+    casts = {"packet_size": "int", "duration_ms": "int"}
+    names = [n for n, _ in (*PROCESSED_FIELDS, *INVALID_FIELDS) if n != "raw_payload"]
+    return reasoned.select(
+        "id", *[F.when(good, F.col(f"row.{n}")).cast(casts[n]).alias(n) if n in casts else F.when(good, F.col(f"row.{n}")).alias(n) for n in names],
+        F.when(processed, F.col("raw_text")).when(good, F.col("row.raw_payload")).alias("raw_payload"),
+        F.when(~good, F.col("raw_text")).alias("raw_text"), "reason", clock.moment(inserted_at).alias("inserted_at"),
+        F.when(~good, "load_quarantine").when(processed, "processed_iot_logs").otherwise("invalid_iot_logs").alias("target"),
+    )
+
+
 def rows_from_valid(valid: DataFrame, position: Column, inserted_at: Column | str) -> DataFrame:
     """Processed-table rows straight from validated records, skipping the JSON round trip.
 

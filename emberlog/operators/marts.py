@@ -78,16 +78,25 @@ def protocol_metrics(staged: DataFrame) -> DataFrame:
     )
 
 
-def quality_summary(staged: DataFrame, staged_invalid: DataFrame) -> DataFrame:
-    """One row: two global aggregates side by side (each side is a single row by construction)."""
-    good = staged.agg(_events().alias("processed_records"), F.max("processed_at").alias("last_processed_at"))
-    bad = staged_invalid.agg(_events().alias("invalid_records"), F.max("failed_at").alias("last_invalid_at"))
+def outcome_totals(outcomes: DataFrame) -> DataFrame:
+    """One row from (outcome, at): how many messages were processed and rejected, and when last."""
+    of = {"processed": F.col("outcome") == "processed", "invalid": F.col("outcome") == "invalid"}
+    return outcomes.agg(
+        *[F.count_if(test).alias(f"{name}_records") for name, test in of.items()], *[F.max(F.when(test, F.col("at"))).alias(f"last_{name}_at") for name, test in of.items()]
+    )
+
+
+def quality_of(totals: DataFrame) -> DataFrame:
+    """The quality mart from one row of ``outcome_totals``."""
     total = F.col("processed_records") + F.col("invalid_records")
-    return good.crossJoin(F.broadcast(bad)).select(
-        "processed_records",
-        "invalid_records",
-        total.alias("total_records"),
-        F.coalesce(rate(F.col("invalid_records"), total), F.lit(0.0)).alias("invalid_rate"),
-        "last_processed_at",
-        "last_invalid_at",
+    return totals.select(
+        "processed_records", "invalid_records", total.alias("total_records"),
+        F.coalesce(rate(F.col("invalid_records"), total), F.lit(0.0)).alias("invalid_rate"), "last_processed_at", "last_invalid_at",
     )
+
+
+def quality_summary(staged: DataFrame, staged_invalid: DataFrame) -> DataFrame:
+    """One row over both staged tables. Where one pass over checked messages gives both outcomes, use ``quality_of``."""
+    good = staged.select(F.lit("processed").alias("outcome"), F.col("processed_at").alias("at"))
+    bad = staged_invalid.select(F.lit("invalid").alias("outcome"), F.col("failed_at").alias("at"))
+    return quality_of(outcome_totals(good.unionByName(bad)))

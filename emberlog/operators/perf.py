@@ -40,6 +40,12 @@ def run_table(runs: DataFrame) -> DataFrame:
     )
 
 
+def in_order(runs: DataFrame, limit: int | None = None) -> DataFrame:
+    """Runs by time and then file name, as reports list them; with ``limit`` only the first ones, which need no sort of all."""
+    ordered = runs.orderBy("timestamp", "file")
+    return ordered if limit is None else ordered.limit(limit)
+
+
 def size_groups(runs: DataFrame) -> DataFrame:
     return runs.groupBy("rows", "consumer_messages", "loader_messages").agg(F.count(F.lit(1)).alias("run_count"))
 

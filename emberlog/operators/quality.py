@@ -45,11 +45,16 @@ def _metrics(counts: DataFrame) -> DataFrame:
 
 def run_metrics(processed: DataFrame, invalid: DataFrame, run_id: str) -> DataFrame:
     """One row for the two warehouse tables as they stand."""
-    if not run_id.strip():
-        raise ValueError("run_id cannot be empty")
     good = processed.agg(F.count(F.lit(1)).alias("processed_records"))
     bad = invalid.agg(F.count(F.lit(1)).alias("invalid_records"))
-    return _metrics(good.crossJoin(F.broadcast(bad)).withColumn("run_id", F.lit(run_id)))
+    return metrics_of(good.crossJoin(F.broadcast(bad)), run_id)
+
+
+def metrics_of(totals: DataFrame, run_id: str) -> DataFrame:
+    """``run_metrics`` from one row with both counts."""
+    if not run_id.strip():
+        raise ValueError("run_id cannot be empty")
+    return _metrics(totals.withColumn("run_id", F.lit(run_id)))
 
 
 def metrics_by_run(outcomes: DataFrame, run_id: Column, is_valid: Column) -> DataFrame:

@@ -64,6 +64,14 @@ def of_latest_run(checks: DataFrame, audit: DataFrame) -> DataFrame:
     return checks.join(F.broadcast(latest_run(audit).select("run_id")), "run_id", "left_semi")
 
 
+def rows_of_latest(rows: DataFrame, audit: DataFrame) -> DataFrame:
+    """Rows (run_id) of the run that was audited last. The newest creation time is a filter on the audit rows, so Spark
+    prunes the partitions of a table kept by run_id before it reads them."""
+    newest = audit.agg(F.max("created_at"))
+    latest = audit.filter(F.col("created_at") == newest.scalar()).agg(F.max("run_id").alias("run_id"))
+    return rows.join(latest, "run_id", "left_semi")
+
+
 def with_run_prefix(df: DataFrame, prefix: str) -> DataFrame:
     return df.filter(F.col("run_id").startswith(prefix))
 

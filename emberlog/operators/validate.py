@@ -68,6 +68,14 @@ FAULTLESS = (
 STORABLE = f"packet_size <= {2**31 - 1} AND duration_ms <= {2**31 - 1}"
 
 
+# a message without escapes that has the required fields, optional ones as texts, and nothing else: as many names as fields
+_OPTIONAL_TEXTS = " AND ".join(f"(text_{n} IS NULL AND NOT contains(raw_text, '\"{n}\"') OR contains(raw_text, concat('\"{n}\":\"', text_{n}, '\"')))" for n in OPTIONAL_FIELDS)
+_NAMES = f"{len(REQUIRED_FIELDS)} + " + " + ".join(f"cast(text_{n} IS NOT NULL AS int)" for n in OPTIONAL_FIELDS)
+BARE = (
+    f"coalesce(plain AND checked_json IS NULL AND octet_length(raw_text) - octet_length(replace(raw_text, '\":', '')) = 2 * ({_NAMES}) AND {_OPTIONAL_TEXTS}, false)"
+)
+
+
 def check(df: DataFrame, value: str = "value") -> DataFrame:
     """Add ``raw_text``, the normalized columns, the texts of the optional fields, ``error_reason``
     (NULL for a valid message) and ``storable``.
@@ -88,32 +96,43 @@ def check(df: DataFrame, value: str = "value") -> DataFrame:
         f"ELSE coalesce(nullif(concat_ws('; ', {missing}), ''), nullif(concat_ws('; ', {', '.join(TYPE_PROBLEMS)}), '')) END"
     )
     # every result leaves through the generator: a later filter on any of them stays above it
-    results = [*NORMALIZED, *[f"text_{n} AS {n}" for n in OPTIONAL_FIELDS], f"{reason} AS error_reason", f"{STORABLE} AS storable"]
-    return shaped.selectExpr(*keep, f"inline(array(struct({', '.join(results)})))").select(*keep, *OPTIONAL_FIELDS, *NORMALIZED, "error_reason", "storable")
+    results = [*NORMALIZED, *[f"text_{n} AS {n}" for n in OPTIONAL_FIELDS], f"{reason} AS error_reason", f"{STORABLE} AS storable", f"{BARE} AS bare"]
+    return shaped.selectExpr(*keep, f"inline(array(struct({', '.join(results)})))").select(*keep, *OPTIONAL_FIELDS, *NORMALIZED, "error_reason", "storable", "bare")
 
 
 def _positions(df: DataFrame, *dropped: str) -> list[str]:
     """Columns of the incoming frame that travel with a message (row id, offset, day)."""
-    own = {"raw_text", "error_reason", "storable", "value", "key", "topic", *OPTIONAL_FIELDS, *NORMALIZED, *dropped}
+    own = {"raw_text", "error_reason", "storable", "bare", "value", "key", "topic", *OPTIONAL_FIELDS, *NORMALIZED, *dropped}
     return [c for c in df.columns if c not in own]
 
 
 def normalized(checked: DataFrame, processed_at: Column | str) -> DataFrame:
     """Valid messages only: typed normalized columns, ``attack_type`` untouched, ``processed_at``."""
     return checked.filter("error_reason IS NULL").select(
-        *_positions(checked), "raw_text", *NORMALIZED, *OPTIONAL_FIELDS, "storable",
+        *_positions(checked), "raw_text", *NORMALIZED, *OPTIONAL_FIELDS, "storable", "bare",
         clock.moment(processed_at).alias("processed_at"),
     )
 
 
+def outcomes(checked: DataFrame, at: Column | str) -> DataFrame:
+    """What becomes of each message, from one pass: ``processed``, ``invalid``, or null where a valid one does not fit the table."""
+    outcome = F.when(F.col("error_reason").isNotNull(), "invalid").when(F.col("storable"), "processed")
+    return checked.select(outcome.alias("outcome"), clock.moment(at).alias("at"))
+
+
 def processed_value() -> Column:
-    """JSON of a valid record: every incoming field kept, normalized ones replaced."""
+    """JSON of a valid record: every incoming field kept, normalized ones replaced.
+
+    A message with declared fields only (``bare``) is written from its columns; any other is read again for the fields
+    to keep.
+    """
     written = {name: name for name in NORMALIZED}
     written["event_timestamp"] = clock.iso_micros("event_timestamp")
     written["processed_at"] = clock.iso_micros("processed_at")
     entries = ", ".join(f"'{name}', cast({sql} AS variant)" for name, sql in written.items())
     others = f"map_filter(cast(parse_json(raw_text) AS map<string,variant>), (k, v) -> k NOT IN ({quote_list(written)}))"
-    return F.expr(f"to_json(map_concat({others}, map({entries})))")
+    flat = ", ".join([*sorted(OPTIONAL_FIELDS), *[f"{sql} AS {name}" for name, sql in written.items()]])
+    return F.expr(f"CASE WHEN bare THEN to_json(struct({flat})) ELSE to_json(map_concat({others}, map({entries}))) END")
 
 
 def processed_messages(valid: DataFrame) -> DataFrame:
@@ -147,7 +166,7 @@ def routed(df: DataFrame, now: Column | str, value: str = "value") -> DataFrame:
     checked = check(df, value)
     keys = _positions(df)
     flat = checked.select(
-        *keys, "raw_text", "error_reason", *NORMALIZED, F.col("raw_text").alias("raw_payload"),
+        *keys, "raw_text", "error_reason", *NORMALIZED, *OPTIONAL_FIELDS, "bare", F.col("raw_text").alias("raw_payload"),
         clock.moment(now).alias("processed_at"), clock.moment(now).alias("failed_at"),
     )
     good = F.col("error_reason").isNull()

@@ -6,7 +6,6 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .. import schemas
 from ..functions.text import quote_list
 from ..operators import anomalies, mapping, perf, quality, staging, validate
 from ..session import prepare
@@ -93,10 +92,15 @@ def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def invalid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.rejected(checked(spark, sf_dir), AS_OF).select(
-        F.col("row_id").cast(schemas.POSITION).alias("id"), "raw_payload", "error_reason", "failed_at", F.lit(AS_OF).cast("timestamp").alias("inserted_at")
+        F.col("row_id").alias("id"), "raw_payload", "error_reason", "failed_at", F.lit(AS_OF).cast("timestamp").alias("inserted_at")
     )
 
 
+def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of each message and when: one parse for valid and rejected ones."""
+    return validate.outcomes(checked(spark, sf_dir), AS_OF)
+
+
 def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.stage_processed(processed(spark, sf_dir))
 

@@ -1,14 +1,13 @@
-"""One whole run in order: gate, ingest, validate, load, anomalies, models, tests, features, quality."""
+"""One whole run in order: gate, truncate, ingest, validate, load, reconcile, anomalies, models, tests, features, quality."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import contract, data_tests, features, marts, quality, staging
+from ..operators import contract, data_tests, features, marts, quality, reconcile, staging, validate
 from ..sinks import files, tables as sink
 from ..sources import csv, tables, topics
 from ..streaming import jobs
-from ..operators import validate
 from . import quality_run
 
 
@@ -31,15 +30,24 @@ def run(
     steps: list[tuple[str, int]] = []
 
     number = row_number if row_number is not None else F.col("row_number")
-    summary, _ = contract.run_contract(logs, contract.RAW_LOG_CONTRACT, number)
+    summary, errors = contract.run_contract(logs, contract.RAW_LOG_CONTRACT, number)
+    files.write_contract_report(summary, errors, f"{at['reports']}/contract", "logs", "raw logs", now)
+    report = spark.read.schema("rows_checked bigint, invalid_rows bigint, error_count bigint").json(f"{at['reports']}/contract/summary")
     if stop_on_contract_errors:
-        contract.gate(summary)
-    steps.append(("contract_errors", summary.first()["error_count"]))
+        contract.gate(report)
+    steps.append(("contract_errors", report.first()["error_count"]))
+    steps.append(("reported_errors", spark.read.schema("row_number bigint").json(f"{at['reports']}/contract/errors").count()))
+
+    sink.truncate(spark, at["tables"])
+    before = _table_counts(spark, at["tables"])
 
     typed = logs.withColumns({c: F.expr(f"try_cast({c} AS int)") for c in ("packet_size", "duration_ms")})
     accepted = typed.filter("packet_size IS NOT NULL AND duration_ms IS NOT NULL").select(*csv.COLUMNS)
     sent = topics.publish(csv.messages(accepted, now), at["raw_topic"], topics.RAW_TOPIC)
-    steps.append(("raw_messages", sent.first()["sent"]))
+    offered = sent.first()
+    if offered["failed"]:
+        raise RuntimeError(f"{offered['failed']} raw messages were not sent")
+    steps.append(("raw_messages", offered["sent"]))
 
     checked, loaded = jobs.Counters(), jobs.Counters()
     outgoing = [validate.PROCESSED_TOPIC, validate.INVALID_TOPIC]
@@ -58,8 +66,19 @@ def run(
     processed = tables.read_loaded(spark, at["tables"], "processed_iot_logs")
     invalid = tables.read_loaded(spark, at["tables"], "invalid_iot_logs")
 
-    found = quality_run.anomaly_run(processed, at["tables"], now, f"{run_id}-anomalies", write=True)
-    steps.append(("anomalies", found.first()["inserted_rows"]))
+    delta = reconcile.load_delta(before, _table_counts(spark, at["tables"]), offered["sent"]).first()
+    if delta["status"] != "passed":
+        raise RuntimeError(f"{delta['total_delta']} rows were loaded instead of {delta['expected_rows']}")
+    steps.append(("reconciled_rows", delta["total_delta"]))
+
+    detection = f"{run_id}-anomalies"
+    detected = quality_run.anomaly_run(processed, at["tables"], now, detection, write=True)
+    stored_findings = tables.read(spark, at["tables"], "iot_anomalies").filter(F.col("run_id") == detection)
+    # the report lists what was stored
+    totals = detected.select("rows_scanned", "anomalies_detected", "rows_with_anomalies", "anomalies_by_rule", "anomalies_by_severity")
+    files.write_anomaly_report(totals, stored_findings, f"{at['reports']}/anomalies", detection, None, "write-db", now)
+    steps.append(("anomalies", detected.first()["inserted_rows"]))
+    steps.append(("reported_anomalies", spark.read.schema("source_row_id string").json(f"{at['reports']}/anomalies/anomalies").count()))
 
     # staged rows feed four marts and the tests: computed once, read back from storage
     staged, staged_invalid = (
@@ -84,6 +103,10 @@ def run(
         raise RuntimeError("no feature files were published")
     steps.append(("feature_rows", spark.read.parquet(f"{at['features']}/spark/device_features/latest").count()))
 
+    needed = {"processed_iot_logs": processed, "invalid_iot_logs": invalid} | {
+        name: tables.read(spark, at["tables"], name) for name in ("pipeline_run_audit", "pipeline_quality_checks", "pipeline_alerts")
+    }
+    tables.require_schema(needed)
     metrics = quality.run_metrics(processed, invalid, run_id)
     checks = quality.quality_checks(metrics, settings)
     sink.upsert_audit(quality.audit_rows(metrics, now, now, settings), at["tables"], run_id, now)
@@ -97,6 +120,12 @@ def run(
     return spark.createDataFrame(steps, "stage string, row_count bigint")
 
 
+def _table_counts(spark: SparkSession, root: str) -> DataFrame:
+    """Rows of both tables from the markers of the finished loads, as one row."""
+    counts = tables.finished_loads(spark, root).agg(F.sum("processed_rows").alias("p"), F.sum("invalid_rows").alias("i")).first()
+    return spark.createDataFrame([(counts["p"] or 0, counts["i"] or 0)], "processed_count bigint, invalid_count bigint")
+
+
 def _stored(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -8,6 +8,7 @@ COLUMNS = "event_timestamp device_id source_ip destination_ip protocol packet_si
 ATTACK_LABELS = ["DDoS", "ARP_poisioning", "DOS_SYN_Hping", "port_scan", "", "unknown"]
 HIGH_RISK_LABELS = "arp_poisoning arp_poisioning botnet brute_force ddos dos malware mitm port_scan ransomware sql_injection".split()
 BENIGN_LABELS = ["", "benign", "none", "normal", "unknown", "n/a", "na"]
+RULES = ["high_packet_size", "high_duration", "failed_or_blocked_status", "suspicious_attack_type", "unusual_protocol"]
 PROFILES = ["sample", "medium", "full"]
 LAYERS = ["raw", "processed", "curated", "anomalies"]
 EXTENSIONS = [".csv", ".json", ".jsonl", ".parquet"]
@@ -331,6 +332,7 @@ _NORMAL = """normal AS (
 _ATTACK_RAW = "count(*) FILTER (event_type = 'attack' OR attack_type IS NOT NULL)"
 _FAIL_RAW = "count(*) FILTER (status IN ('failed', 'error'))"
 _DEVICE_ORDER = "CASE risk_level WHEN 'HIGH' THEN 0 WHEN 'MEDIUM' THEN 1 ELSE 2 END, attack_rate DESC, total_events DESC, device_id"
+_IN_FILE = "row_number() OVER (PARTITION BY row_id % 3 ORDER BY row_id) + 1"
 _ODD = "run_id[13:14]::INT % 2 = 1"
 _ACCEPTED = "regexp_full_match(packet_size, '[+-]?[0-9]+')"
 _LATEST = "(SELECT run_id FROM audit ORDER BY created_at DESC, finished_at DESC, run_id DESC LIMIT 1)"
@@ -399,11 +401,13 @@ def _full_run() -> str:
       named AS (SELECT *, lower(event_type) = 'attack' OR label <> '' AS is_attack FROM kept)"""
     stages = {
         "contract_errors": "(SELECT count(*) FROM broken)",
+        "reported_errors": "(SELECT count(*) FROM broken)",
         "raw_messages": "(SELECT count(*) FROM sent WHERE fits)",
+        "reconciled_rows": "(SELECT count(*) FROM sent WHERE fits)",
         "processed_rows": "(SELECT count(*) FROM kept)",
         "invalid_rows": "(SELECT count(*) FROM sent WHERE fits AND NOT ok)",
-        "anomalies": f"""(SELECT coalesce(sum((size >= 1000)::INT + (span >= 5000)::INT + (lower(status) IN ('blocked', 'failed', 'error'))::INT
-          + (lower(label) NOT IN ({quote_list(BENIGN_LABELS)}))::INT + (protocol = 'icmp')::INT), 0)::BIGINT FROM kept)""",
+        **dict.fromkeys(("anomalies", "reported_anomalies"), f"""(SELECT coalesce(sum((size >= 1000)::INT + (span >= 5000)::INT + (lower(status) IN ('blocked', 'failed', 'error'))::INT
+          + (lower(label) NOT IN ({quote_list(BENIGN_LABELS)}))::INT + (protocol = 'icmp')::INT), 0)::BIGINT FROM kept)"""),
         "mart_device_risk_summary": "(SELECT count(DISTINCT device_id) FROM kept)",
         "mart_attack_summary": "(SELECT count(DISTINCT CASE WHEN label = '' THEN 'unknown' ELSE label END) FROM named WHERE is_attack)",
         "mart_protocol_metrics": "(SELECT count(DISTINCT upper(trim(protocol))) FROM kept)",
@@ -415,6 +419,39 @@ def _full_run() -> str:
     return _raw(" UNION ALL ".join(f"SELECT '{k}' AS stage, ({v})::BIGINT AS row_count" for k, v in stages.items()), CONTRACT, sent, _NORMAL)
 
 
+def _gated_run() -> str:
+    """What a run over the rows without contract errors stores, as (table, row, values)."""
+    kept = f"""clean AS (SELECT * FROM raw WHERE row_id + 1 NOT IN (SELECT row_number FROM broken)),
+      sent AS (SELECT *, trim(device_id) AS device, upper(trim(protocol)) AS proto, lower(trim(event_type)) AS kind, lower(trim(status)) AS state,
+        packet_size::INT AS size, duration_ms::INT AS span, trim(attack_type) AS label FROM clean),
+      kept AS (SELECT *, kind = 'attack' OR label <> '' AS hit, state IN ('failed', 'error') AS lost FROM sent
+        WHERE proto IN ('TCP', 'UDP', 'ICMP') AND event_timestamp <> 'not-a-timestamp' AND kind <> 'reboot' AND size >= 0),
+      device AS (SELECT device, count(*) AS n, count(*) FILTER (hit) AS hits, count(*) FILTER (lost) AS losses FROM kept GROUP BY 1),
+      rated AS (SELECT *, greatest({ratio('hits', 'n', 4)}, {ratio('losses', 'n', 4)}) AS worst FROM device),
+      finding AS (SELECT unnest([
+          CASE WHEN size >= 1500 THEN 'high_packet_size|high' WHEN size >= 1000 THEN 'high_packet_size|medium' END,
+          CASE WHEN span >= 15000 THEN 'high_duration|high' WHEN span >= 5000 THEN 'high_duration|medium' END,
+          CASE WHEN state = 'blocked' THEN 'failed_or_blocked_status|high' WHEN state IN ('failed', 'error') THEN 'failed_or_blocked_status|medium' END,
+          CASE WHEN lower(label) IN ({quote_list(BENIGN_LABELS)}) THEN NULL WHEN replace(lower(label), 'poisioning', 'poisoning') IN ({quote_list(HIGH_RISK_LABELS)})
+            THEN 'suspicious_attack_type|high' ELSE 'suspicious_attack_type|medium' END,
+          CASE WHEN proto = 'ICMP' THEN 'unusual_protocol|low' END]) AS rule FROM kept),
+      total AS (SELECT (SELECT count(*) FROM kept) AS good, (SELECT count(*) FROM sent) AS n),
+      share AS (SELECT *, {ratio('n - good', 'n', 6)} <= 0.08 AS few FROM total)"""
+    parts = (
+        "SELECT 'mart_device_risk_summary' AS \"table\", device AS row, concat_ws('|', n, hits, losses, CASE WHEN worst >= 0.5 THEN 'HIGH' WHEN worst >= 0.2 THEN 'MEDIUM' ELSE 'LOW' END) AS values FROM rated",
+        "SELECT 'mart_protocol_metrics', proto, concat_ws('|', count(*), count(*) FILTER (hit), count(*) FILTER (lost)) FROM kept GROUP BY proto",
+        "SELECT 'mart_attack_summary', CASE WHEN label = '' THEN 'unknown' ELSE label END, concat_ws('|', count(*), count(DISTINCT device)) FROM kept WHERE hit GROUP BY 2",
+        "SELECT 'device_features', device, count(*)::VARCHAR FROM sent GROUP BY device",
+        "SELECT 'processed_iot_logs', source_ip, concat_ws('|', device, proto, size, span, kind, state) FROM kept",
+        "SELECT 'iot_anomalies', split_part(rule, '|', 1), concat_ws('|', split_part(rule, '|', 2), count(*)) FROM finding WHERE rule IS NOT NULL GROUP BY rule",
+        "SELECT 'pipeline_quality_checks', 'processed_records_present', CASE WHEN good >= 1 THEN 'pass|low' ELSE 'fail|high' END FROM share",
+        "SELECT 'pipeline_quality_checks', 'invalid_rate_threshold', CASE WHEN few THEN 'pass|low' ELSE 'fail|medium' END FROM share",
+        "SELECT 'pipeline_alerts', 'invalid_rate_threshold', 'warning|true' FROM share WHERE NOT few",
+        "SELECT 'pipeline_run_audit', 'run-all', concat_ws('|', CASE WHEN few THEN 'success' ELSE 'warning' END, good, n - good, CASE WHEN few THEN 0 ELSE 1 END) FROM share",
+    )
+    return _raw(" UNION ALL ".join(parts), CONTRACT, kept)
+
+
 _PAYLOADS = """SELECT run_id, alert_type, '{"run_id":"' || run_id || '","pipeline_name":"iot_local_pipeline","environment":"local","alert_type":"' || alert_type
               || '","alert_level":"' || alert_level || '","alert_message":"' || alert_message || '","source":"' || source || '","processed_records":' || processed_records
               || ',"invalid_records":' || invalid_records || ',"invalid_rate":' || invalid_rate::VARCHAR || ',"created_at":"' || strftime(created_at, '%Y-%m-%dT%H:%M:%S+00:00') || '"}' AS value
@@ -469,7 +506,9 @@ def statements() -> dict[str, str]:
                 (SELECT count(DISTINCT source_row_id) FROM found) AS rows_with_anomalies, {_counts('rule_name')} AS anomalies_by_rule, {_counts('severity')} AS anomalies_by_severity),
               (SELECT 'run-dry' AS run_id, true AS dry_run, false AS write_db, 0::BIGINT AS inserted_rows UNION ALL SELECT 'run-stored', false, true, (SELECT count(*) FROM found))"""
         ),
-        "k10_stored_anomalies": _logs(f"SELECT * REPLACE ('run-stored' AS run_id, {AS_OF} AS created_at) FROM stored"),
+        "k10_stored_anomalies": _logs(
+            f"""SELECT row_number() OVER (ORDER BY source_row_id::BIGINT, list_position({RULES}, rule_name)) AS id, * REPLACE ('run-stored' AS run_id, {AS_OF} AS created_at) FROM stored"""
+        ),
         "a10_rule_severity": _logs("SELECT rule_name, severity, count(*) AS anomaly_rows FROM found GROUP BY ALL"),
         "a11_per_run": _logs("SELECT run_id, count(*) AS anomaly_rows FROM stored GROUP BY 1 ORDER BY run_id DESC LIMIT 5"),
         "j2_latest_run": _logs("SELECT run_id, rule_name, severity, count(*) AS anomaly_rows FROM stored WHERE run_id = (SELECT run_id FROM stored ORDER BY created_at DESC, run_id DESC LIMIT 1) GROUP BY ALL"),
@@ -542,6 +581,7 @@ def statements() -> dict[str, str]:
             f"""SELECT page_id, CASE WHEN problem = '' THEN 'validated' ELSE 'invalid' END AS status, problem = '' AS is_valid, problem AS validation_errors FROM (
               SELECT page_id, CASE WHEN object_key IS NULL THEN '{MISSING_KEY}' WHEN file_extension IN ({quote_list(EXTENSIONS)}) THEN '' ELSE '{BAD_EXTENSION}' END AS problem FROM described)""",
         ),
+        "t8_run_order": _with([TIMED], "SELECT file, timestamp, profile, rows FROM timed2 ORDER BY timestamp, file LIMIT 100"),
         "f12_profile_filter": _with([TIMED], "SELECT file, timestamp, rows FROM timed2 WHERE profile = 'medium'"),
         "a18_groups": _with([TIMED], "SELECT rows, consumer_messages, loader_messages, count(*) AS run_count FROM timed2 GROUP BY ALL"),
         "a19_step_share": _with([TIMED], f"SELECT name, elapsed_seconds, elapsed_seconds / sum(elapsed_seconds) OVER () * 100 AS share_percent FROM ({steps})"),
@@ -569,10 +609,55 @@ def statements() -> dict[str, str]:
         ),
         "s3_lenient_scan": _raw(f"SELECT {', '.join(f'trim({c}) AS {c}' if c not in ('packet_size', 'duration_ms') else f'{c}::INT AS {c}' for c in COLUMNS)} FROM raw WHERE {_ACCEPTED}"),
         "s4_strict_scan": _raw(f"SELECT {', '.join(COLUMNS_AS_WRITTEN)} FROM raw"),
-        "w4_row_numbers": _raw("SELECT (row_id % 3)::VARCHAR AS file, count(*) AS rows, true AS gapless FROM raw GROUP BY ALL"),
+"w4_row_numbers": _raw(f"SELECT (row_id % 3)::VARCHAR AS file, {_IN_FILE} AS row_number, {', '.join(COLUMNS_AS_WRITTEN)} FROM raw"),
+        "q9_contract_files": _raw(
+            f"""SELECT (row_id % 3)::VARCHAR AS file, n AS row_number, position, regexp_replace(error, '^Row [0-9]+', 'Row ' || n) AS error
+              FROM listed JOIN (SELECT row_id, row_id + 1 AS row_number, {_IN_FILE} AS n FROM raw) USING (row_number)""", CONTRACT
+        ),
+        "f15_contract_gate": _raw(
+            """SELECT 'clean' AS files, 'passed' AS outcome
+              UNION ALL SELECT 'all', 'contract check failed: ' || count(*) || ' error(s) in ' || count(DISTINCT row_number) || ' row(s)' FROM listed""", CONTRACT
+        ),
+        "x9_replayed_load": _logs(
+            """SELECT step, CASE done WHEN 0 THEN 0 WHEN 1 THEN p1 ELSE p END AS processed_rows, CASE done WHEN 0 THEN 0 WHEN 1 THEN p1 ELSE p END AS processed_ids,
+                CASE done WHEN 0 THEN 0 WHEN 1 THEN i1 ELSE i END AS invalid_rows, CASE done WHEN 0 THEN 0 WHEN 1 THEN i1 ELSE i END AS invalid_ids
+              FROM (VALUES ('crash of the first batch', 0), ('first batch', 1), ('crash of the second batch', 1), ('second batch', 2), ('first batch again', 2),
+                ('crash of the first batch again', 2)) v(step, done),
+              (SELECT count(*) FILTER (error_reason IS NULL) AS p, count(*) FILTER (error_reason IS NOT NULL) AS i,
+                count(*) FILTER (error_reason IS NULL AND row_id % 2 = 1) AS p1, count(*) FILTER (error_reason IS NOT NULL AND row_id % 2 = 1) AS i1 FROM checked)"""
+        ),
+        "k12_stored_audit": _runs(
+            f"""SELECT * REPLACE (CASE run_id WHEN (SELECT min(run_id) FROM audit) THEN 7 WHEN (SELECT max(run_id) FROM audit) THEN 8 ELSE processed_records END AS processed_records) FROM audit
+              UNION ALL SELECT * REPLACE ('run-new' AS run_id, (SELECT max(id) FROM audit) + 1 AS id, {AS_OF} AS created_at, 9 AS processed_records)
+              FROM audit WHERE run_id = (SELECT max(run_id) FROM audit)"""
+        ),
+        "k13_stored_checks": _runs(
+            """SELECT * EXCLUDE (place, newest) REPLACE (CASE WHEN newest THEN 'rewritten' ELSE severity END AS severity,
+                CASE WHEN newest THEN (SELECT max(id) FROM stored_checks WHERE run_id <> (SELECT max(run_id) FROM stored_checks)) + place ELSE id END AS id)
+              FROM (SELECT *, run_id = (SELECT max(run_id) FROM stored_checks) AS newest, row_number() OVER (PARTITION BY run_id ORDER BY check_name) AS place FROM stored_checks)"""
+        ),
+        "k14_stored_alerts": _runs("SELECT * FROM alerts WHERE run_id <> (SELECT max(run_id) FROM alerts)"),
+        "k16_undelivered": _runs(
+            """SELECT run_id, alert_type, false AS is_published_to_kafka, n || ' of ' || n || ' alerts of run ' || run_id || ' were not delivered' AS outcome
+              FROM alerts JOIN (SELECT run_id, count(*) AS n FROM alerts GROUP BY 1) USING (run_id) WHERE run_id = (SELECT max(run_id) FROM alerts)"""
+        ),
+        "k1_delivery": _raw(
+            """SELECT count(*) FILTER (size <= 260) AS sent, count(*) FILTER (size > 260) AS failed, count(*) FILTER (size <= 260) AS held,
+                max(CASE WHEN size <= 260 THEN strlen(value) END)::INT AS largest FROM (SELECT value, strlen(value) + strlen(key) AS size FROM msg)"""
+        ),
+        "x3_bounded_reads": _raw(
+            """SELECT CASE WHEN place <= 300 THEN 1 WHEN place <= 450 THEN 2 ELSE 3 END AS read, 'iot_raw_logs' AS topic, row_id % 5 AS partition, row_id // 5 AS "offset", row_id
+              FROM (SELECT row_id, row_number() OVER (ORDER BY row_id % 5, row_id // 5) AS place FROM raw)"""
+        ),
+        "j2_catalog_latest": _logs(
+            """SELECT run_id, rule_name, severity, count(*) AS anomaly_rows, 'pipeline_alerts=missing' AS absent FROM stored
+              WHERE run_id = (SELECT 'anomaly-' || max(day) FROM checked) GROUP BY ALL"""
+        ),
+        "x6_concurrent": _logs("SELECT * EXCLUDE (id), true AS stopped_together FROM processed"),
         "k19_contract_report": _raw("SELECT row_number, position, error FROM listed", CONTRACT),
         "k18_anomaly_report": _logs("SELECT * FROM found"),
         "x1_stream_validate": _logs("SELECT row_id, CASE WHEN error_reason IS NULL THEN 'iot_processed_logs' ELSE 'iot_invalid_logs' END AS topic, CASE WHEN error_reason IS NULL THEN device_id END AS key, error_reason FROM checked"),
-        "x2_stream_load": _logs("SELECT * FROM processed"),
+        "x2_stream_load": _logs("SELECT * REPLACE (row_number() OVER (ORDER BY id) AS id) FROM processed"),
         "x11_full_run": _full_run(),
+        "x11_gated_run": _gated_run(),
     } | {"k8_features_parquet": _DEVICE_FEATURES, "a1_device_features": _DEVICE_FEATURES, "a1_device_features_seconds": _raw(_FEATURES_SQL, _NORMAL_SECONDS)}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -87,7 +89,7 @@ def f6_validate(spark, sf):
 
 @query
 def p3_normalized(spark, sf):
-    return bridge.valid(spark, sf).drop("day", "storable")
+    return bridge.valid(spark, sf).drop("day", "storable", "bare")
 
 
 @query
@@ -169,12 +171,12 @@ def a4_protocol_metrics(spark, sf):
 
 @query
 def a5_quality_summary(spark, sf):
-    return marts.quality_summary(bridge.staged(spark, sf), bridge.staged_invalid(spark, sf))
+    return marts.quality_of(marts.outcome_totals(bridge.outcomes(spark, sf)))
 
 
 @query
 def a6_run_metrics(spark, sf):
-    return quality.run_metrics(bridge.processed(spark, sf), bridge.invalid(spark, sf), "run-all")
+    return quality.metrics_of(marts.outcome_totals(bridge.outcomes(spark, sf)), "run-all")
 
 
 @query
@@ -184,7 +186,8 @@ def a23_protocol_volume(spark, sf):
 
 @query
 def j3_table_counts(spark, sf):
-    return reconcile.table_counts(bridge.processed(spark, sf), bridge.invalid(spark, sf))
+    totals = marts.outcome_totals(bridge.outcomes(spark, sf))
+    return totals.select(F.col("processed_records").alias("processed_count"), F.col("invalid_records").alias("invalid_count"))
 
 
 # --- anomalies --------------------------------------------------------------------------------
@@ -225,12 +228,7 @@ def a8_affected_rows(spark, sf):
 
 @query
 def a9_summary(spark, sf):
-    def text(name):
-        return F.array_join(F.transform(F.map_entries(name), lambda e: F.concat_ws("=", e["key"], e["value"])), ",").alias(name)
-
-    return anomalies.summary(bridge.processed(spark, sf)).select(
-        "rows_scanned", "anomalies_detected", "rows_with_anomalies", text("anomalies_by_rule"), text("anomalies_by_severity")
-    )
+    return _texts(anomalies.summary(bridge.processed(spark, sf)), "anomalies_by_rule", "anomalies_by_severity")
 
 
 def _texts(df, *maps):
@@ -280,6 +278,149 @@ def k16_alert_topic(spark, sf):
     return topics.read(spark, f"{root}/topic", [topics.ALERT_TOPIC]).select("topic", "key", "value")
 
 
+def _broken(df, column, last):
+    """The frame with a row that fails when it is computed: a write of it ends halfway."""
+    fault = F.raise_error(F.lit("the machine went away")).cast(df.schema[column].dataType)
+    return df.withColumn(column, F.when(last, fault).otherwise(F.col(column)))
+
+
+def _crashes(write) -> None:
+    try:
+        write()
+    except Exception as error:  # noqa: BLE001 - the failure that was built in
+        if "the machine went away" not in str(error):
+            raise
+    else:
+        raise AssertionError("the write should have failed")
+
+
+@query
+def x9_replayed_load(spark, sf):
+    """Two batches of messages, with crashes and repetitions: what readers see after each step."""
+    root = scratch_dir(spark, "replay")
+    routed = validate.routed(bridge.messages(spark, sf).withColumn("position", F.col("row_id")), AS_OF)
+    routed.select("position", "key", "value", "topic").write.parquet(f"{root}/topics")
+    sent = spark.read.parquet(f"{root}/topics")
+    batches = [sent.filter(F.col("position") % 2 == 1), sent.filter(F.col("position") % 2 == 0)]
+    last = [F.col("position") == batch.agg(F.max("position")).first()[0] for batch in batches]
+    seen = []
+
+    def look(step):
+        ids = F.count_distinct("id").cast("bigint").alias("ids")
+        rows = {name: tables.read_loaded(spark, f"{root}/tables", name).agg(F.count(F.lit(1)).alias("n"), ids).first() for name in schemas.LOADED_TABLES[:2]}
+        seen.append((step, *[rows[name][k] for name in rows for k in ("n", "ids")]))
+
+    def load(n, frame):
+        jobs.load_batch(frame, f"{root}/tables", n, now=AS_OF)
+
+    for step, action in (
+        ("crash of the first batch", lambda: _crashes(lambda: load(0, _broken(batches[0], "value", last[0])))),
+        ("first batch", lambda: load(0, batches[0])),
+        ("crash of the second batch", lambda: _crashes(lambda: load(1, _broken(batches[1], "value", last[1])))),
+        ("second batch", lambda: load(1, batches[1])),
+        ("first batch again", lambda: load(0, batches[0])),
+        ("crash of the first batch again", lambda: _crashes(lambda: load(0, _broken(batches[0], "value", last[0])))),
+    ):
+        action()
+        look(step)
+    return spark.createDataFrame(seen, "step string, processed_rows bigint, processed_ids bigint, invalid_rows bigint, invalid_ids bigint")
+
+
+def _run_changed(rows, number):
+    return rows.withColumn("processed_records", F.lit(number).cast("bigint"))
+
+
+@query
+def k12_stored_audit(spark, sf):
+    """The audit table after updates of the newest run, of one that is stored twice, and of a new one; one write fails."""
+    root, audit = scratch_dir(spark, "audit"), bridge.run_audit(spark, sf)
+    sink.append_run(audit, root, "pipeline_run_audit")
+    first, last = audit.agg(F.min("run_id"), F.max("run_id")).first()
+    own = {run: audit.filter(F.col("run_id") == run) for run in (first, last)}
+    later = own[first].withColumns({"id": F.col("id") + 10**12, "created_at": F.timestamp_add("DAY", F.lit(1), F.col("created_at"))})
+    sink.append_run(later, root, "pipeline_run_audit")
+    sink.upsert_audit(_run_changed(own[first], 7), root, first, AS_OF)
+    _crashes(lambda: sink.replace_run(_broken(own[last], "status", F.lit(True)), root, "pipeline_run_audit", last))
+    sink.upsert_audit(_run_changed(own[last], 8), root, last, AS_OF)
+    sink.upsert_audit(_run_changed(own[last], 9).withColumn("run_id", F.lit("run-new")), root, "run-new", AS_OF)
+    return tables.read(spark, root, "pipeline_run_audit")
+
+
+@query
+def k13_stored_checks(spark, sf):
+    """The check table after the newest run was checked again; a write fails in between."""
+    root, checks = scratch_dir(spark, "checks"), bridge.run_checks(spark, sf)
+    sink.append_run(checks, root, "pipeline_quality_checks")
+    newest = checks.agg(F.max("run_id")).first()[0]
+    again = checks.filter(F.col("run_id") == newest).withColumn("severity", F.lit("rewritten"))
+    _crashes(lambda: sink.replace_numbered(_broken(again, "message", F.lit(True)), root, "pipeline_quality_checks", newest, "check_name"))
+    sink.replace_numbered(again, root, "pipeline_quality_checks", newest, "check_name")
+    return tables.read(spark, root, "pipeline_quality_checks")
+
+
+@query
+def k14_stored_alerts(spark, sf):
+    """The alert table after the newest run had no alerts any more; a write fails before."""
+    root, newest = _stored_alerts(spark, sf, "no-alerts")
+    own = tables.read(spark, f"{root}/tables", "pipeline_alerts").filter(F.col("run_id") == newest)
+    _crashes(lambda: sink.replace_alerts(_broken(own, "alert_message", F.lit(True)), f"{root}/tables", newest))
+    sink.replace_alerts(own.limit(0), f"{root}/tables", newest)
+    return tables.read(spark, f"{root}/tables", "pipeline_alerts")
+
+
+@query
+def k16_undelivered(spark, sf):
+    """An alert that the topic does not take is an error, and the alerts of the run stay unpublished."""
+    root, newest = _stored_alerts(spark, sf, "undelivered")
+    try:
+        quality_run.publish_alerts(spark, f"{root}/tables", f"{root}/topic", newest, bridge.run_metrics(spark, sf), AS_OF, bridge.RUN_SETTINGS, max_bytes=50)
+        said = "delivered"
+    except quality_run.UndeliveredError as error:
+        said = str(error)
+    alerts = tables.read(spark, f"{root}/tables", "pipeline_alerts").filter(F.col("run_id") == newest)
+    return alerts.select("run_id", "alert_type", "is_published_to_kafka", F.lit(said).alias("outcome"))
+
+
+@query
+def k1_delivery(spark, sf):
+    """Messages sent and failed where the topic takes 260 bytes, and what it holds."""
+    root = scratch_dir(spark, "delivery")
+    result = topics.publish(bridge.messages(spark, sf).select("key", "value"), root, topics.RAW_TOPIC, max_bytes=260)
+    held = topics.read(spark, root, [topics.RAW_TOPIC]).agg(F.count(F.lit(1)).alias("held"), F.max(F.octet_length("value")).alias("largest"))
+    return result.crossJoin(held)
+
+
+@query
+def x3_bounded_reads(spark, sf):
+    """Three bounded reads of a topic, each going on where the one before has committed, and a last one without a bound."""
+    root = scratch_dir(spark, "offsets")
+    sent = bridge.messages(spark, sf).select(
+        F.lit(topics.RAW_TOPIC).alias("topic"), (F.col("row_id") % 5).alias("partition"), F.floor(F.col("row_id") / 5).alias("offset"), "row_id"
+    )
+    for number, bound in enumerate((300, 150, 0), 1):
+        taken, after = topics.read_range(sent, topics.committed_offsets(spark, root, "loader"), bound)
+        taken.withColumn("read", F.lit(number)).write.parquet(f"{root}/taken-{number}")
+        topics.commit_offsets(after, root, "loader")
+    return spark.read.parquet(f"{root}/taken-*").select("read", "topic", "partition", "offset", "row_id")
+
+
+@query
+def j2_catalog_latest(spark, sf):
+    """Rules of the latest run from catalog tables partitioned by run, and the tables that are not there."""
+    base, database = scratch_dir(spark, "catalog"), f"emberlog_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{base}'")
+    sink.create_if_missing(spark, f"{database}.iot_anomalies", "iot_anomalies")
+    sink.create_if_missing(spark, f"{database}.pipeline_run_audit", "pipeline_run_audit")
+    names = [f"{database}.{n}" for n in ("iot_anomalies", "pipeline_run_audit", "pipeline_alerts")]
+    sink.insert(bridge.stored_anomalies(spark, sf), names[0], "iot_anomalies", f"{base}-drafts")
+    detections = bridge.run_audit(spark, sf).withColumn("run_id", F.replace("run_id", F.lit("run-"), F.lit("anomaly-")))
+    sink.insert(detections, names[1], "pipeline_run_audit", f"{base}-drafts")
+    frames, errors = tables.load_frames(spark, names)
+    rows = runs.rows_of_latest(frames[names[0]], frames[names[1]])
+    absent = F.lit(",".join(f"{name.split('.')[1]}={problem}" for name, problem in sorted(errors.items())))
+    return anomalies.rule_by_severity(rows, "run_id").withColumn("absent", absent)
+
+
 @query
 def a10_rule_severity(spark, sf):
     return anomalies.rule_by_severity(anomalies.detect(bridge.processed(spark, sf)))
@@ -476,7 +617,7 @@ def p19_run_numbers(spark, sf):
 
 @query
 def p19_overview(spark, sf):
-    return explore.overview(marts.quality_summary(bridge.staged(spark, sf), bridge.staged_invalid(spark, sf)))
+    return explore.overview(marts.quality_of(marts.outcome_totals(bridge.outcomes(spark, sf))))
 
 
 @query
@@ -599,6 +740,12 @@ def f12_profile_filter(spark, sf):
     return perf.for_profile(bridge.timed_runs(spark, sf), "medium").select("file", "timestamp", "rows")
 
 
+@query
+def t8_run_order(spark, sf):
+    """The first hundred runs in the order of reports."""
+    return perf.in_order(bridge.timed_runs(spark, sf), 100).select("file", "timestamp", "profile", "rows")
+
+
 @query
 def a18_groups(spark, sf):
     return perf.size_groups(bridge.timed_runs(spark, sf))
@@ -675,13 +822,32 @@ def s4_strict_scan(spark, sf):
 
 @query
 def w4_row_numbers(spark, sf):
-    """Rows of each folder of files, and how many different numbers from 2 on its files give them."""
-    numbered = csv.scan_text(spark, _log_files(spark, sf, "numbers")).withColumn("file", F.regexp_extract("_file", "part=([0-9])", 1))
-    per_file = numbered.groupBy("file", "_file").agg(
-        F.count(F.lit(1)).alias("rows"), F.count_distinct("row_number").alias("numbers"), F.min("row_number").alias("first"), F.max("row_number").alias("last")
-    )
-    gapless = (F.col("rows") == F.col("numbers")) & (F.col("first") == 2) & (F.col("last") == F.col("rows") + 1)
-    return per_file.groupBy("file").agg(F.sum("rows").alias("rows"), F.bool_and(gapless).alias("gapless"))
+    """Every row of the files with its number in its file."""
+    numbered = csv.scan_text(spark, _log_files(spark, sf, "numbers"))
+    return numbered.select(F.regexp_extract("_file", "part=([0-9])", 1).alias("file"), "row_number", *csv.COLUMNS)
+
+
+@query
+def q9_contract_files(spark, sf):
+    """All contract errors of the files: file, row and error."""
+    _, errors = contract.run_on_files(csv.scan_places(spark, _log_files(spark, sf, "contract")), contract.RAW_LOG_CONTRACT)
+    return errors.withColumn("file", F.regexp_extract("file", "part=([0-9])", 1))
+
+
+@query
+def f15_contract_gate(spark, sf):
+    """What the gate says about the files, and about those of the rows without errors."""
+    said, rows = [], {"all": bridge.logs(spark, sf), "clean": _clean_logs(spark, sf)}
+    for name, logs in rows.items():
+        path = scratch_dir(spark, f"gate-{name}")
+        files.write_subset(logs.select(*csv.COLUMNS), path)
+        summary, _ = contract.run_on_files(csv.scan_places(spark, path), contract.RAW_LOG_CONTRACT)
+        try:
+            contract.gate(summary)
+            said.append((name, "passed"))
+        except contract.ContractError as error:
+            said.append((name, str(error)))
+    return spark.createDataFrame(said, "files string, outcome string")
 
 
 @query
@@ -734,9 +900,75 @@ def x2_stream_load(spark, sf):
     return tables.read_loaded(spark, f"{root}/tables", "processed_iot_logs")
 
 
+@query
+def x6_concurrent(spark, sf):
+    """Both streams run while messages arrive in four parts; then a failing producer stops them."""
+    root = scratch_dir(spark, "concurrent")
+    sent = bridge.messages(spark, sf).withColumn("position", F.col("row_id"))
+    # folders have to be there before a stream can watch them
+    topics.publish(sent.limit(0), f"{root}/raw", topics.RAW_TOPIC, 0)
+    topics.publish(sent.limit(0), f"{root}/topics", validate.PROCESSED_TOPIC, 2**62)
+    read, loaded = [validate.PROCESSED_TOPIC, validate.INVALID_TOPIC], jobs.Counters()
+    starters = [
+        lambda: jobs.start_validator(topics.stream(spark, f"{root}/raw", [topics.RAW_TOPIC]), f"{root}/topics", f"{root}/validator", "1 second", now=AS_OF),
+        lambda: jobs.start_loader(topics.stream(spark, f"{root}/topics", read), f"{root}/tables", f"{root}/loader", "1 second", loaded, AS_OF),
+    ]
+
+    def produce():
+        for part in range(4):
+            topics.publish(sent.filter(F.col("row_id") % 4 == part), f"{root}/raw", topics.RAW_TOPIC, part + 1)
+
+    jobs.run_concurrent(starters, produce, idle_seconds=8)
+    rows = tables.read_loaded(spark, f"{root}/tables", "processed_iot_logs").drop("id")
+
+    def fail():
+        raise RuntimeError("no more messages")
+
+    try:
+        jobs.run_concurrent(starters, fail, idle_seconds=8)
+    except RuntimeError:
+        stopped = not spark.streams.active
+    return rows.withColumn("stopped_together", F.lit(stopped))
+
+
 @query
 def x11_full_run(spark, sf):
     return full_run.run(
         spark, bridge.logs(spark, sf), scratch_dir(spark, "run"), "run-all", AS_OF,
         row_number=F.col("row_id") + 1, settings=bridge.RUN_SETTINGS, stop_on_contract_errors=False,
     )
+
+
+def _clean_logs(spark, sf):
+    """The rows in which the contract finds nothing to object to."""
+    checked = contract.check_rows(bridge.logs(spark, sf), contract.RAW_LOG_CONTRACT, F.col("row_id"))
+    good = checked.filter(F.size("errors") == 0).select(F.col("row_number").alias("row_id"))
+    return bridge.logs(spark, sf).join(good, "row_id", "left_semi")
+
+
+@query
+def x11_gated_run(spark, sf):
+    """A whole run over rows that pass the gate; the contents of what it stored, as (table, row, values)."""
+    root = scratch_dir(spark, "gated")
+    _clean_logs(spark, sf).write.parquet(f"{root}/logs")
+    full_run.run(spark, spark.read.parquet(f"{root}/logs"), root, "run-all", AS_OF, row_number=F.col("row_id") + 1, settings=bridge.RUN_SETTINGS)
+    at = jobs.run_folders(root, "run-all")
+
+    def rows(name, frame, key, *values):
+        return frame.select(F.lit(name).alias("table"), F.col(key).cast("string").alias("row"), F.concat_ws("|", *[F.col(v).cast("string") for v in values]).alias("values"))
+
+    stored = {n: spark.read.parquet(f"{at['tables']}/{n}") for n in ("mart_device_risk_summary", "mart_protocol_metrics", "mart_attack_summary")}
+    stored |= {n: tables.read(spark, at["tables"], n) for n in schemas.TABLES}
+    features_of = spark.read.parquet(f"{at['features']}/spark/device_features/latest")
+    parts = [
+        rows("mart_device_risk_summary", stored["mart_device_risk_summary"], "device_id", "total_events", "attack_events", "failed_events", "risk_level"),
+        rows("mart_protocol_metrics", stored["mart_protocol_metrics"], "protocol", "total_events", "attack_events", "failed_events"),
+        rows("mart_attack_summary", stored["mart_attack_summary"], "attack_type", "total_attack_events", "affected_devices"),
+        rows("device_features", features_of, "device_id", "total_events"),
+        rows("processed_iot_logs", stored["processed_iot_logs"], "source_ip", "device_id", "protocol", "packet_size", "duration_ms", "event_type", "status"),
+        rows("iot_anomalies", anomalies.rule_by_severity(stored["iot_anomalies"]), "rule_name", "severity", "anomaly_rows"),
+        rows("pipeline_quality_checks", stored["pipeline_quality_checks"], "check_name", "check_status", "severity"),
+        rows("pipeline_alerts", stored["pipeline_alerts"], "alert_type", "alert_level", "is_published_to_kafka"),
+        rows("pipeline_run_audit", stored["pipeline_run_audit"], "run_id", "status", "processed_records", "invalid_records", "total_alerts"),
+    ]
+    return reduce(lambda a, b: a.unionByName(b), parts)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
 from csv import reader as parse_csv
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ..functions import clock
@@ -26,7 +27,6 @@ PROFILE_PATHS = {
 }
 _BROKEN = "_broken_row"
 _ABSENT = "\x00absent\x00"
-READERS = 32
 
 
 def input_path(profile: str = "sample", explicit: str | None = None, paths: dict[str, str] = PROFILE_PATHS) -> str:
@@ -39,31 +39,40 @@ def input_path(profile: str = "sample", explicit: str | None = None, paths: dict
     return paths[name]
 
 
-def _first_line(spark: SparkSession, path: str) -> str:
-    """First line of one file, compressed or not, through the file system it belongs to."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    stream = target.getFileSystem(conf).open(target)
+def _first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first line of a task's file that is not blank; the rest of the file is not read."""
+    for batch in batches:
+        for at, line in enumerate(batch.column("value").to_pylist()):
+            if line.strip():
+                yield pa.RecordBatch.from_pydict({"value": [line.lstrip("\ufeff")], "file": [batch.column("file")[at].as_py()]})
+                return
+
+
+def _first_lines(spark: SparkSession, path: str) -> list[tuple[str, str | None]]:
+    """(first line, file) of the files of a scan: one row for all if their first lines are equal, else one for each.
+
+    Every file is one task, which stops after its first line. The driver opens no file.
+    """
+    # a split is as large as the largest file can be, and opening one costs as much, so no task gets two files
+    whole = {"spark.sql.files.maxPartitionBytes": str(2**50), "spark.sql.files.openCostInBytes": str(2**50)}
+    before = {name: spark.conf.get(name, None) for name in whole}
     try:
-        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(target)
-        data = codec.createInputStream(stream) if codec else stream
-        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(data, "UTF-8")).readLine() or ""
+        for name, value in whole.items():
+            spark.conf.set(name, value)
+        lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file")).mapInArrow(_first_line, "value string, file string")
+        kinds = lines.select("value").distinct().limit(2).collect()
+        return [(r["value"], None) for r in kinds] if len(kinds) < 2 else [tuple(r) for r in lines.collect()]
     finally:
-        stream.close()
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
-    """Files of a scan by their own cleaned header; empty files are left out.
-
-    One line of each file is read, READERS files at a time; rows are not.
-    """
-    files = spark.read.text(path).inputFiles()
-    with ThreadPoolExecutor(READERS) as pool:
-        lines = list(pool.map(lambda f: _first_line(spark, f), files))
+    """Files of a scan by their own cleaned header; empty files are left out. If all files have one header, the
+    path stands for them."""
     found: dict[tuple[str, ...], list[str]] = {}
-    for file, line in zip(files, lines, strict=True):
-        if line:
-            found.setdefault(tuple(clean_header(n) for n in next(parse_csv([line]))), []).append(file)
+    for line, file in _first_lines(spark, path):
+        found.setdefault(tuple(clean_header(n) for n in next(parse_csv([line]))), []).append(file or path)
     return found
 
 
@@ -139,13 +148,18 @@ def _place() -> list[Column]:
     ]
 
 
-def scan_text(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """All header columns as text with ``row_number`` per file (data starts at 2): contract input."""
+def scan_places(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """All header columns as text with the place of each row: input of ``contract.run_on_files``."""
     def read(names, files):
         scanned = spark.read.csv(files, schema=_text_schema(names), header=True, mode="PERMISSIVE", multiLine=multiline, enforceSchema=True)
         return scanned.select("*", *_place())
 
-    return number_rows(_by_header(spark, path, (), read), first=2)
+    return _by_header(spark, path, (), read)
+
+
+def scan_text(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """``scan_places`` with ``row_number`` per file (data starts at 2)."""
+    return number_rows(scan_places(spark, path, multiline), first=2)
 
 
 def cap_rows(accepted: DataFrame, max_rows: int) -> DataFrame:

@@ -6,14 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
 
-# Columns a quality run needs.
-NEEDED = {
-    "processed_iot_logs": {"id"},
-    "invalid_iot_logs": {"id"},
-    **{
-        name: set(schemas.column_names(schemas.TABLES[name][0]))
-        for name in ("pipeline_run_audit", "pipeline_quality_checks", "pipeline_alerts")
-    },
+# Columns a quality run needs; None stands for all declared ones.
+NEEDED: dict[str, set[str] | None] = {
+    "processed_iot_logs": {"id"}, "invalid_iot_logs": {"id"}, "pipeline_run_audit": None, "pipeline_quality_checks": None, "pipeline_alerts": None,
 }
 
 
@@ -23,41 +18,69 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def all_versions(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """Everything ever written to a run table, with its ``version``; the table must have been written."""
+    return spark.read.schema(f"{schemas.TABLES[name]}, version string").parquet(f"{root}/{name}")
+
+
+def current(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The versions that count: run_id, version. Of each run the last replacing one and what was appended after it."""
+    if not exists(spark, f"{root}/_versions"):
+        return spark.createDataFrame([], "run_id string, version string")
+    made = spark.read.schema(schemas.VERSIONS).parquet(f"{root}/_versions").filter(F.col("table_name") == name)
+    floor = made.groupBy("run_id").agg(F.max(F.when(F.col("replaces"), F.col("version"))).alias("floor"))
+    return made.join(floor, "run_id").filter("floor IS NULL OR version >= floor").select("run_id", "version").distinct()
+
+
 def read(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A warehouse table; empty while nothing was written."""
-    ddl, partition = schemas.TABLES[name]
-    columns = schemas.column_names(ddl)
+    if name in schemas.LOADED_TABLES:
+        return read_loaded(spark, root, name)
+    ddl = schemas.TABLES[name]
     if not exists(spark, f"{root}/{name}"):
         return spark.createDataFrame([], ddl)
-    extra = "" if partition in columns else f", {partition} bigint"
-    rows = spark.read.schema(ddl + extra).parquet(f"{root}/{name}").select(*columns)
-    return _with_published_flag(spark, root, rows) if name == "pipeline_alerts" else rows
+    rows = all_versions(spark, root, name).join(current(spark, root, name), ["run_id", "version"], "left_semi")
+    if name == "pipeline_alerts":
+        rows = _with_published_flag(spark, root, rows)
+    return rows.select(*schemas.column_names(ddl))
 
 
 def _with_published_flag(spark: SparkSession, root: str, alerts: DataFrame) -> DataFrame:
-    sent = read(spark, root, "pipeline_alert_publications").select("run_id", F.lit(True).alias("_sent")).distinct()
-    flag = F.coalesce("_sent", "is_published_to_kafka")
-    return alerts.join(sent, "run_id", "left").withColumn("is_published_to_kafka", flag).select(*alerts.columns)
+    sent = read(spark, root, "pipeline_alert_publications").select("run_id", F.col("alerts_version").alias("version"), F.lit(True).alias("_sent")).distinct()
+    return alerts.join(sent, ["run_id", "version"], "left").withColumn("is_published_to_kafka", F.coalesce("_sent", "is_published_to_kafka"))
+
+
+def finished_loads(spark: SparkSession, root: str) -> DataFrame:
+    """One row for each loaded batch: its last finished attempt (columns of LOADS)."""
+    if not exists(spark, f"{root}/_loads"):
+        return spark.createDataFrame([], schemas.LOADS)
+    marks = spark.read.schema(schemas.LOADS).parquet(f"{root}/_loads")
+    return marks.groupBy("batch_id").agg(F.max_by(F.struct(*marks.columns), "attempt").alias("m")).select("m.*")
 
 
 def read_loaded(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Rows of finished loads only: batches whose marker was written after both tables."""
-    ddl, _ = schemas.TABLES[name]
-    if not exists(spark, f"{root}/{name}") or not exists(spark, f"{root}/_loads"):
+    """Rows of finished loads: of each batch the attempt its last marker names."""
+    ddl = schemas.TABLES[name]
+    if not exists(spark, f"{root}/_batches"):
         return spark.createDataFrame([], ddl)
-    finished = spark.read.schema(schemas.LOADS + ", batch_id bigint").parquet(f"{root}/_loads").select("batch_id")
-    rows = spark.read.schema(ddl + ", batch_id bigint").parquet(f"{root}/{name}")
-    return rows.join(finished, "batch_id", "left_semi").select(*schemas.column_names(ddl))
+    rows = spark.read.schema(f"{schemas.LOADED}, batch_id bigint, attempt string, target string").parquet(f"{root}/_batches")
+    seen = rows.filter(F.col("target") == name).join(finished_loads(spark, root).select("batch_id", "attempt"), ["batch_id", "attempt"], "left_semi")
+    return seen.select(*schemas.column_names(ddl))
 
 
 def newest_batch(spark: SparkSession, root: str) -> int:
     """Number of the last finished load, -1 before the first."""
-    if not exists(spark, f"{root}/_loads"):
-        return -1
-    last = spark.read.schema(schemas.LOADS + ", batch_id bigint").parquet(f"{root}/_loads").agg(F.max("batch_id")).first()[0]
+    last = finished_loads(spark, root).agg(F.max("batch_id")).first()[0]
     return -1 if last is None else last
 
 
+def last_ids(spark: SparkSession, root: str, before: int) -> list[int]:
+    """The last ids of the loaded tables after batches below ``before``: a repeated batch gets its ids again."""
+    names = ("last_processed_id", "last_invalid_id", "last_quarantine_id")
+    row = finished_loads(spark, root).filter(F.col("batch_id") < before).agg(*[F.max(n).alias(n) for n in names]).first()
+    return [row[n] or 0 for n in names]
+
+
 def preview(df: DataFrame, limit: int | None = None) -> DataFrame:
     return df if limit is None else df.limit(limit)
 
@@ -67,13 +90,13 @@ def missing_tables(spark: SparkSession, names: list[str]) -> list[str]:
     return [name for name in names if not spark.catalog.tableExists(name)]
 
 
-def require_schema(tables: dict[str, DataFrame | None], needed: dict[str, set[str]] = NEEDED) -> None:
+def require_schema(tables: dict[str, DataFrame | None], needed: dict[str, set[str] | None] = NEEDED) -> None:
     """Every needed table is there with its needed columns."""
     for name, columns in needed.items():
         frame = tables.get(name)
         if frame is None:
             raise RuntimeError(f"required table '{name}' does not exist")
-        absent = sorted(columns - set(frame.columns))
+        absent = sorted((set(schemas.column_names(schemas.TABLES[name])) if columns is None else columns) - set(frame.columns))
         if absent:
             raise RuntimeError(f"table '{name}' is missing required columns: {', '.join(absent)}")
 
@@ -81,19 +104,24 @@ def require_schema(tables: dict[str, DataFrame | None], needed: dict[str, set[st
 def load_frames(
     spark: SparkSession, names: list[str], missing: list[str] | None = None
 ) -> tuple[dict[str, DataFrame], dict[str, str]]:
-    """Frames by name; a missing or unreadable table becomes an empty frame, errors are listed.
+    """Frames by name, and what is wrong with the others, which become empty frames: ``missing`` for an absent table,
+    else the kind of the error.
 
-    ``missing`` names the absent tables where the caller already asked (``missing_tables``).
+    The first row of every table is read here, so that a table whose files are gone or damaged is found now and
+    not when a report is half done. ``missing`` names the absent tables where the caller already asked.
     """
     frames: dict[str, DataFrame] = {}
     errors: dict[str, str] = {}
     absent = set(missing_tables(spark, names) if missing is None else missing)
     for name in names:
         try:
-            frames[name] = spark.createDataFrame([], "dummy int").drop("dummy") if name in absent else spark.table(name)
+            if name in absent:
+                raise LookupError(name)
+            frames[name] = spark.table(name)
+            frames[name].limit(1).collect()
         except Exception as error:  # noqa: BLE001 - any read failure leaves the table out
             frames[name] = spark.createDataFrame([], "dummy int").drop("dummy")
-            errors[name] = type(error).__name__
+            errors[name] = "missing" if name in absent else type(error).__name__
     return frames, errors
 
 

@@ -5,13 +5,15 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
 from .. import schemas
+from . import tables
 
 RAW_TOPIC = "iot_raw_logs"
 ALERT_TOPIC = "iot_pipeline_alerts"
 FILES_PER_TRIGGER = 512
+MAX_BYTES = 1_000_000  # what a broker takes by default
 
 
 def kafka_read_options(servers: str, topics: list[str], per_trigger: int | None = None) -> dict[str, str]:
@@ -64,17 +66,56 @@ def position(batch_id: int = 0) -> Column:
     return (base + F.monotonically_increasing_id().cast(schemas.POSITION)).cast(schemas.POSITION)
 
 
-def publish(messages: DataFrame, root: str, topic: str, batch_id: int = 0) -> DataFrame:
-    """Write keyed messages to one topic; returns a one-row frame with the number sent.
+def publish(messages: DataFrame, root: str, topic: str, batch_id: int = 0, max_bytes: int = MAX_BYTES) -> DataFrame:
+    """Write keyed messages to one topic; returns a one-row frame: sent, failed.
 
-    The count is observed while writing, so the messages are computed once.
+    A message larger than the topic takes (or without a value) is refused, and the others still go. What was sent is
+    read back from the topic; ``failed`` is what was offered and is not there.
     """
-    from pyspark.sql import Observation
-
-    sent = Observation()
+    spark, offered = messages.sparkSession, Observation()
     numbered = messages if "position" in messages.columns else messages.withColumn("position", position(batch_id))
     out = numbered.select(F.col("position").cast(schemas.POSITION).alias("position"), "key", "value", F.lit(topic).alias("topic"))
-    out.observe(sent, F.count(F.lit(1)).alias("sent")).write.mode("overwrite").partitionBy("topic").parquet(
-        f"{root}/batch_id={batch_id}"
+    size = F.octet_length("value") + F.coalesce(F.octet_length("key"), F.lit(0))
+    folder = f"{root}/batch_id={batch_id}"
+    taken = out.observe(offered, F.count(F.lit(1)).alias("messages")).filter(size <= max_bytes)
+    taken.write.mode("overwrite").partitionBy("topic").parquet(folder)
+    visible = spark.read.schema(schemas.TOPIC).parquet(folder).filter(F.col("topic") == topic)
+    return visible.agg(F.count(F.lit(1)).alias("sent")).select("sent", (F.lit(offered.get["messages"]) - F.col("sent")).alias("failed"))
+
+
+def read_range(messages: DataFrame, committed: DataFrame, max_messages: int = 0) -> tuple[DataFrame, DataFrame]:
+    """A bounded read of (topic, partition, offset, ...) after ``committed`` (topic, partition, next_offset).
+
+    Returns the messages and the offsets to commit, from which the next read goes on. Partitions without a committed
+    offset start at their first message; with ``max_messages`` (0: no bound) the read takes that many offsets,
+    partition after partition in order of topic and partition. Offsets are counted, not messages, so a read never
+    takes more. The offsets are one row for each partition; messages are filtered and not shuffled.
+    """
+    place = ["topic", "partition"]
+    start = F.coalesce("next_offset", F.col("low"))
+    ends = messages.groupBy(*place).agg(F.min("offset").alias("low"), F.max("offset").alias("high")).join(
+        committed.select(*place, "next_offset"), place, "left"
+    ).select(*place, F.greatest(start, F.col("low")).alias("from"), (F.col("high") + 1).alias("until")).withColumn(
+        "ready", F.greatest(F.col("until") - F.col("from"), F.lit(0))
     )
-    return messages.sparkSession.range(1).select(F.lit(sent.get["sent"]).alias("sent"), F.lit(0).alias("failed"))
+    earlier = Window.orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)  # one row for each partition
+    left = F.lit(max_messages) - F.coalesce(F.sum("ready").over(earlier), F.lit(0))
+    quota = F.greatest(F.least(F.col("ready"), left), F.lit(0)) if max_messages else F.col("ready")
+    planned = ends.withColumn("stop", F.col("from") + quota).select(*place, "from", "stop")
+    # partitions of a topic, not messages: a broker's topics have thousands at most
+    taken = messages.join(planned, place).filter((F.col("offset") >= F.col("from")) & (F.col("offset") < F.col("stop"))).select(*messages.columns)
+    return taken, planned.filter(F.col("stop") > F.col("from")).select(*place, F.col("stop").alias("next_offset"))
+
+
+def commit_offsets(offsets: DataFrame, root: str, group: str) -> None:
+    """Add the offsets a consumer group has read up to; called after the messages are stored."""
+    rows = offsets.select(F.lit(group).alias("group_id"), "topic", F.col("partition").cast("bigint").alias("partition"), F.col("next_offset").cast("bigint").alias("next_offset"))
+    rows.write.mode("append").parquet(f"{root}/_offsets")
+
+
+def committed_offsets(spark: SparkSession, root: str, group: str) -> DataFrame:
+    """Where a consumer group goes on: topic, partition, next_offset. Offsets only grow, so the largest counts."""
+    if not tables.exists(spark, f"{root}/_offsets"):
+        return spark.createDataFrame([], schemas.OFFSETS).drop("group_id")
+    stored = spark.read.schema(schemas.OFFSETS).parquet(f"{root}/_offsets").filter(F.col("group_id") == group)
+    return stored.groupBy("topic", "partition").agg(F.max("next_offset").alias("next_offset"))

@@ -3,29 +3,72 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from .. import schemas
 from ..functions.ordering import first_rows
 from ..operators import mapping, validate
 from ..sinks import tables as sink
 
+ARRIVAL_SECONDS = 30
+
+
+class Progress(StreamingQueryListener):
+    """Puts an observation of one streaming query into Counters, batch by batch."""
+
+    def __init__(self, name: str, counters: Counters):
+        self.name, self.counters = name, counters
+        self.query: StreamingQuery | None = None
+        self.ended: set[str] = set()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        seen = event.progress.observedMetrics.get(self.name)
+        if seen is not None and event.progress.numInputRows:
+            self.counters.put(event.progress.batchId, seen.asDict())
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.add(str(event.id))
+
+    def settle(self) -> None:
+        """Events come a moment after what they tell of: wait until the end of a query that has ended is known."""
+        until = time.monotonic() + ARRIVAL_SECONDS
+        while self.query is not None and not self.query.isActive and time.monotonic() < until:
+            if str(self.query.id) in self.ended:
+                SparkSession.active().streams.removeListener(self)
+                self.query = None
+            else:
+                time.sleep(0.05)
+
 
 @dataclass
 class Counters:
-    """Message counts of a running job, added up per finished micro-batch."""
+    """Message counts of a running job by micro-batch, so that a repeated batch is not added twice."""
+
+    batches: dict[int, dict[str, int]] = field(default_factory=dict)
+    listeners: list[Progress] = field(default_factory=list)
 
-    totals: dict[str, int] = field(default_factory=dict)
+    def put(self, batch_id: int, counts: dict[str, int]) -> None:
+        self.batches[batch_id] = {name: n or 0 for name, n in counts.items()}
 
-    def add(self, counts: dict[str, int]) -> None:
-        for name, n in counts.items():
-            self.totals[name] = self.totals.get(name, 0) + (n or 0)
+    @property
+    def totals(self) -> dict[str, int]:
+        """Sums over all batches; of a query that has ended, after its last progress has arrived."""
+        for listener in self.listeners:
+            listener.settle()
+        names = dict.fromkeys(name for counts in self.batches.values() for name in counts)
+        return {name: sum(counts.get(name, 0) for counts in self.batches.values()) for name in names}
 
 
 def _clock(now: str | None) -> str:
@@ -37,67 +80,54 @@ def _start(source: DataFrame, write, checkpoint: str, every: str | None) -> Stre
     return source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
-def validate_batch(batch: DataFrame, out_root: str, batch_id: int, counters: Counters | None = None, now: str | None = None) -> None:
-    """One micro-batch: both topics leave in a single write below ``batch_id=<n>``; a replay of the
-    batch overwrites the same folder."""
-    seen = Observation()
-    out = validate.routed(batch, _clock(now)).observe(
-        seen,
-        F.count(F.lit(1)).alias("consumed"),
-        F.count_if(F.col("topic") == validate.PROCESSED_TOPIC).alias("processed"),
+def start_validator(
+    source: DataFrame, out_root: str, checkpoint: str, every: str | None = None, counters: Counters | None = None, now: str | None = None
+) -> StreamingQuery:
+    """Raw topic to processed and invalid topics. Without ``every`` the job drains what is there and stops.
+
+    Both topics of a micro-batch leave in a single write below ``batch_id=<n>``; a repeated batch overwrites its folder.
+    """
+    routed = validate.routed(source, F.current_timestamp() if now is None else now)
+    name = f"validator-{uuid.uuid4().hex[:8]}"
+    out = routed.select(F.col("position").cast(schemas.POSITION).alias("position"), "key", "value", "topic").observe(
+        name, F.count(F.lit(1)).alias("consumed"), F.count_if(F.col("topic") == validate.PROCESSED_TOPIC).alias("processed"),
         F.count_if(F.col("topic") == validate.INVALID_TOPIC).alias("invalid"),
     )
-    out.select(F.col("position").cast(schemas.POSITION).alias("position"), "key", "value", "topic").write.mode("overwrite").partitionBy("topic").parquet(
-        f"{out_root}/batch_id={batch_id}"
-    )
     if counters is not None:
-        counters.add(seen.get)
+        counters.listeners.append(Progress(name, counters))
+        source.sparkSession.streams.addListener(counters.listeners[-1])
+    query = _start(out, lambda batch, n: batch.write.mode("overwrite").partitionBy("topic").parquet(f"{out_root}/batch_id={n}"), checkpoint, every)
+    if counters is not None:
+        counters.listeners[-1].query = query
+    return query
 
 
-def start_validator(
-    source: DataFrame, out_root: str, checkpoint: str, every: str | None = None, counters: Counters | None = None, now: str | None = None
-) -> StreamingQuery:
-    """Raw topic to processed and invalid topics. Without ``every`` the job drains what is there and stops."""
-    return _start(source, lambda batch, n: validate_batch(batch, out_root, n, counters, now), checkpoint, every)
+def _numbered(batch: DataFrame) -> tuple[DataFrame, int]:
+    """The batch with ``id`` from 1 on, and its number of messages.
+
+    Each task of the scan gets a block of ids as large as its messages; one number for each task comes to the driver.
+    """
+    placed = batch.withColumns({"_task": F.spark_partition_id(), "_row": F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))})
+    starts, size = [], 0
+    for task, n in batch.groupBy(F.spark_partition_id().alias("_task")).count().orderBy("_task").collect():
+        starts.append((task, size + 1))
+        size += n
+    # one row per task
+    blocks = F.broadcast(batch.sparkSession.createDataFrame(starts, "_task int, _start bigint"))
+    return placed.join(blocks, "_task").withColumn("id", F.col("_start") + F.col("_row")), size
 
 
 def load_batch(batch: DataFrame, tables_root: str, batch_id: int, counters: Counters | None = None, now: str | None = None) -> None:
-    """One micro-batch into the warehouse tables.
+    """One micro-batch into the warehouse tables: mapped in one pass and written once, to an attempt of its own.
 
-    Each table gets the folder of the batch, and a marker makes the batch visible after all three
-    are complete. Rows that do not fit the tables are quarantined before the write, so one bad row
-    cannot fail a batch. The mapped rows are kept for the two writes that need them; their size is
-    that of a micro-batch.
+    The attempt counts when its marker is there, so a crash leaves the tables as they were and a repeated batch
+    replaces itself in one step, with the same ids. Rows that do not fit the tables are quarantined before the
+    write, so one bad row cannot fail a batch.
     """
-    stamp = _clock(now)
-    position = F.col("position")
-    good, bad = F.col("topic") == validate.PROCESSED_TOPIC, F.col("topic") == validate.INVALID_TOPIC
-    mapped = mapping.map_processed(batch.filter(good)).persist(StorageLevel.MEMORY_AND_DISK)
-    mapped_invalid = mapping.map_invalid(batch.filter(bad)).persist(StorageLevel.MEMORY_AND_DISK)
-    stray = batch.filter(~(good | bad)).select(
-        position.cast(schemas.POSITION).alias("id"), F.col("value").cast("string").alias("raw_text"),
-        F.concat(F.lit("received message from unexpected topic "), "topic").alias("reason"),
-        F.lit(stamp).cast("timestamp").alias("inserted_at"),
-    )
-    try:
-        outputs = {
-            "processed_iot_logs": mapping.processed_rows(mapped, position, stamp),
-            "invalid_iot_logs": mapping.invalid_rows(mapped_invalid, position, stamp),
-            "load_quarantine": mapping.quarantine_rows(mapped, position, stamp)
-            .unionByName(mapping.quarantine_rows(mapped_invalid, position, stamp))
-            .unionByName(stray),
-        }
-        counts = {}
-        for name, rows in outputs.items():
-            seen = Observation()
-            sink.write_batch(rows.observe(seen, F.count(F.lit(1)).alias("n")), tables_root, name, batch_id)
-            counts[name] = seen.get["n"]
-        sink.mark_loaded(batch.sparkSession, tables_root, batch_id, *counts.values())
-    finally:
-        mapped.unpersist()
-        mapped_invalid.unpersist()
+    numbered, size = _numbered(batch)
+    counts = sink.write_attempt(mapping.loaded_rows(numbered, _clock(now)), tables_root, batch_id, size)
     if counters is not None:
-        counters.add({"processed": counts["processed_iot_logs"], "invalid": counts["invalid_iot_logs"], "failed": counts["load_quarantine"]})
+        counters.put(batch_id, {"processed": counts["processed_iot_logs"], "invalid": counts["invalid_iot_logs"], "failed": counts["load_quarantine"]})
 
 
 def start_loader(
@@ -155,5 +185,5 @@ def run_concurrent(
 def run_folders(root: str, run_id: str) -> dict[str, str]:
     """Folders of an isolated run: nothing is shared with another run id."""
     base = f"{root.rstrip('/')}/{run_id}"
-    names = ("raw_topic", "topics", "tables", "features", "validator_checkpoint", "loader_checkpoint")
+    names = ("raw_topic", "topics", "tables", "features", "reports", "validator_checkpoint", "loader_checkpoint")
     return {name: f"{base}/{name}" for name in names}

@@ -1,11 +1,14 @@
 """Files, topics, tables and streams."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
-from emberlog.operators import anomalies, contract, mapping, quality, sampling, validate
+from emberlog import schemas
+from emberlog.functions import ordering
+from emberlog.operators import anomalies, contract, mapping, quality, runs, sampling, validate
 from emberlog.plans import bridge, full_run
 from emberlog.sinks import files, tables as sink
 from emberlog.sources import csv, tables, topics
@@ -120,13 +123,14 @@ def test_publish_features(spark, folder):
 def test_table_guards(spark):
     with pytest.raises(RuntimeError, match="required table 'processed_iot_logs' does not exist"):
         tables.require_schema({})
-    frames = {n: spark.createDataFrame([], ", ".join(f"{c} string" for c in cols)) for n, cols in tables.NEEDED.items()}
+    needed = {n: cols or schemas.column_names(schemas.TABLES[n]) for n, cols in tables.NEEDED.items()}
+    frames = {n: spark.createDataFrame([], ", ".join(f"{c} string" for c in cols)) for n, cols in needed.items()}
     tables.require_schema(frames)
     with pytest.raises(RuntimeError, match="table 'pipeline_alerts' is missing required columns: id, source"):
         tables.require_schema(frames | {"pipeline_alerts": frames["pipeline_alerts"].drop("source", "id")})
     assert tables.missing_tables(spark, ["no_such_table"]) == ["no_such_table"]
     got, errors = tables.load_frames(spark, ["no_such_table"])
-    assert got["no_such_table"].isEmpty() and errors == {}
+    assert got["no_such_table"].isEmpty() and errors == {"no_such_table": "missing"}
 
 
 def test_catalog_tables(spark, folder):
@@ -137,7 +141,7 @@ def test_catalog_tables(spark, folder):
             sink.materialize({"mart": spark.range(3)}, prefix="ember_test.")
         assert spark.table("ember_test.iot_anomalies").isEmpty() and spark.table("ember_test.mart").count() == 3
         frames, errors = tables.load_frames(spark, ["ember_test.mart", "ember_test.none"])
-        assert frames["ember_test.mart"].count() == 3 and frames["ember_test.none"].isEmpty() and not errors
+        assert frames["ember_test.mart"].count() == 3 and frames["ember_test.none"].isEmpty() and errors == {"ember_test.none": "missing"}
         assert tables.missing_tables(spark, ["ember_test.mart", "ember_test.none"]) == ["ember_test.none"]
         assert tables.preview(spark.table("ember_test.mart"), 2).count() == 2
     finally:
@@ -148,8 +152,9 @@ def test_anomaly_table_and_report(spark, folder):
     rows = bridge.processed(spark, SF)
     found = anomalies.detect(rows, limit=200)
     for run in ("r1", "r2"):
-        sink.append_run(anomalies.store_form(found, run, NOW), folder, "iot_anomalies")
+        assert sink.append_numbered(anomalies.store_form(found, run, NOW).repartition(3), folder, "iot_anomalies") == found.count()
     stored = tables.read(spark, folder, "iot_anomalies")
+    assert sorted(r["id"] for r in stored.select("id").collect()) == list(range(1, 2 * found.count() + 1))
     assert stored.count() == 2 * found.count() and anomalies.per_run(stored).count() == 2
     assert anomalies.latest_run(stored).first()["run_id"] == "r2"
     files.write_anomaly_report(anomalies.summary(rows, 200), found, f"{folder}/report", "r1", 200, "read-only", NOW)
@@ -235,7 +240,8 @@ def test_stream_equals_batch_for_one_and_many_batches(spark, folder):
     for per_trigger in (512, 2):
         at, seen, loaded, stages = load_all(spark, folder, raw, per_trigger)
         rows = tables.read_loaded(spark, at["tables"], "processed_iot_logs")
-        assert rows.exceptAll(expected).isEmpty() and expected.exceptAll(rows).isEmpty()
+        assert rows.drop("id").exceptAll(expected.drop("id")).isEmpty() and expected.drop("id").exceptAll(rows.drop("id")).isEmpty()
+        assert rows.select("id").distinct().count() == rows.count() and dict(rows.dtypes)["id"] == "bigint"
         assert seen.totals == {"consumed": 1000, "processed": rows.count(), "invalid": 1000 - rows.count()}
         assert loaded.totals["invalid"] == tables.read_loaded(spark, at["tables"], "invalid_iot_logs").count()
         before = rows.count()
@@ -246,20 +252,68 @@ def test_stream_equals_batch_for_one_and_many_batches(spark, folder):
 
 def test_replayed_unfinished_and_bad_batches(spark, folder):
     good = json.dumps({c: "x" for c in csv.COLUMNS} | {"event_timestamp": NOW, "processed_at": NOW, "packet_size": 1, "duration_ms": 1})
-    rows = [(1, None, good, validate.PROCESSED_TOPIC), (2, None, "{", validate.PROCESSED_TOPIC), (3, None, good, "stray")]
-    batch = spark.createDataFrame(rows, "position bigint, key string, value string, topic string")
+    bad = json.dumps({"raw_payload": " x ", "error_reason": "why", "failed_at": NOW})
+    rows = [
+        (1, None, good, validate.PROCESSED_TOPIC), (2, None, "{", validate.PROCESSED_TOPIC), (3, None, good, "stray"), (4, None, bad, validate.INVALID_TOPIC),
+        (5, None, good, validate.INVALID_TOPIC), (6, None, None, validate.INVALID_TOPIC), (7, None, good, None),
+    ]
+    batch = spark.createDataFrame(rows, "position bigint, key string, value string, topic string").repartition(3)
     counters = jobs.Counters()
     for _ in range(2):
         jobs.load_batch(batch, folder, 0, counters, NOW)
     assert tables.read_loaded(spark, folder, "processed_iot_logs").count() == 1
-    reasons = {r["id"]: r["reason"] for r in tables.read_loaded(spark, folder, "load_quarantine").collect()}
-    assert reasons == {2: "invalid JSON: malformed document", 3: "received message from unexpected topic stray"}
-    assert counters.totals == {"processed": 2, "invalid": 0, "failed": 4}
-    half = mapping.processed_rows(mapping.map_processed(batch), F.col("position"), NOW)
-    sink.write_batch(half, folder, "processed_iot_logs", 1)
-    assert tables.read_loaded(spark, folder, "processed_iot_logs").count() == 1, "a batch without its marker is not visible"
+    invalid = tables.read_loaded(spark, folder, "invalid_iot_logs").first()
+    assert (invalid["raw_payload"], invalid["error_reason"]) == ("x", "why")
+    reasons = sorted(r["reason"] for r in tables.read_loaded(spark, folder, "load_quarantine").collect())
+    assert reasons == [
+        "invalid JSON: malformed document", "invalid JSON: malformed document", "missing required field: raw_payload",
+        "received message from unexpected topic null", "received message from unexpected topic stray",
+    ]
+    assert counters.totals == {"processed": 1, "invalid": 1, "failed": 5}, "a repeated batch is counted once"
+    # the next batch goes on with the ids, whatever was tried in between
+    with pytest.raises(Exception, match="halfway"):
+        broken = F.when(F.col("position") == 7, F.raise_error(F.lit("halfway")).cast("string")).otherwise(F.col("value"))
+        jobs.load_batch(batch.withColumn("value", broken), folder, 1, counters, NOW)
+    assert tables.newest_batch(spark, folder) == 0 and tables.read_loaded(spark, folder, "processed_iot_logs").count() == 1
+    jobs.load_batch(batch, folder, 1, counters, NOW)
+    for name in ("processed_iot_logs", "invalid_iot_logs", "load_quarantine"):
+        ids = [r["id"] for r in tables.read(spark, folder, name).collect()]
+        assert len(ids) == len(set(ids)) and min(ids) >= 1
+    before = {r["id"] for r in tables.read(spark, folder, "processed_iot_logs").collect()}
+    jobs.load_batch(batch, folder, 0, counters, NOW)
+    assert {r["id"] for r in tables.read(spark, folder, "processed_iot_logs").collect()} == before
     sink.truncate(spark, folder)
     assert tables.read_loaded(spark, folder, "processed_iot_logs").count() == 0 and tables.newest_batch(spark, folder) == -1
+    jobs.load_batch(batch, folder, 0, counters, NOW)
+    assert max(r["id"] for r in tables.read(spark, folder, "processed_iot_logs").collect()) <= 7, "ids start again"
+
+
+def test_run_tables_survive_a_crash(spark, folder):
+    def rows(run, *kinds):
+        return spark.createDataFrame([(i, k, "w", "m", "s", False, run) for i, k in enumerate(kinds)], (
+            "id bigint, alert_type string, alert_level string, alert_message string, source string, is_published_to_kafka boolean, run_id string"
+        )).withColumn("created_at", F.lit(NOW).cast("timestamp"))
+
+    def kinds(run="r/1 =%"):
+        return sorted(r["alert_type"] for r in tables.read(spark, folder, "pipeline_alerts").filter(F.col("run_id") == run).collect())
+
+    run = "r/1 =%"
+    assert tables.read(spark, folder, "pipeline_alerts").isEmpty()
+    sink.append_run(rows(run, "a", "b").unionByName(rows("other", "o")), folder, "pipeline_alerts")
+    sink.append_run(rows(run, "c"), folder, "pipeline_alerts")
+    assert kinds() == ["a", "b", "c"]
+    sink.mark_published(spark, folder, run, NOW)
+    assert tables.read(spark, folder, "pipeline_alerts").filter("is_published_to_kafka").count() == 3
+    with pytest.raises(Exception, match="halfway"):
+        sink.replace_run(rows(run, "x").withColumn("source", F.raise_error(F.lit("halfway")).cast("string")), folder, "pipeline_alerts", run)
+    assert kinds() == ["a", "b", "c"] and tables.read(spark, folder, "pipeline_alerts").filter("is_published_to_kafka").count() == 3
+    sink.replace_alerts(rows(run, "x"), folder, run)
+    assert kinds() == ["x"] and tables.read(spark, folder, "pipeline_alerts").filter("is_published_to_kafka").isEmpty()
+    sink.replace_alerts(rows(run), folder, run)
+    assert kinds() == [] and kinds("other") == ["o"]
+    sink.append_run(rows(run, "y"), folder, "pipeline_alerts")
+    sink.append_run(rows(run), folder, "pipeline_alerts")
+    assert kinds() == ["y"]
 
 
 def test_bounded_messages(spark):
@@ -293,6 +347,96 @@ def test_concurrent_run_and_failure(spark, folder):
     assert not spark.streams.active
 
 
+def test_counters_of_a_replayed_stream(spark, folder):
+    """A checkpoint that lost its last commit repeats the batch; the counts stay those of the messages."""
+    raw, seen = raw_topic(spark, folder, 1), jobs.Counters()
+    start = lambda: jobs.start_validator(topics.stream(spark, raw, [topics.RAW_TOPIC]), f"{folder}/out", f"{folder}/checkpoint", counters=seen, now=NOW)
+    start().awaitTermination()
+    assert seen.totals["consumed"] == 1000 == seen.totals["processed"] + seen.totals["invalid"]
+    for name in ("0", ".0.crc"):
+        os.remove(f"{folder}/checkpoint/commits/{name}")
+    start().awaitTermination()
+    assert seen.totals["consumed"] == 1000 == seen.totals["processed"] + seen.totals["invalid"]
+    assert topics.read(spark, f"{folder}/out", [validate.PROCESSED_TOPIC, validate.INVALID_TOPIC]).count() == 1000
+
+
+def test_bounded_reads_go_on_after_gaps(spark, folder):
+    rows = [("t", p, o) for p in range(3) for o in range(0, 20, 1 + p)] + [("u", 0, 7)]
+    df = spark.createDataFrame(rows, "topic string, partition bigint, offset bigint")
+    got = []
+    for bound in (5, 30, 1, 0, 0):
+        taken, after = topics.read_range(df, topics.committed_offsets(spark, folder, "g"), bound)
+        part = [tuple(r) for r in taken.collect()]
+        assert not bound or len(part) <= bound
+        got += part
+        topics.commit_offsets(after, folder, "g")
+    assert sorted(got) == sorted(rows)
+    assert topics.committed_offsets(spark, folder, "other").isEmpty()
+
+
+def test_refused_messages_are_counted(spark, folder):
+    sent = spark.createDataFrame([("k", "x" * n) for n in (1, 50, 500)] + [("k", None)], "key string, value string")
+    assert tuple(topics.publish(sent, folder, "t", max_bytes=100).first()) == (2, 2)
+    assert tuple(topics.publish(sent.limit(0), folder, "t", 1).first()) == (0, 0)
+
+
+def test_headers_of_many_files(spark, folder):
+    os.makedirs(f"{folder}/many")
+    turned = [*csv.COLUMNS[3:], *csv.COLUMNS[:3]]
+    for n in range(120):
+        head = ",".join(turned) if n % 40 == 7 else HEADER
+        write(f"{folder}/many/{n:03}.csv", *[line(device=f"d{n}")] * 3, head=("\n\ufeff" if n == 5 else "") + head)
+    sizes = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    found = csv.headers(spark, f"{folder}/many")
+    assert sorted(map(len, found.values())) == [3, 117] and set(found) == {csv.COLUMNS, tuple(turned)}
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == sizes
+    for n in range(7, 120, 40):
+        os.remove(f"{folder}/many/{n:03}.csv")
+    assert csv.headers(spark, f"{folder}/many") == {csv.COLUMNS: [f"{folder}/many"]}
+
+
+def test_contract_errors_of_files_and_splits(spark, folder):
+    os.makedirs(f"{folder}/in")
+    for name in "ab":
+        write(f"{folder}/in/{name}.csv", *[line(device=f"device-{i:06}", size="-1" if i % 100 == 0 else "7") for i in range(3000)])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
+    try:
+        scanned = csv.scan_places(spark, f"{folder}/in")
+        assert scanned.select("_file", "_block").distinct().count() > 8
+        for splits in (65_536, 3):  # the second way is that of very many splits
+            ordering.SPLITS = splits
+            summary, errors = contract.run_on_files(scanned, contract.RAW_LOG_CONTRACT)
+            assert tuple(summary.first())[:4] == (6000, 5940, 60, 60)
+            got = sorted((r["file"][-5:], r["row_number"], r["error"]) for r in errors.collect())
+            assert got == [(f"{f}.csv", i + 2, f"Row {i + 2}: column 'packet_size' must be >= 0, got -1.") for f in "ab" for i in range(0, 3000, 100)]
+            plan = errors._jdf.queryExecution().executedPlan().toString()
+            assert splits == 3 or "Exchange hashpartitioning" not in plan, "rows with errors meet the splits without a shuffle"
+        rows = csv.scan_text(spark, f"{folder}/in").select("device_id", "row_number").collect()
+        assert all(int(r["device_id"].strip()[-6:]) + 2 == r["row_number"] for r in rows) and len(rows) == 6000
+    finally:
+        ordering.SPLITS = 65_536
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_latest_run_reads_one_partition(spark, folder):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS ember_runs LOCATION '{folder}/runs'")
+    try:
+        for name in ("iot_anomalies", "pipeline_run_audit"):
+            sink.create_if_missing(spark, f"ember_runs.{name}", name)
+        days = bridge.stored_anomalies(spark, SF)
+        audit = bridge.run_audit(spark, SF).withColumn("run_id", F.replace("run_id", F.lit("run-"), F.lit("anomaly-")))
+        sink.insert(days, "ember_runs.iot_anomalies", "iot_anomalies", f"{folder}/drafts")
+        sink.insert(audit, "ember_runs.pipeline_run_audit", "pipeline_run_audit", f"{folder}/drafts")
+        got = runs.rows_of_latest(spark.table("ember_runs.iot_anomalies"), spark.table("ember_runs.pipeline_run_audit"))
+        newest = audit.agg(F.max("run_id")).first()[0]
+        assert {r["run_id"] for r in got.collect()} == {newest}
+        assert "dynamicpruning" in got._jdf.queryExecution().executedPlan().toString()
+        ids = [r["id"] for r in spark.table("ember_runs.iot_anomalies").select("id").collect()]
+        assert len(set(ids)) == len(ids) == days.count() and min(ids) == 1
+    finally:
+        spark.sql("DROP DATABASE ember_runs CASCADE")
+
+
 def test_full_run_stops_at_the_contract(spark, folder):
     with pytest.raises(contract.ContractError):
         full_run.run(spark, bridge.logs(spark, SF), folder, "r", NOW, row_number=F.col("row_id") + 1)
