@@ -7,9 +7,9 @@
    that of the partings on a word's way, not its length. An edge also tells of the node it leads to: the word
    that ends there, the next letters, and the lengths of the words below.
 3. The frontier holds states (word, position, node, edits), at first every word at the root, whole or without its
-   first letter. A round joins the states with the edges of their nodes, on the letters a state needs: the next
-   letter of the word is the edge's, or, at the price of the edit, the edge's first letter is put in or replaces
-   one and the letter after it agrees. Edges of several letters are compared with as many letters of the word, or
+   first letter. A round joins the states with the edges of their nodes, on the LOOK letters a state needs: the next
+   letters of the word stand below the node, or, at the price of the edit, the edge's first letter is put in or
+   replaces one and the letters after it agree. Edges of several letters are compared with as many letters of the word, or
    one more or fewer. States with more than one edit are dropped, and so are those whose next letter or
    remaining length the node does not have. A state at the end of its word where a word ends is a neighbour if it
    spent its edit.
@@ -17,8 +17,8 @@
    following forms, twice as far in each round.
 
 A node where many words meet (the top of the trie, and any prefix of a HOT_SHARE-th of all words) is joined by
-sending its edges to the states: at most HOT_SHARE nodes of a level, with one edge for each letter of the
-alphabet. All other states are shuffled by node. Nothing is collected but counts.
+sending its edges to the states: at most HOT_SHARE nodes of a level, with at most one row for each LOOK letters of
+the alphabet. All other states are shuffled by node. Nothing is collected but counts.
 
 Defined cases: a null text has no words; a null doc_id takes part in the misspelling rule as ``null``; repeated
 rows count each. Words differ by exactly one inserted, deleted or replaced code point. Forms go by count, then by
@@ -41,34 +41,53 @@ from .common import byte_table, stored
 LEAST_LETTERS = 6
 LEAST_COUNT = 5
 RATIO = 5
-SLIP = 199  # every SLIP-th word of a document, by checksum, has lost a letter
+SLIP = 199  # a word of a document whose checksum SLIP divides has lost a letter there
 TASK_WORDS = 200_000
-HOT_SHARE = 1024
-TOP = 2  # nodes of up to so many letters are joined by sending their edges
+HOT_SHARE = 128
+LOOK = 3  # letters a state compares before it takes an edge
+TOP = 1  # nodes of up to so many letters are joined by sending their edges
 ROOT = b"\x00" * 16
 _RUNS = re.compile("[a-zÀ-ÿ]+")
 # ASCII letters and everything outside ASCII stay together, the rest are gaps
 _LETTERS = byte_table(lambda b: 97 <= b <= 122)
 
 
-def misspelt(word: str, seed: int) -> str:
-    """The word as a document has it: one letter fewer, if the checksum of both says so. ``seed``: that of the document."""
-    h = zlib.crc32(word.encode(), seed)
-    return word if h % SLIP else word[:h % len(word)] + word[h % len(word) + 1:]
+_PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x80-\xbf])+")  # bytes of letters only
+
+
+def shortened(word: bytes, checksum: int) -> bytes:
+    """The word without the letter its checksum names."""
+    letters = word.decode()
+    at = checksum % len(letters)
+    return (letters[:at] + letters[at + 1:]).encode()
+
+
+def _counted(total: Counter) -> pd.DataFrame:
+    seen = {w.decode(): n for w, n in total.items() if n}
+    return pd.DataFrame({"word": pd.Series(list(seen), dtype=object), "n": pd.Series(list(seen.values()), dtype="int64")})
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     total: Counter = Counter()
+    crc32, plain = zlib.crc32, _PLAIN.fullmatch
     for batch in batches:
         for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-            seed = zlib.crc32(f"{'null' if doc_id is None else doc_id}:".encode())
-            for token, n in Counter((text or "").encode("utf-8", "replace").translate(_LETTERS).split()).items():
-                for word in (token.decode(),) if token.isascii() else _RUNS.findall(token.decode()):
-                    total[misspelt(word, seed)] += n
+            seed = crc32(f"{'null' if doc_id is None else doc_id}:".encode())
+            tokens = [t for t in (text or "").encode("utf-8", "replace").translate(_LETTERS).split() if len(t) >= LEAST_LETTERS]
+            total.update(tokens)
+            # tokens that are not counted as they stand: with a letter to leave out, or with other characters inside
+            odd = [t for t in set(tokens) if not crc32(t, seed) % SLIP or not (t.isascii() or plain(t))]
+            count = tokens.count if len(tokens) < 2000 or not odd else Counter(tokens).__getitem__
+            for token in odd:
+                n = count(token)
+                total[token] -= n
+                for word in [token] if plain(token) else [run.encode() for run in _RUNS.findall(token.decode())]:
+                    checksum = crc32(word, seed)
+                    total[word if checksum % SLIP else shortened(word, checksum)] += n
         if len(total) > TASK_WORDS:
-            yield pd.DataFrame({"word": list(total), "n": list(total.values())})
+            yield _counted(total)
             total.clear()
-    yield pd.DataFrame({"word": pd.Series(list(total), dtype=object), "n": pd.Series(list(total.values()), dtype="int64")})
+    yield _counted(total)
 
 
 def words(docs: DataFrame) -> DataFrame:
@@ -78,6 +97,15 @@ def words(docs: DataFrame) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST_COUNT)
 
 
+def _part(column: str, start: Column, length: Column | int) -> Column:
+    return F.substring(F.col(column), start, length if isinstance(length, Column) else F.lit(length))
+
+
+def _ahead() -> Column:
+    """One number for what is looked for; the columns behind it are compared after the join."""
+    return F.xxhash64("node", "way", "look")
+
+
 # --- the trie ---------------------------------------------------------------------------------
 
 def _prefixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -92,8 +120,14 @@ def _prefixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"word": batch["word"], "n": batch["n"], "nodes": every})
 
 
-def edges(vocabulary: DataFrame) -> DataFrame:
-    """The trie of words (word, n): parent, label, node, depth, ends (word, n), letters, low, high, hot."""
+def trie_of(vocabulary: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The trie of words (word, n) as its edges, and as edges by what a state must have to take them.
+
+    The first has node, parent, label, depth, ends (word, n), letters, low, high, hot. The second has (node, way, look) of
+    the state and the edge. On the way ``first`` the next letters of the word, LOOK of them or all that are left, are
+    letters that some word has from the node on. On the way ``second`` the first letter of the edge is one the word does
+    not have there, so the letters after it are compared.
+    """
     total = vocabulary.count()
     paths = stored(vocabulary.mapInPandas(_prefixes, "word string, n bigint, nodes array<binary>"), "trie-paths")
     steps = paths.select("word", "n", F.posexplode("nodes").alias("depth", "node")).withColumn("depth", F.col("depth") + 1)
@@ -114,56 +148,32 @@ def edges(vocabulary: DataFrame) -> DataFrame:
         on_path.join(busy.select("node"), "node", "left_anti").join(names, "node")
     ).withColumn("depth", F.col("depth") + 1)
     above = Window.partitionBy("word").orderBy("depth")
-    linked = kept.withColumns({
-        "parent": F.coalesce(F.lag("node").over(above), F.lit(ROOT)), "from": F.coalesce(F.lag("depth").over(above), F.lit(0)),
-    }).filter(F.col("own") == F.col("word"))
+    passed = stored(kept.select(
+        "word", "own", "node", "depth", F.coalesce(F.lag("node").over(above), F.lit(ROOT)).alias("parent"), F.coalesce(F.lag("depth").over(above), F.lit(0)).alias("from")
+    ), "trie-passed")
     label = F.substring("word", F.col("from") + 1, F.col("depth") - F.col("from"))
     hot = (F.col("depth") <= TOP) | (F.col("below") * HOT_SHARE >= total)
-    parts = linked.select("node", "parent", label.alias("label")).join(
+    trie = stored(passed.filter(F.col("own") == F.col("word")).select("node", "parent", label.alias("label")).join(
         nodes.select("node", "depth", "ends", "letters", "low", "high", hot.alias("hot")), "node"
+    ), "trie-edges")
+    ways = F.array(*[F.struct(F.lit(way).alias("way"), _part("word", F.col("from") + k, LOOK).alias("look")) for k, way in ((1, "first"), (2, "second"))])
+    edge = trie.select(
+        F.col("node").alias("next"), "label", F.char_length("label").alias("size"), F.col("hot").alias("next_hot"), "ends", "letters",
+        (F.col("low") - F.col("depth")).alias("least"), (F.col("high") - F.col("depth")).alias("most"),
     )
-    return stored(parts, "trie-edges")
+    looks = passed.select(F.col("node").alias("next"), F.col("parent").alias("node"), F.inline(ways)).distinct()
+    return trie, stored(looks.join(edge, "next").withColumn("ahead", _ahead()), "trie-ways")
 
 
 # --- the frontier -----------------------------------------------------------------------------
 
-def _part(column: str, start: Column, length: Column | int) -> Column:
-    return F.substring(F.col(column), start, length if isinstance(length, Column) else F.lit(length))
-
-
-def _ahead() -> Column:
-    """One number for what is looked for; the columns behind it are compared after the join."""
-    return F.xxhash64("node", "way", "letter")
-
-
-def keyed_edges(trie: DataFrame) -> DataFrame:
-    """Edges by what a state must have to take them: (node, way, letter) and the edge.
-
-    On the way ``first`` the next letter of the word is the edge's first. On the way ``second`` the edge's first letter
-    is one the word does not have there, so the letter after it counts: the edge's second, or any that can follow
-    its node (none, where a word ends there).
-    """
-    edge = trie.withColumnsRenamed({"hot": "next_hot", "node": "next", "parent": "node"}).select(
-        "node", "label", F.char_length("label").alias("size"), "next", "next_hot", "ends", "letters",
-        (F.col("low") - F.col("depth")).alias("least"), (F.col("high") - F.col("depth")).alias("most"),
-    )
-    after = F.when(F.char_length("label") > 1, F.array(F.substring("label", 2, 1))).otherwise(
-        F.concat(F.regexp_extract_all("letters", F.lit("."), F.lit(0)), F.when(F.col("ends").isNotNull(), F.array(F.lit(""))).otherwise(F.array().cast("array<string>")))
-    )
-    ways = F.concat(
-        F.array(F.struct(F.lit("first").alias("way"), F.substring("label", 1, 1).alias("letter"))),
-        F.transform(after, lambda c: F.struct(F.lit("second").alias("way"), c.alias("letter"))),
-    )
-    return edge.select("*", F.inline(ways)).withColumn("ahead", _ahead())
-
-
 def _looks(states: DataFrame) -> DataFrame:
-    """The ways each state may go: with its next letter; without an edit so far also past a letter put in or replaced."""
-    here, after = (_part("word", F.col("position") + k, 1) for k in (1, 2))
+    """The ways each state may go: with its next letters; without an edit so far also past a letter put in or replaced."""
+    here, after = (_part("word", F.col("position") + k, LOOK) for k in (1, 2))
     replaced = F.col("position") < F.char_length("word")
 
-    def look(way: str, letter: Column, taken: int) -> Column:
-        return F.struct(F.lit(way).alias("way"), letter.alias("letter"), F.lit(taken).alias("taken"))
+    def look(way: str, letters: Column, taken: int) -> Column:
+        return F.struct(F.lit(way).alias("way"), letters.alias("look"), F.lit(taken).alias("taken"))
 
     free = F.col("edits") == 0
     match = look("first", here, 0)
@@ -204,7 +214,7 @@ def _advance(states: DataFrame, edges: DataFrame, busy: DataFrame) -> DataFrame:
     States at busy nodes get the edges sent to them, the others are shuffled by what they look for.
     """
     looks = _looks(states)
-    keys = ("node", "way", "letter")
+    keys = ("node", "way", "look")
     edges, busy = (e.withColumnsRenamed({k: f"edge_{k}" for k in keys}) for e in (edges, busy))
     met = looks.filter("hot").join(F.broadcast(busy), "ahead").unionByName(looks.filter("not hot").join(edges, "ahead"))
     same = [F.col(k) == F.col(f"edge_{k}") for k in keys]
@@ -223,9 +233,8 @@ def _advance(states: DataFrame, edges: DataFrame, busy: DataFrame) -> DataFrame:
 
 def neighbours(vocabulary: DataFrame) -> DataFrame:
     """Every pair of words (word, n) that differ by one edit, both ways: word, near (word, n)."""
-    trie = edges(vocabulary)
-    keyed = stored(keyed_edges(trie), "trie-ways")
-    # a bounded number of nodes, with one edge for each letter of the alphabet
+    trie, keyed = trie_of(vocabulary)
+    # a bounded number of nodes, with at most one row for each LOOK letters of the alphabet
     hot = trie.filter("hot").select("node").unionByName(vocabulary.sparkSession.range(1).select(F.lit(ROOT).alias("node")))
     busy = stored(keyed.join(F.broadcast(hot), "node", "left_semi"), "trie-busy")
     start = F.array(*[F.struct(F.lit(k).alias("position"), F.lit(k).alias("edits")) for k in (0, 1)])
