@@ -6,10 +6,12 @@ sentences were moved around is still covered. A document is contaminated when th
 cover at least COVERAGE of its words.
 
 Seeds are the rolling hashes of all runs of LEAST words of the items. Documents are scanned once; a
-bit table of fixed size (built from the seeds) drops runs that are in no item, the rest is joined with
-the seeds on the full hash. Every match of LEAST words or more is a chain of consecutive seeds, so
-tiling needs only the joined places, not the texts. A (document, item) pair whose seeds cannot cover
-enough is dropped before tiling.
+bit table of fixed size (built from the seeds) drops runs that are in no item, and the distinct rest of each document is
+joined with the seeds on the full hash. A (document, item) pair whose shared seeds reach over too few of the item's words
+is dropped; of the other pairs both texts meet in one row. There the longest run of unmarked words in both is found by
+Karp-Rabin hashes of all runs of one length at falling lengths (the longest by halving, because a shared run has shared
+parts), compared word by word and marked, until no run of LEAST words is left. Work grows with the lengths of the two
+texts, not with their product, also where one word is repeated thousands of times.
 
 An item of fewer than LEAST words is one run of its own width, and only the whole of it counts: documents
 are hashed at the widths of such items too.
@@ -24,14 +26,14 @@ results. Extra columns are kept by ``clean``.
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import WORD_BYTES, doc_key, near_keys, run_hashes, stored
+from .common import WORD_BYTES, doc_key, mixed, near_keys, run_hashes, stored
+from .skew import hot_keys, salted_join
 
 LEAST = 5
 COVERAGE = 0.5
@@ -59,53 +61,89 @@ def _seeds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 })
 
 
-def _hits(table: np.ndarray, short: list[int]):
-    """Places of runs that may be in an item; of the runs of ``short`` widths only the first place in a document."""
+def _hits(table: np.ndarray, widths: tuple[int, ...]):
+    """Distinct runs of a document that may be in an item."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            keys, seeds, places = [], [], []
+            keys, seeds = [], []
             for key, text in zip(batch["doc_key"], batch["text"], strict=True):
                 w = words(text)
-                for width in (LEAST, *short):
+                for width in widths:
                     runs = _runs(w, width)
-                    at = np.nonzero(table[runs >> np.uint64(64 - BITS)])[0]
-                    if width < LEAST:
-                        at = at[np.unique(runs[at], return_index=True)[1]]
-                    keys += [key] * len(at)
-                    seeds.append(runs[at].view(np.int64))
-                    places.append(at)
+                    found = np.unique(runs[table[runs >> np.uint64(64 - BITS)]])
+                    keys += [key] * len(found)
+                    seeds.append(found.view(np.int64))
             if keys:
-                yield pd.DataFrame({"doc_key": keys, "seed": np.concatenate(seeds), "doc_at": np.concatenate(places)})
+                yield pd.DataFrame({"doc_key": keys, "seed": np.concatenate(seeds)})
 
     return run
 
 
-def tiles(doc_at: np.ndarray, item_at: np.ndarray, least: int = LEAST) -> list[tuple[int, int, int]]:
-    """Greedy tiles (item start, document start, length) from places of common seeds."""
-    order = np.lexsort((item_at, doc_at - item_at))
-    d, i = doc_at[order], item_at[order]
-    cuts = np.nonzero((np.diff(d - i) != 0) | (np.diff(i) != 1))[0] + 1
-    matches = [(-(int(e - s) + least - 1), int(i[s]), int(d[s])) for s, e in zip([0, *cuts], [*cuts, len(i)], strict=True)]
-    heapq.heapify(matches)
-    in_item, in_doc, out = set(), set(), []
-    while matches:
-        length, a, b = heapq.heappop(matches)
-        length = -length
-        free = [a + k not in in_item and b + k not in in_doc for k in range(length)]
-        if all(free):
-            out.append((a, b, length))
-            in_item.update(range(a, a + length))
-            in_doc.update(range(b, b + length))
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+
+
+class _Side:
+    """One text as word numbers, with the hash of every run and marks on the words that tiles have taken."""
+
+    def __init__(self, numbers: np.ndarray):
+        self.numbers = numbers
+        powers = lambda base: np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(len(numbers), base, np.uint64)]))
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(numbers.astype(np.uint64) + np.uint64(1)) * powers(_BASE)[:-1])])
+        self.shift = powers(_INVERSE)
+        self.taken = np.zeros(len(numbers), bool)
+
+    def runs(self, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and hashes of the runs of ``width`` words none of which is taken."""
+        marked = np.concatenate([np.zeros(1, np.int64), np.cumsum(self.taken)])
+        at = np.flatnonzero(marked[width:] == marked[:len(marked) - width])
+        return at, (self.sums[at + width] - self.sums[at]) * self.shift[at]
+
+    def free(self, at: int, width: int) -> bool:
+        return not self.taken[at:at + width].any()
+
+
+def _mark(doc: _Side, item: _Side, width: int) -> list[tuple[int, int, int]]:
+    """Take all matches of ``width`` words, by their place in the item and then in the document."""
+    doc_at, doc_hash = doc.runs(width)
+    order = np.argsort(doc_hash, kind="stable")
+    doc_at, doc_hash = doc_at[order], doc_hash[order]
+    item_at, item_hash = item.runs(width)
+    begin, end = np.searchsorted(doc_hash, item_hash), np.searchsorted(doc_hash, item_hash, "right")
+    place: dict[int, int] = {}  # of each group of equal runs, the first that may still be free
+    out = []
+    for a, low, high in zip(item_at[end > begin].tolist(), begin[end > begin].tolist(), end[end > begin].tolist(), strict=True):
+        if not item.free(a, width):
             continue
-        start = None
-        for k, f in enumerate([*free, False]):
-            if f and start is None:
-                start = k
-            elif not f and start is not None:
-                if k - start >= least:
-                    heapq.heappush(matches, (-(k - start), a + start, b + start))
-                start = None
+        at = place.get(low, low)
+        while at < high and not doc.free(int(doc_at[at]), width):
+            at += 1
+        place[low] = at
+        for b in doc_at[at:high].tolist():
+            if doc.free(b, width) and (doc.numbers[b:b + width] == item.numbers[a:a + width]).all():
+                out.append((a, b, width))
+                item.taken[a:a + width] = doc.taken[b:b + width] = True
+                break
+    return out
+
+
+def tiles(doc: list[bytes], item: list[bytes], least: int = LEAST) -> list[tuple[int, int, int]]:
+    """Greedy tiles (item start, document start, length) of two texts, given as words."""
+    number: dict[bytes, int] = {}
+    sides = [_Side(np.fromiter((number.setdefault(w, len(number)) for w in text), np.int64, len(text))) for text in (doc, item)]
+
+    def shared(width: int) -> bool:
+        return bool(np.isin(sides[1].runs(width)[1], sides[0].runs(width)[1]).any())
+
+    out, limit = [], min(len(doc), len(item))
+    while limit >= least and shared(least):
+        low, high = least, limit
+        while low < high:
+            middle = (low + high + 1) // 2
+            low, high = (middle, high) if shared(middle) else (low, middle - 1)
+        out += _mark(*sides, low)
+        limit = low - 1
     return sorted(out)
 
 
@@ -115,8 +153,8 @@ TILE = "array<struct<item_from:int,doc_from:int,words:int>>"
 def _tiled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         found = [
-            tiles(np.array([p["doc_at"] for p in ps]), np.array([p["item_at"] for p in ps]), min(LEAST, n))
-            for ps, n in zip(batch["places"], batch["item_words"], strict=True)
+            tiles(words(text), words(item), min(LEAST, n))
+            for text, item, n in zip(batch["text"], batch["item_text"], batch["item_words"], strict=True)
         ]
         yield pd.DataFrame({
             "doc_key": batch["doc_key"], "item": batch["item"], "item_id": batch["item_id"].astype("Int64"), "item_words": batch["item_words"],
@@ -125,6 +163,12 @@ def _tiled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         })
 
 
+def _hot(rows: DataFrame, key: str) -> DataFrame:
+    """Values of ``key`` that hold much of ``rows``."""
+    counts = stored(rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")), "tiling-counts")
+    return hot_keys(counts, [key], "n", counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """Contaminated (document, item) pairs: doc_key, item, item_id, item_words, covered, tiles."""
     items = stored(benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").withColumn("item", F.monotonically_increasing_id()), "tiling-items")
@@ -135,15 +179,17 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE)
     table[[r["bit"] for r in bits]] = True
     short = sorted(r["item_words"] for r in seeds.select("item_words").filter(F.col("item_words") < LEAST).distinct().collect())  # fewer than LEAST
     scanned = docs.select(doc_key(F.col("doc_id"), F.col("text")).alias("doc_key"), "text")
-    hits = stored(scanned.mapInPandas(_hits(table, short), "doc_key binary, seed bigint, doc_at int"), "tiling-hits").distinct()
-    # the places of one item in one document: bounded by their lengths
-    pairs = hits.join(seeds, "seed").groupBy("doc_key", "item").agg(
-        F.any_value("item_id").alias("item_id"), F.any_value("item_words").alias("item_words"),
-        F.collect_list(F.struct("doc_at", "item_at")).alias("places"),
+    hits = stored(scanned.mapInPandas(_hits(table, (LEAST, *short)), "doc_key binary, seed bigint").distinct(), "tiling-hits")
+    # a place of an item meets a document once, however often the document repeats the run
+    pairs = salted_join(hits, seeds, ["seed"], _hot(hits, "seed")).groupBy("doc_key", "item").agg(
+        F.any_value("item_id").alias("item_id"), F.any_value("item_words").alias("item_words"), F.collect_list("item_at").alias("places"),
     )
-    reach = F.size(F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p["item_at"], p["item_at"] + F.least(F.lit(LEAST), F.col("item_words")) - 1)))))
-    able = pairs.filter(reach >= coverage * F.col("item_words"))
-    tiled = able.mapInPandas(_tiled, f"doc_key binary, item bigint, item_id bigint, item_words int, covered int, tiles {TILE}")
+    reach = F.size(F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p, p + F.least(F.lit(LEAST), F.col("item_words")) - 1)))))
+    able = stored(pairs.filter(reach >= coverage * F.col("item_words")).drop("places"), "tiling-able")
+    named = salted_join(able, items.select("item", F.col("text").alias("item_text")), ["item"], _hot(able, "item"))
+    texts = near_keys(scanned, able.select("doc_key").distinct()).groupBy("doc_key").agg(F.any_value("text").alias("text"))
+    both = salted_join(named, texts, ["doc_key"], _hot(able, "doc_key"))
+    tiled = both.mapInPandas(_tiled, f"doc_key binary, item bigint, item_id bigint, item_words int, covered int, tiles {TILE}")
     return stored(tiled.filter(F.col("covered") >= coverage * F.col("item_words")), "tiling-overlaps")
 
 

@@ -4,6 +4,7 @@ import bisect
 import collections
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -249,7 +250,7 @@ def test_blocks_start_anywhere_and_notice_damage(session, docs, folder):
     assert sum(freq.values()) == 1 << rans_blocks.SCALE and min(freq.values()) >= 1
     table = rans_blocks.Table(freq)
     for n in (1, 2, 63, 64, 65, 1000, 300_000):
-        payload = rans_blocks.encode(ids[:n], [(None, n)], table)
+        payload = rans_blocks.encode(ids[:n], np.zeros(1, np.int64), np.ones(1, bool), np.array([n]), table)
         block = rans_blocks.Block(payload)
         assert (block.decode(table) == ids[:n]).all() and block.doc_ids == [None]
     assert len(payload) < 2 * n
@@ -315,14 +316,54 @@ def test_packing_holds_every_token_once(session, odd, empty):
 
 # --- 4 decontamination -------------------------------------------------------------------------
 
+def naive_tiles(doc, item, least):
+    """Longest common run of unmarked words first, then by place in the item and in the document."""
+    taken = set(), set()
+    out = []
+    while True:
+        best = None
+        for a in range(len(item)):
+            for b in range(len(doc)):
+                n = 0
+                while a + n < len(item) and b + n < len(doc) and item[a + n] == doc[b + n] and a + n not in taken[0] and b + n not in taken[1]:
+                    n += 1
+                if n >= least and (best is None or n > best[2]):
+                    best = (a, b, n)
+        if best is None:
+            return sorted(out)
+        out.append(best)
+        taken[0].update(range(best[0], best[0] + best[2]))
+        taken[1].update(range(best[1], best[1] + best[2]))
+
+
 def test_tiles_are_greedy():
-    assert string_tiling.tiles(np.arange(10, 20), np.arange(0, 10)) == [(0, 10, 14)]
-    # a long match of words 5-12 leaves only words 0-4 of the shorter match of words 0-9
-    doc = np.array([*range(100, 104), *range(200, 206)])
-    item = np.array([5, 6, 7, 8, *range(0, 6)])
-    assert string_tiling.tiles(doc, item) == [(0, 200, 10)]
-    doc, item = np.array([*range(100, 108), *range(200, 206)]), np.array([*range(5, 13), *range(0, 6)])
-    assert string_tiling.tiles(doc, item) == [(0, 200, 5), (5, 100, 12)]
+    a, b = [[b"%c%d" % (c, i) for i in range(40)] for c in b"ab"]
+    assert string_tiling.tiles(b[:10] + a[:14], a[:14]) == [(0, 10, 14)]
+    # a long match of words 5-16 leaves only words 0-4 of the shorter match of words 0-9
+    item = a[:20]
+    assert string_tiling.tiles(b[:3] + a[5:17] + b[3:9] + a[:10] + b[9:], item) == [(0, 21, 5), (5, 3, 12)]
+    assert string_tiling.tiles(b[:3] + a[5:13] + b[3:9] + a[:10] + b[9:], item) == [(0, 17, 10)]
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_tiles_equal_a_naive_tiler(seed):
+    rng = random.Random(seed)
+    letters = [b"a", b"b", b"c"][:1 + seed % 3]
+    text = lambda n: [rng.choice(letters) for _ in range(n)]
+    item = text(rng.randrange(1, 30))
+    doc = text(rng.randrange(1, 40)) + item[rng.randrange(len(item)):] + text(5)
+    least = rng.choice([1, 2, 3, 5])
+    assert string_tiling.tiles(doc, item, least) == naive_tiles(doc, item, least)
+
+
+def test_texts_of_one_word_are_tiled_in_seconds(session):
+    rows = [(1, "na " * 20_000), (2, "na " * 900), (3, "na " * 1100), (4, "no " * 20_000)]
+    table = session.createDataFrame(rows, DOCS)
+    benchmark = session.createDataFrame([(1, "na " * 2_000)], "item_id bigint, text string")
+    start = time.monotonic()
+    got = {r["doc_id"]: r for r in string_tiling.report(table, benchmark).collect()}
+    assert time.monotonic() - start < 30
+    assert {d: r["coverage"] for d, r in got.items()} == {1: 1.0, 2: 0.0, 3: 0.55, 4: 0.0} and got[1]["tiles"] == [(0, 0, 2000)]
 
 
 def test_planted_passages_are_found(session, odd):
