@@ -72,7 +72,8 @@ class Table:
         self.slots = np.repeat(tokens, counts.astype(np.int64))
 
 
-def encode(ids: np.ndarray, docs: list[tuple[int | None, int]], table: Table) -> bytes:
+def encode(ids: np.ndarray, doc_ids: np.ndarray, nulls: np.ndarray, lengths: np.ndarray, table: Table) -> bytes:
+    """Payload of a block: token ids of documents ``doc_ids`` (null where ``nulls`` is 1) of ``lengths`` tokens."""
     n = len(ids)
     lanes = max(1, min(LANES, n // 64))
     steps = -(-n // lanes)
@@ -92,10 +93,9 @@ def encode(ids: np.ndarray, docs: list[tuple[int | None, int]], table: Table) ->
             marks[t] = state.copy()
     before = np.cumsum([0, *map(len, words)])
     at = sorted(marks)
-    ids_, lengths = [d for d, _ in docs], [k for _, k in docs]
     return b"".join([
-        MAGIC, _HEAD.pack(n, lanes, steps, len(docs), len(at), int(before[-1])),
-        np.array([d or 0 for d in ids_], "<i8").tobytes(), bytes(d is None for d in ids_), np.array(lengths, "<u4").tobytes(),
+        MAGIC, _HEAD.pack(n, lanes, steps, len(doc_ids), len(at), int(before[-1])),
+        doc_ids.astype("<i8").tobytes(), nulls.astype("u1").tobytes(), lengths.astype("<u4").tobytes(),
         np.array([before[t] for t in at], "<u4").tobytes(), *[marks[t].astype("<u8").tobytes() for t in at],
         *[w.astype("<u4").tobytes() for w in words],
     ])
@@ -146,42 +146,65 @@ class Block:
         return out.reshape(-1)[first - offset:last - offset]
 
 
+class _Counts:
+    """Occurrences of each token id."""
+
+    def __init__(self):
+        self.n = np.zeros(1 << 16, np.int64)
+
+    def add(self, ids: np.ndarray) -> None:
+        got = np.bincount(ids, minlength=len(self.n))
+        got[:len(self.n)] += self.n
+        self.n = got
+
+    def rows(self) -> tuple[bytes, bytes]:
+        seen = np.flatnonzero(self.n)
+        return seen.astype("<i8").tobytes(), self.n[seen].astype("<i8").tobytes()
+
+
 def _blocks_of(path: str, end_id: int):
+    """Blocks of a task's documents, and a last row (block -1) with the counts of its tokens in doc_ids and lengths."""
+    tail = np.array([end_id], np.uint32)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, number, before = TaskContext.get().partitionId(), 0, 0
-        ids, docs, size = [], [], 0
+        part, number, before, counts = TaskContext.get().partitionId(), 0, 0, _Counts()
+        ids, docs, lengths, size = [], [], [], 0
 
         def row():
+            whole = np.concatenate(ids)
+            counts.add(whole)
+            null = np.array([d is None for d in docs], bool)
             return pd.DataFrame({
-                "range": [part], "block": [number], "before": [before], "doc_ids": [[d for d, _ in docs]],
-                "lengths": [[k for _, k in docs]], "ids": [np.concatenate(ids).astype("<u4").tobytes()],
+                "range": [part], "block": [number], "before": [before], "nulls": [null.tobytes()],
+                "doc_ids": [np.array([d or 0 for d in docs], "<i8").tobytes()], "lengths": [np.array(lengths, "<u4").tobytes()],
+                "ids": [whole.astype("<u4", copy=False).tobytes()],
             })
 
         for batch in batches:
-            for doc, got in zip(batch["doc_id"], encoder(path).ids(batch["text"]), strict=True):
-                ids += [got, np.array([end_id], np.uint32)]
-                docs.append((None if pd.isna(doc) else int(doc), len(got) + 1))
+            names = [None if pd.isna(d) else int(d) for d in batch["doc_id"]]
+            for doc, got in zip(names, encoder(path).ids(batch["text"]), strict=True):
+                ids += [got, tail]
+                docs.append(doc)
+                lengths.append(len(got) + 1)
                 size += len(got) + 1
                 if size >= BLOCK:
                     yield row()
                     number, before = number + 1, before + size
-                    ids, docs, size = [], [], 0
+                    ids, docs, lengths, size = [], [], [], 0
         if docs:
             yield row()
+        tokens, n = counts.rows()
+        yield pd.DataFrame({
+            "range": [part], "block": [-1], "before": [0], "nulls": [b""], "doc_ids": [tokens], "lengths": [n], "ids": [b""],
+        })
 
     return run
 
 
 def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    total = np.zeros(0, np.int64)
     for batch in batches:
-        for ids in batch["ids"]:
-            got = np.bincount(np.frombuffer(ids, "<u4"))
-            if len(got) > len(total):
-                total = np.concatenate([total, np.zeros(len(got) - len(total), np.int64)])
-            total[: len(got)] += got
-    seen = np.nonzero(total)[0]
-    yield pd.DataFrame({"token": seen, "n": total[seen]})
+        for tokens, n in zip(batch["doc_ids"], batch["lengths"], strict=True):
+            yield pd.DataFrame({"token": np.frombuffer(tokens, "<i8"), "n": np.frombuffer(n, "<i8")})
 
 
 def _coder(freq: dict[int, int]):
@@ -189,11 +212,11 @@ def _coder(freq: dict[int, int]):
         table = Table(freq)
         for batch in batches:
             for _, r in batch.iterrows():
-                docs = [(None if pd.isna(d) else int(d), int(k)) for d, k in zip(r["doc_ids"], r["lengths"], strict=True)]
-                ids = np.frombuffer(r["ids"], "<u4")
-                payload = encode(ids, docs, table)
+                ids, null, lengths = np.frombuffer(r["ids"], "<u4"), np.frombuffer(r["nulls"], "u1"), np.frombuffer(r["lengths"], "<u4")
+                names = np.frombuffer(r["doc_ids"], "<i8")
+                payload = encode(ids, names, null, lengths, table)
                 yield pd.DataFrame({
-                    "range": [r["range"]], "block": [r["block"]], "first_token": [r["first_token"]], "n_docs": [len(docs)],
+                    "range": [r["range"]], "block": [r["block"]], "first_token": [r["first_token"]], "n_docs": [len(names)],
                     "n_tokens": [len(ids)], "payload": [payload], "crc32": [zlib.crc32(payload)],
                 })
 
@@ -208,11 +231,13 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = END_I
     """
     spark = docs.sparkSession
     ordered = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    raw = stored(ordered.mapInPandas(
+    coded = stored(ordered.mapInPandas(
         _blocks_of(tokenizer_path, end_id),
-        "range int, block int, before bigint, doc_ids array<bigint>, lengths array<int>, ids binary",
+        "range int, block int, before bigint, nulls binary, doc_ids binary, lengths binary, ids binary",
     ), "token-blocks")
-    counts = raw.select("ids").mapInPandas(_counts, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n")).collect()
+    raw = coded.filter("block >= 0")
+    tallies = coded.filter("block < 0").select("doc_ids", "lengths")
+    counts = tallies.mapInPandas(_counts, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n")).collect()
     freq = scaled({r["token"]: r["n"] for r in counts}) if counts else {}
     spark.createDataFrame(sorted(freq.items()), "token bigint, frequency bigint").coalesce(1).write.parquet(f"{folder}/table")
     totals = raw.groupBy("range").agg(F.sum(F.octet_length("ids") / 4).cast("bigint").alias("n")).orderBy("range").collect()
