@@ -5,7 +5,7 @@ across the cuts made here, so a text's ids are its chunks' ids one after the oth
 each worker keeps those it has met (at most REMEMBERED, then it starts afresh) and looks them up.
 Chunks of Latin letters, ASCII digits and signs go straight to the model, all others through the
 whole tokenizer. An added token such as <|endoftext|> is its own id wherever it stands in a text, and the
-stretches around it are encoded by themselves, as encode(text, add_special_tokens=False) does. ``tests/llm/test_tokens.py`` compares with encoding whole texts.
+stretches around it are encoded by themselves, as encode(text, add_special_tokens=False) does. ``tests/llm/test_operators.py`` compares with encoding whole texts.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import re
 import numpy as np
 from tokenizers import Tokenizer
 
-REMEMBERED = 500_000
+REMEMBERED = 150_000  # about 25 MB in each worker
 BATCH_BYTES = 2_000_000
 _BYTE_CHUNKS = re.compile(r" ?[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+(?![^ \t\n\r\x0b\x0c])|[ \t\n\r\x0b\x0c]+")
 # white space that is not one space or line feed between words
