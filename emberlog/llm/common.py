@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from xxhash import xxh64_intdigest
 
 from ..session import prepare, scratch_dir
+from .skew import hot_keys, salted_join
 
 
 ROWS_PER_BATCH = 500
@@ -120,8 +121,11 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     state = None
     while True:
         both = pairs.union(pairs.select("v", "u"))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.filter(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("n")), label)
+        # a node with many neighbours, such as the smallest of a large family, is dealt over many tasks
+        hot = hot_keys(least, ["u"], "n", least.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+        wide = salted_join(both.filter(F.col("v") > F.col("u")), least.drop("n"), ["u"], hot)
+        large = wide.select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.filter(F.col("u") != F.col("v")).distinct()
         below = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(below, "u").select(F.explode(F.array(
@@ -137,7 +141,7 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
 
 
 _HASHES: dict[bytes, int] = {}
-REMEMBERED_WORDS = 500_000
+REMEMBERED_WORDS = 100_000  # about 10 MB in each worker
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
 

@@ -27,9 +27,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .common import components, doc_key, near_keys, positions, run_hashes, stored
+from .skew import hot_keys, salted_join
 
 WIDTH = 5
 PERMUTATIONS = 140
@@ -134,8 +135,11 @@ def candidates(nodes: DataFrame) -> DataFrame:
     """Links (a, b) from each node to the smallest node that shares a band with it."""
     in_band = nodes.select("key", F.posexplode("bands").alias("band", "value"))
     # counted before the shuffle; most bands hold one node and end here
-    hubs = in_band.groupBy("band", "value").agg(F.min("key").alias("hub"), F.max("key").alias("top")).filter(F.col("hub") != F.col("top"))
-    return in_band.join(hubs, ["band", "value"]).filter(F.col("key") != F.col("hub")).select(
+    hubs = stored(in_band.groupBy("band", "value").agg(
+        F.min("key").alias("hub"), F.max("key").alias("top"), F.count(F.lit(1)).alias("n")
+    ).filter(F.col("hub") != F.col("top")), "dedup-hubs")
+    hot = hot_keys(hubs, ["band", "value"], "n", hubs.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    return salted_join(in_band, hubs.drop("top", "n"), ["band", "value"], hot).filter(F.col("key") != F.col("hub")).select(
         F.col("key").alias("a"), F.col("hub").alias("b")
     ).distinct()
 
@@ -168,7 +172,8 @@ def confirmed(docs: DataFrame, nodes: DataFrame, numerator: int = NUMERATOR) ->
 
 
 def classes(docs: DataFrame, numerator: int = NUMERATOR) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, doc_key, n_shingles, component_id, kept."""
+    """One row per row of ``docs`` (doc_id, text): doc_id, doc_key, n_shingles, component_id, kept (doc_id is the
+    component's), representative (the one text that stays, where several texts have that doc_id)."""
     keyed = docs.select("doc_id", doc_key(F.col("doc_id"), F.col("text")).alias("doc_key"), "text")
     sketched = stored(keyed.mapInPandas(
         _sketches, "doc_id bigint, doc_key binary, n_shingles bigint, key binary, bands array<bigint>"
@@ -184,18 +189,24 @@ def classes(docs: DataFrame, numerator: int = NUMERATOR) -> DataFrame:
     best = stored(nodes.select("key", "first").join(linked, "key", "left").select("key", F.coalesce("best", "first").alias("best")), "dedup-best")
     rows = sketched.select("doc_id", "doc_key", "n_shingles", "key").join(best, "key", "left")
     component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.nullif(F.col("best.id"), F.lit(NO_ID)))
-    kept = F.col("key").isNull() | (F.col("best.doc_key") == F.col("doc_key"))
-    return rows.select("doc_id", "doc_key", "n_shingles", component.alias("component_id"), kept.alias("kept"))
+    single = F.col("key").isNull() | (F.col("best.doc_key") == F.col("doc_key"))
+    return rows.select(
+        "doc_id", "doc_key", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"),
+        single.alias("representative"),
+    )
 
 
 def deduplicated(docs: DataFrame, numerator: int = NUMERATOR) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; of equal rows one stays."""
-    found = classes(docs.select("doc_id", "text"), numerator).groupBy("doc_key").agg(F.count(F.lit(1)).alias("copies"), F.bool_and("kept").alias("kept"))
+    found = classes(docs.select("doc_id", "text"), numerator).groupBy("doc_key").agg(F.count(F.lit(1)).alias("copies"), F.bool_and("representative").alias("kept"))
     # only rows that go or are repeated need to be looked up; the others never leave their partition
     changed = stored(found.filter("copies > 1 or not kept"), "dedup-changed")
     own = docs.columns
-    keyed = docs.select(F.struct(*own).alias("row"), doc_key(F.col("doc_id"), F.col("text")).alias("doc_key"))
+    keyed = docs.select(
+        F.struct(*own).alias("row"), doc_key(F.col("doc_id"), F.col("text")).alias("doc_key"), F.monotonically_increasing_id().alias("at")
+    )
     looked_up = near_keys(keyed, changed).join(changed.filter("not kept"), "doc_key", "left_anti")
-    copy = F.row_number().over(Window.partitionBy("doc_key").orderBy("doc_key"))
-    single = looked_up.withColumn("copy", copy).filter("copy = 1")
+    # the first of equal rows, by its place: copies are reduced inside each task and no task meets all of them
+    first = looked_up.groupBy("doc_key").agg(F.min("at").alias("at")).select("at")
+    single = looked_up.join(first, "at", "left_semi")
     return near_keys(keyed, changed, other=True).select("row.*").unionByName(single.select("row.*"))

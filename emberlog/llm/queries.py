@@ -30,7 +30,7 @@ def query(function: Query) -> Query:
 
 @query
 def op1_minmax_dedup(spark, sf_dir):
-    return minmax_dedup.classes(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("doc_key")
+    return minmax_dedup.classes(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("doc_key", "representative")
 
 
 @query
