@@ -45,8 +45,11 @@ def escaped(text: Column) -> Column:
     return F.regexp_replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), f"({_CONTROL})", "$1\\\\")
 
 
+_ESCAPED = re.compile(r"\\(.)", re.S)
+
+
 def unescape(text: str) -> str:
-    return re.sub(r"\\(.)", r"\1", text, flags=re.S)
+    return _ESCAPED.sub(r"\1", text) if "\\" in text else text
 
 
 def fold(events: DataFrame) -> DataFrame:
@@ -90,37 +93,59 @@ def formatted(events: DataFrame) -> DataFrame:
     return stored(render(fold(events)), "chat-segments")
 
 
-_SEGMENT = re.compile(re.escape(OPEN) + r"((?:\\.|[^\\\n])*)\n(.*)" + re.escape(CLOSE) + r"\n", re.S)
+_HEAD = re.compile(re.escape(OPEN) + r"((?:[^\\\n]|\\.)*)\n", re.S)
+_END = CLOSE + "\n"
 
 
-def digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One row per conversation from segments sorted by conversation; keeps two running hashes."""
-    now, state = object(), None
+def parsed(segment: str) -> tuple[str, int]:
+    """Role of a segment and where its escaped text starts; it ends before the closing mark."""
+    head = _HEAD.match(segment)
+    if head is None or not segment.endswith(_END):
+        raise ValueError("not a segment of this template")
+    return unescape(head[1]), head.end()
+
+
+class _Conversation:
+    """Running hashes and counts of one conversation."""
+
+    def __init__(self, conv_id: int | None):
+        self.conv_id, self.n, self.chars, self.total = conv_id, 0, 0, 0
+        self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
 
-    def row():
-        n, turns, chars, loss, total = state
-        return pd.DataFrame({
-            "conv_id": pd.array([now], dtype="Int64"), "n_turns": [n], "turns_sha256": [turns.hexdigest()],
-            "loss_chars": [chars], "loss_sha256": [loss.hexdigest()], "formatted_chars": [total],
-        })
+    def add(self, segment: str, start: int, end: int) -> None:
+        role, begin = parsed(segment)
+        stop = len(segment) - len(_END)
+        text = unescape(segment[begin:stop])
+        loss = text if (start, end) == (begin, stop) else unescape(segment[start:end])
+        self.turns.update(f"{role}\n{text}\n".encode())
+        self.loss.update(loss.encode())
+        self.n, self.chars, self.total = self.n + 1, self.chars + len(loss), self.total + len(segment)
 
+    def row(self) -> tuple:
+        return self.conv_id, self.n, self.turns.hexdigest(), self.chars, self.loss.hexdigest(), self.total
+
+
+def _digest_rows(done: list[_Conversation]) -> pd.DataFrame:
+    frame = pd.DataFrame([c.row() for c in done], columns=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
+    return frame.assign(conv_id=pd.array([c.conv_id for c in done], dtype="Int64"))
+
+
+def digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One row per conversation from segments sorted by conversation; of the open one only the running hashes are kept."""
+    now: _Conversation | None = None
     for batch in batches:
-        columns = (batch["conv_id"], batch["segment"], batch["loss_from"], batch["loss_to"])
-        for conv, segment, start, end in zip(*columns, strict=True):
-            conv = None if pd.isna(conv) else int(conv)
-            if state is None or conv != now:
-                if state is not None:
-                    yield row()
-                now, state = conv, [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-            role, text = (unescape(x) for x in _SEGMENT.fullmatch(segment).groups())
-            loss = unescape(segment[int(start):int(end)])
-            state[0] += 1
-            state[1].update(f"{role}\n{text}\n".encode())
-            state[2] += len(loss)
-            state[3].update(loss.encode())
-            state[4] += len(segment)
-    if state is not None:
-        yield row()
+        done = []
+        convs = [None if pd.isna(c) else int(c) for c in batch["conv_id"]]
+        for conv, segment, start, end in zip(convs, batch["segment"], batch["loss_from"].tolist(), batch["loss_to"].tolist(), strict=True):
+            if now is None or conv != now.conv_id:
+                if now is not None:
+                    done.append(now)
+                now = _Conversation(conv)
+            now.add(segment, start, end)
+        if done:
+            yield _digest_rows(done)
+    if now is not None:
+        yield _digest_rows([now])
 
 
 DIGESTS = "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
