@@ -47,7 +47,7 @@ from .skew import hot_keys, salted_join
 LEAST = 10
 BUCKETS = 1 << 14
 SLOTS = 4
-FULL = int(BUCKETS * SLOTS * 0.9)
+FULL = int(BUCKETS * SLOTS * 0.85)
 HALF_FULL = BUCKETS * SLOTS // 2
 GROWTH = 8
 ROUNDS = 400
@@ -137,10 +137,11 @@ class CuckooFilter:
             slot = (np.cumsum(free[fits], 1) == rank[fits, None] + 1).argmax(1)
             table[bucket[fits], slot] = mark[fits]
             mark, bucket, rank = mark[~fits], bucket[~fits], rank[~fits]
-            # one of a bucket's waiting fingerprints takes a slot there; it and the others go to their other buckets
+            # after a try of both buckets, one of a bucket's waiting fingerprints takes a slot there, and what stood in
+            # it goes to its other bucket, as the other waiting ones do
             leads = np.r_[True, bucket[1:] != bucket[:-1]][:len(bucket)]
-            if turn % 2:
-                slot = (bucket[leads] + turn // 2) % SLOTS
+            if turn:
+                slot = (bucket[leads] + turn) % SLOTS
                 out = table[bucket[leads], slot]
                 table[bucket[leads], slot] = mark[leads]
                 mark = mark.copy()
