@@ -105,16 +105,19 @@ def start_validator(
 def _numbered(batch: DataFrame) -> tuple[DataFrame, int]:
     """The batch with ``id`` from 1 on, and its number of messages.
 
-    Each task of the scan gets a block of ids as large as its messages; one number for each task comes to the driver.
+    Each task of the scan gets a block of ids as large as its messages; one number for each task comes to the driver. A
+    batch whose messages are dealt out otherwise when it is read for the write fails, so ids are never given twice.
     """
     placed = batch.withColumns({"_task": F.spark_partition_id(), "_row": F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))})
     starts, size = [], 0
     for task, n in batch.groupBy(F.spark_partition_id().alias("_task")).count().orderBy("_task").collect():
-        starts.append((task, size + 1))
+        starts.append((task, size + 1, n))
         size += n
     # one row per task
-    blocks = F.broadcast(batch.sparkSession.createDataFrame(starts, "_task int, _start bigint"))
-    return placed.join(blocks, "_task").withColumn("id", F.col("_start") + F.col("_row")), size
+    blocks = F.broadcast(batch.sparkSession.createDataFrame(starts, "_task int, _start bigint, _rows bigint"))
+    moved = F.raise_error(F.lit("the messages of a batch changed their places between two reads")).cast("bigint")
+    number = F.when(F.col("_row") < F.col("_rows"), F.col("_start") + F.col("_row")).otherwise(moved)
+    return placed.join(blocks, "_task", "left").withColumn("id", number), size
 
 
 def load_batch(batch: DataFrame, tables_root: str, batch_id: int, counters: Counters | None = None, now: str | None = None) -> None:
