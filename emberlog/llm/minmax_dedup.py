@@ -205,7 +205,8 @@ def deduplicated(docs: DataFrame, numerator: int = NUMERATOR) -> DataFrame:
     keyed = docs.select(
         F.struct(*own).alias("row"), doc_key(F.col("doc_id"), F.col("text")).alias("doc_key"), F.monotonically_increasing_id().alias("at")
     )
-    looked_up = near_keys(keyed, changed).join(changed.filter("not kept"), "doc_key", "left_anti")
+    # places are stored with the rows, because a frame that is shuffled may give its rows other places when it is read again
+    looked_up = stored(near_keys(keyed, changed).join(changed.filter("not kept"), "doc_key", "left_anti"), "dedup-looked-up")
     # the first of equal rows, by its place: copies are reduced inside each task and no task meets all of them
     first = looked_up.groupBy("doc_key").agg(F.min("at").alias("at")).select("at")
     single = looked_up.join(first, "at", "left_semi")
