@@ -19,39 +19,47 @@ NEAR = 80
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text is at least as likely of quality 1 as of quality 0; without labels all stay."""
+    """Documents whose text is at least as likely of quality 1 as of quality 0; without labels all stay.
+
+    Null and empty texts are scored like any other, and rows with equal texts stay or go together. Columns may have any name.
+    """
     settle(spark)
     features = quality_qda.stored_features(docs)
     model = quality_qda.fit(features, table(spark, sf_dir, "labels").select("doc_id", "quality"))
-    return quality_qda.scored(docs, model, "_score").filter(F.col("_score") >= LEAST_QUALITY).drop("_score")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    return quality_qda.scored(rows, model, "score").filter(F.col("score") >= LEAST_QUALITY).select("row.*")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that was learned; texts without letters and those that fit no learned language go.
 
-    The threshold is set from labelled rows that the machines have not seen (``language_svm.Model.least``).
+    The threshold is set from labelled rows that the machines have not seen (``language_svm.Model.least``). Rows with
+    equal texts stay or go together. Columns may have any name.
     """
     settle(spark)
     model = language_svm.fit(docs.select("doc_id", "text", "lang"))
-    found = language_svm.identified(docs, model, "_language")
-    known = F.col("_language.lang") != language_svm.UNKNOWN
-    return found.filter(known & (F.col("_language.score") >= model.least)).drop("_language")
+    found = language_svm.identified(docs.select(F.struct(*docs.columns).alias("row"), "text"), model, "found")
+    known = F.col("found.lang") != language_svm.UNKNOWN
+    return found.filter(known & (F.col("found.score") >= model.least)).select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates."""
+    """One document of each class of near duplicates: the smallest doc_id, null ones last, and of equal rows any one.
+
+    Documents without words are near to nothing; equal rows of them are still one.
+    """
     settle(spark)
     return minmax_dedup.deduplicated(docs, NEAR)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item; equal rows stay or go together, and a null text is clean."""
     settle(spark)
     return string_tiling.clean(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packed sequences: sequence_id, length, pieces (with doc_id), ids."""
+    """Packed sequences: sequence_id, length, pieces (with doc_id), ids. A null text is empty; every row is packed."""
     settle(spark)
     return histogram_pack.sequences(histogram_pack.pieces(docs, tokenizer("byte_bpe_50k.json")))
 
