@@ -2,7 +2,7 @@
 
 Byte-pair models encode each pre-token by itself, and no pre-token of the two supported layouts reaches
 across the cuts made here, so a text's ids are its chunks' ids one after the other. Chunks repeat a lot;
-each worker keeps those it has met (at most REMEMBERED, then it starts afresh) and looks them up.
+each worker keeps the REMEMBERED first ones it has met and looks them up; if the texts change, it starts afresh.
 Chunks of Latin letters, ASCII digits and signs go straight to the model, all others through the
 whole tokenizer. An added token such as <|endoftext|> is its own id wherever it stands in a text, and the
 stretches around it are encoded by themselves, as encode(text, add_special_tokens=False) does. ``tests/llm/test_operators.py`` compares with encoding whole texts.
@@ -16,7 +16,8 @@ import re
 import numpy as np
 from tokenizers import Tokenizer
 
-REMEMBERED = 150_000  # about 25 MB in each worker
+REMEMBERED = 200_000  # about 35 MB in each worker
+STRANGE = 0.3  # share of chunks never met from which a full memory starts afresh
 BATCH_BYTES = 2_000_000
 _BYTE_CHUNKS = re.compile(r" ?[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+(?![^ \t\n\r\x0b\x0c])|[ \t\n\r\x0b\x0c]+")
 # white space that is not one space or line feed between words
@@ -115,18 +116,31 @@ class Encoder:
         self.flat = np.concatenate([self.flat, np.fromiter((i for c in coded for i in c), np.uint32, int(lengths.sum()))])
         self.starts, self.lengths = np.concatenate([self.starts, begin]), np.concatenate([self.lengths, lengths])
 
-    def _group(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.index) > REMEMBERED:
+    def _shrink(self, strange: bool) -> None:
+        """Keep the chunks met first, which are the frequent ones, unless the texts have become others."""
+        extra = len(self.index) - REMEMBERED
+        if extra <= 0:
+            return
+        if strange:
             self.forget()
+            return
+        for _ in range(extra):
+            self.index.popitem()
+        self.starts, self.lengths = self.starts[:REMEMBERED].copy(), self.lengths[:REMEMBERED].copy()
+        self.flat = self.flat[:self.starts[-1] + self.lengths[-1]].copy()
+
+    def _group(self, texts: list[str]) -> list[np.ndarray]:
         parts = [self.chunks(t) for t in texts]
         every = [c for p in parts for c in p]
         which = np.fromiter(map(self.index.__getitem__, every), np.int64, len(every))
+        strange = len(self.index.new) > STRANGE * len(every)
         if self.index.new:
             self._learn()
-        lengths = self.lengths[which]
+        starts, lengths = self.starts[which], self.lengths[which]
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.repeat(self.starts[which] - (ends - lengths), lengths) + np.arange(total)]
+        ids = self.flat[np.repeat(starts - (ends - lengths), lengths) + np.arange(total)]
+        self._shrink(strange)
         bounds = np.concatenate([[0], ends])[np.cumsum([0, *map(len, parts)])]
         return [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
