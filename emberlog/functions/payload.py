@@ -33,9 +33,14 @@ def once(df: DataFrame, *columns: str) -> DataFrame:
     """Add columns (expression text with aliases) through a one-element generator.
 
     A later filter on the added columns cannot be pushed below the generator, so the (expensive)
-    expressions behind them run once per row and not again inside the filter.
+    expressions behind them run once per row and not again inside the filter. Spark interprets what stands inside a
+    generator, so the expressions are computed (compiled) before it and only pass through.
     """
-    return df.selectExpr("*", f"inline(array(struct({', '.join(columns)})))")
+    names = [f"_once_{k}" for k in range(len(columns))]
+    pairs = [column.rsplit(" AS ", 1) for column in columns]
+    ready = df.selectExpr("*", *[f"{pair[0]} AS {name}" for pair, name in zip(pairs, names, strict=True)])
+    passed = ", ".join(f"{name} AS {pair[-1]}" for pair, name in zip(pairs, names, strict=True))
+    return ready.selectExpr(*[f"`{c}`" for c in df.columns], f"inline(array(struct({passed})))")
 
 
 def with_text(df: DataFrame, value: str = "value") -> DataFrame:

@@ -96,8 +96,10 @@ def check(df: DataFrame, value: str = "value") -> DataFrame:
         f"ELSE coalesce(nullif(concat_ws('; ', {missing}), ''), nullif(concat_ws('; ', {', '.join(TYPE_PROBLEMS)}), '')) END"
     )
     # every result leaves through the generator: a later filter on any of them stays above it
-    results = [*NORMALIZED, *[f"text_{n} AS {n}" for n in OPTIONAL_FIELDS], f"{reason} AS error_reason", f"{STORABLE} AS storable", f"{BARE} AS bare"]
-    return shaped.selectExpr(*keep, f"inline(array(struct({', '.join(results)})))").select(*keep, *OPTIONAL_FIELDS, *NORMALIZED, "error_reason", "storable", "bare")
+    results = [*NORMALIZED, *[f"text_{n} AS {n}" for n in OPTIONAL_FIELDS], f"{reason} AS _reason", f"{STORABLE} AS _storable", f"{BARE} AS _bare"]
+    ready = shaped.selectExpr(*keep, *results)
+    passed = [*OPTIONAL_FIELDS, *NORMALIZED, "_reason AS error_reason", "_storable AS storable", "_bare AS bare"]
+    return ready.selectExpr(*keep, f"inline(array(struct({', '.join(passed)})))").select(*keep, *OPTIONAL_FIELDS, *NORMALIZED, "error_reason", "storable", "bare")
 
 
 def _positions(df: DataFrame, *dropped: str) -> list[str]:

@@ -78,6 +78,15 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_messages(logs(spark, sf_dir))
 
 
+def dealt_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``messages`` dealt evenly over several tasks a core before they are built.
+
+    A few bytes of an event make a message that takes long to parse, so the splits of a small compact file are too few.
+    """
+    events = table(spark, sf_dir, "events")
+    return raw_messages(raw_logs(events.repartition(4 * spark.sparkContext.defaultParallelism, *events.columns)))
+
+
 def checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.check(messages(spark, sf_dir))
 

@@ -2,7 +2,7 @@
 
 import pytest
 
-from emberlog.operators import anomalies, data_tests, explore, marts, staging
+from emberlog.operators import anomalies, data_tests, explore, mapping, marts, staging, validate
 from emberlog.plans import bridge, registry
 
 SF = "/root/testdata/sf0.001"
@@ -64,3 +64,20 @@ def test_top_n_is_not_a_global_sort(stored):
 def test_no_cartesian_product_and_no_window(spark, name):
     text = plan(registry.REGISTRY[name](spark, SF))
     assert "CartesianProduct" not in text and "Window" not in text
+
+
+def generators(df) -> list[str]:
+    return [line for line in plan(df).splitlines() if "Generate inline" in line]
+
+
+@pytest.mark.parametrize("name", ["loaded", "checked", "faults"])
+def test_expressions_are_compiled_before_a_generator(spark, name):
+    messages = bridge.messages(spark, SF).selectExpr("row_id AS id", "value", "'iot_processed_logs' AS topic")
+    df = {"loaded": lambda: mapping.loaded_rows(messages, bridge.AS_OF), "checked": lambda: validate.check(messages), "faults": lambda: registry.REGISTRY["q8_contract_errors"](spark, SF)}[name]()
+    assert generators(df) and not [line for line in generators(df) if "CASE" in line]
+
+
+def test_messages_of_a_small_file_are_dealt_over_all_cores(spark):
+    dealt, whole = bridge.dealt_messages(spark, SF), bridge.messages(spark, SF)
+    assert dealt.rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism
+    assert dealt.exceptAll(whole).isEmpty() and dealt.count() == whole.count()
