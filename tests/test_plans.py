@@ -4,6 +4,7 @@ import pytest
 
 from emberlog.operators import anomalies, data_tests, explore, mapping, marts, staging, validate
 from emberlog.plans import bridge, registry
+from emberlog.sources import benchmark
 
 SF = "/root/testdata/sf0.001"
 
@@ -77,6 +78,21 @@ def test_expressions_are_compiled_before_a_generator(spark, name):
     assert generators(df) and not [line for line in generators(df) if "CASE" in line]
 
 
+def test_document_checks_are_compiled_and_name_the_first_fault(spark):
+    whole = '"timestamp":"t","profile":"full","rows":1,"consumer_messages":1,"loader_messages":1,"dry_run":true,"total_elapsed_seconds":1.5'
+    step = '{"name":"x","command":["a"],"elapsed_seconds":1}'
+    cases = {
+        f'{{{whole},"commands":[{step}]}}': None, f'{{{whole},"commands":{{}}}}': "commands must be a list.", f'{{{whole},"commands":null}}': "commands must be a list.",
+        f'{{{whole},"commands":[{step},null]}}': "command entry must be a dict.", f'{{{whole},"commands":[{{}}]}}': "command.name must be a str.",
+        f'{{{whole},"commands":[{{"name":"x","command":{{}}}}]}}': "command.command must be a list.",
+        f'{{{whole},"commands":[{{"name":null,"command":[]}}]}}': "command.name must be a str.", "[1]": "root JSON object must be a dict.", "{}": "timestamp must be a str.",
+        '{"timestamp":null}': "timestamp must be a str.", f'{{{whole},"commands":[]}}': "commands must contain at least one step.",
+    }
+    parsed = benchmark.parse(spark.createDataFrame([(k, k) for k in cases], "file string, content string"))
+    assert not [line for line in generators(parsed) if "schema_of_variant" in line or "CASE" in line]
+    assert {r["file"]: r["problem"] for r in parsed.collect()} == cases
+
+
 def test_messages_of_a_small_file_are_dealt_over_all_cores(spark):
     dealt, whole = bridge.dealt_messages(spark, SF), bridge.messages(spark, SF)
     assert dealt.rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism
