@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.text import quote_list
 from ..operators import anomalies, mapping, perf, quality, staging, validate
-from ..session import prepare
+from ..session import prepare, scratch_dir
 
 AS_OF = "2025-06-01T00:00:00Z"
 # a threshold that some daily runs pass and some break
@@ -91,16 +91,30 @@ def checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.check(messages(spark, sf_dir))
 
 
+def kept_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``checked``, stored once for jobs that read it several times: no message is parsed again.
+
+    Only rejected messages keep their ``raw_text``; ``value`` and ``key`` are left out.
+    """
+    text = F.when(F.col("error_reason").isNotNull(), F.col("raw_text"))
+    checks = validate.check(dealt_messages(spark, sf_dir))
+    frame, folder = checks.drop("value", "key").withColumn("raw_text", text), scratch_dir(spark, "checked")
+    frame.write.parquet(folder)
+    return spark.read.schema(frame.schema).parquet(folder)
+
+
 def valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.normalized(checked(spark, sf_dir), AS_OF)
 
 
-def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mapping.rows_from_valid(valid(spark, sf_dir), F.col("row_id"), AS_OF)
+def processed(spark: SparkSession, sf_dir: str, messages: DataFrame | None = None) -> DataFrame:
+    """Rows of the processed table; ``messages``: checked ones that are stored already (so in the functions below)."""
+    good = valid(spark, sf_dir) if messages is None else validate.normalized(messages, AS_OF)
+    return mapping.rows_from_valid(good, F.col("row_id"), AS_OF)
 
 
-def invalid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate.rejected(checked(spark, sf_dir), AS_OF).select(
+def invalid(spark: SparkSession, sf_dir: str, messages: DataFrame | None = None) -> DataFrame:
+    return validate.rejected(checked(spark, sf_dir) if messages is None else messages, AS_OF).select(
         F.col("row_id").alias("id"), "raw_payload", "error_reason", "failed_at", F.lit(AS_OF).cast("timestamp").alias("inserted_at")
     )
 
@@ -110,17 +124,17 @@ def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.outcomes(checked(spark, sf_dir), AS_OF)
 
 
-def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staging.stage_processed(processed(spark, sf_dir))
+def staged(spark: SparkSession, sf_dir: str, messages: DataFrame | None = None) -> DataFrame:
+    return staging.stage_processed(processed(spark, sf_dir, messages))
 
 
-def staged_invalid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staging.stage_invalid(invalid(spark, sf_dir))
+def staged_invalid(spark: SparkSession, sf_dir: str, messages: DataFrame | None = None) -> DataFrame:
+    return staging.stage_invalid(invalid(spark, sf_dir, messages))
 
 
-def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run_metrics(spark: SparkSession, sf_dir: str, messages: DataFrame | None = None) -> DataFrame:
     """One quality run per day of the log."""
-    outcome = checked(spark, sf_dir).select("day", F.col("error_reason").isNull().alias("ok"))
+    outcome = (checked(spark, sf_dir) if messages is None else messages).select("day", F.col("error_reason").isNull().alias("ok"))
     return quality.metrics_by_run(outcome, F.concat(F.lit("run-"), "day"), F.col("ok"))
 
 
@@ -128,10 +142,10 @@ def day_of(run_id: Column) -> Column:
     return F.substring(run_id, 5, 10).cast("timestamp")
 
 
-def run_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run_audit(spark: SparkSession, sf_dir: str, messages: DataFrame | None = None) -> DataFrame:
     """Stored audit rows of the daily runs."""
     day = day_of(F.col("run_id"))
-    rows = quality.audit_rows(run_metrics(spark, sf_dir), day, day + F.expr("interval 1 hour"), RUN_SETTINGS)
+    rows = quality.audit_rows(run_metrics(spark, sf_dir, messages), day, day + F.expr("interval 1 hour"), RUN_SETTINGS)
     return rows.select(
         run_number(F.col("run_id")).alias("id"), "*", (day + F.expr("interval 2 hours")).alias("created_at")
     )
@@ -159,9 +173,9 @@ def run_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raised.select(run_number(F.col("run_id")).alias("id"), "*")
 
 
-def stored_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stored_anomalies(spark: SparkSession, sf_dir: str, messages: DataFrame | None = None) -> DataFrame:
     """Anomaly table with one run per day of the events."""
-    found = anomalies.detect(processed(spark, sf_dir))
+    found = anomalies.detect(processed(spark, sf_dir, messages))
     day = F.substring("event_timestamp", 1, 10)
     return anomalies.store_form(found, F.concat(F.lit("anomaly-"), day), day.cast("timestamp"))
 

@@ -93,6 +93,14 @@ def test_document_checks_are_compiled_and_name_the_first_fault(spark):
     assert {r["file"]: r["problem"] for r in parsed.collect()} == cases
 
 
+def test_kept_messages_are_not_parsed_again(spark):
+    kept = bridge.kept_checked(spark, SF)
+    for made in (bridge.staged, bridge.staged_invalid, bridge.stored_anomalies, bridge.run_audit):
+        again, first = made(spark, SF, kept), made(spark, SF)
+        assert "from_json" in plan(first) and "from_json" not in plan(again)
+        assert again.exceptAll(first).isEmpty() and first.exceptAll(again).isEmpty()
+
+
 def test_messages_of_a_small_file_are_dealt_over_all_cores(spark):
     dealt, whole = bridge.dealt_messages(spark, SF), bridge.messages(spark, SF)
     assert dealt.rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism
