@@ -72,9 +72,9 @@ def trigrams(text: str) -> np.ndarray:
     return np.sqrt(np.bincount(slots, minlength=1 << BITS) / len(slots)).astype(np.float32)
 
 
-def machine(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Weights (bias last) of a linear machine; y is +1 or -1. Accelerated gradient descent."""
-    x = np.concatenate([x, np.ones((len(x), 1), np.float32)], 1)
+def machine(x: np.ndarray, y: np.ndarray, rows: np.ndarray | None = None) -> np.ndarray:
+    """Weights (bias last) of a linear machine over some rows of x; y is +1 or -1 for each of them. Accelerated gradient descent."""
+    x = _with_bias(x, np.arange(len(x)) if rows is None else np.nonzero(rows)[0])
     y = y.astype(np.float32)
     weight = (np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1)) * PENALTY * 100).astype(np.float32)
     v = np.ones(x.shape[1], np.float32)
@@ -91,6 +91,14 @@ def machine(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w.astype(np.float32)
 
 
+def _with_bias(x: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The rows and a column of ones: one copy, made piece by piece."""
+    out = np.ones((len(rows), x.shape[1] + 1), np.float32)
+    for at in range(0, len(rows), 256):
+        out[at:at + 256, :-1] = x[rows[at:at + 256]]
+    return out
+
+
 @dataclass
 class Level:
     """One-versus-one machines over some names, and the curve from margin to confidence."""
@@ -112,7 +120,7 @@ class Level:
             made = []
             for a, b in level.pairs:
                 use = rows & ((of == names[a]) | (of == names[b]))
-                made.append(machine(x[use], np.where(of[use] == names[a], 1.0, -1.0)))
+                made.append(machine(x, np.where(of[use] == names[a], 1.0, -1.0), use))
             return np.stack(made)
 
         # the curve is fitted on rows the first machines have not seen, the machines on all rows
@@ -188,11 +196,12 @@ class Known:
 
     @staticmethod
     def learned(x: np.ndarray, lang: np.ndarray) -> Known:
-        part, names = x.astype(np.float64) ** 2, sorted(set(lang))
-        chances = {v: _chances(part[lang == v].sum(0), (lang == v).sum()) for v in names}
+        names = sorted(set(lang))
+        # one language at a time: squares of all rows would be twice the sample again
+        chances = {v: _chances((x[lang == v].astype(np.float64) ** 2).sum(0), (lang == v).sum()) for v in names}
         every, usual = sum(chances.values()), {}
         for v in names:
-            mine = part[lang == v]
+            mine = x[lang == v].astype(np.float64) ** 2
             if len(np.unique(mine, axis=0)) < FEWEST:
                 continue
             of, total = np.arange(len(mine)) % 5, mine.sum(0)
@@ -268,12 +277,12 @@ def held_out(doc_id: Column, parts: int = 3, part: int = 1) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % parts == part, F.lit(False))
 
 
-@F.pandas_udf(T.StructType().add("slots", T.ArrayType(T.IntegerType())).add("values", T.ArrayType(T.FloatType())))
+@F.pandas_udf(T.StructType().add("slots", T.BinaryType()).add("values", T.BinaryType()))
 def _sparse(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for batch in texts:
         vectors = [trigrams(t) for t in batch]
-        slots = [np.nonzero(v)[0].astype(np.int32) for v in vectors]
-        yield pd.DataFrame({"slots": slots, "values": [v[s] for v, s in zip(vectors, slots, strict=True)]})
+        slots = [np.nonzero(v)[0].astype("<i4") for v in vectors]
+        yield pd.DataFrame({"slots": [s.tobytes() for s in slots], "values": [v[s].astype("<f4").tobytes() for v, s in zip(vectors, slots, strict=True)]})
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
@@ -290,11 +299,12 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
         chance = F.when(F.col("lang") == lang, F.lit(min(1.0, each / n))).otherwise(chance)
     draw = F.pmod(F.xxhash64(F.lit("language"), "mix"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     rows = able.filter(draw < chance).groupBy("lang", "mix").agg(F.first("text").alias("text")).select("lang", "mix", _sparse("text").alias("v"))
+    # about SAMPLE rows of packed numbers: as lists they would be an object each in the driver's Python
     got = rows.collect()
     got.sort(key=lambda r: (r["mix"], r["lang"]))
     x = np.zeros((len(got), 1 << BITS), np.float32)
     for k, r in enumerate(got):
-        x[k, r["v"]["slots"]] = r["v"]["values"]
+        x[k, np.frombuffer(r["v"]["slots"], "<i4")] = np.frombuffer(r["v"]["values"], "<f4")
     lang = np.array([r["lang"] for r in got])
     return Model.learned(x, lang) if got else Model(Level([]), {})
 

@@ -103,3 +103,18 @@ def test_copies_of_one_row_leave_one(session):
     rows = [(3, text, i) for i in range(2000)] + [(4, "a b c d e f g h", 0), (4, "a b c d e f g h", 0), (5, None, 1)]
     df = session.createDataFrame(rows, "doc_id bigint, text string, place int").repartition(9)
     assert sorted(r["doc_id"] for r in minmax_dedup.deduplicated(df).collect()) == [3, 4, 5]
+
+
+def test_language_features_reach_the_driver_packed(session, docs):
+    text = docs.filter("text IS NOT NULL").select("text").limit(3)
+    for r in text.select("text", language_svm._sparse("text").alias("v")).collect():
+        assert isinstance(r["v"]["slots"], bytes | bytearray) and isinstance(r["v"]["values"], bytes | bytearray)
+        x = np.zeros(1 << language_svm.BITS, np.float32)
+        x[np.frombuffer(r["v"]["slots"], "<i4")] = np.frombuffer(r["v"]["values"], "<f4")
+        assert np.array_equal(x, language_svm.trigrams(r["text"]))
+
+
+def test_a_machine_over_some_rows_is_that_of_those_rows():
+    x, rows = np.random.default_rng(3).random((700, 20), np.float32), np.arange(700) % 3 > 0
+    y = np.where(np.arange(rows.sum()) % 2, 1.0, -1.0)
+    assert np.array_equal(language_svm.machine(x, y, rows), language_svm.machine(x[rows], y))
