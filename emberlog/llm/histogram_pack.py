@@ -27,6 +27,7 @@ from .tokens import encoder
 
 CAPACITY = 1024
 END_ID = 2
+REMEMBERED = 700_000  # chunks a worker keeps: about 120 MB; a cutting task holds little else
 STEP = "length int, from_rank bigint, to_rank bigint, from_sequence bigint, each int, from_offset int"
 
 
@@ -35,7 +36,7 @@ def _cutter(path: str, capacity: int, end_id: int):
         for batch in batches:
             out: dict[str, list] = {"doc_id": [], "piece": [], "start": [], "length": [], "ids": []}
             size = 0
-            for doc, got in zip(batch["doc_id"], encoder(path).ids(batch["text"]), strict=True):
+            for doc, got in zip(batch["doc_id"], encoder(path, REMEMBERED).ids(batch["text"]), strict=True):
                 ids = np.append(got, end_id).astype("<u4")
                 cuts = [0, *range(len(ids) % capacity or capacity, len(ids) + 1, capacity)]
                 for piece, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):

@@ -2,7 +2,8 @@
 
 Byte-pair models encode each pre-token by itself, and no pre-token of the two supported layouts reaches
 across the cuts made here, so a text's ids are its chunks' ids one after the other. Chunks repeat a lot;
-each worker keeps the REMEMBERED first ones it has met and looks them up; if the texts change, it starts afresh.
+each worker keeps the REMEMBERED first ones it has met (or as many as its job has memory for) and looks them up; if the
+texts change, it starts afresh.
 Chunks of Latin letters, ASCII digits and signs go straight to the model, all others through the
 whole tokenizer. An added token such as <|endoftext|> is its own id wherever it stands in a text, and the
 stretches around it are encoded by themselves, as encode(text, add_special_tokens=False) does. ``tests/llm/test_operators.py`` compares with encoding whole texts.
@@ -52,7 +53,8 @@ class _Numbers(dict):
 class Encoder:
     """One tokenizer file; ``ids`` gives an array of ids for each text."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int | None = None):
+        self.remembered = remembered
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         with open(path, encoding="utf-8") as file:
@@ -118,7 +120,8 @@ class Encoder:
 
     def _shrink(self, strange: bool) -> None:
         """Keep the chunks met first, which are the frequent ones, unless the texts have become others."""
-        extra = len(self.index) - REMEMBERED
+        most = self.remembered or REMEMBERED
+        extra = len(self.index) - most
         if extra <= 0:
             return
         if strange:
@@ -126,7 +129,7 @@ class Encoder:
             return
         for _ in range(extra):
             self.index.popitem()
-        self.starts, self.lengths = self.starts[:REMEMBERED].copy(), self.lengths[:REMEMBERED].copy()
+        self.starts, self.lengths = self.starts[:most].copy(), self.lengths[:most].copy()
         self.flat = self.flat[:self.starts[-1] + self.lengths[-1]].copy()
 
     def _group(self, texts: list[str]) -> list[np.ndarray]:
@@ -157,11 +160,11 @@ class Encoder:
             yield from self._group(group)
 
 
-_LOADED: dict[str, Encoder] = {}
+_LOADED: dict[tuple[str, int | None], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, remembered: int | None = None) -> Encoder:
     """The worker's encoder for a file; later tasks of the same worker find its pieces again."""
-    if path not in _LOADED:
-        _LOADED[path] = Encoder(path)
-    return _LOADED[path]
+    if (path, remembered) not in _LOADED:
+        _LOADED[path, remembered] = Encoder(path, remembered)
+    return _LOADED[path, remembered]

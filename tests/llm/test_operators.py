@@ -205,6 +205,16 @@ def test_remembered_pieces_give_the_ids_of_whole_texts(docs, name, monkeypatch):
         assert ids.tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids, text[:50]
 
 
+def test_a_job_may_remember_more_chunks(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 50)
+    texts = [f"word{k % 300} common" for k in range(3000)]
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    for most, kept in ((None, 50), (200, 200), (1000, 302)):
+        coder = tokens.Encoder(path, most)
+        assert [i.tolist() for i in coder.ids(texts)] == [coder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(coder.index) == kept or most == 1000 and len(coder.index) < 1000
+
+
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 def test_added_tokens_are_encoded_as_a_fresh_tokenizer_does(name):
     path = public_tokenizers.path(name)
