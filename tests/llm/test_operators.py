@@ -227,6 +227,24 @@ def test_added_tokens_are_encoded_as_a_fresh_tokenizer_does(name):
         assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids, text
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_encoders_keep_little_and_cut_signs_off_words(name, monkeypatch):
+    path = public_tokenizers.path(name)
+    plain, coder = tokenizers.Tokenizer.from_file(path), tokens.Encoder(path)
+    texts = [
+        "end. next, last.", "a.b, c.. d., e,. f,", "(x), [y]. \"z\", it's, we'll.\nnew,\ttab. \r\n", "é, ß. ŉ, ſ. İ. ", "1, 2. a1, b", " .,", ". , x", "A, B.",
+        "x,\u00a0y. \x00z, \x00", "<|endoftext|>, a. <|ENDOFTEXT|>, \x00<|endoftext|> ,", "no.\x0b yes,\x0c",
+    ]
+    for text, ids in zip(texts, coder.ids(texts), strict=True):
+        assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids, text
+    # a word and the same word before a comma or full stop are remembered once
+    coder.forget()
+    list(coder.ids(f" {a}{b}{c} {a}{b}{c}, {a}{b}{c}. x" for a in "abcdefgh" for b in "ijklmnop" for c in "qrstuvwx"))
+    assert len(coder.index) < 8**3 + 10
+    # memory of the packing stage: no more than half of the 700,000 chunks of before
+    assert "REMEMBERED" not in vars(histogram_pack) and tokens.REMEMBERED <= 350_000
+
+
 def whole_ids(name, text):
     coder = tokens.encoder(public_tokenizers.path(name))
     return [*coder.tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
