@@ -59,17 +59,31 @@ def scaled(counts: dict[int, int]) -> dict[int, int]:
     return freq
 
 
+def _listed(freq: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    tokens = sorted(freq)
+    return np.array(tokens, np.uint32), np.array([freq[t] for t in tokens], np.int64)
+
+
 class Table:
     """Arrays of a shared frequency table."""
 
     def __init__(self, freq: dict[int, int]):
-        tokens = np.array(sorted(freq), np.uint32)
-        counts = np.array([freq[int(t)] for t in tokens], np.uint64)
+        self._fill(*_listed(freq))
+
+    @classmethod
+    def of(cls, tokens: np.ndarray, counts: np.ndarray) -> Table:
+        """From ascending tokens and their frequencies, which travel to tasks better than a dictionary."""
+        table = cls.__new__(cls)
+        table._fill(tokens, counts)
+        return table
+
+    def _fill(self, tokens: np.ndarray, counts: np.ndarray) -> None:
         size = int(tokens[-1]) + 1 if len(tokens) else 1
-        self.freq, self.start = np.zeros(size, np.uint64), np.zeros(size, np.uint64)
+        # states stay below 2**63, so all arithmetic is signed and a token is an index as it stands
+        self.freq, self.start = np.zeros(size, np.int64), np.zeros(size, np.int64)
         self.freq[tokens] = counts
         self.start[tokens] = np.cumsum(counts) - counts
-        self.slots = np.repeat(tokens, counts.astype(np.int64))
+        self.slots = np.repeat(tokens.astype(np.int32), counts)
 
 
 def encode(ids: np.ndarray, doc_ids: np.ndarray, nulls: np.ndarray, lengths: np.ndarray, table: Table) -> bytes:
@@ -79,16 +93,19 @@ def encode(ids: np.ndarray, doc_ids: np.ndarray, nulls: np.ndarray, lengths: np.
     steps = -(-n // lanes)
     # the last step is filled up with the last token; a reader stops after n tokens
     grid = np.concatenate([ids, np.repeat(ids[-1:], steps * lanes - n)]).reshape(steps, lanes)
-    state = np.full(lanes, LOW, np.uint64)
-    shift, scale, limit = np.uint64(32), np.uint64(SCALE), np.uint64((LOW >> SCALE) << 32)
+    state = np.full(lanes, LOW, np.int64)
+    freqs, starts = table.freq[grid], table.start[grid]
     words, marks = [None] * steps, {}
     for t in range(steps - 1, -1, -1):
-        freq = table.freq[grid[t]]
-        full = state >= limit * freq
-        words[t] = state[full].astype(np.uint32)
-        state[full] >>= shift
-        quotient = state // freq
-        state = (quotient << scale) + (state - quotient * freq) + table.start[grid[t]]
+        freq = freqs[t]
+        # a state from 2**(63 - SCALE) * freq on gives its low word away
+        full = (state >> (63 - SCALE) >= freq).nonzero()[0]
+        over = state.take(full)
+        words[t] = over.astype(np.uint32)
+        state[full] = over >> 32
+        # quotient * 2**SCALE + remainder + start; division without signs is faster
+        quotient = (state.view(np.uint64) // freq.view(np.uint64)).view(np.int64)
+        state += quotient * ((1 << SCALE) - freq) + starts[t]
         if t % CHECKPOINT == 0:
             marks[t] = state.copy()
     before = np.cumsum([0, *map(len, words)])
@@ -130,17 +147,19 @@ class Block:
         begin, end = mark * CHECKPOINT, -(-last // self.lanes)
         if first >= last:
             return np.zeros(0, np.uint32)
-        state, place = self.states[mark].copy(), int(self.marks[mark])
+        state, place = self.states[mark].astype(np.int64), int(self.marks[mark])
         out = np.empty((end - begin, self.lanes), np.uint32)
-        mask, scale, shift, low = np.uint64((1 << SCALE) - 1), np.uint64(SCALE), np.uint64(32), np.uint64(LOW)
         for t in range(end - begin):
-            slot = state & mask
-            token = out[t] = table.slots[slot]
-            state = table.freq[token] * (state >> scale) + slot - table.start[token]
-            need = state < low
-            n = int(np.count_nonzero(need))
+            slot = state & ((1 << SCALE) - 1)
+            token = out[t] = table.slots.take(slot)
+            state >>= SCALE
+            state *= table.freq.take(token)
+            state += slot
+            state -= table.start.take(token)
+            need = (state < LOW).nonzero()[0]
+            n = len(need)
             if n:
-                state[need] = (state[need] << shift) | self.words[place:place + n]
+                state[need] = (state.take(need) << 32) | self.words[place:place + n]
                 place += n
         offset = begin * self.lanes
         return out.reshape(-1)[first - offset:last - offset]
@@ -175,7 +194,7 @@ def _blocks_of(path: str, end_id: int):
             counts.add(whole)
             null = np.array([d is None for d in docs], bool)
             return pd.DataFrame({
-                "range": [part], "block": [number], "before": [before], "nulls": [null.tobytes()],
+                "range": [part], "block": [number], "before": [before], "n": [len(whole)], "nulls": [null.tobytes()],
                 "doc_ids": [np.array([d or 0 for d in docs], "<i8").tobytes()], "lengths": [np.array(lengths, "<u4").tobytes()],
                 "ids": [whole.astype("<u4", copy=False).tobytes()],
             })
@@ -195,7 +214,7 @@ def _blocks_of(path: str, end_id: int):
             yield row()
         tokens, n = counts.rows()
         yield pd.DataFrame({
-            "range": [part], "block": [-1], "before": [0], "nulls": [b""], "doc_ids": [tokens], "lengths": [n], "ids": [b""],
+            "range": [part], "block": [-1], "before": [0], "n": [0], "nulls": [b""], "doc_ids": [tokens], "lengths": [n], "ids": [b""],
         })
 
     return run
@@ -208,8 +227,10 @@ def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _coder(freq: dict[int, int]):
+    listed = _listed(freq)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = Table(freq)
+        table = Table.of(*listed)
         for batch in batches:
             for _, r in batch.iterrows():
                 ids, null, lengths = np.frombuffer(r["ids"], "<u4"), np.frombuffer(r["nulls"], "u1"), np.frombuffer(r["lengths"], "<u4")
@@ -233,29 +254,31 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = END_I
     ordered = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     coded = stored(ordered.mapInPandas(
         _blocks_of(tokenizer_path, end_id),
-        "range int, block int, before bigint, nulls binary, doc_ids binary, lengths binary, ids binary",
+        "range int, block int, before bigint, n bigint, nulls binary, doc_ids binary, lengths binary, ids binary",
     ), "token-blocks")
     raw = coded.filter("block >= 0")
     tallies = coded.filter("block < 0").select("doc_ids", "lengths")
     counts = tallies.mapInPandas(_counts, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n")).collect()
     freq = scaled({r["token"]: r["n"] for r in counts}) if counts else {}
     spark.createDataFrame(sorted(freq.items()), "token bigint, frequency bigint").coalesce(1).write.parquet(f"{folder}/table")
-    totals = raw.groupBy("range").agg(F.sum(F.octet_length("ids") / 4).cast("bigint").alias("n")).orderBy("range").collect()
+    totals = raw.groupBy("range").agg(F.sum("n").alias("n")).orderBy("range").collect()
     starts, running = [], 0
     for r in totals:
         starts.append((r["range"], running))
         running += r["n"]
     # one row per range: bounded by the number of shuffle partitions
     offsets = F.broadcast(spark.createDataFrame(starts, "range int, offset bigint"))
-    placed = raw.join(offsets, "range").withColumn("first_token", F.col("before") + F.col("offset")).drop("before", "offset")
+    placed = raw.join(offsets, "range").withColumn("first_token", F.col("before") + F.col("offset")).drop("before", "n", "offset")
     placed.mapInPandas(
         _coder(freq), "range int, block int, first_token bigint, n_docs int, n_tokens bigint, payload binary, crc32 bigint"
     ).write.parquet(f"{folder}/blocks")
 
 
 def _reader(freq: dict[int, int]):
+    listed = _listed(freq)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = Table(freq)
+        table = Table.of(*listed)
         for batch in batches:
             for payload, crc, first in zip(batch["payload"], batch["crc32"], batch["first_token"], strict=True):
                 if zlib.crc32(payload) != crc:

@@ -271,6 +271,17 @@ def test_token_files_round_trip(session, docs, odd, empty, folder, block, monkey
     assert rans_blocks.read(session, f"{folder}/none").isEmpty()
 
 
+def test_coded_blocks_keep_their_format():
+    rng = np.random.default_rng(3)
+    ids = (rng.zipf(1.2, 300_000) % 49_000).astype(np.uint32)
+    freq = rans_blocks.scaled({int(t): int(n) for t, n in zip(*np.unique(ids, return_counts=True))})
+    # arrays travel to tasks, not a dictionary; a token that fills the whole table has the largest frequency
+    for ids, freq in ((ids, freq), (np.full(3000, 5, np.uint32), {5: 1 << rans_blocks.SCALE})):
+        table = rans_blocks.Table.of(*rans_blocks._listed(freq))
+        payload = rans_blocks.encode(ids, np.zeros(1, np.int64), np.zeros(1, bool), np.array([len(ids)]), table)
+        assert rans_blocks.Block(payload).decode(rans_blocks.Table(freq)).tolist() == ids.tolist()
+
+
 def test_blocks_start_anywhere_and_notice_damage(session, docs, folder):
     rng = np.random.default_rng(3)
     ids = (rng.zipf(1.3, 300_000) % 49_000).astype(np.uint32)
